@@ -9,6 +9,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark import constants as K
 
@@ -91,39 +92,43 @@ def _fold_table(unknown: str, skip: Iterable[str]) -> tuple[str, str]:
     return ("".join(c for c, _ in to_char) + "".join(drop), "".join(t for _, t in to_char))
 
 
-@F.pandas_udf("string")
-def _decompose_question(batch: pd.Series) -> pd.Series:
-    return batch.map(
-        lambda t: None if t is None else "".join(
-            c if c.isascii() else "?"
-            for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
+def _decompose(unknown: str):
+    """The general path, for rows with characters outside the folded blocks.
 
+    Built here rather than at module level so that it travels to the executors
+    by value and needs nothing installed there.
+    """
+    def each(text):
+        if text is None:
+            return None
+        parts = unicodedata.normalize("NFKD", text)
+        return "".join(c if c.isascii() else unknown for c in parts
+                       if not unicodedata.combining(c))
+
+    def batch(column: pd.Series) -> pd.Series:
+        return column.map(each)
 
-@F.pandas_udf("string")
-def _decompose_drop(batch: pd.Series) -> pd.Series:
-    return batch.map(
-        lambda t: None if t is None else
-        unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode("ascii"))
+    return F.pandas_udf(batch, StringType())
 
 
-def _to_ascii(col: Column, table: Mapping[str, str], unknown: str, general) -> Column:
+def _to_ascii(col: Column, table: Mapping[str, str], unknown: str) -> Column:
     replaced = substitute(col, table)
     folded = F.translate(replaced, *_fold_table(unknown, ()))
     rare = has_non_ascii(folded)
     # Only rows with characters outside the folded blocks carry text to Python.
     return (F.when(~has_non_ascii(col), col)
             .when(~rare, folded)
-            .otherwise(general(F.when(rare, replaced))))
+            .otherwise(_decompose(unknown)(F.when(rare, replaced))))
 
 
 def ascii_clean(col: Column) -> Column:
     """Cleaning policy: substitutions, accents dropped, anything left becomes ``?``."""
-    return _to_ascii(col, K.CLEANING_SUBSTITUTIONS, "?", _decompose_question)
+    return _to_ascii(col, K.CLEANING_SUBSTITUTIONS, "?")
 
 
 def ascii_ingest(col: Column) -> Column:
     """Ingest policy: substitutions, accents dropped, anything left removed."""
-    return _to_ascii(col, K.INGEST_SUBSTITUTIONS, "", _decompose_drop)
+    return _to_ascii(col, K.INGEST_SUBSTITUTIONS, "")
 
 
 def ascii_publish(col: Column) -> Column:

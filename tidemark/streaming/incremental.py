@@ -110,29 +110,23 @@ def watch_dates(status: Column, prior_since: Column, at: Column, by: Column,
     }
 
 
-_STATE = "at string, watch_status string, rating string, decisions long"
-_FOLDED = T.StructType.fromDDL("id string, watch_status string, rating string, at string, "
-                               "decisions long")
-
-
-def _fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
-    last = state.get if state.exists else ("", None, None, 0)
-    for batch in batches:
-        n = last[3] + len(batch)
-        row = batch.sort_values("at").iloc[-1] if len(batch) else None
-        if row is not None and row["at"] >= last[0]:
-            last = (row["at"], row["watch_status"], row["rating"], n)
-        else:
-            last = (*last[:3], n)
-    state.update(last)
-    yield pd.DataFrame([{"id": key[0], "watch_status": last[1], "rating": last[2],
-                         "at": last[0], "decisions": last[3]}])
-
-
 def stream_decisions(log: DataFrame) -> DataFrame:
     """Streaming fold of (id, watch_status, rating, at): one state row per id."""
+    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
+        at, status, rating, seen = state.get if state.exists else ("", None, None, 0)
+        for batch in batches:
+            row = batch.sort_values("at").iloc[-1]
+            seen += len(batch)
+            if row["at"] >= at:
+                at, status, rating = row["at"], row["watch_status"], row["rating"]
+        state.update((at, status, rating, seen))
+        yield pd.DataFrame([{"id": key[0], "watch_status": status, "rating": rating,
+                             "at": at, "decisions": seen}])
+
     return log.groupBy("id").applyInPandasWithState(
-        _fold, _FOLDED, _STATE, "update", GroupStateTimeout.NoTimeout)
+        fold, "id string, watch_status string, rating string, at string, decisions long",
+        "at string, watch_status string, rating string, decisions long",
+        "update", GroupStateTimeout.NoTimeout)
 
 
 # --- R5: retention ------------------------------------------------------------------------------
