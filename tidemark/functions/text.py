@@ -131,6 +131,19 @@ def ascii_ingest(col: Column) -> Column:
     return _to_ascii(col, K.INGEST_SUBSTITUTIONS, "")
 
 
+def ascii_ingest_items(items: Column) -> Column:
+    """Ingest policy over an array of strings, nulls kept.
+
+    The items travel as one string, because a Python function cannot run
+    inside a higher-order function.
+    """
+    joined = F.array_join(F.transform(items, lambda s: F.translate(s, "\x1e\x1f", "")),
+                          "\x1f", "\x1e")
+    parts = F.transform(F.split(ascii_ingest(joined), "\x1f"),
+                        lambda s: F.nullif(s, F.lit("\x1e")))
+    return F.when(F.size(items) == 0, items).otherwise(parts)
+
+
 def ascii_publish(col: Column) -> Column:
     """Publishing policy: declared substitutions only; what is left is a violation."""
     return substitute(col, K.PUBLISHING_SUBSTITUTIONS)
@@ -249,9 +262,10 @@ def title_tokens(col: Column) -> Column:
     return F.array_except(F.filter(words, lambda w: F.length(w) > 2), stop)
 
 
-def cell(col: Column) -> Column:
-    """A spreadsheet cell: ASCII, collapsed, empty to null."""
-    return F.nullif(collapse_space(ascii_ingest(col)), F.lit(""))
+def cells(items: Column) -> Column:
+    """Spreadsheet cells: ASCII, collapsed, empty to null."""
+    return F.transform(ascii_ingest_items(items),
+                       lambda s: F.nullif(collapse_space(s), F.lit("")))
 
 
 def privacy_phrase(title: Column) -> Column:

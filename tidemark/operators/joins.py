@@ -28,14 +28,15 @@ def hot_keys(df: DataFrame, on: Sequence[str], slices: int) -> DataFrame:
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                limit: int = MAX_BROADCAST_ROWS, known_small: bool | None = None) -> DataFrame:
     """Join to a right side with unique keys.
 
-    The right side is broadcast only when counted small.  Otherwise the rows of
+    The right side is broadcast only when counted small (here, or by the caller
+    who passes ``known_small``).  Otherwise the rows of
     hot left keys are spread over salts and their right rows repeated per salt.
     """
     on = list(on)
-    if is_small(right, limit):
+    if is_small(right, limit) if known_small is None else known_small:
         return left.join(F.broadcast(right), on, how)
     slices = min(_HOT_KEYS, 4 * fan_out(left.sparkSession))
     # bounded: fewer than ``slices`` keys hold more than 1/slices of the rows each

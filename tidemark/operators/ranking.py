@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import lookup_join
+from tidemark.operators.joins import MAX_BROADCAST_ROWS, lookup_join
 from tidemark.workspace import durable, fan_out
 
+# Up to this many counted rows, one task may sort a group.
+WINDOW_ROWS = 1_000_000
 _SMALL_SCORE_TABLE = 20_000
 
 
@@ -45,24 +47,34 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
             .withColumn(name, F.col("_pos") - F.col("_start") + 1).drop("_pos", "_start"))
 
 
-def distinct_percentile(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+def distinct_percentile(df: DataFrame, group: Sequence[str], value: str,
+                        window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Add ``percentile``, ``group_size``: place among the *distinct* values of the group.
 
     ``index / (distinct - 1)``, ties share, 0.5 when the group has one value.
-    Rows are first reduced to distinct (group, value) pairs with counts.
+    Rows are first reduced to distinct (group, value) pairs with counts.  A
+    pair table counted small is ranked by a window; a larger one by the global
+    order, so no group is sorted in one task.
     """
-    pairs = df.groupBy(*group, value).agg(F.count("*").alias("_n"))
-    placed = durable(
-        global_position(pairs, [*[F.col(g) for g in group], F.col(value)], "_pos"), "percentile")
-    groups = placed.groupBy(*group).agg(F.min("_pos").alias("_start"),
-                                        F.count("*").alias("_distinct"),
-                                        F.sum("_n").alias("group_size"))
-    lookup = lookup_join(placed, groups, group).select(
-        *group, value, "group_size",
-        F.when(F.col("_distinct") <= 1, F.lit(0.5)).otherwise(
-            (F.col("_pos") - F.col("_start")).cast("double")
-            / (F.col("_distinct") - 1).cast("double")).alias("percentile"))
-    return lookup_join(df, durable(lookup, "lookup"), [*group, value])
+    pairs = durable(df.groupBy(*group, value).agg(F.count("*").alias("_n")), "pairs")
+    if pairs.count() <= window_rows:
+        whole = Window.partitionBy(*group)
+        place = F.dense_rank().over(whole.orderBy(value)) - 1
+        lookup = pairs.select(*group, value, F.sum("_n").over(whole).alias("group_size"),
+                              place.alias("_place"), F.count("*").over(whole).alias("_distinct"))
+    else:
+        placed = durable(global_position(
+            pairs, [*[F.col(g) for g in group], F.col(value)], "_pos"), "percentile")
+        groups = placed.groupBy(*group).agg(F.min("_pos").alias("_start"),
+                                            F.count("*").alias("_distinct"),
+                                            F.sum("_n").alias("group_size"))
+        lookup = durable(lookup_join(placed, groups, group).withColumn(
+            "_place", F.col("_pos") - F.col("_start")), "lookup")
+    lookup = lookup.select(*group, value, "group_size", F.when(
+        F.col("_distinct") <= 1, F.lit(0.5)).otherwise(
+        F.col("_place").cast("double") / (F.col("_distinct") - 1).cast("double"))
+        .alias("percentile"))
+    return lookup_join(df, lookup, [*group, value], known_small=pairs.count() <= MAX_BROADCAST_ROWS)
 
 
 def shrink(percentile: Column, group_size: Column, k: float) -> Column:
@@ -83,51 +95,47 @@ def tier_ends(total: int, quantiles: Sequence[tuple[str, float]]) -> list[tuple[
 
 def quantile_tiers(df: DataFrame, score: str, tie: Sequence[Column],
                    quantiles: Sequence[tuple[str, float]], name: str = "tier",
-                   rest: str = "D") -> DataFrame:
+                   rest: str = "D", window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Cut the ranked population into tiers: score descending, then ``tie``.
 
     Only the scores that a cut runs through need row positions; all other rows
-    get their tier from their score alone.
+    get their tier from their score alone.  ``df`` is read more than once:
+    pass a written table.
     """
-    counts = durable(df.groupBy(score).agg(F.count("*").alias("n")), "scores")
+    counts = df.groupBy(score).agg(F.count("*").alias("n"))
     head = counts.orderBy(F.desc(score)).limit(_SMALL_SCORE_TABLE + 1).collect()
     if len(head) > _SMALL_SCORE_TABLE:
-        total = counts.agg(F.sum("n")).first()[0] or 0
+        ranges = tier_ends(df.count(), quantiles)
         placed = global_position(df, [F.desc(score), *tie], "_pos")
-        return placed.withColumn(name, _tier_at(F.col("_pos") - 1, tier_ends(total, quantiles),
-                                                rest)).drop("_pos")
-    total = sum(r["n"] for r in head)
-    ranges = tier_ends(total, quantiles)
+        return placed.withColumn(name, _tier_at(F.col("_pos") - 1, ranges, rest)).drop("_pos")
+    ranges = tier_ends(sum(r["n"] for r in head), quantiles)
     cuts = {end for _, _, end in ranges}
-    start, whole, split = 0, [], []
+    start, lowest, split, tied_rows = 0, {}, [], 0
     for row in head:
         end = start + row["n"]
         if any(start < c < end for c in cuts):
             split.append((row[score], start))
+            tied_rows += row["n"]
         else:
-            whole.append((row[score], start))
+            lowest[_tier_name(start, ranges, rest)] = row[score]
         start = end
-    lowest = {}
-    for value, first in whole:
-        lowest[_tier_name(first, ranges, rest)] = value
-    by_score = F
-    for tier in [*[t for t, _, _ in ranges], rest]:
-        if tier in lowest:
-            by_score = by_score.when(F.col(score) >= F.lit(lowest[tier]), F.lit(tier))
+    by_score = F.lit(rest)
+    for tier in reversed([t for t, _, _ in ranges if t in lowest]):
+        by_score = F.when(F.col(score) >= F.lit(lowest[tier]), F.lit(tier)).otherwise(by_score)
     if not split:
-        return df.withColumn(name, by_score.otherwise(F.lit(rest)) if lowest else F.lit(rest))
-    values = [v for v, _ in split]
-    first_of = F
-    for value, first in split:
-        first_of = first_of.when(F.col(score) == F.lit(value), F.lit(first))
-    apart = df.filter(~F.col(score).isin(values))
-    apart = apart.withColumn(name, by_score.otherwise(F.lit(rest)) if lowest else F.lit(rest))
-    tied = None
-    for value, first in split:
-        part = global_position(df.filter(F.col(score) == F.lit(value)), tie, "_pos")
-        part = part.withColumn(name, _tier_at(F.col("_pos") - 1 + F.lit(first), ranges, rest))
-        tied = part if tied is None else tied.unionByName(part)
-    return apart.unionByName(tied.drop("_pos"))
+        return df.withColumn(name, by_score)
+    first = F
+    for value, position in split:
+        first = first.when(F.col(score) == F.lit(value), F.lit(position))
+    is_tied = F.col(score).isin([v for v, _ in split])
+    tied = df.filter(is_tied)
+    if tied_rows <= window_rows:
+        place = F.row_number().over(Window.partitionBy(score).orderBy(*tie))
+        tied = tied.withColumn("_pos", place)
+    else:
+        tied = rank_within(tied, [score], tie, "_pos")
+    tied = tied.withColumn(name, _tier_at(F.col("_pos") - 1 + first, ranges, rest)).drop("_pos")
+    return df.filter(~is_tied).withColumn(name, by_score).unionByName(tied)
 
 
 def _tier_name(position: int, ranges, rest: str) -> str:

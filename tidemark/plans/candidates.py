@@ -98,7 +98,7 @@ def from_posts(df: DataFrame, source_id: str, forum: str, ingested_at: Column,
              .withColumn("year", F.left("posted", F.lit(4))))
     ranked = RK.top_per_group(posts, ["year"], [F.desc("baseScore"), F.col("_id")], top_per_year)
     title = X.ascii_ingest(_text("title"))
-    tags = F.filter(F.transform(F.coalesce("tags", F.array().cast(_STRINGS)), X.ascii_ingest),
+    tags = F.filter(X.ascii_ingest_items(F.coalesce("tags", F.array().cast(_STRINGS))),
                     lambda t: ~X.empty(t))
     prov = C.provenance
     one = lambda c, v: F.when(X.empty(c), F.array().cast(_STRINGS)).otherwise(F.array(v))

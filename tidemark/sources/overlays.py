@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import cell, empty, is_blank
+from tidemark.functions.text import cells, empty
 from tidemark.operators.joins import fill_down
 
 REVIEW_ENTRY = ("struct<reviewer:string,verdict:string,tier_override:string,note:string,"
@@ -86,8 +86,8 @@ def scan_records(payloads: DataFrame) -> DataFrame:
 
 # --- sheets: (sheet, row_no, cells) --------------------------------------------------
 
-def _present(cells: Column) -> Column:
-    return F.array_compact(F.transform(cells, cell))
+def _present(row: Column) -> Column:
+    return F.array_compact(cells(row))
 
 
 def sectioned_levels(sheet: DataFrame, heads: list[str], header: str = "Category") -> DataFrame:
@@ -128,7 +128,7 @@ def headed_table(sheet: DataFrame, header_row: int | None = None,
 
     All-empty rows are dropped; cells are cleaned.
     """
-    cleaned = sheet.withColumn("c", F.transform("cells", cell))
+    cleaned = sheet.withColumn("c", cells(F.col("cells")))
     if header_row is not None:
         heads = cleaned.filter(F.col("row_no") == header_row)
     else:
