@@ -52,32 +52,29 @@ def max_signal(signals: Column, name: str) -> Column:
     return F.when((F.size(series) > 0) & ~bad, F.array_max(values))
 
 
-def raw_salience(profile: dict, kind: Column, signals: Column, extra: Column) -> Column:
-    """struct(score, method) of one profile for a record."""
-    def scored(score: Column, method: Column) -> Column:
-        return F.struct(score.cast("double").alias("score"), method.alias("method"))
-
-    out = F
+def raw_salience(profile: dict, kind: Column, signals: Column,
+                 extra: Column) -> tuple[Column, Column]:
+    """(score, method) of one profile: main signal with bonus, else the fallback, else 0."""
+    score, method = F, F
     for name, spec in profile.get("kind_scoring", {}).items():
-        rule = spec.get("transform", "identity")
-        primary = N.transform(latest(signals, spec.get("primary_signal")), rule)
-        method = F.lit(f"{spec.get('primary_signal')}:{rule}")
-        bonus_score, bonus_method = primary, method
+        rule, main = spec.get("transform", "identity"), spec.get("primary_signal")
+        primary = N.transform(latest(signals, main), rule)
+        label = F.lit(f"{main}:{rule}")
         if spec.get("bonus_field"):
             value = F.lower(F.coalesce(F.try_element_at(extra, F.lit(spec["bonus_field"])),
                                        F.lit("")))
             hit = value.isin(*[str(v).lower() for v in spec.get("bonus_values", [])])
-            bonus_score = primary + F.when(hit, float(spec.get("bonus", 0.0))).otherwise(0.0)
-            bonus_method = F.when(hit, F.lit(f"{spec['primary_signal']}:{rule}+"
-                                             f"{spec['bonus_field']}")).otherwise(method)
+            label = F.when(hit, F.lit(f"{main}:{rule}+{spec['bonus_field']}")).otherwise(label)
+            bonus = primary + F.when(hit, float(spec.get("bonus", 0.0))).otherwise(0.0)
+        else:
+            bonus = primary
         fallback = N.transform(latest(signals, spec.get("fallback_signal")),
                                spec.get("fallback_transform", "identity"))
-        branch = (F.when(primary.isNotNull(), scored(bonus_score, bonus_method))
-                  .when(fallback.isNotNull(),
-                        scored(fallback, F.lit(f"fallback:{spec.get('fallback_signal')}")))
-                  .otherwise(scored(F.lit(0.0), F.lit("no_signal_available"))))
-        out = out.when(kind == name, branch)
-    return out.otherwise(scored(F.lit(0.0), F.lit("kind_not_scored_by_profile")))
+        score = score.when(kind == name, F.coalesce(bonus, fallback, F.lit(0.0)))
+        method = method.when(kind == name, F.when(primary.isNotNull(), label).when(
+            fallback.isNotNull(), F.lit(f"fallback:{spec.get('fallback_signal')}"))
+            .otherwise("no_signal_available"))
+    return score.otherwise(F.lit(0.0)), method.otherwise("kind_not_scored_by_profile")
 
 
 def topical_relevance(profile: dict, kind: Column, haystack: Column) -> Column:

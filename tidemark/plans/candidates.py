@@ -192,12 +192,12 @@ def score_profile(df: DataFrame, profile: dict) -> DataFrame:
         F.array(F.coalesce(F.try_element_at("extra", F.lit("notability_criteria")), F.lit("")))),
         " ")
     k = float(profile.get("shrinkage_k", 0))
+    raw, method = C.raw_salience(profile, kind, F.col("signals"), F.col("extra"))
     scored = df.withColumns({
-        "_raw": C.raw_salience(profile, kind, F.col("signals"), F.col("extra")),
+        "_score": raw, "_method": method,
         "_kind": F.coalesce(kind, F.lit("None")),
         "_year": F.left(F.coalesce(F.nullif("published_at", F.lit("")), F.lit("____")), F.lit(4)),
         "_relevance": C.topical_relevance(profile, kind, haystack)})
-    scored = scored.withColumn("_score", F.col("_raw.score"))
     placed = RK.distinct_percentile(scored, ["_kind", "_year"], "_score")
     shrunk = RK.shrink(F.col("percentile"), F.col("group_size"), k)
     weight = F.col("group_size") / (F.col("group_size") + F.lit(k)) if k else F.lit(1.0)
@@ -205,13 +205,13 @@ def score_profile(df: DataFrame, profile: dict) -> DataFrame:
         "salience": F.bround(shrunk * F.col("_relevance"), 4),
         "basis": F.struct(
             F.lit(profile.get("version")).alias("profile_version"),
-            F.col("_raw.method").alias("method"), F.bround("_score", 4).alias("raw_score"),
+            F.col("_method").alias("method"), F.bround("_score", 4).alias("raw_score"),
             F.col("_relevance").alias("topical_relevance"),
             F.concat(F.lit("kind="), "_kind", F.lit(",year="), "_year")
             .alias("percentile_within"),
             F.col("group_size").cast("int").alias("group_size"),
             F.bround(weight, 3).alias("shrinkage"))})
-    placed = placed.drop("_raw", "_kind", "_year", "_relevance", "_score", "percentile",
+    placed = placed.drop("_method", "_kind", "_year", "_relevance", "_score", "percentile",
                          "group_size")
     tiered = RK.quantile_tiers(durable(placed, "scored"), "salience", [F.col("_ord")],
                                profile["tier_quantiles"])
