@@ -66,15 +66,25 @@ _TYPES = {
 }
 
 
-def schema_errors(schema: dict, raw: Column) -> Column:
-    """array<string> of ``path: keyword`` for a column of raw JSON documents.
+def with_schema_errors(df: DataFrame, raw: str, schema: dict, name: str = "errors") -> DataFrame:
+    """Add an array of ``path: keyword`` for a column of raw JSON documents.
 
     Keys keep the difference between absent and null, because the checks run
-    on the parsed variant and not on a typed row.
+    on the parsed variant and not on a typed row.  The document is parsed and
+    its top-level properties are taken once, as columns of their own.
     """
-    doc = F.try_parse_json(raw)
-    return F.when(doc.isNull(), F.array(F.lit("$: does not parse"))).otherwise(
-        _errors(schema, doc, "$", schema))
+    doc = F.col("_doc")
+    tops = {p: f"_top_{i}" for i, p in enumerate(schema.get("properties", {}))}
+    parsed = df.withColumn("_doc", F.try_parse_json(raw))
+    is_object = F.schema_of_variant(doc).startswith("OBJECT")
+    parsed = parsed.withColumns({c: _child(F.when(is_object, doc), p) for p, c in tops.items()})
+    errors = F.when(doc.isNull(), F.array(F.lit("$: does not parse"))).otherwise(
+        _errors(schema, doc, "$", schema, {p: F.col(c) for p, c in tops.items()}))
+    return parsed.withColumn(name, errors).drop("_doc", *tops.values())
+
+
+def _child(node: Column, name: str) -> Column:
+    return F.try_variant_get(node, f"$['{name}']", "variant")
 
 
 def _none() -> Column:
@@ -89,13 +99,14 @@ def _java(pattern: str) -> str:
     return re.sub(r"\$$", r"\\n?\\z", pattern)
 
 
-def _errors(schema: dict, node: Column, path: str, root: dict) -> Column:
-    """Errors of a non-null (that is: present) variant ``node``."""
+def _errors(schema: dict, node: Column, path: str, root: dict,
+            tops: dict[str, Column] | None = None) -> Column:
+    """Errors of a present variant ``node``; ``tops`` are its extracted properties."""
     if "$ref" in schema:
         target = root
         for step in schema["$ref"].lstrip("#/").split("/"):
             target = target[step]
-        return _errors(target, node, path, root)
+        return _errors(target, node, path, root, tops)
     kind = F.schema_of_variant(node)
     is_text, is_list, is_object = kind == "STRING", kind.startswith("ARRAY"), \
         kind.startswith("OBJECT")
@@ -137,27 +148,27 @@ def _errors(schema: dict, node: Column, path: str, root: dict) -> Column:
     if isinstance(schema.get("items"), dict):
         found.append(F.coalesce(F.array_distinct(F.flatten(F.transform(
             items, lambda v: _errors(schema["items"], v, path + "[]", root)))), _none()))
-    found += _object_errors(schema, node, keys, is_object, path, root)
+    found += _object_errors(schema, node, keys, is_object, path, root, tops or {})
     for keyword in ("oneOf", "anyOf"):
         if keyword in schema:
-            hits = [F.when(F.size(_errors(s, node, path, root)) == 0, 1).otherwise(0)
+            hits = [F.when(F.size(_errors(s, node, path, root, tops)) == 0, 1).otherwise(0)
                     for s in schema[keyword]]
             n = hits[0]
             for h in hits[1:]:
                 n = n + h
             flag((n != 1) if keyword == "oneOf" else (n == 0), keyword)
     for part in schema.get("allOf", []):
-        found.append(_errors(part, node, path, root))
+        found.append(_errors(part, node, path, root, tops))
     if "not" in schema:
-        flag(F.size(_errors(schema["not"], node, path, root)) == 0, "not")
+        flag(F.size(_errors(schema["not"], node, path, root, tops)) == 0, "not")
     if "if" in schema:
-        holds = F.size(_errors(schema["if"], node, path, root)) == 0
-        found.append(F.when(holds, _errors(schema.get("then", {}), node, path, root))
-                     .otherwise(_errors(schema.get("else", {}), node, path, root)))
+        holds = F.size(_errors(schema["if"], node, path, root, tops)) == 0
+        found.append(F.when(holds, _errors(schema.get("then", {}), node, path, root, tops))
+                     .otherwise(_errors(schema.get("else", {}), node, path, root, tops)))
     return F.concat(*found) if found else _none()
 
 
-def _object_errors(schema, node, keys, is_object, path, root) -> list[Column]:
+def _object_errors(schema, node, keys, is_object, path, root, tops) -> list[Column]:
     found = [_flag(~F.array_contains(keys, name), f"{path}.{name}: required")
              for name in schema.get("required", [])]
     known = schema.get("properties", {})
@@ -165,7 +176,8 @@ def _object_errors(schema, node, keys, is_object, path, root) -> list[Column]:
     for name, part in known.items():
         if not part:
             continue
-        child = F.try_variant_get(F.when(is_object, node), f"$['{name}']", "variant")
+        child = tops.get(name)
+        child = _child(F.when(is_object, node), name) if child is None else child
         found.append(F.when(child.isNotNull(), _errors(part, child, f"{path}.{name}", root))
                      .otherwise(_none()))
     extra = schema.get("additionalProperties", True)
@@ -194,7 +206,7 @@ def _json(value) -> str:
 def schema_violations(df: DataFrame, collection: str, key: str, raw: str,
                       schema: dict) -> DataFrame:
     """One violation per failed keyword and path."""
-    return (df.select(F.col(key).cast("string").alias("id"),
-                      F.explode(schema_errors(schema, F.col(raw))).alias("rule"))
+    checked = with_schema_errors(df, raw, schema)
+    return (checked.select(F.col(key).cast("string").alias("id"), F.explode("errors").alias("rule"))
             .select(F.lit(collection).alias("collection"), "id", "rule",
                     F.lit("error").alias("severity"), F.lit(None).cast("string").alias("detail")))
