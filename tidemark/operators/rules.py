@@ -33,7 +33,10 @@ def violations(df: DataFrame, collection: str, key: Column | str,
                rules: Iterable[Rule]) -> DataFrame:
     """(collection, id, rule, severity, detail), one row per broken rule."""
     key = F.col(key) if isinstance(key, str) else key
-    return (df.select(key.cast("string").alias("id"), F.explode(broken_rules(rules)).alias("v"))
+    # explode_outer: plain explode would copy the rules into a filter in front of itself
+    return (df.select(key.cast("string").alias("id"),
+                      F.explode_outer(broken_rules(rules)).alias("v"))
+            .filter(F.col("v").isNotNull())
             .select(F.lit(collection).alias("collection"), "id", "v.rule", "v.severity",
                     "v.detail"))
 
@@ -77,10 +80,13 @@ def with_schema_errors(df: DataFrame, raw: str, schema: dict, name: str = "error
     tops = {p: f"_top_{i}" for i, p in enumerate(schema.get("properties", {}))}
     parsed = df.withColumn("_doc", F.try_parse_json(raw))
     is_object = F.schema_of_variant(doc).startswith("OBJECT")
-    parsed = parsed.withColumns({c: _child(F.when(is_object, doc), p) for p, c in tops.items()})
+    parsed = parsed.withColumns({
+        **{c: _child(F.when(is_object, doc), p) for p, c in tops.items()},
+        "_keys": F.when(is_object, F.json_object_keys(F.to_json(doc)))})
     errors = F.when(doc.isNull(), F.array(F.lit("$: does not parse"))).otherwise(
-        _errors(schema, doc, "$", schema, {p: F.col(c) for p, c in tops.items()}))
-    return parsed.withColumn(name, errors).drop("_doc", *tops.values())
+        _errors(schema, doc, "$", schema,
+                {None: F.col("_keys"), **{p: F.col(c) for p, c in tops.items()}}))
+    return parsed.withColumn(name, errors).drop("_doc", "_keys", *tops.values())
 
 
 def _child(node: Column, name: str) -> Column:
@@ -100,8 +106,12 @@ def _java(pattern: str) -> str:
 
 
 def _errors(schema: dict, node: Column, path: str, root: dict,
-            tops: dict[str, Column] | None = None) -> Column:
-    """Errors of a present variant ``node``; ``tops`` are its extracted properties."""
+            tops: dict[str | None, Column] | None = None) -> Column:
+    """Errors of a present variant ``node``.
+
+    ``tops`` holds its properties where they are columns already, and its keys
+    under None.
+    """
     if "$ref" in schema:
         target = root
         for step in schema["$ref"].lstrip("#/").split("/"):
@@ -114,7 +124,8 @@ def _errors(schema: dict, node: Column, path: str, root: dict,
     text = F.when(is_text, F.try_variant_get(node, "$", "string"))
     number = F.when(is_number, F.try_variant_get(node, "$", "double"))
     items = F.when(is_list, F.try_variant_get(node, "$", "array<variant>"))
-    keys = F.when(is_object, F.json_object_keys(F.to_json(node)))
+    keys = (tops or {}).get(None)
+    keys = F.when(is_object, F.json_object_keys(F.to_json(node))) if keys is None else keys
     found: list[Column] = []
 
     def flag(broken: Column, keyword: str) -> None:
@@ -181,7 +192,10 @@ def _object_errors(schema, node, keys, is_object, path, root, tops) -> list[Colu
         found.append(F.when(child.isNotNull(), _errors(part, child, f"{path}.{name}", root))
                      .otherwise(_none()))
     extra = schema.get("additionalProperties", True)
-    if (extra is not True) or patterns:
+    if extra is False and not patterns:
+        others = F.array_except(keys, F.array(*[F.lit(k) for k in known]))
+        found.append(_flag(F.size(others) > 0, f"{path}: additionalProperties"))
+    elif (extra is not True) or patterns:
         entries = F.map_entries(F.when(is_object, node).cast("map<string,variant>"))
         rest = F.filter(entries, lambda e: ~e["key"].isin(list(known)) if known else F.lit(True))
         for pattern, part in patterns.items():
@@ -207,6 +221,8 @@ def schema_violations(df: DataFrame, collection: str, key: str, raw: str,
                       schema: dict) -> DataFrame:
     """One violation per failed keyword and path."""
     checked = with_schema_errors(df, raw, schema)
-    return (checked.select(F.col(key).cast("string").alias("id"), F.explode("errors").alias("rule"))
+    return (checked.select(F.col(key).cast("string").alias("id"),
+                           F.explode_outer("errors").alias("rule"))
+            .filter(F.col("rule").isNotNull())
             .select(F.lit(collection).alias("collection"), "id", "rule",
                     F.lit("error").alias("severity"), F.lit(None).cast("string").alias("detail")))
