@@ -154,7 +154,7 @@ def _errors(schema: dict, node: Column, path: str, root: dict,
         if keyword in schema:
             flag(broken(F.lit(schema[keyword])), keyword)
     if schema.get("uniqueItems"):
-        texts = F.transform(items, F.to_json)
+        texts = F.transform(items, lambda v: F.to_json(v))
         flag(F.size(F.array_distinct(texts)) < F.size(texts), "uniqueItems")
     if isinstance(schema.get("items"), dict):
         found.append(F.coalesce(F.array_distinct(F.flatten(F.transform(

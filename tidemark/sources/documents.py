@@ -11,37 +11,33 @@ from tidemark.functions.text import is_blank
 CORRUPT = "_corrupt_record"
 
 
+def _lines(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
+    """Lines of text files with their file and place, split at LF only.
+
+    The place is (start of the file split, row number of the reading task), so
+    large files are still split and read in parallel.
+    """
+    return (spark.read.option("lineSep", "\n").option("recursiveFileLookup", str(recursive).lower())
+            .text(path).select(
+                "*", F.col("_metadata.file_path").alias("_file"),
+                F.struct(F.col("_metadata.file_block_start").alias("block"),
+                         F.monotonically_increasing_id().alias("row")).alias("_ord")))
+
+
 def jsonl(spark: SparkSession, path: str, schema: T.StructType,
           recursive: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(records, rejects) of newline-delimited JSON.
+    """(records, rejects) of newline-delimited JSON, with ``_file``.
 
     Lines end at LF only: other Unicode line ends stay inside values.  Blank
     lines are skipped; lines that do not parse go to ``rejects``.
     """
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (spark.read.schema(full).option("lineSep", "\n").option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("recursiveFileLookup", str(recursive).lower()).json(path)
-            .withColumn("_file", F.col("_metadata.file_path")))
-    rejects = rows.filter(F.col(CORRUPT).isNotNull()).select("_file", CORRUPT)
-    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), rejects
+    return parse_lines(_lines(spark, path, recursive).drop("_ord"), "value", schema)
 
 
 def ordered_jsonl(spark: SparkSession, path: str,
                   schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """As :func:`jsonl` with ``_ord``, which sorts like the line's place in its file.
-
-    The place is (start of the file split, row number of the reading task), so
-    large files are still split and read in parallel.
-    """
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (spark.read.schema(full).option("lineSep", "\n")
-            .option("columnNameOfCorruptRecord", CORRUPT).json(path)
-            .select("*", F.col("_metadata.file_path").alias("_file"),
-                    F.struct(F.col("_metadata.file_block_start").alias("block"),
-                             F.monotonically_increasing_id().alias("row")).alias("_ord")))
-    return (rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT),
-            rows.filter(F.col(CORRUPT).isNotNull()).select("_file", CORRUPT))
+    """As :func:`jsonl` with ``_ord``, which sorts like the line's place in its file."""
+    return parse_lines(_lines(spark, path, False), "value", schema)
 
 
 def parse_lines(lines: DataFrame, column: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -51,8 +47,9 @@ def parse_lines(lines: DataFrame, column: str, schema: T.StructType) -> tuple[Da
         *schema.fields, T.StructField(CORRUPT, T.StringType())]),
         {"columnNameOfCorruptRecord": CORRUPT}))
     good = F.col("_r").isNotNull() & F.col(f"_r.{CORRUPT}").isNull()
-    return (parsed.filter(good).select(*[c for c in lines.columns if c != column], "_r.*")
-            .drop(CORRUPT), parsed.filter(~good).drop("_r"))
+    rest = [c for c in lines.columns if c != column]
+    return (parsed.filter(good).select(*rest, "_r.*").drop(CORRUPT),
+            parsed.filter(~good).select(*rest, F.col(column).alias(CORRUPT)))
 
 
 def explode_document(docs: DataFrame, column: str, record: T.DataType) -> DataFrame:

@@ -74,7 +74,7 @@ def registry(docs: DataFrame) -> DataFrame:
 def scan_records(payloads: DataFrame) -> DataFrame:
     """(file, scan_id, pos, raw, record columns) from scan payload documents."""
     raw = F.transform(F.from_json(F.get_json_object("value", "$.records"), "array<variant>"),
-                      F.to_json)
+                      lambda v: F.to_json(v))
     record = ("struct<slug:string,title:string,date:string,date_kind:string,description:string,"
               "sources:array<string>,why_it_matters:string,confidence:string,"
               "flags:array<string>,primary_source_retrieved:boolean>")
