@@ -15,41 +15,48 @@ def _present(col: Column) -> Column:
 
 # --- content metrics ---------------------------------------------------------
 
-def content_metrics(text: Column) -> dict[str, Column]:
-    words = F.regexp_count(_present(text), F.lit(K.WORD_CLASS + "+"))
-    paragraphs = F.size(F.filter(F.split(_present(text), r"\n" + K.PY_SPACE_CLASS + r"*\n"),
-                                 lambda p: ~X.is_blank(p)))
-    minutes = F.greatest(F.lit(1), F.bround(words / K.WORDS_PER_MINUTE).cast("int"))
-    blank = X.empty(text)
-    return {
-        "word_count": F.when(blank, 0).otherwise(words),
-        "reading_time_minutes": F.when(blank, 0).otherwise(minutes),
-        "paragraph_count": F.when(blank, 0).otherwise(paragraphs),
-        "has_code": ~blank & _present(text).rlike(K.CODE_PATTERN),
-    }
-
-
-def safety_relevance(title: Column, text: Column) -> Column:
-    hay = F.lower(F.concat_ws(" ", _present(title), _present(text)))
-    high = X.count_present(hay, K.HIGH_RELEVANCE)
-    medium = X.count_present(hay, K.MEDIUM_RELEVANCE)
+def word_count(text: Column) -> Column:
+    return F.regexp_count(_present(text), F.lit(K.WORD_CLASS + "+"))
+
+
+def paragraph_count(text: Column) -> Column:
+    return F.size(F.filter(F.split(_present(text), r"\n" + K.PY_SPACE_CLASS + r"*\n"),
+                           lambda p: ~X.is_blank(p)))
+
+
+def reading_minutes(words: Column) -> Column:
+    return F.greatest(F.lit(1), F.bround(words / K.WORDS_PER_MINUTE).cast("int"))
+
+
+def has_code(text: Column) -> Column:
+    return _present(text).rlike(K.CODE_PATTERN)
+
+
+def relevance_counts(low: Column) -> dict[str, Column]:
+    """Keyword counts of lower-case title and text; make them columns, they are used twice."""
+    return {"_high": X.count_present(low, K.HIGH_RELEVANCE),
+            "_medium": X.count_present(low, K.MEDIUM_RELEVANCE)}
+
+
+def level_counts(low: Column) -> dict[str, Column]:
+    return {"_research": X.count_present(low, K.RESEARCH_MARKS),
+            "_tutorial": X.count_present(low, K.TUTORIAL_MARKS)}
+
+
+def safety_relevance(high: Column, medium: Column) -> Column:
     return (F.when(high >= 2, "High").when((high >= 1) | (medium >= 3), "Medium")
             .otherwise("Low"))
 
 
-def technical_level(text: Column, source: Column) -> Column:
-    low = F.lower(_present(text))
-    research = X.count_present(low, K.RESEARCH_MARKS)
-    tutorial = X.count_present(low, K.TUTORIAL_MARKS)
+def technical_level(source: Column, research: Column, tutorial: Column) -> Column:
     return (F.when(_present(source) == "arxiv", "Research")
             .when((research > tutorial) & (research >= 2), "Research")
             .when((tutorial > research) & (tutorial >= 2), "Tutorial")
             .otherwise("Overview"))
 
 
-def topics(text: Column, tags: Column) -> Column:
+def topics(low: Column, tags: Column) -> Column:
     """First five tags and the keyword groups hit; distinct, sorted, first ten."""
-    low = F.lower(_present(text))
     hits = F.array_compact(F.array(*[
         F.when(X.any_present(low, words), F.lit(topic))
         for topic, words in K.TOPIC_KEYWORDS.items()]))

@@ -114,11 +114,9 @@ def _decompose(unknown: str):
 def _to_ascii(col: Column, table: Mapping[str, str], unknown: str) -> Column:
     replaced = substitute(col, table)
     folded = F.translate(replaced, *_fold_table(unknown, ()))
-    rare = has_non_ascii(folded)
     # Only rows with characters outside the folded blocks carry text to Python.
-    return (F.when(~has_non_ascii(col), col)
-            .when(~rare, folded)
-            .otherwise(_decompose(unknown)(F.when(rare, replaced))))
+    general = _decompose(unknown)(F.when(has_non_ascii(col) & has_non_ascii(folded), replaced))
+    return F.when(has_non_ascii(col), F.coalesce(general, folded)).otherwise(col)
 
 
 def ascii_clean(col: Column) -> Column:

@@ -13,7 +13,7 @@ from tidemark.operators import dedup, filters, joins, setops, similarity
 from tidemark.plans import collections as PL
 from tidemark.plans import research as PR
 from tidemark.plans.registry import query
-from tidemark.plans.standins import cte, standin, table
+from tidemark.plans.standins import cte, heavy, standin, table
 from tidemark.sinks import publish
 from tidemark.sources import overlays
 
@@ -391,7 +391,7 @@ def _(spark, sf):
 def titles(spark, sf):
     """First twelve words of each document as its title."""
     words = F.slice(F.filter(F.split("text", r"[ \n]+"), lambda w: w != ""), 1, 12)
-    return table(spark, sf, "documents").select(
+    return heavy(spark, sf, "documents").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
         F.array_join(words, " ").alias("title"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark import constants as K
 from tidemark.operators import privacy as P
 from tidemark.plans.registry import query
-from tidemark.plans.standins import table
+from tidemark.plans.standins import heavy, table
 
 MAIL = K.MAIL.replace("'", "''")
 RESIDUE = K.MAIL_RESIDUE.replace("'", "''")
@@ -19,7 +19,7 @@ SQL_SEVERED = r"""regexp_matches(text, '(^|\n)[ \t]*[A-Za-z0-9][A-Za-z0-9._%+\-]
 SELECT doc_id, CAST(len(regexp_extract_all(text, '{MAIL}')) AS INT) AS addresses FROM documents
 WHERE contains(text, '@') AND len(regexp_extract_all(text, '{MAIL}')) > 0""")
 def _(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.size(P.addresses(F.col("text")))
+    rows = heavy(spark, sf, "documents").select("doc_id", F.size(P.addresses(F.col("text")))
                                                 .alias("addresses"))
     return rows.filter("addresses > 0")
 
@@ -28,7 +28,7 @@ def _(spark, sf):
 SELECT doc_id, md5(regexp_replace(text, '{MAIL}', '{K.REDACTION}', 'g')) AS text_md5,
   CAST(len(regexp_extract_all(text, '{MAIL}')) AS INT) AS redactions FROM documents""")
 def redacted_documents(spark, sf):
-    out = P.scrub(table(spark, sf, "documents").select("doc_id", "text"), ["text"])
+    out = P.scrub(heavy(spark, sf, "documents").select("doc_id", "text"), ["text"])
     return out.select("doc_id", F.md5("text").alias("text_md5"), "redactions")
 
 
@@ -53,7 +53,7 @@ def _(spark, sf):
     local = F.split(hit, "@", 2)[0]
     cut = F.concat(F.lit("Contact:\n  "), local, F.lit("@"), F.substring(
         F.split(hit, "@", 2)[1], 1, 2), F.lit("..."))
-    rows = table(spark, sf, "documents").filter(hit.isNotNull()).select(
+    rows = heavy(spark, sf, "documents").filter(hit.isNotNull()).select(
         "doc_id", local.alias("local"), P.severed_address(cut).isNotNull().alias("found"))
     return rows.filter(F.col("local").rlike(r"^[A-Za-z0-9][A-Za-z0-9._%+\-]*\z")
                        & F.col("local").rlike("[A-Za-z]")).select("doc_id", "found")
@@ -66,7 +66,7 @@ SELECT doc_id, count(*) AS residue FROM r WHERE length(substr(hit, strpos(hit, '
   AND len(regexp_extract_all(substr(hit, strpos(hit, '@') + 1), '{K.PY_SPACE_CLASS}')) <= 1
 GROUP BY 1""")
 def _(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.size(P.residue(F.col("text")))
+    rows = heavy(spark, sf, "documents").select("doc_id", F.size(P.residue(F.col("text")))
                                                 .cast("bigint").alias("residue"))
     return rows.filter("residue > 0")
 
@@ -75,7 +75,7 @@ def _(spark, sf):
 SELECT source, count(*) AS rows FROM documents GROUP BY 1""")
 def _(spark, sf):
     """Per source: rows, none of which is refused after redaction."""
-    out = P.scrub(table(spark, sf, "documents").select("source", "text"), ["text"])
+    out = P.scrub(heavy(spark, sf, "documents").select("source", "text"), ["text"])
     return out.groupBy("source").agg((F.count("*") - F.count_if("refused")).alias("rows"))
 
 
@@ -85,7 +85,7 @@ SELECT source, count(*) AS residue FROM r WHERE length(substr(hit, strpos(hit, '
   AND len(regexp_extract_all(substr(hit, strpos(hit, '@') + 1), '{K.PY_SPACE_CLASS}')) <= 1
 GROUP BY 1""")
 def _(spark, sf):
-    return P.residue_gate(table(spark, sf, "documents"), "source", "text")
+    return P.residue_gate(heavy(spark, sf, "documents"), "source", "text")
 
 
 @query("redaction_totals", "A21 K11", f"""
@@ -93,7 +93,7 @@ WITH r AS (SELECT source, lower(unnest(regexp_extract_all(text, '{MAIL}'))) AS h
 SELECT source, substr(hit, strpos(hit, '@') + 1) AS domain, count(*) AS occurrences,
   count(DISTINCT hit) AS unique_addresses FROM r GROUP BY 1, 2""")
 def _(spark, sf):
-    return P.redaction_totals(table(spark, sf, "documents"), "source", "text")
+    return P.redaction_totals(heavy(spark, sf, "documents"), "source", "text")
 
 
 @query("redaction_log", "K11", """
@@ -118,14 +118,14 @@ def _(spark, sf):
         "12 Long Meadow Road", "Brighton VIC 3186", "Hauptstrasse 12",
         "https://x.example/?at=-37.8136,144.9631", "University of X, 12 Long Road")]),
         (F.col("doc_id") % 7 + 1).cast("int"))
-    rows = table(spark, sf, "documents").select(
+    rows = heavy(spark, sf, "documents").select(
         "doc_id", F.concat("text", F.lit("\n"), planted).alias("text"))
     return P.postal_findings(rows, "doc_id", "text")
 
 
 @query("postal_label_totals", "A22 V5")
 def _(spark, sf):
-    rows = table(spark, sf, "documents").select(
+    rows = heavy(spark, sf, "documents").select(
         F.col("doc_id").alias("file"), F.concat("text", F.lit("\n12 Long Meadow Road"))
         .alias("text"))
     return P.postal_findings(rows, "file", "text").groupBy("label").agg(

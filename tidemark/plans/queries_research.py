@@ -12,7 +12,7 @@ from tidemark.operators import dedup, filters
 from tidemark.operators import ranking as RK
 from tidemark.plans import research as PR
 from tidemark.plans.registry import query
-from tidemark.plans.standins import cte, standin, table
+from tidemark.plans.standins import cte, heavy, standin, table
 from tidemark.sinks import publish
 from tidemark.streaming import incremental as INC
 
@@ -107,7 +107,7 @@ c AS (SELECT doc_id, t, h, strpos(reverse(h), ' ') AS p FROM b)
 SELECT doc_id, CASE WHEN length(t) <= 400 THEN t ELSE rtrim(CASE WHEN p > 0 AND 400 - p > 240
     THEN substr(h, 1, 400 - p) ELSE h END, ' ,;:.-') || '...' END AS summary FROM c""")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.summary(F.col("text")).alias("summary"))
+    return heavy(spark, sf, "documents").select("doc_id", X.summary(F.col("text")).alias("summary"))
 
 
 SQL_METRICS = f"""

@@ -8,7 +8,7 @@ from tidemark import constants as K
 from tidemark.operators import tagging as TG
 from tidemark.plans import candidates as PC
 from tidemark.plans.registry import query
-from tidemark.plans.standins import table
+from tidemark.plans.standins import heavy, table
 from tidemark.workspace import durable
 
 STOP = ", ".join(f"'{w}'" for w in K.TAG_STOPWORDS)
@@ -52,7 +52,7 @@ def sql_classified(source: str) -> str:
 
 
 def examples(spark, sf):
-    return TG.labelled(table(spark, sf, "documents").withColumn("body", F.col("text")), "lang",
+    return TG.labelled(heavy(spark, sf, "documents").withColumn("body", F.col("text")), "lang",
                        ["body"])
 
 
@@ -70,7 +70,7 @@ def _(spark, sf):
 
 def heads(spark, sf):
     """The benchmark and document heads that are classified."""
-    docs = table(spark, sf, "documents").select(
+    docs = heavy(spark, sf, "documents").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
         F.substring("text", 1, 120).alias("text"))
     return docs.unionByName(table(spark, sf, "benchmark").select(
@@ -98,7 +98,7 @@ WITH {SQL_EXAMPLES}, {sql_model('ex')}, {SQL_HEADS}, {sql_classified('heads')}
 SELECT reason, CASE WHEN reason = 'ok' THEN top_domain END AS domain, count(*) AS n FROM out
 GROUP BY 1, 2""")
 def _(spark, sf):
-    docs = table(spark, sf, "documents").withColumn("none", F.lit(None).cast("string"))
+    docs = heavy(spark, sf, "documents").withColumn("none", F.lit(None).cast("string"))
     feed = heads(spark, sf).select("id", F.col("text").alias("title"), F.lit("").alias("summary"),
                                    F.array().cast("array<string>").alias("forum_tags"))
     _, outcomes = PC.tag_feed(docs.withColumnRenamed("text", "body"), "lang", ["body", "none"],

@@ -59,21 +59,36 @@ def clean_event_fields(df: DataFrame) -> DataFrame:
 
 
 def enrich(df: DataFrame, enriched_at: Column | None = None) -> DataFrame:
-    """Add temporal fields, content metrics, relevance, level and topics."""
-    text, title = F.col("text"), F.col("title")
-    has_text, has_title = ~X.empty(text), ~X.empty(title)
+    """Add temporal fields, content metrics, relevance, level and topics.
+
+    Lower-case text, word and keyword counts are columns of their own first,
+    so that each is computed once per row.
+    """
+    text, title = F.coalesce("text", F.lit("")), F.coalesce("title", F.lit(""))
+    has_text, has_title = ~X.empty(F.col("text")), ~X.empty(F.col("title"))
+    low = F.col("_low")
+    df = df.withColumns({"_low": F.lower(text), "_words": R.word_count(text)})
+    df = df.withColumns({
+        **R.relevance_counts(F.concat(F.lower(title), F.lit(" "), low)), **R.level_counts(low),
+        "_topics": R.topics(low, F.col("tags"))})
     out = dict(D.temporal_fields(F.col("date_published")))
-    out.update({n: F.when(has_text, c) for n, c in R.content_metrics(text).items()})
-    out["safety_relevance"] = F.when(has_text | has_title, R.safety_relevance(title, text))
-    out["technical_level"] = F.when(has_text, R.technical_level(text, F.col("source")))
-    topics = R.topics(text, F.col("tags"))
-    out["primary_topics"] = F.when(F.size(topics) > 0, topics)
+    metrics = {"word_count": F.col("_words"),
+               "reading_time_minutes": R.reading_minutes(F.col("_words")),
+               "paragraph_count": R.paragraph_count(text), "has_code": R.has_code(text)}
+    # a record without text gets no metrics
+    out.update({n: F.when(has_text, c) for n, c in metrics.items()})
+    out["safety_relevance"] = F.when(has_text | has_title, R.safety_relevance(
+        F.col("_high"), F.col("_medium")))
+    out["technical_level"] = F.when(has_text, R.technical_level(
+        F.col("source"), F.col("_research"), F.col("_tutorial")))
+    out["primary_topics"] = F.when(F.size("_topics") > 0, F.col("_topics"))
     if "_enriched" not in df.columns:
         at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'") \
             if enriched_at is None else enriched_at
         out["_enriched"] = F.struct(at.alias("enrichment_date"),
                                     F.lit("1.0.0").alias("enrichment_version"))
-    return df.withColumns(out)
+    return df.withColumns(out).drop("_low", "_words", "_high", "_medium", "_research",
+                                    "_tutorial", "_topics")
 
 
 def score(df: DataFrame) -> DataFrame:

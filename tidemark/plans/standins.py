@@ -8,11 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.workspace import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def heavy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for heavy per-row work: spread when it is a single split."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _padded(number: str) -> str:
     return f"lpad(CAST({number} AS STRING), 2, '0')"
 
@@ -106,7 +113,8 @@ STANDINS: dict[str, tuple[str, list[str]]] = {
 
 def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, expressions = STANDINS[name]
-    return table(spark, sf_dir, source).selectExpr(*expressions)
+    read = heavy if name in ("research", "candidates") else table
+    return read(spark, sf_dir, source).selectExpr(*expressions)
 
 
 def cte(*names: str) -> str:

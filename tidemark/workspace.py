@@ -43,3 +43,16 @@ def durable(df: DataFrame, label: str) -> DataFrame:
 
 def fan_out(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Spread a file scan that arrives in fewer splits than there are cores.
+
+    For heavy per-row work only.  A large input has more splits than cores and
+    is returned as it is, so nothing is shuffled at scale.  ``scan`` must be a
+    plain scan: counting its partitions then runs no job.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *keys)
