@@ -41,10 +41,10 @@ def global_position(df: DataFrame, order: Sequence[Column], name: str = "positio
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
                 name: str = "rank") -> DataFrame:
     """Row number inside each group by way of the global order."""
-    placed = durable(global_position(df, [*[F.col(g) for g in group], *order], "_pos"), "placed")
-    starts = placed.groupBy(*group).agg(F.min("_pos").alias("_start"))
+    placed = durable(global_position(df, [*[F.col(g) for g in group], *order], "_place"), "placed")
+    starts = placed.groupBy(*group).agg(F.min("_place").alias("_start"))
     return (lookup_join(placed, starts, group)
-            .withColumn(name, F.col("_pos") - F.col("_start") + 1).drop("_pos", "_start"))
+            .withColumn(name, F.col("_place") - F.col("_start") + 1).drop("_place", "_start"))
 
 
 def distinct_percentile(df: DataFrame, group: Sequence[str], value: str,

@@ -200,18 +200,24 @@ def _object_errors(schema, node, keys, is_object, path, root, tops) -> list[Colu
         rest = F.filter(entries, lambda e: ~e["key"].isin(list(known)) if known else F.lit(True))
         for pattern, part in patterns.items():
             if part:
-                found.append(F.coalesce(F.array_distinct(F.flatten(F.transform(
-                    F.filter(rest, lambda e, p=pattern: e["key"].rlike(_java(p))),
-                    lambda e, s=part: _errors(s, e["value"], path + ".*", root)))), _none()))
-            rest = F.filter(rest, lambda e, p=pattern: ~e["key"].rlike(_java(p)))
+                found.append(_entry_errors(_with_keys(rest, pattern, True), part, path, root))
+            rest = _with_keys(rest, pattern, False)
         if extra is False:
             found.append(_flag(F.size(rest) > 0, f"{path}: additionalProperties"))
         elif isinstance(extra, dict):
-            found.append(F.coalesce(F.array_distinct(F.flatten(F.transform(
-                rest, lambda e: _errors(extra, e["value"], path + ".*", root)))), _none()))
+            found.append(_entry_errors(rest, extra, path, root))
     return found
 
 
+def _with_keys(entries: Column, pattern: str, wanted: bool) -> Column:
+    return F.filter(entries, lambda e: e["key"].rlike(_java(pattern)) == F.lit(wanted))
+
+
+def _entry_errors(entries: Column, schema: dict, path: str, root: dict) -> Column:
+    return F.coalesce(F.array_distinct(F.flatten(F.transform(
+        entries, lambda e: _errors(schema, e["value"], path + ".*", root)))), _none())
+
+
 def _json(value) -> str:
     import json
     return json.dumps(value, ensure_ascii=False)

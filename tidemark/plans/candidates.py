@@ -184,7 +184,9 @@ def with_registry(df: DataFrame, registry: DataFrame) -> DataFrame:
 def score_profile(df: DataFrame, profile: dict) -> DataFrame:
     """Add ``salience``, ``tier`` and ``basis`` of one profile.
 
-    ``_ord`` is the input order that breaks ties between equal saliences.
+    ``_ord`` is the input order that breaks ties between equal saliences;
+    (id, _ord) must identify a row.  Ranks are worked out on a narrow written
+    table and joined back, so the records themselves are never written.
     """
     kind = F.col("kind")
     haystack = F.array_join(F.concat(
@@ -193,29 +195,25 @@ def score_profile(df: DataFrame, profile: dict) -> DataFrame:
         " ")
     k = float(profile.get("shrinkage_k", 0))
     raw, method = C.raw_salience(profile, kind, F.col("signals"), F.col("extra"))
-    scored = df.withColumns({
-        "_score": raw, "_method": method,
-        "_kind": F.coalesce(kind, F.lit("None")),
-        "_year": F.left(F.coalesce(F.nullif("published_at", F.lit("")), F.lit("____")), F.lit(4)),
-        "_relevance": C.topical_relevance(profile, kind, haystack)})
-    placed = RK.distinct_percentile(scored, ["_kind", "_year"], "_score")
+    year = F.left(F.coalesce(F.nullif("published_at", F.lit("")), F.lit("____")), F.lit(4))
+    narrow = durable(df.select(
+        "id", "_ord", F.coalesce(kind, F.lit("None")).alias("kind"), year.alias("year"),
+        raw.alias("score"), method.alias("method"),
+        C.topical_relevance(profile, kind, haystack).alias("relevance")), "signals")
+    placed = RK.distinct_percentile(narrow, ["kind", "year"], "score")
     shrunk = RK.shrink(F.col("percentile"), F.col("group_size"), k)
     weight = F.col("group_size") / (F.col("group_size") + F.lit(k)) if k else F.lit(1.0)
-    placed = placed.withColumns({
-        "salience": F.bround(shrunk * F.col("_relevance"), 4),
-        "basis": F.struct(
-            F.lit(profile.get("version")).alias("profile_version"),
-            F.col("_method").alias("method"), F.bround("_score", 4).alias("raw_score"),
-            F.col("_relevance").alias("topical_relevance"),
-            F.concat(F.lit("kind="), "_kind", F.lit(",year="), "_year")
-            .alias("percentile_within"),
+    placed = placed.select(
+        "id", "_ord", F.bround(shrunk * F.col("relevance"), 4).alias("salience"), F.struct(
+            F.lit(profile.get("version")).alias("profile_version"), "method",
+            F.bround("score", 4).alias("raw_score"),
+            F.col("relevance").alias("topical_relevance"),
+            F.concat(F.lit("kind="), "kind", F.lit(",year="), "year").alias("percentile_within"),
             F.col("group_size").cast("int").alias("group_size"),
-            F.bround(weight, 3).alias("shrinkage"))})
-    placed = placed.drop("_method", "_kind", "_year", "_relevance", "_score", "percentile",
-                         "group_size")
+            F.bround(weight, 3).alias("shrinkage")).alias("basis"))
     tiered = RK.quantile_tiers(durable(placed, "scored"), "salience", [F.col("_ord")],
                                profile["tier_quantiles"])
-    return tiered
+    return df.join(tiered, ["id", "_ord"])
 
 
 def score_all(df: DataFrame, profiles: list[dict]) -> DataFrame:

@@ -51,7 +51,7 @@ def watch_list(records: DataFrame, prior: DataFrame) -> DataFrame:
     cites = similarity.citations(atoms, "id", F.array_join("scan_flags", " "))
     cited = similarity.citation_edges(cites, atoms, "id")
     members, edges = similarity.near_duplicate_titles(
-        atoms, "id", "title", F.try_to_date("date", F.lit("yyyy-MM-dd")))
+        atoms, "id", "title", F.try_to_date("date", "yyyy-MM-dd"))
     pairs = similarity.possible_duplicates(members, edges, cited, "id")
     flagged = pairs.groupBy("id").agg(
         F.array_sort(F.collect_list("other")).alias("possible_duplicate_of"))

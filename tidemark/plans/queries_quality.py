@@ -12,6 +12,7 @@ from tidemark.plans import queries_collections as QL
 from tidemark.plans.queries_research import research
 from tidemark.plans.registry import query
 from tidemark.plans.standins import cte, table
+from tidemark.workspace import spread
 
 _STRINGS = "array<string>"
 EV = cte("events_v")
@@ -43,9 +44,8 @@ def shown(found):
 
 def event_documents(spark, sf):
     """Events as raw JSON; every tenth one carries an extra key."""
-    ev = QL.timeline_events(spark, sf).withColumn(
+    ev = spread(QL.timeline_events(spark, sf)).withColumn(
         "extra", F.when(F.col("o_orderkey") % 10 == 0, F.lit(1)))
-    # the documents are landed files to the checks: parsed from written JSON
     return ev.select("id", F.to_json(F.struct(
         "id", F.when(F.col("o_orderkey") % 13 != 0, F.col("title")).alias("title"), "year",
         "category", F.transform("impacts", lambda i: F.struct(i["variable"].alias("variable"),
