@@ -119,10 +119,10 @@ def sql_salience(source: str) -> str:
   ranked AS (SELECT *, dense_rank() OVER (PARTITION BY kind, yr ORDER BY score) - 1 AS place,
     count(*) OVER (PARTITION BY kind, yr) AS group_size FROM raw),
   placed AS (SELECT *, max(place) OVER (PARTITION BY kind, yr) AS top FROM ranked),
-  salient AS (SELECT *, CAST(round_even(CAST((CAST(0.5 AS DOUBLE) + (CASE WHEN top = 0
+  salient AS (SELECT *, CAST(round_even(CAST(CAST((CAST(0.5 AS DOUBLE) + (CASE WHEN top = 0
       THEN CAST(0.5 AS DOUBLE) ELSE CAST(place AS DOUBLE) / CAST(top AS DOUBLE) END
       - CAST(0.5 AS DOUBLE)) * (CAST(group_size AS DOUBLE) / CAST(group_size + 12 AS DOUBLE)))
-      * relevance AS DECIMAL(30, 17)), 4) AS DOUBLE) AS salience FROM placed),
+      * relevance AS VARCHAR) AS DECIMAL(30, 20)), 4) AS DOUBLE) AS salience FROM placed),
   ordered AS (SELECT *, row_number() OVER (ORDER BY salience DESC, o_orderkey) AS pos,
     count(*) OVER () AS n FROM salient),
   tiered AS (SELECT *, CASE WHEN pos <= greatest(1, round_even(CAST(0.05 AS DOUBLE) * n, 0)) THEN 'A'
