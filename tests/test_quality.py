@@ -154,3 +154,13 @@ def test_watch_list(spark):
     lost = prior.withColumn("id", F.lit("gone"))
     with pytest.raises(RefusedWrite):
         PL.watch_list(records, lost)
+
+
+def test_revalidation_is_all_or_nothing(spark):
+    from tidemark.plans.research import clean_event_fields
+    schema = {"properties": {"title": {"minLength": 3}}}
+    df = spark.createDataFrame([("a", " abc ", ["u"], ["T"])],
+                               "id string, title string, sources array<string>, tags array<string>")
+    assert PL.revalidated(df, schema, clean_event_fields).first()["tags"] == ["t"]
+    with pytest.raises(RefusedWrite):
+        PL.revalidated(df.withColumn("title", F.lit("  a ")), schema, clean_event_fields)

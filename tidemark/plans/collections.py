@@ -17,7 +17,7 @@ from tidemark.functions import text as X
 from tidemark.operators import aggregates as A
 from tidemark.operators import dedup, joins, similarity
 from tidemark.operators.filters import missing_list
-from tidemark.operators.rules import verdicts
+from tidemark.operators.rules import schema_violations, verdicts
 from tidemark.sinks.publish import RefusedWrite, collection_manifest, light_index
 
 _STRINGS = "array<string>"
@@ -38,9 +38,13 @@ def watch_atoms(records: DataFrame) -> DataFrame:
         .withColumn("id", F.col("slug"))
 
 
-def watch_list(records: DataFrame, prior: DataFrame) -> DataFrame:
+def watch_list(records: DataFrame, prior: DataFrame, expand: bool = True) -> DataFrame:
     """Atoms with duplicate flags and the human fields of the prior list.
 
+    With ``expand`` every atom lists the ids it may repeat.  That list is
+    quadratic in the copies of a title; without it an atom carries its title
+    set and the number of its near duplicates, which is linear.
+
     Refuses when an id with a human decision is no longer derived.
     """
     atoms = watch_atoms(records)
@@ -52,10 +56,14 @@ def watch_list(records: DataFrame, prior: DataFrame) -> DataFrame:
     cited = similarity.citation_edges(cites, atoms, "id")
     members, edges = similarity.near_duplicate_titles(
         atoms, "id", "title", F.try_to_date("date", "yyyy-MM-dd"))
-    pairs = similarity.possible_duplicates(members, edges, cited, "id")
-    flagged = pairs.groupBy("id").agg(
-        F.array_sort(F.collect_list("other")).alias("possible_duplicate_of"))
-    return joins.carry_forward(atoms.join(flagged, "id", "left"), prior, "id",
+    if expand:
+        pairs = similarity.possible_duplicates(members, edges, cited, "id")
+        flags = pairs.groupBy("id").agg(
+            F.array_sort(F.collect_list("other")).alias("possible_duplicate_of"))
+    else:
+        flags = similarity.duplicate_counts(members, edges, "id").join(
+            cited.groupBy("id").agg(F.count("*").alias("cross_references")), "id", "full_outer")
+    return joins.carry_forward(atoms.join(flags, "id", "left"), prior, "id",
                                K.WATCH_HUMAN_FIELDS)
 
 
@@ -154,6 +162,21 @@ def timeline(raw: DataFrame, enriched: DataFrame, precedence: Sequence[str],
     return publish_text(dedup.keep_by_precedence(both, "id", "file", precedence, override))
 
 
+def revalidated(events: DataFrame, schema: dict, clean) -> DataFrame:
+    """Validate, clean and validate again; nothing comes out if anything fails."""
+    def check(df: DataFrame) -> None:
+        raw = df.select("id", F.to_json(F.struct(*[
+            c for c in df.columns if not c.startswith("_")])).alias("raw"))
+        bad = schema_violations(raw, "events", "id", "raw", schema).limit(5).collect()
+        if bad:
+            raise RefusedWrite(f"schema: {[(r['id'], r['rule']) for r in bad]}")
+
+    check(events)
+    cleaned = clean(events)
+    check(cleaned)
+    return cleaned
+
+
 def timeline_sidecars(events: DataFrame, score_column: str) -> dict[str, DataFrame]:
     return {"manifest": collection_manifest(events), "index": light_index(events),
             "tallies": A.tally(events, "year", "category", "rarity"),

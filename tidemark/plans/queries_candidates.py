@@ -100,7 +100,11 @@ SQL_HITS = "len(list_distinct(regexp_extract_all(lower(title), '" + "|".join(
 
 
 def sql_salience(source: str) -> str:
-    """Salience and tiers over ``source``, a CTE with the candidate columns."""
+    """Salience and tiers over ``source``, a CTE with the candidate columns.
+
+    The shortest decimal text of a double is rounded, which is exact; a direct
+    cast of a double to a decimal loses digits.
+    """
     return f"""raw AS (SELECT *, CASE kind
       WHEN 'model_release' THEN coalesce(log10(main_value)
         + CASE WHEN frontier_model = 'True' THEN 1.0 ELSE 0.0 END,
@@ -437,7 +441,8 @@ def _(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
     left = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     right = events.filter("event_type = 'view'").select("user_id", "ts", "value")
-    return joins.as_of_join(left, right, "user_id", "ts", "value", F.to_date("ts")).select(
+    return joins.as_of_join(left, right, "user_id", "ts", "value",
+                            F.date_trunc("minute", "ts")).select(
         "event_id", "value")
 
 

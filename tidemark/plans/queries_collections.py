@@ -16,6 +16,7 @@ from tidemark.plans.registry import query
 from tidemark.plans.standins import cte, heavy, standin, table
 from tidemark.sinks import publish
 from tidemark.sources import overlays
+from tidemark.workspace import durable
 
 _STRINGS = "array<string>"
 
@@ -479,6 +480,40 @@ def _(spark, sf):
                          F.array_join("sources", "|").alias("sources"))
 
 
+@query("watch_list", "C7 J9 J12 A18", f"""
+WITH {SQL_TITLE}, dd AS (SELECT t.id, DATE '2026-01-01' + CAST(substr(t.id, 2) AS INT) % 60 AS d
+    FROM t), x AS (SELECT toks.id, d, len(tokens) AS n, unnest(tokens) AS token FROM toks
+    JOIN dd ON toks.id = dd.id),
+shared AS (SELECT a.id AS ia, b.id AS ib, a.n AS na, b.n AS nb, abs(a.d - b.d) AS gap,
+  count(*) AS s FROM x a JOIN x b ON a.token = b.token AND a.id <> b.id GROUP BY ALL),
+near AS (SELECT ia, count(*) AS n FROM shared WHERE CAST(s AS DOUBLE) / (na + nb - s) >= 0.5
+  OR (CAST(s AS DOUBLE) / (na + nb - s) >= 0.3 AND gap <= 3) GROUP BY 1)
+SELECT t.id, md5(t.title) AS title_md5, 'https://s.example/' || t.id AS sources,
+  CASE WHEN len(tokens) > 0 THEN coalesce(near.n, 0) END AS duplicates,
+  CASE WHEN CAST(substr(t.id, 2) AS INT) % 3 = 0 THEN 'watching' END AS watch_status
+FROM t JOIN toks ON t.id = toks.id LEFT JOIN near ON t.id = near.ia""")
+def _(spark, sf):
+    """Document titles as claims of two scans, with a prior list of decisions."""
+    n = F.substring("id", 2, 12).cast("bigint")
+    claim = titles(spark, sf).select(
+        F.lit("a.json").alias("file"), n.alias("pos"), F.lit("scan_a").alias("scan_id"),
+        F.col("id").alias("slug"), "title", F.date_format(F.date_add(
+            F.lit("2026-01-01").cast("date"), (n % 60).cast("int")), "yyyy-MM-dd").alias("date"),
+        F.lit("action").alias("date_kind"), F.lit("d").alias("description"),
+        F.array(F.concat(F.lit("https://s.example/"), "id")).alias("sources"),
+        F.lit("w").alias("why_it_matters"), F.lit("high").alias("confidence"),
+        F.array().cast(_STRINGS).alias("flags"), F.lit(True).alias("primary_source_retrieved"))
+    again = claim.withColumns({"file": F.lit("b.json"), "scan_id": F.lit("scan_b"),
+                               "title": F.lit("another title")})
+    prior = claim.select(F.col("slug").alias("id"), F.when(F.col("pos") % 3 == 0, "watching")
+                         .alias("watch_status"), *[
+        F.lit(None).cast(_STRINGS if c == "cleared_for" else "string").alias(c)
+        for c in K.WATCH_HUMAN_FIELDS if c != "watch_status"])
+    out = PL.watch_list(durable(claim.unionByName(again), "claims"), prior, expand=False)
+    return out.select("id", F.md5("title").alias("title_md5"),
+                      F.array_join("sources", " ").alias("sources"), "duplicates", "watch_status")
+
+
 def atoms(spark, sf):
     """Watch atoms with human fields."""
     k = F.col("c_custkey")

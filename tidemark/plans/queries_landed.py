@@ -242,7 +242,7 @@ def _(spark, sf):
     events, out = QL.timeline_events(spark, sf).drop("sources_text", "tags_text"), None
     for by in ("year", "category"):
         path = new_path(spark, f"by-{by}")
-        publish.split_export(events, path, by, files_per_value=2)
+        publish.split_export(events, path, by)
         part = spark.read.schema(f"id string, {by} string").json(path).groupBy(
             F.col(by).alias("value")).agg(F.count("*").alias("n")).select(
             F.lit(by).alias("split"), "value", "n")
