@@ -194,8 +194,7 @@ def test_disagreement(spark):
 def test_shortlist_ties_go_to_the_first_category(spark):
     df = spark.createDataFrame([("Grant for the board",), ("nothing here",), ("He left today",)],
                                "t string")
-    best, n, terms = C.shortlist_score(F.col("t"))
-    rows = df.select(best, n, terms).collect()
+    rows = C.with_shortlist_score(df, "t").select("category", "n_terms", "terms").collect()
     assert rows[0][:2] == ("funding_catastrophe", 2)
     assert rows[1][0] is None
     assert rows[2][0] == "organizational_crisis" and rows[2][2] == ["left"]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
@@ -114,23 +115,32 @@ def visible(clock: Column, at: Column) -> Column:
     return clock.isNull() | (clock <= at)
 
 
-def shortlist_hits(title: Column) -> dict[str, Column]:
-    """category -> array of the stripped terms found in the padded title."""
-    low = F.concat(F.lit(" "), F.lower(F.coalesce(title, F.lit(""))), F.lit(" "))
-    return {
-        cat: F.array_compact(F.array(*[
-            F.when(F.contains(low, F.lit(t)), F.lit(t.strip())) for t in terms]))
-        for cat, terms in K.SHORTLIST_TERMS.items()}
+def has_shortlist_term(title: Column) -> Column:
+    """Does the padded title hold any term: one pattern, cheap enough to push down."""
+    terms = "|".join(re.escape(t) for ts in K.SHORTLIST_TERMS.values() for t in ts)
+    return F.concat(F.lit(" "), F.lower(F.coalesce(title, F.lit(""))), F.lit(" ")).rlike(terms)
 
 
-def shortlist_score(title: Column) -> tuple[Column, Column, Column]:
-    """(best category or null, number of terms, sorted distinct terms)."""
-    hits = shortlist_hits(title)
-    sizes = {cat: F.size(found) for cat, found in hits.items()}
-    total = reduce(lambda a, b: a + b, sizes.values())
-    top = F.greatest(*sizes.values())
+def with_shortlist_score(df: DataFrame, title: str) -> DataFrame:
+    """Add ``category`` (null when no term is found), ``n_terms`` and sorted ``terms``.
+
+    The category with most terms wins, the first listed on a tie.  The padded
+    title and the found terms are columns first, so each is computed once.
+    """
+    low = F.col("_padded")
+    df = df.withColumn("_padded", F.concat(F.lit(" "), F.lower(F.coalesce(title, F.lit(""))),
+                                           F.lit(" ")))
+    found = {cat: f"_found_{i}" for i, cat in enumerate(K.SHORTLIST_TERMS)}
+    df = df.withColumns({
+        column: F.array_compact(F.array(*[
+            F.when(F.contains(low, F.lit(t)), F.lit(t.strip())) for t in K.SHORTLIST_TERMS[cat]]))
+        for cat, column in found.items()})
+    sizes = {cat: F.size(column) for cat, column in found.items()}
     best = F
     for cat, n in sizes.items():
-        best = best.when((n > 0) & (n == top), F.lit(cat))
-    terms = F.array_sort(F.array_distinct(F.flatten(F.array(*hits.values()))))
-    return best.otherwise(F.lit(None)), total, terms
+        best = best.when((n > 0) & (n == F.greatest(*sizes.values())), F.lit(cat))
+    return df.withColumns({
+        "category": best.otherwise(F.lit(None)),
+        "n_terms": reduce(lambda a, b: a + b, sizes.values()),
+        "terms": F.array_sort(F.array_distinct(F.flatten(F.array(*found.values())))),
+    }).drop("_padded", *found.values())

@@ -323,26 +323,26 @@ def open_posts(df: DataFrame) -> DataFrame:
 
 def shortlist(df: DataFrame, limit: int) -> DataFrame:
     """Posts with category terms: most terms first, then karma."""
-    best, n, terms = C.shortlist_score(F.col("title"))
-    rows = open_posts(df).select(
+    posts = open_posts(df).filter(C.has_shortlist_term(F.col("title")))
+    rows = C.with_shortlist_score(posts, "title").select(
         "id", "title", F.coalesce(F.nullif("published_at", F.lit("")), "occurred_at")
         .alias("date"), C.max_signal(F.col("signals"), "karma").alias("karma"),
-        best.alias("suggested_category"), terms.alias("terms"), n.alias("n_terms"),
+        F.col("category").alias("suggested_category"), "terms", "n_terms",
         F.get("source_urls", F.lit(0)).alias("url"))
-    return (rows.filter(F.col("suggested_category").isNotNull())
-            .orderBy(F.desc("n_terms"), F.desc(F.coalesce("karma", F.lit(0))), "id").limit(limit))
+    return rows.orderBy(F.desc("n_terms"), F.desc(F.coalesce("karma", F.lit(0))),
+                        "id").limit(limit)
 
 
 def scan_view(df: DataFrame, limit: int) -> DataFrame:
     """Term rows first, then by karma, up to ``limit``; each row says which."""
-    best, n, _ = C.shortlist_score(F.col("title"))
-    karma = C.max_signal(F.col("signals"), "karma")
-    rows = open_posts(df).select(
+    hit = F.col("category").isNotNull()
+    rows = C.with_shortlist_score(open_posts(df), "title").select(
         "id", "title", F.left(F.coalesce(F.nullif("published_at", F.lit("")), "occurred_at",
                                          F.lit("")), F.lit(10)).alias("date"),
-        karma.alias("karma"), F.coalesce(best, F.lit("no term match")).alias("category"),
-        F.when(best.isNotNull(), n).otherwise(0).alias("n"),
-        F.when(best.isNotNull(), "term").otherwise("karma").alias("basis"))
+        C.max_signal(F.col("signals"), "karma").alias("karma"),
+        F.coalesce("category", F.lit("no term match")).alias("category"),
+        F.when(hit, F.col("n_terms")).otherwise(0).alias("n"),
+        F.when(hit, "term").otherwise("karma").alias("basis"))
     return rows.orderBy(F.col("basis") == "karma", F.desc("n"),
                         F.desc(F.coalesce("karma", F.lit(0))), "id").limit(limit)
 
