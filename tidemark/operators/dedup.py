@@ -20,10 +20,10 @@ def keep_first(df: DataFrame, scope: Sequence[str], key: str, order: str) -> Dat
 
     (scope, order) must identify a row.
     """
-    keyed = df.filter(~empty(F.col(key).cast("string")))
-    winners = keyed.groupBy(*scope, key).agg(F.min(order).alias(order)).drop(key)
-    keyless = df.filter(empty(F.col(key).cast("string"))).select(*scope, order)
-    return df.join(winners.unionByName(keyless), [*scope, order], "left_semi")
+    # a row without a key is a group of its own
+    own = F.when(empty(F.col(key).cast("string")), F.col(order))
+    winners = df.groupBy(*scope, key, own.alias("_own")).agg(F.min(order).alias(order))
+    return df.join(winners.select(*scope, order), [*scope, order], "left_semi")
 
 
 def keep_last_file(df: DataFrame, key: str, file: str) -> DataFrame:
