@@ -268,7 +268,8 @@ def _(spark, sf):
 
 @query("factual_projection", "P15", EV + """
 SELECT id, 'pending_peer_review' AS verification_status, 'To be determined' AS methodology,
-  CASE WHEN sources_text = '' THEN 0 ELSE len(string_split(sources_text, '|')) END AS n_sources,
+  CAST(CASE WHEN sources_text = '' THEN 0 ELSE len(string_split(sources_text, '|')) END AS INT)
+    AS n_sources,
   CASE WHEN sources_text = '' THEN NULL ELSE 'requires_proper_citation' END AS citation_status
 FROM events_v""")
 def _(spark, sf):

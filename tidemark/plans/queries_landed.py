@@ -52,8 +52,8 @@ def _(spark, sf):
 
 
 @query("landed_clean_counts", "S1 W5 C1 A24", """
-SELECT lang, count(DISTINCT CASE WHEN doc_id % 9 <> 0 THEN doc_id % 50 END)
-  + sum(CASE WHEN doc_id % 9 = 0 THEN 1 ELSE 0 END) AS kept FROM documents GROUP BY 1""")
+SELECT lang, CAST(count(DISTINCT CASE WHEN doc_id % 9 <> 0 THEN doc_id % 50 END)
+  + sum(CASE WHEN doc_id % 9 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept FROM documents GROUP BY 1""")
 def _(spark, sf):
     from tidemark.plans import research as PR
     path = new_path(spark, "dumps")

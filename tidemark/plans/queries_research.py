@@ -111,9 +111,10 @@ def _(spark, sf):
 
 
 SQL_METRICS = f"""
-  CASE WHEN text = '' THEN 0 ELSE len(regexp_extract_all(text, '{WORD}+')) END AS word_count,
-  CASE WHEN text = '' THEN 0 ELSE len(list_filter(string_split_regex(text, '\\n{S}*\\n'),
-    lambda p: {sql_trim('p')} <> '')) END AS paragraph_count,
+  CAST(CASE WHEN text = '' THEN 0 ELSE len(regexp_extract_all(text, '{WORD}+')) END AS INT)
+    AS word_count,
+  CAST(CASE WHEN text = '' THEN 0 ELSE len(list_filter(string_split_regex(text, '\\n{S}*\\n'),
+    lambda p: {sql_trim('p')} <> '')) END AS INT) AS paragraph_count,
   text <> '' AND regexp_matches(text, '{K.CODE_PATTERN}') AS has_code"""
 SQL_RELEVANCE = f"""CASE WHEN {sql_count("lower(title || ' ' || text)", K.HIGH_RELEVANCE)} >= 2
   THEN 'High' WHEN {sql_count("lower(title || ' ' || text)", K.HIGH_RELEVANCE)} >= 1 OR
