@@ -265,3 +265,7 @@ def test_two_profiles_side_by_side(spark):
     top = out.filter("id = 's:4'").first()
     assert top["salience_by_profile"]["flat_v1"] == 1.0
     assert top["salience_by_profile"]["default_v1"] < 1.0
+    for mode in ("spread", "salience", "privacy", "date"):
+        view = out.withColumn("privacy_review_required", F.col("id") == "s:2")
+        first = view.orderBy(*PC.queue_order(mode, "default_v1")).first()["id"]
+        assert first == ("s:2" if mode == "privacy" else "s:0" if mode == "date" else first)

@@ -397,6 +397,21 @@ def _(spark, sf):
     return out
 
 
+@query("review_queue_orders", "T7", cte("candidates", "reviews") + f""", {SQL_PROJECTED}
+SELECT * FROM (SELECT 'salience' AS mode, id FROM feed ORDER BY salience DESC, id LIMIT 30)
+UNION ALL SELECT * FROM (SELECT 'privacy', id FROM feed ORDER BY flagged DESC, salience DESC, id
+  LIMIT 30)
+UNION ALL SELECT * FROM (SELECT 'date', id FROM feed ORDER BY coalesce(published_at, '') DESC, id
+  LIMIT 30)""")
+def _(spark, sf):
+    kept, out = projected(spark, sf)[0], None
+    for mode in ("salience", "privacy", "date"):
+        top = kept.orderBy(*PC.queue_order(mode, PID)).limit(30).select(
+            F.lit(mode).alias("mode"), "id")
+        out = top if out is None else out.unionByName(top)
+    return out
+
+
 @query("clock_gates", "P13 Q7", cte("candidates") + f""", {SQL_REGISTRY}
 SELECT CASE WHEN published_at IS NULL OR published_at <= '1998-06-30' THEN true ELSE false END
     AS fact_visible, CASE WHEN r.source_available_at IS NULL
