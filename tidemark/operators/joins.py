@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.workspace import fan_out
 
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_ROWS = 500_000
 _HOT_KEYS = 1_000
 
 
