@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, jaccard
+from tidemark.llm import decontaminate, fingerprints, jaccard, mixing
 from tidemark.llm.frames import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,82 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets reach a Jaccard similarity of 0.75."""
     return jaccard.link(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside passages of 13 benchmark words, and whether they are many."""
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+SQL["op8_decontaminate"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM (SELECT item_id, w, least(13, len(w)) AS k FROM b WHERE len(w) > 0))),
+dw AS (
+  SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)),
+o AS (SELECT doc_id, i, k, item_id FROM dw JOIN bw USING (k, s)),
+h AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM o) GROUP BY doc_id),
+t AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM o) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@_query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mixture of the sources by weight takes from each document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return (mixing.plan(docs).select("doc_id", "_mix.*")
+            .select("doc_id", "size", "source_size", "target",
+                    (F.col("size") * F.col("copies")).alias("taken")))
+
+
+SQL["op3_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)
+           AS BIGINT) AS size FROM documents),
+s AS (
+  SELECT source, source_size,
+    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)),
+f AS (
+  SELECT *, rest * w > 3 * source_size * rest_w AS stops
+  FROM (SELECT *, source_size * (6 // w) AS by_weight,
+      CAST(sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER p, 0) AS BIGINT) AS rest,
+      CAST(sum(w) OVER () - coalesce(sum(w) OVER p, 0) AS BIGINT) AS rest_w
+    FROM s WINDOW p AS (ORDER BY source_size * (6 // w), source NULLS LAST
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))),
+v AS (SELECT rest AS level, rest_w AS level_w FROM f WHERE NOT stops
+      ORDER BY by_weight, source NULLS LAST LIMIT 1),
+t AS (
+  SELECT source, source_size, CASE WHEN stops THEN CAST(3 * source_size AS DOUBLE)
+    ELSE CAST(level * w AS DOUBLE) / level_w END AS target FROM f LEFT JOIN v ON TRUE),
+r AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+    CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|mix-1'), 1, 13) AS BIGINT)
+      / 4503599627370496.0 AS draw
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT)
+    AS taken
+FROM r
+""".replace("\\\\", "\\")
