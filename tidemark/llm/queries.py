@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, jaccard, mixing
-from tidemark.llm.frames import read
+from tidemark.llm import (decontaminate, fingerprints, jaccard, language, mixing,
+                          quality_zstd, toxicity)
+from tidemark.llm.frames import crc_of_id, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -108,3 +109,34 @@ SELECT doc_id, size, source_size, target,
     AS taken
 FROM r
 """.replace("\\\\", "\\")
+
+
+def _scored(scores: DataFrame, held_out) -> DataFrame:
+    return scores.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document, by a compression classifier."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_zstd.fit(docs, read(spark, sf_dir, "labels"))
+    return _scored(quality_zstd.score(docs, model), crc_of_id(F.col("doc_id")) % 5 == 0)
+
+
+@_query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, by the nearest centroid."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.predict(docs.select("doc_id", "text"), language.fit(docs), "found")
+    return found.select("doc_id", (crc_of_id(F.col("doc_id")) % 3 == 1).alias("held_out"),
+                        F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"),
+                        F.col("found.rejected").alias("rejected"))
+
+
+@_query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document, by hashed logistic regression."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return _scored(toxicity.score(docs, model), crc_of_id(F.col("doc_id")) % 4 == 2)
