@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (decontaminate, fingerprints, jaccard, language, mixing,
-                          quality_zstd, toxicity)
+                          quality_zstd, token_files, toxicity, warc)
 from tidemark.llm.frames import crc_of_id, read
+from tidemark.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -140,3 +142,35 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     return _scored(toxicity.score(docs, model), crc_of_id(F.col("doc_id")) % 4 == 2)
+
+
+@_query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as token ids, written to Huffman-coded files and read back."""
+    root = new_path(spark, "token-files")
+    manifest = token_files.write(read(spark, sf_dir, "documents"), root,
+                                 public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return token_files.read(manifest, root, with_ids=False)
+
+
+@_query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back."""
+    root = new_path(spark, "warc")
+    manifest = warc.write(read(spark, sf_dir, "pages"), root)
+    return warc.read(manifest, root).drop("url")
+
+
+SQL["op6_warc"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT h, max(page_id) AS top FROM p GROUP BY h)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
+      (CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31)
+      AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < top THEN top END AS refers_to
+FROM p JOIN g USING (h)
+"""
