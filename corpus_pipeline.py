@@ -1,34 +1,83 @@
-"""A training-data pipeline over ``documents``; each stage calls one operator of the library."""
+"""A training-data pipeline over ``documents``; each stage calls one operator of the library.
+
+Stages take and return documents (doc_id, text, lang, source, n_chars), the last one the digest of
+the token files it has written.  Rows with null ids or texts pass through every stage whose operator
+does not reject them; repeated rows are judged alike.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard
-from tidemark.workspace import durable
+from tidemark.llm import decontaminate, jaccard, language, mixing, token_files
+from tidemark.llm.frames import read, small
+from tidemark.workspace import durable, new_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: The id that closes each document in the token files.
+END = 1
+
+
+def _own(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; a null ``lang`` becomes the predicted one.
+
+    Texts without a letter and texts far from every centroid go.
+    """
+    docs = _own(docs)
+    found = language.predict(docs, language.fit(docs), "_found")
+    return (found.filter("not _found.rejected").withColumn("lang", F.coalesce("lang", "_found.lang"))
+            .select(*COLUMNS))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the document of least id stays.
 
-    Repeated rows of that id stay one; a document whose id is null is kept.
+    A row repeated with its id counts once; documents whose id is null stay.
     """
-    keep = durable(jaccard.link(docs).filter("doc_id = component_id").select("doc_id").distinct(),
-                   "kept")
-    return (docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            .unionByName(docs.filter("doc_id is null")).select(*COLUMNS))
+    docs = _own(docs)
+    linked = durable(jaccard.link(docs), "linked")
+    others = durable(linked.filter("doc_id <> component_id").select("doc_id").distinct(), "others")
+    kept = docs.join(small(others), "doc_id", "left_anti")
+    again = durable(linked.filter("doc_id is not null").groupBy("doc_id").count()
+                    .filter("count > 1").select("doc_id"), "again")
+    if again.isEmpty():
+        return kept.select(*COLUMNS)
+    once = kept.join(small(again), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(small(again), "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by passages of the benchmark."""
+    return decontaminate.clean(_own(docs), read(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture of the sources; a document taken more than once is as many rows."""
+    return mixing.mix(_own(docs))
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the documents, read back: doc_id, start, n_tokens, ids_crc32."""
+    root = new_path(spark, "token-files")
+    manifest = token_files.write(docs, root, public_tokenizers.path("word_bpe_49k.json"), END)
+    return token_files.read(manifest, root, with_ids=False)
 
 
-STAGES = [("near_duplicates", one_of_each_group)]
+STAGES = [("language", known_language), ("near_duplicates", one_of_each_group),
+          ("decontamination", uncontaminated), ("mixing", mixed), ("token_files", token_output)]
+#: Trained centroids, 64-bit set joins and a tokenizer are not SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = durable(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (decontaminate, fingerprints, jaccard, language, mixing,
+from tidemark.llm import (decontaminate, fingerprints, jaccard, language, licenses, mixing,
                           quality_zstd, token_files, toxicity, warc)
 from tidemark.llm.frames import crc_of_id, read
 from tidemark.workspace import new_path
@@ -174,3 +174,12 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
   CASE WHEN page_id < top THEN top END AS refers_to
 FROM p JOIN g USING (h)
 """
+
+
+@_query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of each document, by known sentences and ordered rules."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+SQL["op4_licenses"] = licenses.sql()
