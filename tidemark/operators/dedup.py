@@ -13,23 +13,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import empty
+from tidemark.operators.joins import null_safe_join
 
 
 def keep_first(df: DataFrame, scope: Sequence[str], key: str, order: str) -> DataFrame:
     """First row per key inside ``scope``; rows without a key are all kept.
 
-    (scope, order) must identify a row.
+    (scope, order) must identify a row; a null in ``scope`` is a value like any
+    other.  Only repeated keys are looked at again: the rows that lose are taken
+    out by an anti join on (scope, order), so the full rows meet the losers and
+    not a list as long as themselves.
     """
-    # a row without a key is a group of its own
-    own = F.when(empty(F.col(key).cast("string")), F.col(order))
-    winners = df.groupBy(*scope, key, own.alias("_own")).agg(F.min(order).alias(order))
-    return df.join(winners.select(*scope, order), [*scope, order], "left_semi")
+    keyed = df.select(*scope, key, order).filter(~empty(F.col(key).cast("string")))
+    repeated = (keyed.groupBy(*scope, key).agg(F.min(order).alias("_first"),
+                                               F.count("*").alias("_n"))
+                .filter("_n > 1").drop("_n"))
+    losers = (null_safe_join(keyed, repeated, [*scope, key])
+              .filter(F.col(order) != F.col("_first")).select(*scope, order))
+    return null_safe_join(df, losers, [*scope, order], "left_anti")
 
 
 def keep_last_file(df: DataFrame, key: str, file: str) -> DataFrame:
-    """The row of the last file, by name, that holds the key."""
+    """The row of the last file, by name, that holds the key; a null key is a key."""
     winners = df.groupBy(key).agg(F.max(file).alias(file))
-    return df.join(winners, [key, file], "left_semi")
+    return null_safe_join(df, winners, [key, file], "left_semi")
 
 
 def keep_by_precedence(df: DataFrame, key: str, file: str, precedence: Sequence[str],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,12 +11,17 @@ from pyspark.sql import functions as F
 from tidemark.workspace import fan_out
 
 MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 << 20
 _HOT_KEYS = 1_000
 
 
 def is_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> bool:
-    """At most ``limit`` rows, found without reading further than that."""
-    return df.limit(limit + 1).count() <= limit
+    """At most ``limit`` rows and not many bytes as JSON, found without reading further."""
+    seen = df.limit(limit + 1).agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"))
+    row = seen.first()
+    return row["n"] <= limit and row["bytes"] <= MAX_BROADCAST_BYTES
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], slices: int) -> DataFrame:
@@ -27,28 +33,45 @@ def hot_keys(df: DataFrame, on: Sequence[str], slices: int) -> DataFrame:
             .select(*on, F.lit(True).alias("_hot")))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str],
+                   how: str = "inner") -> DataFrame:
+    """Join on ``on`` with null equal to null; the keys come from the left side once."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c)
+                             for c in right.columns])
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return left.join(renamed, match, how).drop(*[f"_r_{c}" for c in on])
+
+
+def salt_of(df: DataFrame, unique: Sequence[str] | None, salts: int) -> Column:
+    """A salt below ``salts``, from the unique key or else from all columns without maps."""
+    kinds = dict(df.dtypes)
+    columns = list(unique) if unique else [c for c in df.columns if "map<" not in kinds[c]]
+    return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts)).cast("int")
+
+
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                limit: int = MAX_BROADCAST_ROWS, known_small: bool | None = None) -> DataFrame:
-    """Join to a right side with unique keys.
+                limit: int = MAX_BROADCAST_ROWS, known_small: bool | None = None,
+                unique: Sequence[str] | None = None) -> DataFrame:
+    """Join to a right side with unique keys; null equals null.
 
-    The right side is broadcast only when counted small (here, or by the caller
-    who passes ``known_small``).  Otherwise the rows of
-    hot left keys are spread over salts and their right rows repeated per salt.
+    The right side is broadcast only when counted small in rows and bytes (here,
+    or by the caller who passes ``known_small``).  Otherwise the rows of hot left keys are spread over salts
+    by their ``unique`` columns and their right rows repeated per salt.
     """
     on = list(on)
     if is_small(right, limit) if known_small is None else known_small:
-        return left.join(F.broadcast(right), on, how)
+        return null_safe_join(left, F.broadcast(right), on, how)
     slices = min(_HOT_KEYS, 4 * fan_out(left.sparkSession))
     # bounded: fewer than ``slices`` keys hold more than 1/slices of the rows each
     hot = F.broadcast(hot_keys(left, on, slices))
     salts = fan_out(left.sparkSession)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
-    salted_left = left.join(hot, on, "left").withColumn(
+    spread = salt_of(left, unique, salts)
+    salted_left = null_safe_join(left, hot, on, "left").withColumn(
         "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))).drop("_hot")
-    salted_right = right.join(hot, on, "left").withColumn(
+    salted_right = null_safe_join(right, hot, on, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
                            .otherwise(F.array(F.lit(0))))).drop("_hot")
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    return null_safe_join(salted_left, salted_right, [*on, "_salt"], how).drop("_salt")
 
 
 def keep_known(df: DataFrame, ids: DataFrame, on: str, known: bool = True) -> DataFrame:
@@ -136,7 +159,7 @@ def fill_down(df: DataFrame, key: Sequence[str], order: Sequence[str], block: Co
         F.last(f"_c_{n}", ignorenulls=True).over(earlier).alias(f"_c_{n}") for n in fills])
     out = df.select("*", *[F.last(f"_v_{n}", ignorenulls=True).over(inside).alias(f"_f_{n}")
                            for n in fills])
-    out = out.join(carried, [*key, "_block"])
+    out = null_safe_join(out, carried, [*key, "_block"])
     for n in fills:
         out = out.withColumn(n, F.coalesce(f"_f_{n}", f"_c_{n}"))
     return out.drop("_block", *[f"_{p}_{n}" for n in fills for p in "vfc"])

@@ -95,19 +95,23 @@ def tier_ends(total: int, quantiles: Sequence[tuple[str, float]]) -> list[tuple[
 
 def quantile_tiers(df: DataFrame, score: str, tie: Sequence[Column],
                    quantiles: Sequence[tuple[str, float]], name: str = "tier",
-                   rest: str = "D", window_rows: int = WINDOW_ROWS) -> DataFrame:
+                   rest: str = "D", window_rows: int = WINDOW_ROWS,
+                   score_rows: int = _SMALL_SCORE_TABLE) -> DataFrame:
     """Cut the ranked population into tiers: score descending, then ``tie``.
 
+    Rows without a score are kept in ``rest`` and do not count as population.
     Only the scores that a cut runs through need row positions; all other rows
     get their tier from their score alone.  ``df`` is read more than once:
     pass a written table.
     """
-    counts = df.groupBy(score).agg(F.count("*").alias("n"))
-    head = counts.orderBy(F.desc(score)).limit(_SMALL_SCORE_TABLE + 1).collect()
-    if len(head) > _SMALL_SCORE_TABLE:
-        ranges = tier_ends(df.count(), quantiles)
-        placed = global_position(df, [F.desc(score), *tie], "_pos")
-        return placed.withColumn(name, _tier_at(F.col("_pos") - 1, ranges, rest)).drop("_pos")
+    scored = df.filter(F.col(score).isNotNull())
+    counts = scored.groupBy(score).agg(F.count("*").alias("n"))
+    head = counts.orderBy(F.desc(score)).limit(score_rows + 1).collect()
+    if len(head) > score_rows:
+        ranges = tier_ends(scored.count(), quantiles)
+        placed = global_position(scored, [F.desc(score), *tie], "_pos")
+        tiered = placed.withColumn(name, _tier_at(F.col("_pos") - 1, ranges, rest)).drop("_pos")
+        return tiered.unionByName(df.filter(F.col(score).isNull()).withColumn(name, F.lit(rest)))
     ranges = tier_ends(sum(r["n"] for r in head), quantiles)
     cuts = {end for _, _, end in ranges}
     start, lowest, split, tied_rows = 0, {}, [], 0
@@ -127,7 +131,8 @@ def quantile_tiers(df: DataFrame, score: str, tie: Sequence[Column],
     first = F
     for value, position in split:
         first = first.when(F.col(score) == F.lit(value), F.lit(position))
-    is_tied = F.col(score).isin([v for v, _ in split])
+    # a null score is never tied: it lies below all others, in ``rest``
+    is_tied = F.coalesce(F.col(score).isin([v for v, _ in split if v is not None]), F.lit(False))
     tied = df.filter(is_tied)
     if tied_rows <= window_rows:
         place = F.row_number().over(Window.partitionBy(score).orderBy(*tie))

@@ -150,7 +150,7 @@ def with_registry(df: DataFrame, registry: DataFrame) -> DataFrame:
         F.col("source_available_at").alias("_available"), F.col("confidence").alias("_conf"),
         F.coalesce(F.size("evidence"), F.lit(0)).alias("_evidence"))
     df = lookup_join(df.withColumn("_source", F.split("id", ":", 2)[0]), facts, ["_source"],
-                     "left")
+                     "left", unique=["id"])
     urls = U.split_cells(F.col("source_urls"))
     fallback = (F.size(urls) == 0) & F.col("_url").isNotNull()
     envelope = lambda method, confidence, count: F.struct(

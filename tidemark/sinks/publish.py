@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
 from tidemark.operators.filters import without_metadata
-from tidemark.operators.joins import hot_keys
+from tidemark.operators.joins import hot_keys, null_safe_join, salt_of
 from tidemark.sources.documents import file_hashes
 from tidemark.workspace import fan_out
 
@@ -30,8 +30,9 @@ def feed(df: DataFrame, path: str, order: Sequence[Column], single_file: bool =
     ordered.write.option("ignoreNullFields", "false").mode("overwrite").json(path)
 
 
-def split_export(df: DataFrame, path: str, by: str) -> None:
-    """One directory per value of ``by``.
+def split_export(df: DataFrame, path: str, by: str,
+                 unique: Sequence[str] | None = None) -> None:
+    """One directory per value of ``by``; ``unique`` columns identify a row.
 
     A value has one file unless it holds a large share of the rows; such values
     (at most a few per core) are spread over several tasks and files.
@@ -40,8 +41,8 @@ def split_export(df: DataFrame, path: str, by: str) -> None:
     slices = 4 * fan_out(df.sparkSession)
     # fewer than ``slices`` values hold more than 1/slices of the rows each
     hot = F.broadcast(hot_keys(df, [by], slices))
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(fan_out(df.sparkSession)))
-    salted = df.join(hot, by, "left").withColumn(
+    spread = salt_of(df, unique, fan_out(df.sparkSession))
+    salted = null_safe_join(df, hot, [by], "left").withColumn(
         "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)))
     (salted.repartition(by, "_salt").drop("_hot", "_salt").write.mode("overwrite")
      .option("ignoreNullFields", "false").partitionBy(by).json(path))

@@ -1,37 +1,62 @@
 """Shared folders and durable intermediate tables.
 
 Every job that must read an intermediate result twice writes it as a Parquet
-table in the folder the cluster names in ``spark.checkpoint.dir``.  A written
-table survives the loss of any executor and has one fixed content, which the
-range-partitioned ranking in :mod:`tidemark.operators.ranking` depends on.
+table in the folder the cluster names in ``spark.checkpoint.dir``; where that is
+unset, in the warehouse, which the driver and the executors share as well.  A
+written table survives the loss of any executor and has one fixed content, which
+the range-partitioned ranking in :mod:`tidemark.operators.ranking` depends on.
+
+All tables of an application lie in one folder, which goes when its driver ends.
+A job that has written its own output can drop its tables earlier: ``scope``.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FALLBACK: dict[str, str] = {}
+_MARKED: set[str] = set()
+_SCOPES: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FALLBACK:
-        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="tidemark-")
-    return _LOCAL_FALLBACK[app]
+    """The application's folder below the cluster's checkpoint or warehouse folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir")
+    folder = f"{named.rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
+    if folder not in _MARKED:
+        path, files = _file_system(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _MARKED.add(folder)
+    return folder
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Drops the tables written inside when the block ends; use it around a whole job."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for folder in _SCOPES.pop():
+            path, files = _file_system(spark, folder)
+            files.delete(path, True)
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:
