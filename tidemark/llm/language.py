@@ -119,7 +119,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     def centroids(pdf: pd.DataFrame) -> pd.DataFrame:
         texts = [t for t in sorted(pdf["text"]) if has_letter(t)]
         if not texts:
-            return pd.DataFrame({"lang": [], "centroid": [], "least": []})
+            return pd.DataFrame({c: pd.Series([], dtype=object)
+                                 for c in ("lang", "centroid", "least")})
         x = np.concatenate([_unit(counts(pa.array(texts[a:a + 50], pa.large_string())) * idf)
                             for a in range(0, len(texts), 50)]).astype(np.float32)
         c = cluster(x, CENTROIDS)

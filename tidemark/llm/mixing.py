@@ -68,15 +68,18 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sized = docs.withColumn(size, n_words(F.col(text_col)))
     found = durable(targets(sized.select(F.col(source_col).alias("source"),
                                          F.col(size).alias("size")), most), "targets")
-    rates = small(found.select(F.col("source").alias(source), "source_size", "target"))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(
-        F.lit(0.0))
+    of = unused(docs, "mix_rate")
+    rates = small(found.select(F.col("source").alias(source),
+                               F.struct("source_size", "target").alias(of)))
+    total, target = F.col(f"{of}.source_size"), F.col(f"{of}.target")
+    rate = F.when(total > 0, target / total).otherwise(F.lit(0.0))
     draw = unit_hash(F.col(id_col), F.lit(seed))
     copies = F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)
     return (sized.join(rates, F.col(source_col).eqNullSafe(F.col(source)))
             .select(*(sized[c] for c in docs.columns),
-                    F.struct(F.col(size).alias("size"), "source_size", "target",
-                             copies.cast("long").alias("copies")).alias(mix)))
+                    F.struct(F.col(size).alias("size"), total.alias("source_size"),
+                             target.alias("target"), copies.cast("long").alias("copies"))
+                    .alias(mix)))
 
 
 def mix(docs: DataFrame, **columns) -> DataFrame:
