@@ -24,14 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import shards, words
-from tidemark.llm.frames import block_of, buckets_for, key_edges
+from tidemark.llm.frames import block_of, buckets_for, key_edges, small_batches
 from tidemark.workspace import new_path
 
 _U = np.uint64
 MAX_BITS = 16
 LANE = 512
+_SLICE = 512 * LANE
 #: Words whose ids a worker remembers.
-REMEMBERED = 1_500_000
+REMEMBERED = 800_000
 #: Stands for a null document id, which comes first.
 NO_ID = -(1 << 63)
 _MAGIC = b"TMHF1\n"
@@ -182,17 +183,26 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
 
 
 def pack(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """(bits, bit offset of every ``LANE``-th id)."""
-    size = lengths[ids].astype(np.int64)
-    end = np.cumsum(size)
-    at = end - size
-    total = (int(end[-1]) + 7) // 8 if len(ids) else 0
-    window = codes[ids] << (40 - (at & 7) - size)  # five bytes hold any shift of up to 32 bits
-    out = np.zeros(total + 5)
-    for j in range((7 + int(size.max(initial=0)) + 7) // 8):
-        out += np.bincount((at >> 3) + j, ((window >> (32 - 8 * j)) & 0xFF).astype(np.float64),
-                           total + 5)
-    return out[:total].astype(np.uint8).tobytes(), at[::LANE]
+    """(bits, bit offset of every ``LANE``-th id), made in slices to bound the memory."""
+    out, points, at_bit = bytearray(), [], 0
+    for a in range(0, len(ids), _SLICE):
+        part = ids[a:a + _SLICE]
+        size = lengths[part].astype(np.int64)
+        end = np.cumsum(size)
+        at = end - size + (at_bit & 7)
+        window = codes[part] << (40 - (at & 7) - size)  # five bytes hold any shifted code
+        total = (int(end[-1]) + (at_bit & 7) + 7) // 8
+        some = np.zeros(total + 5)
+        for j in range((7 + int(size.max()) + 7) // 8):
+            some += np.bincount((at >> 3) + j, ((window >> (32 - 8 * j)) & 0xFF)
+                                .astype(np.float64), total + 5)
+        some = some[:total].astype(np.uint8)
+        if at_bit & 7:  # the first byte is the rest of the last one
+            some[0] |= out.pop()
+        points.append(at[::LANE] - (at_bit & 7) + at_bit)
+        out += some.tobytes()
+        at_bit += int(end[-1])
+    return bytes(out), np.concatenate(points) if points else np.zeros(0, np.int64)
 
 
 def unpack(bits: bytes, lengths: np.ndarray, checkpoints: np.ndarray, n: int) -> np.ndarray:
@@ -208,7 +218,7 @@ def unpack(bits: bytes, lengths: np.ndarray, checkpoints: np.ndarray, n: int) ->
     filled = int(repeat.sum())
     symbol[:filled] = np.repeat(order, repeat)
     width[:filled] = np.repeat(lengths[order], repeat)
-    data = np.frombuffer(bits + bytes(8), np.uint8).astype(np.int64)
+    data = np.frombuffer(bits + bytes(8), np.uint8)
     at = checkpoints.astype(np.int64)
     out = np.zeros((LANE, len(at)), np.uint32)
     spare = n - (len(at) - 1) * LANE  # ids in the last stretch
@@ -216,7 +226,9 @@ def unpack(bits: bytes, lengths: np.ndarray, checkpoints: np.ndarray, n: int) ->
         if step == spare:
             at = at[:-1]
         byte = at >> 3
-        window = data[byte] << 24 | data[byte + 1] << 16 | data[byte + 2] << 8 | data[byte + 3]
+        window = np.zeros(len(at), np.int64)
+        for j in range(4):
+            window = window << 8 | data[byte + j]
         key = (window >> (32 - most - (at & 7))) & ((1 << most) - 1)
         out[step, :len(at)] = symbol[key]
         at = at + width[key]
@@ -262,7 +274,7 @@ def _tokenize(path: str, end: int, edges: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, squeeze = Encoder(path), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for piece in words.pieces(batch, "text"):
+            for piece in words.pieces(batch, "text", 2 << 20):
                 ids, each = encoder.encode(piece.column("text"), end)
                 keys = piece.column("id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
                 block = piece.column("block").to_numpy(zero_copy_only=False)
@@ -327,10 +339,8 @@ def _write(root: str, shared):
                 b = int(np.searchsorted(same, same[a], "right"))
                 order[a:b] = sorted(order[a:b], key=lambda i: ids[begin[i]:begin[i] + each[i]]
                                     .tobytes())
-            size = each[order]
-            to = np.cumsum(size) - size
-            at = np.repeat(begin[order] - to, size) + np.arange(len(ids))
-            data = as_file(ids[at], size, docs[order], starts[block], lengths)
+            ids = np.concatenate([ids[begin[i]:begin[i] + each[i]] for i in order.tolist()])
+            data = as_file(ids, each[order], docs[order], starts[block], lengths)
             shard = shards.Shard(root, f"tokens-{block:07d}.tmhf")
             shard.write(data)
             row = shard.close() | {"block": block, "docs": len(docs), "ids": len(ids)}
@@ -358,6 +368,12 @@ def write(docs: DataFrame, root: str, tokenizer_path: str, end: int, id_col: str
     A null text is the empty text (its only id is ``end``).  A null document id comes first and is
     read back as null; equal ids are ordered by their tokens.  Without rows there are no files.
     """
+    with small_batches(docs.sparkSession):
+        return _write_all(docs, root, tokenizer_path, end, id_col, text_col)
+
+
+def _write_all(docs: DataFrame, root: str, tokenizer_path: str, end: int, id_col: str,
+               text_col: str) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     edges = key_edges(rows, "id", buckets_for(rows))
