@@ -8,11 +8,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 from tidemark.plans.catalog import QUERIES
+from tidemark.workspace import scope
 
 HEADLINE = (
     "clean_documents", "enrich_documents", "score_documents", "quality_tier_counts",
@@ -31,6 +33,7 @@ def main() -> None:
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("tidemark-bench")
              .config("spark.sql.shuffle.partitions", cpus)
              .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-bench-"))
              .config("spark.driver.memory", "16g").config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,7 +42,8 @@ def main() -> None:
     times: dict[str, float] = {}
     for name in HEADLINE:
         start = time.perf_counter()
-        QUERIES[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        with scope(spark):
+            QUERIES[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
         print(f"{name}: {times[name]}", file=sys.stderr)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").count()

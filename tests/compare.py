@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -64,6 +65,7 @@ def session(cpus: int = 8):
     from pyspark.sql import SparkSession
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("tidemark-compare")
              .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-tests-"))
              .config("spark.driver.memory", "8g").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
+from tidemark.operators.ranking import global_position
 from tidemark.functions import candidates as C
 from tidemark.functions import text as X
 from tidemark.operators import aggregates as A
@@ -369,7 +370,7 @@ def _(spark, sf):
     CASE WHEN citations IS NOT NULL THEN least(1.0, log10(citations + 1.0) / 4.0) END],
     lambda v: v IS NOT NULL) AS p FROM tiered)
 SELECT id, round(list_stddev_pop(p), 6) AS spread FROM parts
-ORDER BY round(list_stddev_pop(p), 6) DESC, id LIMIT 100""".replace(
+ORDER BY round(list_stddev_pop(p), 6) DESC, id""".replace(
     "list_stddev_pop(p)", "list_aggregate(p, 'stddev_pop')"))
 def _(spark, sf):
     scored = PC.score_profile(candidates(spark, sf), PROFILE)
@@ -377,7 +378,7 @@ def _(spark, sf):
         F.col("salience"), F.col("basis.topical_relevance"),
         C.latest(F.col("signals"), "karma"), C.latest(F.col("signals"), "citations"))
     return (scored.select("id", F.round(spread, 6).alias("spread"))
-            .orderBy(F.desc("spread"), "id").limit(100))
+            .orderBy(F.desc("spread"), "id"))
 
 
 @query("review_queue_filters", "P10", cte("candidates", "reviews") + f""", {SQL_PROJECTED}
@@ -398,17 +399,18 @@ def _(spark, sf):
 
 
 @query("review_queue_orders", "T7", cte("candidates", "reviews") + f""", {SQL_PROJECTED}
-SELECT * FROM (SELECT 'salience' AS mode, id FROM feed ORDER BY salience DESC, id LIMIT 30)
-UNION ALL SELECT * FROM (SELECT 'privacy', id FROM feed ORDER BY flagged DESC, salience DESC, id
-  LIMIT 30)
-UNION ALL SELECT * FROM (SELECT 'date', id FROM feed ORDER BY coalesce(published_at, '') DESC, id
-  LIMIT 30)""")
-def _(spark, sf):
-    kept, out = projected(spark, sf)[0], None
+SELECT 'salience' AS mode, row_number() OVER (ORDER BY salience DESC, id) AS place, id FROM feed
+UNION ALL SELECT 'privacy', row_number() OVER (ORDER BY flagged DESC, salience DESC, id), id
+  FROM feed
+UNION ALL SELECT 'date', row_number() OVER (ORDER BY coalesce(published_at, '') DESC, id), id
+  FROM feed""")
+def _(spark, sf):
+    """The whole queue in each order, with places."""
+    kept, out = durable(projected(spark, sf)[0], "feed"), None
     for mode in ("salience", "privacy", "date"):
-        top = kept.orderBy(*PC.queue_order(mode, PID)).limit(30).select(
-            F.lit(mode).alias("mode"), "id")
-        out = top if out is None else out.unionByName(top)
+        placed = global_position(kept, PC.queue_order(mode, PID), "place").select(
+            F.lit(mode).alias("mode"), "place", "id")
+        out = placed if out is None else out.unionByName(placed)
     return out
 
 

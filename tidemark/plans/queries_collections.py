@@ -294,29 +294,31 @@ def _(spark, sf):
 
 # --- timeline precedence -------------------------------------------------------------------
 
-FILES = ("historical.json", "funding.json", "crisis.json")
+FILES = ("historical.json", "funding.json", "crisis.json", "policy.json", "labs.json",
+         "people.json")
 
 
 def event_files(spark, sf):
     """One event in several files: the same id with another text per file."""
     k = F.col("l_linenumber")
     return table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-        F.max("l_partkey").alias("p")).filter(k <= 4).select(
+        F.max("l_partkey").alias("p")).select(
         F.concat(F.lit("ev_"), F.col("l_orderkey").cast("string")).alias("id"),
-        F.when(k == 1, FILES[0]).when(k == 2, FILES[1]).when(k == 3, FILES[2])
+        F.when(k < 7, F.get(F.array(*map(F.lit, FILES)), (k - 1).cast("int")))
         .otherwise("enriched").alias("file"),
         F.concat(F.lit("text “"), F.col("p").cast("string"), F.lit("”")).alias("title"))
 
 
 SQL_FILES = """files AS (SELECT 'ev_' || l_orderkey AS id, CASE l_linenumber WHEN 1 THEN
-    'historical.json' WHEN 2 THEN 'funding.json' WHEN 3 THEN 'crisis.json' ELSE 'enriched' END
+    'historical.json' WHEN 2 THEN 'funding.json' WHEN 3 THEN 'crisis.json' WHEN 4 THEN
+    'policy.json' WHEN 5 THEN 'labs.json' WHEN 6 THEN 'people.json' ELSE 'enriched' END
     AS file, l_linenumber AS rank, 'text "' || max(l_partkey) || '"' AS title
-  FROM lineitem WHERE l_linenumber <= 4 GROUP BY l_orderkey, l_linenumber)"""
+  FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
 
 
 @query("precedence_merge", "C10 W7 U2 F3", f"""
 WITH {SQL_FILES}
-SELECT id, arg_max(title, rank) AS title, coalesce(arg_max(file, rank) FILTER (WHERE rank < 4),
+SELECT id, arg_max(title, rank) AS title, coalesce(arg_max(file, rank) FILTER (WHERE rank < 7),
   'enriched') AS provenance FROM files GROUP BY id""")
 def _(spark, sf):
     rows = event_files(spark, sf)

@@ -69,15 +69,15 @@ def _(spark, sf):
 
 
 def heads(spark, sf):
-    """The benchmark and document heads that are classified."""
+    """The benchmark and document texts that are classified, whole."""
     docs = heavy(spark, sf, "documents").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
-        F.substring("text", 1, 120).alias("text"))
+        "text")
     return docs.unionByName(table(spark, sf, "benchmark").select(
         F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("id"), "text"))
 
 
-SQL_HEADS = """heads AS (SELECT 'd' || doc_id AS id, substr(text, 1, 120) AS text FROM documents
+SQL_HEADS = """heads AS (SELECT 'd' || doc_id AS id, text FROM documents
   UNION ALL SELECT 'b' || item_id, text FROM benchmark)"""
 
 
