@@ -24,11 +24,12 @@ def keep_first(df: DataFrame, scope: Sequence[str], key: str, order: str) -> Dat
     out by an anti join on (scope, order), so the full rows meet the losers and
     not a list as long as themselves.
     """
-    keyed = df.select(*scope, key, order).filter(~empty(F.col(key).cast("string")))
-    repeated = (keyed.groupBy(*scope, key).agg(F.min(order).alias("_first"),
+    by = list(dict.fromkeys([*scope, key]))
+    keyed = df.select(*by, order).filter(~empty(F.col(key).cast("string")))
+    repeated = (keyed.groupBy(*by).agg(F.min(order).alias("_first"),
                                                F.count("*").alias("_n"))
                 .filter("_n > 1").drop("_n"))
-    losers = (null_safe_join(keyed, repeated, [*scope, key])
+    losers = (null_safe_join(keyed, repeated, by)
               .filter(F.col(order) != F.col("_first")).select(*scope, order))
     return null_safe_join(df, losers, [*scope, order], "left_anti")
 

@@ -11,6 +11,7 @@ from tidemark.functions import dates as D
 from tidemark.functions import numbers as N
 from tidemark.functions import text as X
 from tidemark.functions import urls as U
+from tidemark.operators.dedup import keep_first
 from tidemark.operators import aggregates as A
 from tidemark.operators import ranking as RK
 from tidemark.operators.dedup import row_fingerprint
@@ -88,12 +89,13 @@ def _licence(facts: dict[str, str | None]) -> Column:
 
 
 def from_posts(df: DataFrame, source_id: str, forum: str, ingested_at: Column,
-               licence: dict[str, str | None], top_per_year: int = 300) -> DataFrame:
-    """Candidate records from landed forum posts: repeats dropped, top n per year ranked.
+               licence: dict[str, str | None], page: str, top_per_year: int = 300) -> DataFrame:
+    """Candidate records from landed forum posts: the first seen of each, top n per year ranked.
 
+    ``page`` numbers the landed pages; one page holds a post once.
     Columns: _id, title, postedAt, baseScore, commentCount, pageUrl, author, tags.
     """
-    posts = (df.dropDuplicates(["_id"])
+    posts = (keep_first(df, ["_id"], "_id", page)
              .withColumn("posted", F.nullif(F.left("postedAt", F.lit(10)), F.lit("")))
              .withColumn("year", F.left("posted", F.lit(4))))
     ranked = RK.top_per_group(posts, ["year"], [F.desc("baseScore"), F.col("_id")], top_per_year)

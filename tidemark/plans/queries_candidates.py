@@ -522,8 +522,11 @@ def _(spark, sf):
         F.col("id").alias("_id"), "title", F.col("date_published").alias("postedAt"),
         F.length("text").alias("baseScore"), F.lit(None).cast("int").alias("commentCount"),
         F.col("url").alias("pageUrl"), F.col("source").alias("author"), "tags")
-    landed = posts.unionByName(posts)  # overlapping pages land the same post twice
-    out = PC.from_posts(landed, "forum", "Forum", F.lit(SEEN), {"spdx": None}, top_per_year=25)
+    # overlapping pages land a post again, with the score of a later time
+    later = posts.withColumn("baseScore", F.col("baseScore") * 2 + 1)
+    landed = posts.withColumn("_page", F.lit(1)).unionByName(later.withColumn("_page", F.lit(2)))
+    out = PC.from_posts(landed, "forum", "Forum", F.lit(SEEN), {"spdx": None}, "_page",
+                        top_per_year=25)
     return out.select("id", C.latest(F.col("signals"), "karma_rank_in_year")
                       .alias("karma_rank_in_year"),
                       C.latest(F.col("signals"), "karma").alias("karma"),

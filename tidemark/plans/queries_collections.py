@@ -273,7 +273,7 @@ SELECT id, 'pending_peer_review' AS verification_status, 'To be determined' AS m
   CASE WHEN sources_text = '' THEN NULL ELSE 'requires_proper_citation' END AS citation_status
 FROM events_v""")
 def _(spark, sf):
-    out = PR.factual_only(timeline_events(spark, sf), F.lit("2026-01-01"))
+    out = PR.factual_only(timeline_events(spark, sf), F.lit("2026-01-01"), "doom_impact")
     return out.select("id", "verification_status", "probability_impact_analysis.methodology",
                       F.size("sources").alias("n_sources"),
                       F.get("sources", F.lit(0))["citation_status"].alias("citation_status"))

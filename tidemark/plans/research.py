@@ -183,11 +183,11 @@ def standard_record(df: DataFrame, provenance: dict[str, str], ingested_at: Colu
             .alias("transformations")).alias("_provenance"))
 
 
-def factual_only(df: DataFrame, at: Column, dropped: tuple[str, ...] = (
-        "game_impacts", "rarity", "doom_impact", "gameplay_weight", "unlock_conditions",
+def factual_only(df: DataFrame, at: Column, score_column: str, dropped: tuple[str, ...] = (
+        "game_impacts", "rarity", "gameplay_weight", "unlock_conditions",
         "player_choices")) -> DataFrame:
-    """Drop the game fields, fill three scholarly defaults, structure the sources."""
-    out = df.drop(*dropped)
+    """Drop the game fields and the score, fill three scholarly defaults, structure the sources."""
+    out = df.drop(*dropped, score_column)
     defaults = {"research_notes": "Detailed analysis pending scholarly review",
                 "verification_status": "pending_peer_review"}
     for name, text in defaults.items():

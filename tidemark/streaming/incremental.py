@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.operators import filters
 
@@ -111,22 +109,12 @@ def watch_dates(status: Column, prior_since: Column, at: Column, by: Column,
 
 
 def stream_decisions(log: DataFrame) -> DataFrame:
-    """Streaming fold of (id, watch_status, rating, at): one state row per id."""
-    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
-        at, status, rating, seen = state.get if state.exists else ("", None, None, 0)
-        for batch in batches:
-            row = batch.sort_values("at").iloc[-1]
-            seen += len(batch)
-            if row["at"] >= at:
-                at, status, rating = row["at"], row["watch_status"], row["rating"]
-        state.update((at, status, rating, seen))
-        yield pd.DataFrame([{"id": key[0], "watch_status": status, "rating": rating,
-                             "at": at, "decisions": seen}])
-
-    return log.groupBy("id").applyInPandasWithState(
-        fold, "id string, watch_status string, rating string, at string, decisions long",
-        "at string, watch_status string, rating string, decisions long",
-        "update", GroupStateTimeout.NoTimeout)
+    """Streaming fold of (id, watch_status, rating, at): the latest decision of each id and how
+    many there were.  Decisions of one time are ordered by status and rating.  For update mode.
+    """
+    last = F.max(F.struct("at", "watch_status", "rating")).alias("last")
+    return (log.groupBy("id").agg(last, F.count("*").alias("decisions"))
+            .select("id", "last.watch_status", "last.rating", "last.at", "decisions"))
 
 
 # --- R5: retention ------------------------------------------------------------------------------
