@@ -106,7 +106,13 @@ def test_promotion_is_idempotent(spark, tmp_path):
     for _ in range(2):
         run(batch, 0)
     assert spark.read.parquet(target).count() == 2
-    assert [tuple(r)[:2] for r in spark.read.parquet(ledger).collect()] == [("f1", 2)]
+    assert [(r["file"], r["rows"]) for r in spark.read.parquet(ledger).collect()] == [("f1", 2)]
+    # delivered again in another order: skipped; with other content: promoted again
+    run(spark.createDataFrame([("f1", 2), ("f1", 1)], "_file string, v int"), 1)
+    assert spark.read.parquet(target).count() == 2
+    run(spark.createDataFrame([("f1", 2), ("f1", 7), ("f3", 1)], "_file string, v int"), 2)
+    assert spark.read.parquet(target).count() == 5
+    assert spark.read.parquet(ledger).filter("file = 'f1'").count() == 2
 
 
 def test_changed_checksum_is_pending_again(spark):

@@ -55,20 +55,40 @@ def promote(rows: DataFrame, hashes: DataFrame, ledger: DataFrame, errors: DataF
             ready.select("file", "sha256"))
 
 
+def content_checksums(rows: DataFrame, file: str = "_file") -> DataFrame:
+    """(file, sha256, rows): a checksum of each file's rows that does not depend on their order."""
+    content = [c for c in sorted(rows.columns) if c != file]
+    row = F.sha2(F.to_json(F.struct(*content), {"ignoreNullFields": "false"}), 256)
+    part = lambda i: F.conv(F.substring(row, 1 + 15 * i, 15), 16, 10).cast("long")
+    sums = [F.sum(part(i).cast("decimal(38,0)")) for i in range(4)]
+    return rows.groupBy(F.col(file).alias("file")).agg(
+        F.sha2(F.concat_ws(",", F.count("*").cast("string"), *(s.cast("string") for s in sums)),
+               256).alias("sha256"), F.count("*").alias("rows"))
+
+
 def promotion_batch(target: str, ledger_path: str, rules: Callable[[DataFrame], DataFrame],
                     file: str = "_file") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: validate, append the good files, append the ledger.
 
-    Batches are keyed by their number, so a batch that runs again after a
-    failure overwrites its own output instead of adding to it.
+    The ledger holds (file, sha256, rows) of what was promoted.  A file that comes again with the
+    same content is skipped; with other content it is promoted again.  Batches are keyed by their
+    number, so a batch that runs again after a failure overwrites its own output instead of adding
+    to it, and does not take its own ledger entries for earlier ones.
     """
     def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
         bad = rules(batch).filter("severity = 'error'").select(file).distinct()
-        good = batch.join(bad, file, "left_anti")
-        good.write.mode("overwrite").parquet(f"{target}/batch={number}")
-        (batch.sparkSession.read.parquet(f"{target}/batch={number}")
-         .groupBy(file).agg(F.count("*").alias("rows"))
-         .write.mode("overwrite").parquet(f"{ledger_path}/batch={number}"))
+        ready = content_checksums(batch.join(bad, file, "left_anti"), file)
+        path = spark._jvm.org.apache.hadoop.fs.Path(ledger_path)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            earlier = spark.read.parquet(ledger_path).filter(F.col("batch") != number)
+            ready = pending_files(ready, earlier)
+        entries = f"{ledger_path}/batch={number}"
+        ready.write.mode("overwrite").parquet(f"{target}-ready/batch={number}")
+        ready = spark.read.schema(ready.schema).parquet(f"{target}-ready/batch={number}")
+        (batch.join(ready.select(F.col("file").alias(file)), file, "left_semi")
+         .write.mode("overwrite").parquet(f"{target}/batch={number}"))
+        ready.write.mode("overwrite").parquet(entries)
     return run
 
 
