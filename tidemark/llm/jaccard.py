@@ -16,12 +16,14 @@ difference touches at most ``H`` of them, so two linked sets agree on all others
   half as many segments, by each segment's content and its contents less one shingle.  Two of
   them differ by at most one in some segment and meet there.  It costs more entries, so
   only they take it.
-* **Exact check.**  Every candidate is decided by the whole shingle sets.
-
-Agreeing documents are not expanded into pairs.  Those that meet under one content are first
-compared with one of them, in a few rounds with others; what that joins into one component needs
-no further comparison.  Contents whose documents stay in several components are compared pair by
-pair; where those would be many, block by block inside tasks, which report links and no pairs.
+* **Exact check.**  Every candidate is decided by the whole shingle sets, after sizes and short
+  bitmaps, whose differing bits are never more than the differing shingles, have ruled out most.
+
+Agreeing documents are not expanded into pairs.  Documents that meet through any contents form a
+cluster; the members of a small one are compared inside one task, which reports links and no pairs.
+In a large one each document is first compared with one that it met, in a few rounds; what that joins
+into one component needs no further comparison.  Contents whose documents stay in several components
+are then compared pair by pair or, where pairs would be many, block with block inside tasks.
 """
 
 from __future__ import annotations
@@ -35,18 +37,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import components, words
-from tidemark.llm.frames import buckets_for, small, unused
+from tidemark.llm.frames import buckets_for, small, small_batches
 from tidemark.workspace import durable
 
 _U = np.uint64
-_FLUSH = 3_000_000
+_FLUSH = 750_000
+_HELD = 2_000_000
+_PIECE = 2 << 20
 #: Contents whose documents would need more than this many comparisons each are compared in blocks.
 _NEAR = 16
-_BLOCK = 512
+_BLOCK = 256
+#: A cluster of candidates is compared as a whole, in one task, up to this many sets.
+_WHOLE = 256
 #: A shingle of one document in this many is common, and of no fewer documents than the second.
 _COMMON, _LEAST_COMMON = 4000, 20
 #: Rounds of comparing with one chosen member before any pair by pair comparison.
-_TURNS = 1
+_TURNS = 3
 _ROUTED = "bucket int, kind string, id long, sid long, n long, sigs binary, sids binary"
 _FOUND = "kind string, id long, sid long, n long, content long, pivot long"
 
@@ -133,10 +139,18 @@ def common_shingles(rows: DataFrame, text_col: str, k: int) -> np.ndarray:
     the size of the table.  They only steer which contents are indexed, so a shingle near the
     limit may fall on either side without any effect on the result.
     """
-    def count(batches):
+    def report(parts: list[np.ndarray], n: int) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(parts), return_counts=True)
+        keep = counts >= max(2, n // (2 * _COMMON))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.append(values[keep].view(np.int64), 0)),
+             pa.array(np.append(counts[keep], 0), pa.int64()),
+             pa.array(np.append(np.zeros(keep.sum()), n), pa.int64())], ["h", "n", "docs"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, parts = 0, []
         for batch in batches:
-            n, parts = batch.num_rows, []
-            for piece in words.pieces(batch, text_col):
+            for piece in words.pieces(batch, text_col, _PIECE):
                 w = words.words(piece.column(text_col), words.NOT_SPACE)
                 h, at = words.shingles(w, w.hashes(), k)
                 text = np.searchsorted(w.first, at, "right")
@@ -145,12 +159,12 @@ def common_shingles(rows: DataFrame, text_col: str, k: int) -> np.ndarray:
                 new = np.ones(len(h), dtype=bool)
                 new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
                 parts.append(h[new])
-            values, counts = np.unique(np.concatenate(parts), return_counts=True)
-            keep = counts >= max(2, n // (2 * _COMMON))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(values[keep].view(np.int64), 0)),
-                 pa.array(np.append(counts[keep], 0), pa.int64()),
-                 pa.array(np.append(np.zeros(keep.sum()), n), pa.int64())], ["h", "n", "docs"])
+                n += piece.num_rows
+                if sum(map(len, parts)) >= _HELD:
+                    yield report(parts, n)
+                    n, parts = 0, []
+        if n:
+            yield report(parts, n)
 
     found = durable(rows.select(text_col).mapInArrow(count, "h long, n long, docs long")
                     .groupBy("h").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")),
@@ -188,7 +202,7 @@ def _route(k: int, num: int, den: int, buckets: int, id_col: str, text_col: str,
         waiting, held, seen = [], 0, set()
         listed = common.value
         for batch in batches:
-            for piece in words.pieces(batch, text_col):
+            for piece in words.pieces(batch, text_col, _PIECE):
                 sets = list(words.shingle_sets(piece.column(text_col), k))
                 n = len(sets)
                 names = np.array([set_id(h) if len(h) else 0 for h in sets], dtype=np.uint64)
@@ -279,14 +293,50 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(pivot[cut].view(np.int64))], schema=_FOUND_ARROW)
 
 
+def _bits(h: np.ndarray) -> bytes:
+    """For each hash one of as many bits as there are hashes, about, is turned over.
+
+    Two sets that differ in ``d`` hashes have bitmaps that differ in ``d`` bits at most.
+    """
+    size = max(64, 1 << band_of(len(h)))
+    return np.packbits(np.bincount((h >> _U(20)).astype(np.int64) & (size - 1),
+                                   minlength=size).astype(np.uint8) & 1).tobytes()
+
+
+def _apart_by(x: bytes, y: bytes) -> int:
+    """In how many bits two bitmaps differ; a longer one is folded to the length of the other."""
+    p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(p) != len(q):
+        if len(p) < len(q):
+            p, q = q, p
+        p = p[:len(p) // 2] ^ p[len(p) // 2:]
+    return int(np.bitwise_count(p ^ q).sum())
+
+
 def _sets(k: int, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in words.pieces(batch, text_col):
+            for piece in words.pieces(batch, text_col, _PIECE):
                 found = [h for h in words.shingle_sets(piece.column(text_col), k) if len(h)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_signed(set_id(h)) for h in found], pa.int64()),
-                     pa.array([h.tobytes() for h in found], pa.binary())], ["sid", "items"])
+                     pa.array([len(h) for h in found], pa.int64()),
+                     pa.array([_bits(h) for h in found], pa.binary()),
+                     pa.array([h.tobytes() for h in found], pa.binary())],
+                    ["sid", "n", "bits", "items"])
+    return run
+
+
+def _near(num: int, den: int):
+    """Drops pairs whose sizes or bitmaps show that they differ too much."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist()
+                                    for c in ("left_n", "right_n", "left_bits", "right_bits"))):
+                keep.append(min(n, m) * den >= num * max(n, m)
+                            and _apart_by(x, y) <= (n + m) * (den - num) // (den + num))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
@@ -307,10 +357,16 @@ def _linked(num: int, den: int):
 
 def _decide(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Those of the pairs (a, b) whose whole sets reach the threshold."""
-    left = sets.select(F.col("sid").alias("a"), F.col("items").alias("left_items"))
-    right = sets.select(F.col("sid").alias("b"), F.col("items").alias("right_items"))
-    return (pairs.join(right, "b").join(left, "a")
-            .select("a", "b", "left_items", "right_items")
+    def sides(found: DataFrame, *columns: str) -> DataFrame:
+        for side, key in (("left", "a"), ("right", "b")):
+            found = found.join(sets.select(F.col("sid").alias(key), *(
+                F.col(c).alias(f"{side}_{c}") for c in columns)), key)
+        return found
+
+    near = durable(sides(pairs, "n", "bits").select("a", "b", "left_n", "right_n", "left_bits",
+                                                    "right_bits")
+                   .mapInArrow(_near(num, den), "a long, b long"), "near")
+    return (sides(near, "items").select("a", "b", "left_items", "right_items")
             .mapInArrow(_linked(num, den), "a long, b long"))
 
 
@@ -354,31 +410,18 @@ def _tile_links(num: int, den: int):
     return run
 
 
-def _tiles(crowd: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links that join the components of crowded contents, by comparing blocks with blocks.
+def _tiles(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links that join the components (label) of the members of each group (g, sid, label).
 
-    Contents that have members in common are one group where that compares fewer pairs than each
-    alone.  A group is dealt into blocks of about ``_BLOCK``; each pair of blocks is one task, which
-    reports at most one link for each set it joins to another component.
+    A group is dealt into blocks of about ``_BLOCK``; each pair of blocks is one task, which reports
+    at most one link for each set it joins to another component.
     """
-    cluster = components.connected(crowd.select(F.col("sid").alias("a"),
-                                                F.col("content").alias("b")))
-    named = durable(crowd.join(cluster, crowd.sid == cluster.node)
-                    .select("content", "sid", crowd.label, cluster.label.alias("cluster")), "crowd")
-    alone = (named.groupBy("cluster", "content").agg(F.count("*").alias("n")).groupBy("cluster")
-             .agg(F.sum(F.col("n") * F.col("n")).alias("alone")))
-    whole = named.groupBy("cluster").agg(F.countDistinct("sid").alias("d"))
-    picked = alone.join(whole, "cluster").select(
-        "cluster", (F.col("d") * F.col("d") <= F.col("alone")).alias("whole"))
-    groups = durable(named.join(picked, "cluster")
-                     .select(F.when(F.col("whole"), F.col("cluster")).otherwise(F.col("content"))
-                             .alias("g"), "sid", "label").distinct(), "crowd")
     sizes = groups.groupBy("g").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                         lambda j: F.struct(F.least("block", j).alias("ti"),
                                            F.greatest("block", j).alias("tj")))
-    return (groups.join(sizes, "g").join(sets, "sid").withColumn("block", mine)
+    return (groups.join(sizes, "g").join(sets.select("sid", "items"), "sid").withColumn("block", mine)
             .select("g", "sid", "label", "block", "items", F.explode(tiles).alias("t"))
             .select("g", "t.ti", "t.tj", "sid", "label", "block", "items")
             .groupBy("g", "ti", "tj").applyInArrow(_tile_links(num, den), "a long, b long"))
@@ -395,13 +438,14 @@ def _apart(met: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _turned(apart: DataFrame, turn: int) -> DataFrame:
-    """Pairs of one member of each content, chosen by hash, with those of other components."""
+    """For each set one of other components: of those chosen by hash in its contents, one."""
     rank = F.xxhash64("content", "sid", F.lit(turn))
     chosen = apart.groupBy("content").agg(F.min(F.struct(rank.alias("r"), "sid", "label"))
                                           .alias("p"))
-    return (apart.join(chosen, "content").filter("label <> p.label")
-            .select(F.least("p.sid", "sid").alias("a"), F.greatest("p.sid", "sid").alias("b"))
-            .distinct())
+    one = (apart.join(chosen, "content").filter("label <> p.label").groupBy("sid")
+           .agg(F.min(F.struct(F.xxhash64("p.sid", "sid"), "p.sid")).alias("p")))
+    return one.select(F.least("p.sid", "sid").alias("a"),
+                      F.greatest("p.sid", "sid").alias("b")).distinct()
 
 
 def _across(apart: DataFrame) -> DataFrame:
@@ -411,6 +455,44 @@ def _across(apart: DataFrame) -> DataFrame:
     return (left.join(right, "content").filter("a < b and la <> lb").select("a", "b").distinct())
 
 
+def _rest_links(met: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links that join all sets that are linked through the contents of ``met`` (content, sid)."""
+    none = met.sparkSession.createDataFrame([], "node long, label long")
+    links, tried, labels = None, None, none
+    for turn in range(_TURNS):
+        pairs = _turned(_apart(met, labels), turn)
+        pairs = durable(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"),
+                        "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = durable(_decide(pairs, sets, num, den), "links")
+        links = found if links is None else links.unionByName(found)
+        labels = components.connected(links)
+    apart = _apart(met, labels)
+    sizes = (apart.groupBy("content", "label").agg(F.count("*").alias("n")).groupBy("content")
+             .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside")))
+    crowded = durable(sizes.filter((F.col("n") * F.col("n") - F.col("inside")) / 2
+                                   > _NEAR * F.col("n")).select("content"), "crowded")
+    pairs = _across(apart.join(crowded, "content", "left_anti")).join(tried, ["a", "b"],
+                                                                      "left_anti")
+    links = links.unionByName(_decide(pairs, sets, num, den))
+    if crowded.isEmpty():
+        return links
+    crowd = durable(apart.join(crowded, "content"), "crowd")
+    together = components.connected(crowd.select(F.col("sid").alias("a"),
+                                                 F.col("content").alias("b")))
+    named = durable(crowd.join(together, crowd.sid == together.node).select(
+        "content", "sid", crowd.label, together.label.alias("cluster")), "crowd")
+    alone = (named.groupBy("cluster", "content").agg(F.count("*").alias("n")).groupBy("cluster")
+             .agg(F.sum(F.col("n") * F.col("n")).alias("alone")))
+    picked = named.groupBy("cluster").agg(F.countDistinct("sid").alias("d")).join(
+        alone, "cluster").select("cluster", (F.col("d") * F.col("d") <= F.col("alone"))
+                                 .alias("whole"))
+    groups = durable(named.join(picked, "cluster").select(
+        F.when(F.col("whole"), F.col("cluster")).otherwise(F.col("content")).alias("g"),
+        "sid", "label").distinct(), "groups")
+    return links.unionByName(_tiles(groups, sets, num, den))
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
          threshold: tuple[int, int] = (3, 4)) -> DataFrame:
     """(id_col, n_shingles, component_id) of every row of ``docs``.
@@ -420,7 +502,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     set, links with nothing and is its own component.  Repeated rows stay repeated.  A null id is
     allowed; a component of null ids alone has a null id.  Only the two named columns are read.
     """
-    num, den = threshold
+    with small_batches(docs.sparkSession):
+        return _link(docs, id_col, text_col, k, *threshold)
+
+
+def _link(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     buckets = buckets_for(rows)
@@ -435,28 +521,27 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
                    .select("rep").distinct(), "reps")
     kept = small(reps)
     sets = durable(rows.join(kept, rows.id.eqNullSafe(kept.rep), "left_semi")
-                   .mapInArrow(_sets(k, "text"), "sid long, items binary")
-                   .dropDuplicates(["sid"]), "sets")
+                   .mapInArrow(_sets(k, "text"), "sid long, n long, bits binary, items binary"), "sets")
     stars = met.filter("sid <> pivot").select(F.least("pivot", "sid").alias("a"),
                                               F.greatest("pivot", "sid").alias("b")).distinct()
-    links = durable(_decide(stars, sets, num, den), "links")
-    labels = components.connected(links)
-    for turn in range(_TURNS):
-        apart = _apart(met.select("content", "sid"), labels)
-        more = _turned(apart, turn).join(stars, ["a", "b"], "left_anti")
-        links = links.unionByName(durable(_decide(more, sets, num, den), "links"))
-        labels = components.connected(links)
-    apart = _apart(met.select("content", "sid"), labels)
-    sizes = (apart.groupBy("content", "label").agg(F.count("*").alias("n")).groupBy("content")
-             .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside")))
-    crowded = durable(sizes.filter((F.col("n") * F.col("n") - F.col("inside")) / 2
-                                   > _NEAR * F.col("n")).select("content"), "crowded")
-    pairs = _across(apart.join(crowded, "content", "left_anti"))
-    pairs = pairs.join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(durable(_decide(pairs, sets, num, den), "links"))
-    if not crowded.isEmpty():
-        crowd = durable(apart.join(crowded, "content"), "crowd")
-        links = links.unionByName(durable(_tiles(crowd, sets, num, den), "links"))
+    clusters = components.connected(stars).withColumnRenamed("label", "cluster")
+    named = durable(met.join(clusters, met.sid == clusters.node)
+                    .select("content", "sid", "cluster"), "clustered")
+    # pairs to compare: of all members of a cluster, or of those of each content
+    by_content = (named.groupBy("cluster", "content").agg(F.count("*").alias("n"))
+                  .groupBy("cluster").agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("alone")))
+    whole = durable(
+        clusters.groupBy("cluster").agg(F.count("*").alias("d")).join(by_content, "cluster")
+        .filter((F.col("d") <= _WHOLE) & (F.col("d") * (F.col("d") - 1) <= F.col("alone")))
+        .select("cluster"), "whole")
+    links = durable(_tiles(
+        clusters.join(whole, "cluster").select(F.col("cluster").alias("g"),
+                                               F.col("node").alias("sid"),
+                                               F.col("node").alias("label")), sets, num, den),
+        "links")
+    rest = durable(named.join(whole, "cluster", "left_anti").select("content", "sid"), "rest")
+    if not rest.isEmpty():
+        links = durable(links.unionByName(_rest_links(rest, sets, num, den)).distinct(), "links")
     labels = components.connected(links)
     least = docs_of.filter("n > 0").groupBy("sid").agg(F.min("id").alias("least"),
                                                        F.count("*").alias("copies"))
