@@ -21,7 +21,7 @@ difference touches at most ``H`` of them, so two linked sets agree on all others
 
 Agreeing documents are not expanded into pairs.  Documents that meet through any contents form a
 cluster; the members of a small one are compared inside one task, which reports links and no pairs.
-In a large one each document is first compared with one that it met, in a few rounds; what that joins
+In a large one each document is first compared with one that it met; what that joins
 into one component needs no further comparison.  Contents whose documents stay in several components
 are then compared pair by pair or, where pairs would be many, block with block inside tasks.
 """
@@ -51,8 +51,8 @@ _BLOCK = 256
 _WHOLE = 256
 #: A shingle of one document in this many is common, and of no fewer documents than the second.
 _COMMON, _LEAST_COMMON = 4000, 20
-#: Rounds of comparing with one chosen member before any pair by pair comparison.
-_TURNS = 3
+#: Rounds of comparing with one chosen member before any comparison of pairs or blocks.
+_TURNS = 1
 _ROUTED = "bucket int, kind string, id long, sid long, n long, sigs binary, sids binary"
 _FOUND = "kind string, id long, sid long, n long, content long, pivot long"
 
