@@ -221,6 +221,19 @@ def test_tokens_equal_the_tokenizers_own(odd):
     assert got == [plain.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
 
 
+def test_tokens_of_more_words_than_are_remembered(monkeypatch):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(PATH)
+    monkeypatch.setattr(token_files, "REMEMBERED", 8)
+    encoder = token_files.Encoder(PATH)
+    long = " ".join(f"{chr(97 + i)}x {i}" for i in range(26))
+    for texts in (["ax bx 3"], [long, "ax zz"], ["ax new"], [long + " qq", None], ["one"]):
+        ids, each = encoder.encode(pa.array(texts, pa.string()), 1)
+        got = [x.tolist() for x in np.split(ids, np.cumsum(each)[:-1])]
+        assert got == [plain.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+        assert len(encoder.known) <= 8
+
+
 def test_token_files(spark, odd, none):
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(PATH)

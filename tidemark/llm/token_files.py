@@ -31,7 +31,7 @@ _U = np.uint64
 MAX_BITS = 16
 LANE = 512
 _SLICE = 512 * LANE
-#: Words whose ids a worker remembers.
+#: Words whose ids a worker remembers from one piece to the next.
 REMEMBERED = 800_000
 #: Stands for a null document id, which comes first.
 NO_ID = -(1 << 63)
@@ -72,8 +72,6 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, hashes: np.ndarray, chunks: list[bytes]) -> None:
-        if len(self.known) + len(hashes) > REMEMBERED:
-            self._forget()
         model = self.tokenizer.model
         ids = [[t.id for t in model.tokenize(c.decode())] if c.isalpha() and c.isascii()
                else self._whole(c.decode()) for c in chunks]
@@ -106,12 +104,15 @@ class Encoder:
         known = self._find(unique)
         new = np.flatnonzero(known < 0)
         if len(new):
-            self._learn(unique[new], [w.word(i) for i in first[new].tolist()])
+            if len(self.known) + len(new) > REMEMBERED:
+                self._forget()
+                new = np.arange(len(unique))
+            for a in range(0, len(new), REMEMBERED):
+                part = new[a:a + REMEMBERED]
+                self._learn(unique[part], [w.word(i) for i in first[part].tolist()])
             known = self._find(unique)
-            if (known < 0).any():  # the memory was cleared
-                new = np.flatnonzero(known < 0)
-                self._learn(unique[new], [w.word(i) for i in first[new].tolist()])
-                known = self._find(unique)
+            if (known < 0).any():
+                raise ValueError(f"{int((known < 0).sum())} chunks of a piece have no ids")
         count, start = self.count[known][place], self.start[known][place]
         text = w.text_of()
         each = np.bincount(text, count, n).astype(np.int64) + 1
@@ -121,6 +122,8 @@ class Encoder:
         within = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
         ids = np.full(total + n, end, dtype=np.uint32)
         ids[np.repeat(to, count) + within] = self.flat[np.repeat(start, count) + within]
+        if len(self.known) > REMEMBERED:  # one piece had more
+            self._forget()
         special = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))
         if len(special):
             return self._with_whole(column, ids, each, np.unique(
