@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -199,6 +200,49 @@ def test_licences(spark, odd, none):
     assert licenses.scan(odd).count() == odd.count() and licenses.scan(none).count() == 0
 
 
+def test_wrapped_licences(spark, odd, none):
+    """Licences as they stand in files: wrapped, in comments and lists, with names of their own."""
+    table = licenses.SENTENCES | licenses.MORE_SENTENCES
+
+    def wrapped(*parts, mark="", width=72):
+        lines = [x for p in parts for x in [*textwrap.wrap(p, width), ""]]
+        return "\n".join((mark + x).rstrip() for x in lines)
+    apache = wrapped("Copyright 2020 Someone", table["apache-grant"],
+                     "You may obtain a copy of the License at",
+                     "    https://www.apache.org/licenses/LICENSE-2.0",
+                     table["apache-basis"] + " " + table["apache-see"], mark=" * ")
+    names = table["bsd-names"].replace("the copyright holder", "Example Works, Inc.")
+    bsd = ("Copyright (c) 2020, Example Works, Inc.\nAll rights reserved.\n\n"
+           + wrapped(table["bsd-grant"], "1. " + table["bsd-source"], "(2) " + table["bsd-binary"],
+                     "* " + names, mark="# ", width=60))
+    mpl = wrapped(table["mpl2-terms"] + " " + table["mpl2-copy"], mark="dnl ")
+    mit = wrapped(table["mit-grant"], table["mit-keep"], table["as-is"] + " "
+                  + table["mit-liability"]).replace("\n", "\r\n")
+    gnu = [(name, wrapped(table[run[0]].replace("This program", "Frob"), table["gpl-warranty"] + "  "
+                          + table[run[2]], mark="// "))
+           for name, run in licenses.MORE_RULES if len(run) == 3 and run[1] == "gpl-warranty"]
+    zlib_text = wrapped(table["zlib-as-is"] + " " + table["zlib-liability"], table["zlib-grant"])
+    one = [(name, wrapped(table[run[0]], mark="; ", width=50))
+           for name, run in licenses.RULES + licenses.MORE_RULES if len(run) == 1]
+    cases = [("Apache-2.0", f"/*\n{apache}\n */\nint x;"), ("BSD-3-Clause", bsd), ("MPL-2.0", mpl),
+             ("MIT", mit), ("Zlib", zlib_text), *gnu, *one, ("", "x\n\nlicensed\n\nunder\n"),
+             ("MIT", "A tool\nReleased under the MIT License\nsince 2020")]
+    rows = [(i, text) for i, (_, text) in enumerate(cases)]
+    got = {r.doc_id: r for r in licenses.scan_whole(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].licenses for i in range(len(cases))] == [name for name, _ in cases]
+    assert [got[i].undecided for i in range(len(cases))] == [int(i == 1) for i in range(len(cases))]
+    assert got[1].sentence_ids == "all-rights,bsd-grant,bsd-source,bsd-binary,bsd-names"
+    assert got[4].n_sentences == 3
+    # every sentence of the table, on one line, is found as itself
+    lines = list(table.items())
+    got = {r.doc_id: r.sentence_ids for r in licenses.scan_whole(spark.createDataFrame(
+        [(i, s) for i, (_, s) in enumerate(lines)], "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(lines))] == [i for i, _ in lines]
+    assert licenses.scan_whole(odd).count() == odd.count()
+    assert licenses.scan_whole(none).count() == 0
+
+
 def test_huffman_round_trip():
     rnd = np.random.default_rng(2)
     for n, most in ((0, 16), (1, 16), (700, 9), (5000, 16)):

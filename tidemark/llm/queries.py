@@ -183,3 +183,9 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op4_licenses"] = licenses.sql()
+
+
+@_query
+def op4_licenses_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of each document, also where their sentences are wrapped over lines."""
+    return licenses.scan_whole(read(spark, sf_dir, "documents"))
