@@ -23,3 +23,15 @@ def test_entry_points(spark):
     import __spark_entry__ as E
     assert set(E.oracle_sql()) <= set(E.queries())
     assert E.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["near_duplicate_part_names", "part_watch_list"])
+def test_titles_are_whole(spark, tmp_path, name):
+    """Titles that share twelve words and differ after them, and the other way round."""
+    head, tail = " ".join(f"same{i}" for i in range(12)), " ".join(f"tail{i}" for i in range(40))
+    rows = [(1, head + " " + tail), (2, head + " " + tail.replace("tail", "other")),
+            (3, "unlike " * 12 + head + " " + tail)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string").write.parquet(
+        str(tmp_path / "part.parquet"))
+    got = {r.id: r.duplicates for r in QUERIES[name].run(spark, str(tmp_path)).collect()}
+    assert got == {"p1": 1, "p2": 0, "p3": 1}

@@ -12,7 +12,7 @@ from tidemark.operators import aggregates as A
 from tidemark.operators import dedup, filters, joins, setops, similarity
 from tidemark.plans import collections as PL
 from tidemark.plans import research as PR
-from tidemark.plans.registry import query
+from tidemark.plans.registry import QUERIES, query
 from tidemark.plans.standins import cte, heavy, standin, table
 from tidemark.sinks import publish
 from tidemark.sources import overlays
@@ -407,6 +407,17 @@ SQL_TITLE = """t AS (SELECT 'd' || doc_id AS id, array_to_string(list_slice(list
     FROM t)""".format(stop=", ".join(f"'{w}'" for w in K.TITLE_STOPWORDS))
 
 
+def part_titles(spark, sf):
+    """Names of parts, short by nature, as titles."""
+    return table(spark, sf, "part").select(
+        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"),
+        F.col("p_name").alias("title"))
+
+
+SQL_PART_TITLE = "t AS (SELECT 'p' || p_partkey AS id, p_name AS title FROM part)" + SQL_TITLE[
+    SQL_TITLE.index(",\n  toks AS"):]
+
+
 @query("near_duplicate_titles", "J11 F12", f"""
 WITH {SQL_TITLE}, x AS (SELECT id, len(tokens) AS n, unnest(tokens) AS token FROM toks),
 shared AS (SELECT a.id AS ia, b.id AS ib, a.n AS na, b.n AS nb, count(*) AS s
@@ -418,6 +429,14 @@ def near_duplicates(spark, sf):
     return similarity.duplicate_counts(members, edges, "id").select("id", "duplicates")
 
 
+@query("near_duplicate_part_names", "J11 F12",
+       QUERIES["near_duplicate_titles"].sql.replace(SQL_TITLE, SQL_PART_TITLE))
+def _(spark, sf):
+    """The same over whole titles."""
+    members, edges = similarity.near_duplicate_titles(part_titles(spark, sf), "id", "title")
+    return similarity.duplicate_counts(members, edges, "id").select("id", "duplicates")
+
+
 def cited_rows(spark, sf):
     """Events whose flags name other events by slug, some of them unknown."""
     i = F.col("event_id")
@@ -496,9 +515,13 @@ SELECT t.id, md5(t.title) AS title_md5, 'https://s.example/' || t.id AS sources,
   CASE WHEN CAST(substr(t.id, 2) AS INT) % 3 = 0 THEN 'watching' END AS watch_status
 FROM t JOIN toks ON t.id = toks.id LEFT JOIN near ON t.id = near.ia""")
 def _(spark, sf):
-    """Document titles as claims of two scans, with a prior list of decisions."""
+    return _watched(titles(spark, sf))
+
+
+def _watched(named):
+    """Titles as claims of two scans, with a prior list of decisions."""
     n = F.substring("id", 2, 12).cast("bigint")
-    claim = titles(spark, sf).select(
+    claim = named.select(
         F.lit("a.json").alias("file"), n.alias("pos"), F.lit("scan_a").alias("scan_id"),
         F.col("id").alias("slug"), "title", F.date_format(F.date_add(
             F.lit("2026-01-01").cast("date"), (n % 60).cast("int")), "yyyy-MM-dd").alias("date"),
@@ -517,6 +540,13 @@ def _(spark, sf):
                       F.array_join("sources", " ").alias("sources"), "duplicates", "watch_status")
 
 
+@query("part_watch_list", "C7 J9 J12 A18",
+       QUERIES["watch_list"].sql.replace(SQL_TITLE, SQL_PART_TITLE))
+def _(spark, sf):
+    """The same over whole titles."""
+    return _watched(part_titles(spark, sf))
+
+
 def atoms(spark, sf):
     """Watch atoms with human fields."""
     k = F.col("c_custkey")
