@@ -1,5 +1,7 @@
 """Every registered query equals its SQL on the smallest tables."""
 
+import hashlib
+
 import pytest
 from compare import compare, duck
 
@@ -35,3 +37,21 @@ def test_titles_are_whole(spark, tmp_path, name):
         str(tmp_path / "part.parquet"))
     got = {r.id: r.duplicates for r in QUERIES[name].run(spark, str(tmp_path)).collect()}
     assert got == {"p1": 1, "p2": 0, "p3": 1}
+
+
+def test_texts_addresses_and_filters_are_whole(spark, tmp_path):
+    text = "Write to someone.here@mail.org or another_one@mail.org; " + "long " * 20
+    rows = [(1, f" {text}a\n", "src1"), (2, f" {text}b\n", "src1")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    sf = str(tmp_path)
+    heads = {r.head for r in QUERIES["stripped_texts"].run(spark, sf).collect()}
+    assert heads == {hashlib.md5(f"{text}{x}".encode()).hexdigest()[:8] for x in "ab"}
+    found = QUERIES["all_severed_addresses"].run(spark, sf).collect()
+    assert sorted((r.doc_id, r.found) for r in found) == [(i, True) for i in (1, 1, 2, 2)]
+    assert "LIMIT" not in QUERIES["event_filter_whole"].sql
+    spark.range(300, 1900).selectExpr(
+        "id * 5 AS o_orderkey", "3L AS o_custkey", "DATE '1997-03-04' AS o_orderdate",
+        "'1-URGENT' AS o_orderpriority", "'F' AS o_orderstatus").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    assert QUERIES["event_filter_whole"].run(spark, sf).count() == 1600

@@ -192,11 +192,22 @@ WHERE category IN ('organizational_crisis', 'funding_catastrophe') AND year >= 1
   (contains(tags_text, 'c3') OR contains(tags_text, '|f|'))) AND rarity = 'common'
 ORDER BY year DESC, id LIMIT 200""")
 def _(spark, sf):
+    return _filtered(spark, sf).orderBy(F.desc("year"), "id").limit(200)
+
+
+def _filtered(spark, sf):
     found = filters.events(timeline_events(spark, sf),
                            categories=["organizational_crisis", "funding_catastrophe"],
                            year_min=1996, year_max=1999, variables=["ethics_risk", "unknown"],
                            tags=["c3", "f"], rarity="common")
-    return found.select("id", "year", "category", "rarity").orderBy(F.desc("year"), "id").limit(200)
+    return found.select("id", "year", "category", "rarity")
+
+
+@query("event_filter_whole", "P6 P11",
+       QUERIES["event_filter"].sql.removesuffix("\nORDER BY year DESC, id LIMIT 200"))
+def _(spark, sf):
+    """The filter without the limit, which is of P12 alone."""
+    return _filtered(spark, sf)
 
 
 SQL_OVERLAY = """overlay AS (SELECT DISTINCT 'ev_' || l_orderkey AS id, CASE l_orderkey % 3
@@ -859,3 +870,13 @@ def _(spark, sf):
     return table(spark, sf, "documents").select(
         "doc_id", F.substring(F.md5(X.strip(F.substring("text", 1, 30))), 1, 8).alias("head"),
         year_or(F.substring("source", 4, 2)).alias("year"))
+
+
+@query("stripped_texts", "F4 F27", """
+SELECT doc_id, substr(md5(trim(text, ' ' || chr(10))), 1, 8) AS head,
+  CAST(coalesce(TRY_CAST(substr(source, 4, 2) AS INT), 2020) AS INT) AS year FROM documents""")
+def _(spark, sf):
+    from tidemark.functions.dates import year_or
+    return heavy(spark, sf, "documents").select(
+        "doc_id", F.substring(F.md5(X.strip(F.col("text"))), 1, 8).alias("head"),
+        year_or(F.substring("source", 4, 2)).alias("year"))

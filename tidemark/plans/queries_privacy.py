@@ -49,16 +49,34 @@ SELECT doc_id, length(local) >= 5 OR (length(local) >= 4 AND regexp_matches(loca
   AS found FROM s WHERE regexp_matches(local, '^[A-Za-z0-9][A-Za-z0-9._%+\\-]*$')
   AND regexp_matches(local, '[A-Za-z]')""")
 def _(spark, sf):
-    hit = F.get(P.addresses(F.col("text")), F.lit(0))
+    return _severed(heavy(spark, sf, "documents").select(
+        "doc_id", F.get(P.addresses(F.col("text")), F.lit(0)).alias("hit")))
+
+
+def _severed(rows):
+    hit = F.col("hit")
     local = F.split(hit, "@", 2)[0]
     cut = F.concat(F.lit("Contact:\n  "), local, F.lit("@"), F.substring(
         F.split(hit, "@", 2)[1], 1, 2), F.lit("..."))
-    rows = heavy(spark, sf, "documents").filter(hit.isNotNull()).select(
+    rows = rows.filter(hit.isNotNull()).select(
         "doc_id", local.alias("local"), P.severed_address(cut).isNotNull().alias("found"))
     return rows.filter(F.col("local").rlike(r"^[A-Za-z0-9][A-Za-z0-9._%+\-]*\z")
                        & F.col("local").rlike("[A-Za-z]")).select("doc_id", "found")
 
 
+@query("all_severed_addresses", "V2", f"""
+WITH a AS (SELECT doc_id, unnest(regexp_extract_all(text, '{MAIL}')) AS hit FROM documents
+  WHERE contains(text, '@')),
+s AS (SELECT doc_id, split_part(hit, '@', 1) AS local, split_part(hit, '@', 2) AS domain FROM a)
+SELECT doc_id, length(local) >= 5 OR (length(local) >= 4 AND regexp_matches(local, '[._%+\\-]'))
+  AS found FROM s WHERE regexp_matches(local, '^[A-Za-z0-9][A-Za-z0-9._%+\\-]*$')
+  AND regexp_matches(local, '[A-Za-z]')""")
+def _(spark, sf):
+    """Every address of a text, one row each."""
+    return _severed(heavy(spark, sf, "documents").select(
+        "doc_id", F.explode(P.addresses(F.col("text"))).alias("hit")))
+
+
 @query("verifier_residue", "V3", f"""
 WITH r AS (SELECT doc_id, unnest(regexp_extract_all(text, '{RESIDUE}')) AS hit FROM documents
   WHERE contains(text, '@'))
