@@ -317,3 +317,15 @@ def test_warc(spark):
                 == warc.shards.read_bytes(again, r.name).readall())
     root = new_path(spark, "warc-test")
     assert warc.read(warc.write(pages.limit(0), root), root).count() == 0
+
+
+def test_warc_payloads_of_one_id(spark):
+    """Only the payload that has a copy under a larger id becomes a revisit."""
+    pages = spark.createDataFrame(
+        [(1, "a", "twice"), (1, "b", "alone"), (1, "c", "third"), (2, "d", "twice"), (3, "e", "third")],
+        "page_id long, url string, html string")
+    root = new_path(spark, "warc-test")
+    got = warc.read(warc.write(pages, root), root, with_payload=True).collect()
+    assert sorted((r.url, r.record_type, r.refers_to, r.payload.decode()) for r in got) == [
+        ("a", "revisit", 2, ""), ("b", "response", None, "alone"), ("c", "revisit", 3, ""),
+        ("d", "response", None, "twice"), ("e", "response", None, "third")]

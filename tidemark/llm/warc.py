@@ -92,13 +92,15 @@ def _write(root: str, roll: int, date: str):
         def close() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([shard.close() | facts], _WRITTEN_ARROW)
 
-        marked = refers = None
+        marked, refers = None, {}  # by digest of the payload, as an id may have several
         for batch in batches:
             for a in range(0, batch.num_rows, 64):
                 for row in batch.slice(a, 64).to_pylist():
                     page = row["page_id"]
                     if row["mark"]:
-                        marked, refers = page, row["refers_to"]
+                        if page != marked:
+                            marked, refers = page, {}
+                        refers[row["sha"]] = row["refers_to"]
                         continue
                     if row["block"] != block:
                         if shard:
@@ -109,8 +111,8 @@ def _write(root: str, roll: int, date: str):
                         shard = shards.Shard(root, name)
                         shard.write(_member(_info(name, date)))
                         facts = {"records": 0, "first": page, "last": page}
-                    to = refers if refers is not None and page == marked else None
                     payload = (row["html"] or "").encode()
+                    to = refers.get(hashlib.sha1(payload).hexdigest()) if page == marked else None
                     shard.write(_member(record(page, row["url"], payload, to, date)))
                     facts["records"] += 1
                     facts["last"] = page
@@ -128,7 +130,7 @@ def write(pages: DataFrame, root: str, least: int = 0, roll: int = ROLL,
 
     Of payloads of at least ``least`` bytes that are equal, the greatest page id is a response and
     lower ones revisit it; rows that share the greatest id are all responses, and a null id, which
-    comes first in order, is always one.  A null html is the empty payload; a null url is replaced
+    comes first in order, is always one.  Rows of one id are judged each by its payload.  A null html is the empty payload; a null url is replaced
     by the record's name.  Only page ids and digests are grouped: a mark for each revisit meets its
     page again in the page's id range, so the payloads move once.
     """
@@ -140,9 +142,10 @@ def write(pages: DataFrame, root: str, least: int = 0, roll: int = ROLL,
                                     F.min("page_id").alias("lowest"))
             .filter("refers_to <> lowest").select("sha", "refers_to"))
     marks = (keys.join(kept, "sha").filter("page_id < refers_to")
-             .groupBy("page_id").agg(F.max("refers_to").alias("refers_to")))
+             .select("page_id", "sha", "refers_to").distinct())
     edges = key_edges(rows, "page_id", buckets_for(rows))
-    both = (rows.withColumn("refers_to", F.lit(None).cast("long")).withColumn("mark", F.lit(False))
+    both = (rows.withColumn("refers_to", F.lit(None).cast("long")).withColumn(
+                "sha", F.lit(None).cast("string")).withColumn("mark", F.lit(False))
             .unionByName(marks.withColumn("mark", F.lit(True)), allowMissingColumns=True)
             .withColumn("block", block_of(F.col("page_id"), edges).cast("int"))
             .repartitionById(len(edges) + 1, F.col("block"))
