@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (decontaminate, fingerprints, jaccard, language, licenses, mixing,
-                          quality_zstd, token_files, toxicity, warc)
+from tidemark.llm import (decontaminate, fingerprints, jaccard, language, licenses, merkle,
+                          mixing, quality_zstd, token_files, toxicity, warc)
 from tidemark.llm.frames import crc_of_id, read
 from tidemark.workspace import new_path
 
@@ -189,3 +189,76 @@ SQL["op4_licenses"] = licenses.sql()
 def op4_licenses_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of each document, also where their sentences are wrapped over lines."""
     return licenses.scan_whole(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents; one in seven is checked with a tampered n_chars."""
+    tampered = F.when(crc_of_id(F.col("doc_id")) % 7 == 0, F.col("n_chars") + 1).otherwise(
+        F.col("n_chars"))
+    manifest = merkle.build(read(spark, sf_dir, "documents"), {"n_chars": tampered})
+    return merkle.prove(manifest).drop("tree")
+
+
+SQL["op12_merkle"] = r"""
+WITH RECURSIVE
+d AS (
+  SELECT doc_id, source, lang, n_chars, text,
+    list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+        string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) AS crc
+  FROM documents),
+e AS (
+  SELECT doc_id, lang, n_chars,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+      || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail,
+    CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS m
+  FROM d),
+l AS (
+  SELECT doc_id, lang,
+    sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen(CAST(m AS VARCHAR)) || ':' || m, '-') || tail) AS seen
+  FROM e),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n FROM l),
+t AS (
+  SELECT lang, 0 AS lev, CAST(pos AS BIGINT) AS pos, CAST(n AS BIGINT) AS n, leaf AS h FROM p
+  UNION ALL
+  SELECT lang, any_value(lev) + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY pos))
+  FROM t WHERE n > 1 GROUP BY lang, pos // 2),
+s AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos,
+    count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (
+  SELECT 0 AS lev, CAST(pos AS BIGINT) AS pos, CAST(n AS BIGINT) AS n, subroot AS h FROM s
+  UNION ALL
+  SELECT any_value(lev) + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY pos))
+  FROM u WHERE n > 1 GROUP BY pos // 2),
+f AS (
+  SELECT doc_id, lang, leaf, 0 AS lev, CAST(pos AS BIGINT) AS pos, CAST(n AS BIGINT) AS n,
+    seen AS folded, '' AS proof
+  FROM p
+  UNION ALL
+  SELECT f.doc_id, f.lang, f.leaf, f.lev + 1, f.pos // 2, (f.n + 1) // 2,
+    sha256(CASE WHEN t.h IS NULL THEN folded WHEN f.pos % 2 = 1 THEN t.h || folded
+      ELSE folded || t.h END), proof || coalesce(t.h, '')
+  FROM f LEFT JOIN t ON f.lang IS NOT DISTINCT FROM t.lang AND f.lev = t.lev
+    AND t.pos = xor(f.pos, 1)
+  WHERE f.n > 1),
+g AS (
+  SELECT doc_id, leaf, subroot, 0 AS lev, CAST(s.pos AS BIGINT) AS pos, CAST(s.n AS BIGINT) AS n,
+    folded, proof
+  FROM f JOIN s ON f.lang IS NOT DISTINCT FROM s.lang WHERE f.n = 1
+  UNION ALL
+  SELECT doc_id, leaf, subroot, g.lev + 1, g.pos // 2, (g.n + 1) // 2,
+    sha256(CASE WHEN u.h IS NULL THEN folded WHEN g.pos % 2 = 1 THEN u.h || folded
+      ELSE folded || u.h END), proof || coalesce(u.h, '')
+  FROM g LEFT JOIN u ON g.lev = u.lev AND u.pos = xor(g.pos, 1) WHERE g.n > 1)
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+  folded = r.h AS verified
+FROM g, (SELECT h FROM u WHERE n = 1) r WHERE g.n = 1
+"""
