@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (decontaminate, fingerprints, jaccard, language, licenses, merkle,
-                          mixing, quality_zstd, token_files, toxicity, warc)
+from tidemark.llm import (decontaminate, fingerprints, jaccard, language, lexical, licenses,
+                          merkle, mixing, quality_zstd, substrings, token_files, toxicity,
+                          warc)
 from tidemark.llm.frames import crc_of_id, read
 from tidemark.workspace import new_path
 
@@ -262,3 +263,67 @@ SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, folded
   folded = r.h AS verified
 FROM g, (SELECT h FROM u WHERE n = 1) r WHERE g.n = 1
 """
+
+
+@_query
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item, by bounds from max-sketches."""
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+SQL["op13_lexical"] = r"""
+WITH w AS (
+  SELECT doc_id, r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT doc_id, text, row_number() OVER () AS r FROM documents)),
+d AS (SELECT r, any_value(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS n FROM w GROUP BY r),
+c AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM d),
+f AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM w GROUP BY r, term),
+t AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * nn + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+  FROM f, c GROUP BY term, nn),
+q AS (
+  SELECT DISTINCT item_id, q, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT item_id, text, row_number() OVER () AS q FROM benchmark)),
+s AS (
+  SELECT q.q, any_value(item_id) AS item_id, f.r, any_value(d.doc_id) AS doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll)))) AS BIGINT) AS score
+  FROM q JOIN f USING (term) JOIN t USING (term) JOIN d ON d.r = f.r, c GROUP BY q.q, f.r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+      FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@_query
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the sequences of 35 words that start more than once."""
+    found = substrings.remove(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op11_substrings"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+o AS (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+g AS (SELECT s FROM o GROUP BY s HAVING count(*) > 1),
+c AS (
+  SELECT r, list(DISTINCT p) AS gone
+  FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM o JOIN g USING (s)) GROUP BY r),
+k AS (
+  SELECT d.r, doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed
+  FROM d LEFT JOIN c USING (r)),
+t AS (
+  SELECT x.r, string_agg(word, ' ' ORDER BY p) AS kept
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) x
+  ANTI JOIN (SELECT r, unnest(gone) AS p FROM c) y ON x.r = y.r AND x.p = y.p
+  GROUP BY x.r)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM k LEFT JOIN t USING (r)
+"""

@@ -165,6 +165,23 @@ def shingles(w: Words, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
     return h, at
 
 
+def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` words, also of those that cross texts."""
+    m = len(hashes) - k + 1
+    h = hashes[:m] * _PLACE[0]
+    for j in range(1, k):
+        h = h + hashes[j:j + m] * _PLACE[j]
+    return mix(h + _U(k))
+
+
+def span_hashes(hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of runs of words of any lengths."""
+    up, down = _POWERS.upto(len(hashes))
+    total = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    np.cumsum(hashes * up[:len(hashes)], out=total[1:])
+    return mix((total[ends] - total[begins]) * down[begins] + (ends - begins).astype(np.uint64))
+
+
 def shingle_sets(column: pa.Array, k: int = 5) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     w = words(column, NOT_SPACE)
