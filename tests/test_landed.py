@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from tidemark.sinks import publish
 from tidemark.sources import documents as D
+from tidemark.sources import fragments as FR
 from tidemark.sources import overlays, snapshots
 from tidemark.streaming import incremental as INC
 
@@ -150,3 +151,92 @@ def test_upsert(spark):
     b = spark.createDataFrame([("2", None, "z"), ("3", "n", "z")], a.schema)
     assert sorted(map(tuple, publish.upsert(a, b, "id", ["title"]).collect())) == [
         ("1", "t", "c"), ("2", None, "c"), ("3", "n", "z")]
+
+
+# --- files in many splits ------------------------------------------------------------
+
+@pytest.fixture(params=["300", "1g"])
+def split_size(spark, request):
+    keys = {"spark.sql.files.maxPartitionBytes": request.param, "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+WILD = ['plain', 'a } b ] c', 'quote " and \\ back', '{"n": 1}, {', '\\', '\\"}', '', 'é €   x',
+        'line\nend', '}}}}', '[[[', 'x' * 60]
+
+
+def wild(i):
+    return {"n": i, "t": WILD[i % len(WILD)], "deep": {"list": [1, {"t": WILD[(i * 5) % len(WILD)]}]}}
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_json_documents_in_many_splits(spark, tmp_path, split_size, indent):
+    import json
+    items = [wild(i) for i in range(24)]
+    (tmp_path / "list.json").write_text(json.dumps(items, indent=indent, ensure_ascii=False))
+    (tmp_path / "map.json").write_text(" \n" + json.dumps(
+        {f'k"}}{i}': x for i, x in enumerate(items)}, indent=indent) + "\n")
+    (tmp_path / "none.json").write_text("[ ]\n")
+    (tmp_path / "empty.json").write_text("{}")
+    (tmp_path / "blank.json").write_text("")
+    schema = ddl("n int, t string, deep struct<list: array<string>>")
+    records, rejects = FR.json_elements(spark, str(tmp_path), schema)
+    got = records.orderBy("file", "item").collect()
+    want = [(k, x["n"], x["t"]) for k, x in
+            [*((None, x) for x in items), *((f'k"}}{i}', x) for i, x in enumerate(items))]]
+    assert [(r.key, r.record.n, r.record.t) for r in got] == want
+    assert all(json.loads(r.record.deep.list[1]) == items[r.record.n]["deep"]["list"][1] for r in got)
+    assert rejects.count() == 0
+    if split_size == "300":
+        assert FR.fragments(spark, str(tmp_path / "list.json"), "}").rdd.getNumPartitions() > 5
+
+
+def test_bad_elements_and_their_offsets(spark, tmp_path, split_size):
+    bad = '{"n" 3, "t": "é"}'
+    text = '[{"n": 1}, ' + bad + ', {"n": 2}, 7, {"n": 8}, {"n": 4}, 5]'
+    (tmp_path / "list.json").write_text(text)
+    (tmp_path / "cut.json").write_text('{"a": {"n": 5}, "b": {"n": 6')
+    (tmp_path / "other.json").write_text("3")
+    records, rejects = FR.json_elements(spark, str(tmp_path), ddl("n int, t string"))
+    assert sorted((r.key or "", r.record.n) for r in records.collect()) == [
+        ("", 1), ("", 2), ("", 4), ("a", 5)]
+    found = {(r.file.split("/")[-1], r.at): r.text for r in rejects.collect()}
+    raw = text.encode()
+    assert found == {("list.json", raw.index(b", {\"n\" 3")): ", " + bad[:-1],
+                     ("list.json", raw.index(b", 7")): ', 7, {"n": 8',
+                     ("list.json", raw.index(b", 5]")): ", 5]",
+                     ("cut.json", 14): ', "b": {"n": 6', ("other.json", 0): "3"}
+
+
+def test_csv_in_many_splits(spark, tmp_path, split_size):
+    import csv
+    cells = ["plain", 'a "quoted" word', "line\nend", "comma, and\n\"\n\"", "", "é ", "x" * 50, '"']
+    for name in ("a", "b"):
+        with open(tmp_path / f"{name}.csv", "w", newline="") as f:
+            out = csv.writer(f, lineterminator="\n" if name == "a" else "\r\n")
+            out.writerow(["id", "the label", "last"])
+            for i in range(20):
+                out.writerow([f"{name}{i}", cells[i % 8], cells[(i * 3 + 1) % 8]])
+        with open(tmp_path / f"{name}.csv", "a") as f:
+            f.write("\n")
+    got = FR.csv_records(spark, str(tmp_path))
+    want = spark.read.csv(str(tmp_path), header=True, multiLine=True, escape='"')
+    assert got.columns == want.columns == ["id", "the label", "last"]
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert got.count() == 40 and rows(got) == rows(want)
+    (tmp_path / "none").mkdir()
+    assert FR.csv_records(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_lines_are_numbered_through_splits(spark, tmp_path, split_size):
+    lines = [f"line {i} é " * (i % 4) for i in range(60)]
+    (tmp_path / "a.txt").write_text("\n".join(lines) + "\n")
+    (tmp_path / "b.txt").write_text("one\r\ntwo")
+    got = FR.numbered_lines(spark, str(tmp_path)).orderBy("file", "line_no").collect()
+    assert [(r.line_no, r.line) for r in got] == [
+        *enumerate(lines, 1), (1, "one\r"), (2, "two")]
