@@ -17,8 +17,7 @@ meet only the shards that can hold their windows:
     starts at least twice.  Where it reaches ``length``, a repeated window ends.
 4.  The windows found go back to their texts, which are read once more to drop the spans.
 
-Texts move once: they are written in buckets by their digest and a salt, so that many copies of one
-text lie in many buckets, and all later joins are on both.
+Texts move once: they are written in buckets by a number of their own, and all later joins are on it.
 """
 
 from __future__ import annotations
@@ -32,7 +31,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words
 from tidemark.llm.frames import buckets_for, small_batches, token
-from tidemark.operators.joins import lookup_join
 from tidemark.workspace import durable, fan_out, new_path
 
 LENGTH = 35
@@ -43,7 +41,8 @@ SHARD_WORDS = 100_000
 #: An anchor with more different contexts than this is split into single windows.
 CONTEXTS = 1000
 _U = np.uint64
-_PIECES = "h long, pd long, key binary, salt int, at int, n int, copies long"
+#: A key of more than one in so many rows is dealt to several tasks; there are fewer such keys.
+_SLICES = 1000
 _OUT = ("doc_id long, n_words long, n_removed long, kept string, "
         "spans array<struct<start: int, end: int>>")
 
@@ -146,59 +145,64 @@ def anchored(column: pa.Array, length: int = LENGTH, gram: int = GRAM):
 
 
 def _pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """One row per piece of each text; copies of a text in one batch are one text with a count."""
+    """(h, pd, rid, at, n): one row per piece of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            copies: dict[tuple, list[int]] = {}
-            for i, row in enumerate(zip(batch.column("key").to_pylist(),
-                                        batch.column("salt").to_pylist())):
-                copies.setdefault(row, []).append(i)
-            many = np.array([len(x) for x in copies.values()])
-            own = batch.take(pa.array([x[0] for x in copies.values()], pa.int64()))
-            a = 0
-            for part in words.pieces(own, "text"):
+            for part in words.pieces(batch, "text"):
                 text, first, n, h, pd = anchored(part.column("text"), length, gram)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(pd.view(np.int64)),
-                     part.column("key").take(pa.array(text)), part.column("salt").take(pa.array(text)),
-                     pa.array(first, pa.int32()), pa.array(n, pa.int32()),
-                     pa.array(many[a:a + part.num_rows][text], pa.int64())],
-                    ["h", "pd", "key", "salt", "at", "n", "copies"])
-                a += part.num_rows
+                     part.column("rid").take(pa.array(text)), pa.array(first, pa.int32()),
+                     pa.array(n, pa.int32())], ["h", "pd", "rid", "at", "n"])
+
+    return docs.select("rid", "text").mapInArrow(run, "h long, pd long, rid long, at int, n int")
+
+
+def _joined(rows: DataFrame, known: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+    """``rows`` whose key is in ``known`` (unique keys); rows of the ``hot`` keys are spread."""
+    salts = fan_out(rows.sparkSession)
+    hot = F.broadcast(hot.select(*on, F.lit(True).alias("hot")))
+    left = rows.join(hot, on, "left").withColumn(
+        "salt", F.when(F.col("hot"), F.pmod("rid", F.lit(salts))).otherwise(F.lit(0).cast("long")))
+    right = known.join(hot, on, "left").withColumn("salt", F.explode(F.when(
+        F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+        .otherwise(F.array(F.lit(0).cast("long")))))
+    return left.drop("hot").join(right.drop("hot"), [*on, "salt"]).drop("salt")
+
 
-    return docs.select("key", "salt", "text").mapInArrow(run, _PIECES)
+def _hot(counted: DataFrame, n: str) -> DataFrame:
+    """The keys of ``counted`` with more than one in ``_SLICES`` of all that ``n`` counts."""
+    total = counted.agg(F.sum(n).alias("total")).first()["total"] or 0
+    return counted.filter(F.col(n) * _SLICES > total)
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """(h, pd, weight, piece): the words of the pieces that ``wanted`` lists by text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for key, salt, text, pieces in zip(*(batch.column(c).to_pylist() for c in (
-                    "key", "salt", "text", "pieces"))):
-                if (key, salt) == before:
-                    continue
-                before, own = (key, salt), text.encode().split()
-                for p in pieces:
-                    for to, value in zip(out, (
-                            p["h"], p["pd"], p["weight"],
-                            b" ".join(own[p["at"]:p["at"] + p["n"] + length - 1]).decode())):
-                        to.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string())],
-                ["h", "pd", "weight", "piece"])
-
-    return (docs.join(wanted.hint("shuffle_hash"), ["key", "salt"])
-            .select("key", "salt", "text", "pieces")
+            for part in words.pieces(batch, "text"):
+                out: tuple[list, list, list, list] = ([], [], [], [])
+                for text, pieces in zip(part.column("text").to_pylist(),
+                                        part.column("pieces").to_pylist()):
+                    own = text.encode().split()
+                    for p in pieces:
+                        for to, value in zip(out, (
+                                p["h"], p["pd"], p["weight"],
+                                b" ".join(own[p["at"]:p["at"] + p["n"] + length - 1]).decode())):
+                            to.append(value)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string())],
+                    ["h", "pd", "weight", "piece"])
+
+    return (docs.join(wanted.hint("shuffle_hash"), "rid").select("text", "pieces")
             .mapInArrow(run, "h long, pd long, weight long, piece string"))
 
 
 def _repeated(entries: DataFrame, length: int, shard_words: int) -> DataFrame:
     """(h, pd, bits): the windows of each entry that start at least twice in its shard.
 
-    ``entries`` are (h, pd, weight, piece); entries of one h are in one shard, and an entry may come
-    more than once.  A partition holds whole shards, one after the other.
+    ``entries`` are (h, pd, weight, piece), each once; those of one h are in one shard.  A partition
+    holds whole shards, one after the other.
     """
     def flush(shard: dict[tuple[int, int], tuple[int, bytes]]) -> pa.RecordBatch:
         symbols: dict[bytes, int] = {}
@@ -222,9 +226,8 @@ def _repeated(entries: DataFrame, length: int, shard_words: int) -> DataFrame:
                     yield flush(shard)
                     shard, size = {}, 0
                 last = h
-                if (h, pd) not in shard:
-                    shard[h, pd] = (weight, piece.encode())
-                    size += piece.count(" ") + 1
+                shard[h, pd] = (weight, piece.encode())
+                size += piece.count(" ") + 1
         yield flush(shard)
 
     return (entries.repartition(fan_out(entries.sparkSession), "h").sortWithinPartitions("h")
@@ -244,38 +247,36 @@ def _single(entries: DataFrame, length: int) -> DataFrame:
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                      shard_words: int = SHARD_WORDS, contexts: int = CONTEXTS) -> DataFrame:
-    """(key, salt, found: array of (first window, bits)) of the texts of ``docs`` (key, salt, text)."""
-    spark = docs.sparkSession
+    """(rid, found: array of (first window, bits)) of the texts of ``docs`` (rid, text)."""
     pieces = durable(_pieces(docs, length, gram), "pieces")
-    often = durable(pieces.groupBy("h").agg(F.sum("copies").alias("n")).filter("n > 1").select("h"),
-                    "anchors")
-    met = durable(lookup_join(pieces, often, ["h"], unique=["key", "salt", "at"]), "met")
+    often = durable(pieces.groupBy("h").agg(F.count("*").alias("many")).filter("many > 1"), "anchors")
+    met = durable(_joined(pieces, often.select("h"), ["h"], _hot(often, "many")), "met")
     distinct = durable(met.groupBy("h", "pd").agg(
-        F.sum("copies").alias("weight"), F.min(F.struct("key", "salt", "at", "n")).alias("in")),
-        "entries")
-    wanted = distinct.groupBy("in.key", "in.salt").agg(F.collect_list(F.struct(
+        F.count("*").alias("weight"), F.min(F.struct("rid", "at", "n")).alias("in")), "entries")
+    wanted = distinct.groupBy("in.rid").agg(F.collect_list(F.struct(
         "h", "pd", "weight", "in.at", "in.n")).alias("pieces"))
     entries = durable(_contents(docs, wanted, length), "contents")
-    wide = durable(distinct.groupBy("h").count().filter(F.col("count") > contexts).select("h"), "wide")
+    contexts_of = distinct.groupBy("h").agg(F.count("*").alias("many"))
+    wide = durable(contexts_of.filter(F.col("many") > contexts), "wide")
     if wide.isEmpty():
         found = durable(_repeated(entries, length, shard_words), "repeated")
     else:
-        marked = lookup_join(entries, wide.withColumn("wide", F.lit(True)), ["h"], "left",
-                             unique=["h", "pd"])
-        marked = durable(marked, "marked")
-        single = durable(_single(marked.filter("wide").dropDuplicates(["h", "pd"]), length), "single")
+        narrow = entries.join(wide.select("h"), "h", "left_anti")
+        broad = _joined(entries.withColumn("rid", F.col("pd")), wide.select("h"), ["h"],
+                        _hot(wide, "many"))
+        single = durable(_single(broad, length), "single")
         windows = (single.groupBy("wh", "wpd").agg(F.sum("weight").alias("weight"),
                                                    F.first("window").alias("piece"))
                    .withColumnsRenamed({"wh": "h", "wpd": "pd"}))
-        again = (_repeated(windows, length, shard_words)
-                 .select(F.col("h").alias("wh"), F.col("pd").alias("wpd")))
-        split = (lookup_join(single.select("h", "pd", "place", "wh", "wpd"), durable(again, "again"),
-                             ["wh", "wpd"], unique=["h", "pd", "place"])
+        again = durable(_repeated(windows, length, shard_words)
+                        .select(F.col("h").alias("wh"), F.col("pd").alias("wpd")), "again")
+        places = single.select("h", "pd", "place", "wh", "wpd", F.col("pd").alias("rid"))
+        counted = single.groupBy("wh", "wpd").agg(F.count("*").alias("many"))
+        split = (_joined(places, again, ["wh", "wpd"], _hot(durable(counted, "counted"), "many"))
                  .groupBy("h", "pd").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits")))
-        found = durable(_repeated(marked.filter("wide is null"), length, shard_words)
-                        .unionByName(split), "repeated")
-    return durable(lookup_join(met, found, ["h", "pd"], unique=["key", "salt", "at"])
-                   .groupBy("key", "salt").agg(F.collect_set(F.struct("at", "bits")).alias("found")),
+        found = durable(_repeated(narrow, length, shard_words).unionByName(split), "repeated")
+    return durable(_joined(met, found, ["h", "pd"], _hot(distinct, "weight"))
+                   .groupBy("rid").agg(F.collect_list(F.struct("at", "bits")).alias("found")),
                    "found")
 
 
@@ -332,15 +333,14 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_words:
     name, buckets = f"tidemark_texts_{token()}", buckets_for(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce("text", F.lit("")).alias("text"))
-    (texts.withColumn("key", F.unhex(F.md5("text")))
-     .withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(buckets)).cast("int"))
-     .repartition(buckets, "key", "salt").write.bucketBy(buckets, "key", "salt").sortBy("key", "salt")
+    (texts.withColumn("rid", F.monotonically_increasing_id())
+     .repartition(buckets, "rid").write.bucketBy(buckets, "rid")
      .option("path", new_path(spark, "texts")).option("compression", "zstd").saveAsTable(name))
     try:
         dealt = spark.table(name)
         with small_batches(spark):
             found = repeated_windows(dealt, length, gram, shard_words, contexts)
-        return (dealt.join(found.hint("shuffle_hash"), ["key", "salt"], "left")
+        return (dealt.join(found.hint("shuffle_hash"), "rid", "left")
                 .select("doc_id", "text", "found").mapInArrow(_without(length), _OUT))
     finally:
         # the files stay, and the plan knows them
