@@ -355,3 +355,9 @@ POSTAL_PATTERNS = {
         True, True),
 }
 INSTITUTION = r"\b(?:" + "|".join(INSTITUTION_WORDS) + r")\b"
+
+#: Fields of a research record that must be there and not empty.
+RESEARCH_REQUIRED = ("id", "source", "title", "text", "url", "date_published")
+#: Fields of a research dump's metadata.
+RESEARCH_METADATA = ("extraction_date", "source_name", "source_url", "extraction_method", "data_format",
+                     "record_count")

@@ -12,6 +12,7 @@ from tidemark.functions import dates as D
 from tidemark.functions import evidence as E
 from tidemark.functions import text as X
 from tidemark.operators.filters import missing_list
+from tidemark.operators import json_leaves
 from tidemark.operators.rules import Rule, as_violations, violations
 
 
@@ -323,16 +324,13 @@ def mojibake(df: DataFrame, collection: str, key: str, columns: Sequence[str],
 
 
 def mojibake_leaves(df: DataFrame, collection: str, key: str, raw: str,
-                    gating: bool = True) -> DataFrame:
-    """Corrupted strings anywhere in free JSON, keys included.
+                    gating: bool | Column = True) -> DataFrame:
+    """Corrupted strings and keys anywhere in free JSON, each with its path as the detail.
 
-    Strings of a serialised document are found by their quotes, so nesting of
-    any depth is covered without walking it row by row.
+    Raw zones report, derived zones gate; a document that does not parse is a violation.
     """
-    strings = F.regexp_extract_all(raw, F.lit(r'"((?:[^"\\]|\\.)*)"'), F.lit(1))
-    bad = F.size(F.filter(strings, lambda s: X.detect_mojibake(s).isNotNull()))
-    return violations(df, collection, key, [
-        Rule("mojibake", bad > 0, bad.cast("string"), "error" if gating else "report")])
+    return json_leaves.broken_leaves(df, collection, key, raw, "mojibake", json_leaves.is_mojibake,
+                                     gating)
 
 
 def taxonomy(here: DataFrame, elsewhere: DataFrame) -> DataFrame:

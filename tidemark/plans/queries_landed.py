@@ -12,7 +12,7 @@ from tidemark.plans.registry import query
 from tidemark.plans.standins import cte, standin, table
 from tidemark.sinks import publish
 from tidemark.sources import documents as D
-from tidemark.sources import overlays, snapshots
+from tidemark.sources import fragments, overlays, snapshots
 from tidemark.streaming import incremental as INC
 from tidemark.workspace import new_path
 
@@ -83,13 +83,66 @@ def _(spark, sf):
     return out.select("shape", "key", "record.name", "record.balance")
 
 
+def one_file(rows, order, spark, label) -> str:
+    """Lines (``value``) as a single text file in the order given; the lines stream through one task."""
+    path = new_path(spark, label)
+    rows.orderBy(order).select("value").coalesce(1).write.text(path)
+    return path
+
+
+def landed_json(spark, sf, shape) -> str:
+    """Customers as one JSON list or object; every 50th element has broken syntax."""
+    rows = table(spark, sf, "customer")
+    least, k = rows.agg(F.min("c_custkey")).first()[0], F.col("c_custkey")
+    item = F.to_json(F.struct(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"),
+                              F.lit('a } "quoted\" ] brace {').alias("note")))
+    item = F.when(k % 50 == 0, F.regexp_replace(item, '"name":', '"name" ')).otherwise(item)
+    if shape == "map":
+        item = F.concat(F.lit('"k'), k.cast("string"), F.lit('": '), item)
+    item = F.concat(F.when(k == least, F.lit("[" if shape == "list" else "{")).otherwise(F.lit(",")), item)
+    end = rows.sparkSession.createDataFrame([("]" if shape == "list" else "}",)], "value string")
+    lines = rows.select(k.alias("k"), item.alias("value")).unionByName(
+        end.withColumn("k", F.lit(None).cast("long")))
+    return one_file(lines, F.col("k").asc_nulls_last(), spark, f"json-{shape}")
+
+
+@query("json_file_in_splits", "S3 S4", """
+SELECT 'list' AS shape, NULL AS key, c_name AS name, c_acctbal AS balance FROM customer
+  WHERE c_custkey % 50 <> 0
+UNION ALL SELECT 'map', 'k' || c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 50 <> 0""")
+def _(spark, sf):
+    out = None
+    for shape in ("list", "map"):
+        found, _ = fragments.json_elements(spark, landed_json(spark, sf, shape),
+                                           ddl("name string, balance double, note string"))
+        part = found.select(F.lit(shape).alias("shape"), "key", "record.name", "record.balance")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("json_file_rejects", "S3 S4", """
+SELECT CAST(regexp_extract(c_name, '[0-9]+') AS BIGINT) AS custkey, true AS begins_there FROM customer
+WHERE c_custkey % 50 = 0""")
+def _(spark, sf):
+    """Broken elements with the byte they begin at; the bytes before it must lead up to it."""
+    path = landed_json(spark, sf, "list")
+    _, bad = fragments.json_elements(spark, path, ddl("name string, balance double, note string"))
+    # in these files a line is an element; it begins behind the brace of the line before
+    lines = fragments.running(fragments.fragments(spark, path, "\n"), at=F.octet_length("text") + 1)
+    starts = lines.select(F.regexp_extract("text", r"#(\d+)", 1).try_cast("long").alias("custkey"),
+                          F.greatest(F.col("at") - 1, F.lit(0)).alias("start"))
+    found = bad.select(F.regexp_extract("text", r"#(\d+)", 1).try_cast("long").alias("custkey"), "at")
+    return found.join(starts, "custkey").select("custkey", (F.col("at") == F.col("start"))
+                                                .alias("begins_there"))
+
+
 @query("csv_scan", "S5", """
 SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name || chr(10) || '"quoted", ' || p_brand AS label
 FROM part""")
 def _(spark, sf):
     path = new_path(spark, "csv")
     table(spark, sf, "part").select("p_partkey", F.concat(
-        "p_name", F.lit('\n"quoted", '), "p_brand").alias("label")).write.csv(
+        "p_name", F.lit('\n"quoted", '), "p_brand").alias("label")).coalesce(1).write.csv(
         path, header=True, escape='"', quoteAll=True)
     return D.csv(spark, path).select("p_partkey", "label")
 
@@ -250,8 +303,9 @@ def _(spark, sf):
     return out
 
 
-@query("guarded_dump", "K7 Q2 Q3", cte("candidates") + """
-SELECT count(*) AS written, true AS manifest_matches, true AS refused_bad FROM candidates""")
+@query("guarded_dump", "K7 S17 Q2 Q3", cte("candidates") + """
+SELECT count(*) AS written, true AS manifest_matches, true AS flip_differs, true AS refused_bad,
+  true AS bounded FROM candidates""")
 def _(spark, sf):
     k = F.col("o_orderkey")
     rows = QC.candidates(spark, sf).select(
@@ -261,17 +315,25 @@ def _(spark, sf):
         "occurred_at", "published_at", "source_available_at", k.alias("k"))
     rows = rows.withColumn("raw", F.to_json(F.struct(
         "occurred_at", "published_at", "source_available_at"), {"ignoreNullFields": "false"}))
-    path = new_path(spark, "dump")
-    manifest = publish.guarded_dump(rows.drop("raw", "k"), Q.admission(rows), path)
+    path, most = new_path(spark, "dump"), 1 << 20
+    manifest = publish.guarded_dump(rows.drop("raw", "k"), Q.admission(rows), path, file_bytes=most)
     refused = False
     try:
         bad = rows.withColumn("title", F.when(F.col("k") % 100 != 0, F.col("title")))
         publish.guarded_dump(bad.drop("raw", "k"), Q.admission(bad), path + "-bad")
     except publish.RefusedWrite:
         refused = True
-    again = D.file_hashes(spark, path)
-    same = manifest.join(again, ["file", "sha256"], "full_outer").agg(
-        F.bool_and(F.col("file").isNotNull()).alias("manifest_matches"))
+    # files are bounded, so Spark can hold each one to hash it by itself, as it is and with a byte changed
+    content = F.hex("content")
+    flipped = F.unhex(F.concat(F.when(F.left(content, F.lit(2)) == "00", F.lit("01"))
+                               .otherwise(F.lit("00")), F.substr(content, F.lit(3))))
+    own = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+           .filter("length > 0").select(F.col("path").alias("file"), F.sha2("content", 256).alias("own"),
+                                        F.sha2(flipped, 256).alias("flipped")))
+    same = manifest.filter("bytes > 0").join(own, "file", "full_outer").agg(
+        F.bool_and(F.coalesce(F.col("sha256") == F.col("own"), F.lit(False))).alias("manifest_matches"),
+        F.bool_and(F.col("sha256") != F.col("flipped")).alias("flip_differs"),
+        (F.max("bytes") < 2 * most).alias("bounded"))
     # one row each
     return (spark.read.schema("id string").json(path + "/data").agg(F.count("*").alias("written"))
             .join(F.broadcast(same)).withColumn("refused_bad", F.lit(refused)))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark import constants as K
+from tidemark.operators import dump_checks
 from tidemark.operators import quality as Q
 from tidemark.operators import rules as RU
 from tidemark.plans import collections as PL
@@ -220,6 +222,79 @@ def _(spark, sf):
     return shown(Q.research_records(rows, ["arxiv", "distill", "src7"]))
 
 
+RESEARCH_SCHEMA = {
+    "type": "object", "required": ["id", "url"],
+    "properties": {"id": {"type": "string", "maxLength": 4}, "url": {"type": "string"},
+                   "notes": {"type": "array", "maxItems": 2}}}
+
+
+def research_dump_lines(spark, sf):
+    """Documents as lines of dumps, one per language, with faults of every kind."""
+    k, text = F.col("doc_id"), F.col("text")
+    raw = F.to_json(F.struct(
+        F.concat(F.lit("r"), (k % 900).cast("string")).alias("id"), "source",
+        F.when(k % 31 == 0, "").otherwise("a title").alias("title"), text,
+        F.concat(F.when(k % 17 == 0, "ftp").otherwise("https"), F.lit("://x/")).alias("url"),
+        F.when(k % 19 == 0, "2024/01/02").otherwise("2024-01-02").alias("date_published"),
+        F.array(F.struct(F.when(k % 7 == 0, "n\u00e9").otherwise("ne").alias("who")),
+                F.struct(F.lit("ok").alias("who"))).alias("notes")))
+    raw = F.when(k % 29 == 0, F.regexp_replace(raw, r'"notes":\[', '"notes":[null,null,')).otherwise(raw)
+    return table(spark, sf, "documents").select(
+        F.col("lang").alias("dump"), k.alias("line_no"),
+        F.when(k % 23 == 0, F.left(raw, F.length(raw) - 2)).otherwise(raw).alias("raw"))
+
+
+SQL_DUMPS = r"""
+WITH d AS (SELECT *, 'r' || (doc_id % 900) AS id FROM documents),
+g AS (SELECT * FROM d WHERE doc_id % 23 <> 0),
+f AS (
+  SELECT lang AS dump, doc_id AS line_no, NULL AS id, 'does not parse as JSON' AS rule, NULL AS detail
+  FROM d WHERE doc_id % 23 = 0
+  UNION ALL SELECT lang, doc_id, id, rule, detail FROM g, LATERAL (VALUES
+    ('schema', '$.id: maxLength', length(id) > 4), ('schema', '$.notes: maxItems', doc_id % 29 = 0),
+    ('missing title', NULL, doc_id % 31 = 0), ('missing text', NULL, text = '' OR text IS NULL),
+    ('date shape', '2024/01/02', doc_id % 19 = 0), ('url scheme', 'ftp://x/', doc_id % 17 = 0),
+    ('unknown source', source, source NOT IN ('src1', 'src2', 'src7')),
+    ('missing source', NULL, source IS NULL), ('non-ascii', '/text', regexp_matches(text, '[^\x00-\x7F]')),
+    ('non-ascii', CASE WHEN doc_id % 29 = 0 THEN '/notes[2]/who' ELSE '/notes[0]/who' END,
+      doc_id % 7 = 0)) v(rule, detail, broken) WHERE broken
+  UNION ALL SELECT lang, doc_id, id, 'duplicate id', NULL FROM (SELECT *, min(doc_id) OVER (
+    PARTITION BY lang, id) AS first FROM g) WHERE doc_id > first)"""
+
+
+@query("research_dump_rules", "Q12 Q19", SQL_DUMPS + """
+SELECT dump, line_no, id, rule, 'error' AS severity, detail FROM f""")
+def _(spark, sf):
+    return dump_checks.research_lines(research_dump_lines(spark, sf), RESEARCH_SCHEMA,
+                                      ["src1", "src2", "src7"])
+
+
+@query("research_dump_counts", "Q12", SQL_DUMPS + """
+, t AS (SELECT lang AS dump, count(*) AS total FROM documents GROUP BY 1),
+c AS (SELECT dump, count(DISTINCT line_no) AS invalid,
+    count(DISTINCT CASE WHEN rule = 'schema' THEN line_no END) AS schema_errors,
+    count(*) FILTER (WHERE rule LIKE 'missing %') AS missing_fields,
+    count(DISTINCT CASE WHEN rule = 'duplicate id' THEN line_no END) AS duplicate_ids,
+    count(DISTINCT CASE WHEN rule = 'non-ascii' THEN line_no END) AS ascii_errors FROM f GROUP BY 1)
+SELECT dump, total, total - invalid AS valid, invalid, schema_errors, missing_fields, duplicate_ids,
+  ascii_errors, CASE WHEN dump <> 'es' THEN total + CASE WHEN dump = 'fr' THEN 1 ELSE 0 END END AS expected,
+  CASE dump WHEN 'es' THEN 'no metadata' WHEN 'fr' THEN 'missing metadata field source_url; record count mismatch'
+    ELSE '' END AS problems FROM t JOIN c USING (dump)
+UNION ALL SELECT 'xx', 0, 0, 0, 0, 0, 0, 0, 5, 'record count mismatch; no data'""")
+def _(spark, sf):
+    """Counts observed in the dumps against the counts their metadata states."""
+    lines = research_dump_lines(spark, sf)
+    found = dump_checks.research_lines(lines, RESEARCH_SCHEMA, ["src1", "src2", "src7"])
+    fields = [F.lit("x").alias(f) for f in K.RESEARCH_METADATA if f not in ("record_count", "source_url")]
+    counted = (lines.groupBy("dump").agg(F.count("*").alias("n")).filter("dump <> 'es'")
+               .unionByName(spark.createDataFrame([("xx", 5)], "dump string, n long")))
+    fr = F.col("dump") == "fr"
+    metadata = counted.select("dump", F.to_json(F.struct(
+        *fields, F.when(~fr, "u").alias("source_url"),
+        (F.col("n") + F.when(fr, 1).otherwise(0)).alias("record_count"))).alias("raw"))
+    return dump_checks.reconciled(lines, found, metadata)
+
+
 @query("grant_rules", "Q13", """
 SELECT CAST(k AS VARCHAR) AS grant_id, rule, severity FROM (SELECT o_orderkey AS k FROM orders),
 LATERAL (VALUES ('missing source', 'error', k % 17 = 0), ('empty source', 'warning', k % 17 = 1),
@@ -414,6 +489,42 @@ def _(spark, sf):
     return shown(Q.mojibake(rows, "documents", "doc_id", ["broken", "clean"]))
 
 
+BROKEN = r"""(regexp_matches(text, '[^\x00-\x7F]') AND NOT regexp_matches(text,
+  '[\x{c1}\x{cd}\x{cf}\x{d0}\x{dd}]'))"""
+
+
+def latin_of(text):
+    """The text as it looks when its UTF-8 bytes are read as Windows-1252."""
+    from tidemark.functions import text as X
+    return F.translate(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), X._C1_CHARS, X._CP1252_CHARS)
+
+
+@query("mojibake_paths", "Q19 F7", f"""
+WITH d AS (SELECT doc_id, source, {BROKEN} AS broken FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS id, 'mojibake' AS rule,
+  CASE WHEN source IN ('src0', 'src1') THEN 'report' ELSE 'error' END AS severity, detail
+FROM d, LATERAL (VALUES ('/text', doc_id % 3 = 0), ('/deep/list[1]/note', doc_id % 3 = 1),
+  ('/named/<key>', doc_id % 3 = 2), ('/deep/list[0]/items[0]', doc_id % 3 <> 1)) v(detail, here)
+WHERE here AND broken AND doc_id % 40 <> 0
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'does not parse as JSON',
+  CASE WHEN source IN ('src0', 'src1') THEN 'report' ELSE 'error' END, NULL FROM d WHERE doc_id % 40 = 0""")
+def _(spark, sf):
+    """Damaged strings and keys of nested documents by path; two sources are raw zones."""
+    k, broken = F.col("doc_id"), latin_of(F.coalesce("text", F.lit("")))
+    at = lambda here, other="plain": F.when(here, broken).otherwise(other)
+    entry = lambda items, note: F.struct(items.alias("items"), note.alias("note"))
+    listed = F.array(entry(F.array(at(k % 3 != 1)), F.lit(None).cast("string")),
+                     entry(F.lit(None).cast("array<string>"), at(k % 3 == 1)))
+    raw = F.to_json(F.struct(k.alias("doc_id"), at(k % 3 == 0).alias("text"),
+                             F.struct(listed.alias("list")).alias("deep"),
+                             F.create_map(at(k % 3 == 2, "name"), F.lit("x")).alias("named")))
+    rows = table(spark, sf, "documents").select(
+        "doc_id", (~F.col("source").isin("src0", "src1")).alias("gates"),
+        F.when(k % 40 == 0, F.left(raw, F.length(raw) - 2)).otherwise(raw).alias("raw"))
+    return Q.mojibake_leaves(rows, "documents", "doc_id", "raw", F.col("gates")).select(
+        "id", "rule", "severity", "detail")
+
+
 @query("taxonomy_rules", "Q20 U5", """
 WITH h AS (SELECT p_partkey AS k, p_name || ' ' || (p_partkey - p_partkey % 100 % 2) AS term FROM part),
 e AS (SELECT s_suppkey AS k, 's' || s_suppkey AS term FROM supplier

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
@@ -14,6 +14,10 @@ from tidemark.sources.documents import file_hashes
 from tidemark.workspace import fan_out
 
 
+#: Files of a dump are about this long at most.
+FILE_BYTES = 256 << 20
+
+
 class RefusedWrite(ValueError):
     """Some row broke a rule, so nothing was written."""
 
@@ -89,20 +93,29 @@ def lineage_inputs(df: DataFrame, hashes: DataFrame, file: str = "_file") -> Dat
             .join(hashes.select("file", "sha256"), "file", "left"))
 
 
+def _bounded(df: DataFrame, file_bytes: int) -> DataFrameWriter:
+    """A writer whose files hold as many rows as make up ``file_bytes`` on average."""
+    mean = df.agg(F.avg(F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})) + 1)
+                  .alias("mean")).first()["mean"]
+    return df.write.option("maxRecordsPerFile", max(1, int(file_bytes / (mean or 1))))
+
+
 def guarded_dump(df: DataFrame, found: DataFrame, path: str, key: str = "id",
-                 raw: DataFrame | None = None, metadata: dict | None = None) -> DataFrame:
+                 raw: DataFrame | None = None, metadata: dict | None = None,
+                 file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write a new immutable dump unless a row is invalid or an id repeats.
 
     ``found`` is the violations table of ``df``.  Returns the manifest of the
-    files written.
+    files written, none of which is much longer than ``file_bytes``.
     """
     bad = found.unionByName(Q.unique_ids(df, "dump", key))
     first = bad.limit(5).collect()
     if first:
         raise RefusedWrite(f"refused {path}: {[(r['id'], r['rule']) for r in first]}")
-    df.write.option("ignoreNullFields", "false").mode("errorifexists").json(f"{path}/data")
-    if raw is not None:
-        raw.write.option("ignoreNullFields", "false").mode("errorifexists").json(f"{path}/raw")
+    for name, rows in (("data", df), ("raw", raw)):
+        if rows is not None:
+            _bounded(rows, file_bytes).option("ignoreNullFields", "false").mode(
+                "errorifexists").json(f"{path}/{name}")
     if metadata is not None:
         metadata_row(df.sparkSession, {}, **metadata).write.json(f"{path}/metadata")
     return file_hashes(df.sparkSession, path)

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import is_blank
+from tidemark.sources import fragments
 
 CORRUPT = "_corrupt_record"
+_CHUNK = 8 << 20
 
 
 def _lines(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
@@ -68,16 +75,15 @@ def explode_document(docs: DataFrame, column: str, record: T.DataType) -> DataFr
         *rest, "e.key", F.col("e.value").alias("record"))
 
 
-def json_documents(spark: SparkSession, path: str, record: T.DataType) -> DataFrame:
-    """All documents under ``path`` with their file name, exploded."""
-    docs = spark.read.option("wholetext", "true").text(path).select(
-        "value", F.col("_metadata.file_name").alias("file"))
-    return explode_document(docs, "value", record)
+def json_documents(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
+    """All documents under ``path`` with their file name, exploded; files are split."""
+    records, _ = fragments.json_elements(spark, path, record)
+    return records.select(F.element_at(F.split("file", "/"), -1).alias("file"), "key", "record")
 
 
 def csv(spark: SparkSession, path: str) -> DataFrame:
-    """A headed CSV as string columns; quoted cells may hold line ends."""
-    return spark.read.csv(path, header=True, multiLine=True, escape='"')
+    """A headed CSV as string columns; quoted cells may hold line ends; files are split."""
+    return fragments.csv_records(spark, path)
 
 
 def data_files(df: DataFrame) -> DataFrame:
@@ -87,9 +93,8 @@ def data_files(df: DataFrame) -> DataFrame:
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, line) of text files, split on LF only."""
-    docs = spark.read.option("wholetext", "true").text(path)
-    return number_lines(docs.select(F.col("_metadata.file_path").alias("file"), "value"), "value")
+    """(file, line_no, line) of text files, split on LF only; files are split."""
+    return fragments.numbered_lines(spark, path)
 
 
 def number_lines(df: DataFrame, column: str) -> DataFrame:
@@ -98,11 +103,30 @@ def number_lines(df: DataFrame, column: str) -> DataFrame:
         *rest, (F.col("line_no") + 1).alias("line_no"), "line")
 
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digests = []
+        for path in batch.column("file").to_pylist():
+            digest = hashlib.sha256()
+            files, at = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1)
+                                               if path.startswith("file:/") and path[6] != "/" else path)
+            with files.open_input_stream(at, compression=None) as stream:
+                while chunk := stream.read(_CHUNK):
+                    digest.update(chunk)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())],
+                                         ["file", "bytes", "sha256"])
+
+
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """(file, bytes, sha256) of every file under ``path``."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-            .select(F.col("path").alias("file"), F.col("length").alias("bytes"),
-                    F.sha2("content", 256).alias("sha256")))
+    """(file, bytes, sha256) of every file under ``path``.
+
+    Spark lists the files and deals them out by size without reading them; each is read once, in
+    chunks, so a file may have any length.  The folder is local, HDFS or an object store.
+    """
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+              .select(F.col("path").alias("file"), F.col("length").alias("bytes")))
+    return listed.mapInArrow(_hashed, "file string, bytes long, sha256 string")
 
 
 def from_listed(df: DataFrame, column: Column | str, allowed: list[str]) -> DataFrame:
