@@ -37,10 +37,12 @@ LENGTH = 35
 #: Words of an anchor.  Shorter ones give longer pieces, longer ones are seldom equal by chance.
 GRAM = 8
 #: Words of a shard's automaton; one entry more may exceed it.
-SHARD_WORDS = 100_000
+SHARD_WORDS = 50_000
 #: An anchor with more different contexts than this is split into single windows.
 CONTEXTS = 1000
 _U = np.uint64
+#: Bytes of text that a task turns into arrays at once.
+_PART = 1 << 20
 #: A key of more than one in so many rows is dealt to several tasks; there are fewer such keys.
 _SLICES = 1000
 _OUT = ("doc_id long, n_words long, n_removed long, kept string, "
@@ -148,7 +150,7 @@ def _pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """(h, pd, rid, at, n): one row per piece of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.pieces(batch, "text"):
+            for part in words.pieces(batch, "text", _PART):
                 text, first, n, h, pd = anchored(part.column("text"), length, gram)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(pd.view(np.int64)),
@@ -180,7 +182,7 @@ def _contents(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """(h, pd, weight, piece): the words of the pieces that ``wanted`` lists by text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.pieces(batch, "text"):
+            for part in words.pieces(batch, "text", _PART):
                 out: tuple[list, list, list, list] = ([], [], [], [])
                 for text, pieces in zip(part.column("text").to_pylist(),
                                         part.column("pieces").to_pylist()):
@@ -313,7 +315,7 @@ def _without(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.pieces(batch, "text"):
+            for part in words.pieces(batch, "text", _PART):
                 yield rows(part)
     return run
 
