@@ -240,3 +240,30 @@ def test_lines_are_numbered_through_splits(spark, tmp_path, split_size):
     got = FR.numbered_lines(spark, str(tmp_path)).orderBy("file", "line_no").collect()
     assert [(r.line_no, r.line) for r in got] == [
         *enumerate(lines, 1), (1, "one\r"), (2, "two")]
+
+
+def test_long_files_hash_in_chunks_and_dumps_are_bounded(spark, tmp_path, monkeypatch):
+    import hashlib
+    import os
+    sparse = tmp_path / "in" / "long.bin"
+    sparse.parent.mkdir()
+    with open(sparse, "wb") as f:
+        f.write(b"begin")
+        f.truncate((2 << 30) + 10)  # longer than one value of Spark may be
+    (tmp_path / "in" / "two words.txt").write_bytes(b"ab")
+    got = {os.path.basename(r.file): (r.bytes, r.sha256)
+           for r in D.file_hashes(spark, str(tmp_path / "in")).collect()}
+    digest = hashlib.sha256()
+    with open(sparse, "rb") as f:
+        while chunk := f.read(1 << 24):
+            digest.update(chunk)
+    os.remove(sparse)
+    assert got["long.bin"] == ((2 << 30) + 10, digest.hexdigest())
+    assert {v for k, v in got.items() if k.startswith("two")} == {
+        (2, hashlib.sha256(b"ab").hexdigest())}
+    rows = spark.range(500).selectExpr("cast(id AS string) AS id", "repeat('x', 100) AS t").coalesce(1)
+    found = spark.createDataFrame([], "collection string, id string, rule string, severity string, "
+                                      "detail string")
+    files = publish.guarded_dump(rows, found, str(tmp_path / "out"), file_bytes=10_000).filter(
+        "bytes > 1000").collect()
+    assert len(files) >= 5 and max(r.bytes for r in files) < 20_000

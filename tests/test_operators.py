@@ -143,7 +143,8 @@ def python_pairs(items):
     return out
 
 
-def test_near_duplicates_equal_brute_force(spark):
+@pytest.mark.parametrize("most", [2000, 1, 12])
+def test_near_duplicates_equal_brute_force(spark, most):
     import datetime as dt
     rng = random.Random(11)
     words = ["alpha", "beta", "gamma", "delta", "omega", "kappa", "sigma", "theta", "iota", "zeta"]
@@ -156,7 +157,7 @@ def test_near_duplicates_equal_brute_force(spark):
         items.append((f"r{i}", title, day))
     items += [(f"c{i}", "copy of one title here", base) for i in range(40)]
     df = spark.createDataFrame(items, "id string, title string, day date")
-    members, edges = similarity.near_duplicate_titles(df, "id", "title", F.col("day"))
+    members, edges = similarity.near_duplicate_titles(df, "id", "title", F.col("day"), most)
     none = spark.createDataFrame([], "id string, other string")
     got = similarity.possible_duplicates(members, edges, none, "id")
     want = python_pairs(items)
@@ -168,6 +169,24 @@ def test_near_duplicates_equal_brute_force(spark):
         assert counts.get(i, 0) == sum(a == i for a, _ in want)
 
 
+def test_a_common_pair_is_split_until_groups_are_small(spark, monkeypatch):
+    """Titles so short that two words which all of them hold are in every prefix."""
+    rng = random.Random(3)
+    items = [(f"r{i}", " ".join(["aaa", "bbb", *(f"w{rng.randrange(40)}" for _ in range(1 + i % 3 % 2 * 2))]),
+              None) for i in range(160)] + [("q", "aaa bbb", None)]
+    df = spark.createDataFrame(items, "id string, title string, day date")
+    groups = []
+    met = similarity._met
+    monkeypatch.setattr(similarity, "_met", lambda left, right, on, t, d, exactly: (
+        groups.append((exactly, right.groupBy(*on).count())), met(left, right, on, t, d, exactly))[1])
+    members, edges = similarity.near_duplicate_titles(df, "id", "title", most=15)
+    none = spark.createDataFrame([], "id string, other string")
+    got = {tuple(r) for r in similarity.possible_duplicates(members, edges, none, "id").collect()}
+    assert got == python_pairs(items)
+    assert len(groups) > 2 and max((g.agg(F.max("count")).first()[0] or 0)
+                                   for exactly, g in groups if not exactly) <= 15
+
+
 def test_thresholds_at_their_edges(spark):
     import datetime as dt
     d = dt.date(2026, 1, 10)

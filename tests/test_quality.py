@@ -6,7 +6,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import constants as K
+from tidemark.operators import dump_checks, json_leaves
 from tidemark.operators import quality as Q
+from tidemark.sources import fragments as FR
 from tidemark.operators.rules import schema_violations
 from tidemark.plans import collections as PL
 from tidemark.sinks.publish import RefusedWrite
@@ -164,3 +167,82 @@ def test_revalidation_is_all_or_nothing(spark):
     assert PL.revalidated(df, schema, clean_event_fields).first()["tags"] == ["t"]
     with pytest.raises(RefusedWrite):
         PL.revalidated(df.withColumn("title", F.lit("  a ")), schema, clean_event_fields)
+
+
+# --- leaves of free JSON -------------------------------------------------------------------
+
+def walk(node, path=""):
+    """Strings and keys of a parsed document with their paths."""
+    if isinstance(node, str):
+        yield path, node
+    elif isinstance(node, dict):
+        for key, value in node.items():
+            yield path + "/<key>", key
+            yield from walk(value, f"{path}/{key}")
+    elif isinstance(node, list):
+        for i, value in enumerate(node):
+            yield from walk(value, f"{path}[{i}]")
+
+
+def test_string_leaves_equal_a_walk(spark):
+    import json
+    import random
+    rng = random.Random(6)
+
+    def grow(depth):
+        kind = rng.randrange(6 if depth else 3)
+        if kind == 0:
+            return rng.choice(["", "caf\u00c3\u00a9", "x", "\u2028", "a\"b"])
+        if kind in (1, 2):
+            return rng.choice([None, 3, True, 1.5])
+        if kind == 3:
+            return [grow(depth - 1) for _ in range(rng.randrange(4))]
+        return {rng.choice(["k", "caf\u00c3\u00a9", "", "a/b", "$", "'"]) + str(i): grow(depth - 1)
+                for i in range(rng.randrange(4))}
+
+    docs = [grow(6) for _ in range(60)]
+    df = spark.createDataFrame([(i, json.dumps(d, ensure_ascii=False)) for i, d in enumerate(docs)]
+                               + [(900, "{bad"), (901, None)], "id int, raw string")
+    got = sorted(map(tuple, json_leaves.string_leaves(df, "raw", ["id"]).collect()), key=str)
+    want = [(i, *leaf) for i, d in enumerate(docs) for leaf in walk(d)]
+    assert got == sorted([*want, (900, None, None), (901, None, None)], key=str)
+
+
+def test_json_lines_are_split_on_line_feed_only(spark, tmp_path):
+    """U+2028 and its like inside values must not make the check invent findings."""
+    import json
+    (tmp_path / "a.jsonl").write_text("\n".join(json.dumps({"t": f"a{c}b"}, ensure_ascii=False) for c in (
+        "\u2028", "\u2029", "\x85", "caf\u00c3\u00a9")) + "\n")
+    lines = FR.numbered_lines(spark, str(tmp_path)).withColumn("raw_zone", F.lit(False))
+    found = Q.mojibake_leaves(lines, "a", "line_no", "line", F.col("raw_zone"))
+    assert [tuple(r)[1:] for r in found.collect()] == [("4", "mojibake", "report", "/t")]
+
+
+# --- research dumps --------------------------------------------------------------------------
+
+def test_a_wrong_count_and_a_nested_leaf_are_one_violation_each(spark):
+    import json
+    good = {"id": "a", "source": "s", "title": "t", "text": "x", "url": "https://x",
+            "date_published": "2024-01-02", "notes": []}
+    deep = {**good, "id": "b", "notes": [{"who": ["n\u00e9"]}]}
+    lines = spark.createDataFrame([("d", 1, json.dumps(good)), ("d", 2, json.dumps(deep)),
+                                   ("e", 1, json.dumps(good))], "dump string, line_no long, raw string")
+    said = {f: "x" for f in K.RESEARCH_METADATA}
+    metadata = spark.createDataFrame([("d", json.dumps({**said, "record_count": 2})),
+                                      ("e", json.dumps({**said, "record_count": 9}))],
+                                     "dump string, raw string")
+    found = dump_checks.research_lines(lines, {"type": "object"}, ["s"])
+    assert [(r.dump, r.rule, r.detail) for r in found.collect()] == [("d", "non-ascii", "/notes[0]/who[0]")]
+    stats = dump_checks.reconciled(lines, found, metadata)
+    assert {r.dump: (r.total, r.valid, r.problems) for r in stats.collect()} == {
+        "d": (2, 1, ""), "e": (1, 1, "record count mismatch")}
+    assert not dump_checks.all_valid(stats) and dump_checks.all_valid(stats.filter("dump = 'e'"))
+
+
+def test_a_hot_id_is_one_group_of_repeats(spark):
+    rows = spark.range(3000).selectExpr("'d' AS dump", "id AS line_no", """
+        to_json(named_struct('id', if(id % 3 = 0, 'hot', concat('r', id)), 'source', 's', 'title', 't',
+        'text', 'x', 'url', 'https://x', 'date_published', '2024-01-02')) AS raw""")
+    found = dump_checks.research_lines(rows, {"type": "object"}, ["s"])
+    assert [tuple(r) for r in found.groupBy("id", "rule").count().collect()] == [
+        ("hot", "duplicate id", 999)]

@@ -103,13 +103,22 @@ def number_lines(df: DataFrame, column: str) -> DataFrame:
         *rest, (F.col("line_no") + 1).alias("line_no"), "line")
 
 
+def _place(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path that Spark has listed, and the path in it."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    host, _, own = rest.removeprefix("//").partition("/")
+    files, base = fs.FileSystem.from_uri(f"{scheme}://{host}/")
+    return files, f"{base.rstrip('/')}/{own}"
+
+
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests = []
         for path in batch.column("file").to_pylist():
             digest = hashlib.sha256()
-            files, at = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1)
-                                               if path.startswith("file:/") and path[6] != "/" else path)
+            files, at = _place(path)
             with files.open_input_stream(at, compression=None) as stream:
                 while chunk := stream.read(_CHUNK):
                     digest.update(chunk)
