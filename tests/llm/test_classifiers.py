@@ -106,3 +106,40 @@ def test_pipeline_stages(spark, request, table):
     last = P.STAGES[-1][1](spark, before, sf).collect()
     assert len(last) == before.count()
     assert sum(r.n_tokens for r in last) == max((r.start + r.n_tokens for r in last), default=0)
+
+
+def test_letters_are_of_category_l():
+    assert all(language.has_letter(t) for t in ("a", "é", "你", "1 ª", "ʰ"))
+    assert not any(language.has_letter(t) for t in (None, "", "½", "²²", "①", "Ⅷ", "12 _ !", "😀"))
+
+
+def test_a_language_left_out_is_rejected_and_the_others_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    for out in ("en", "de"):
+        model = language.fit(docs.filter(f"lang <> '{out}'"))
+        rows = language.predict(docs, model, "p").select("lang", "p.rejected").collect()
+        own = [r.rejected for r in rows if r.lang == out]
+        others = [r.rejected for r in rows if r.lang != out]
+        assert sum(own) >= 0.95 * len(own) and sum(others) <= 0.01 * len(others)
+
+
+def test_odd_texts_do_not_move_the_bound(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").filter(
+        "lang = 'fr'")
+    short = spark.createDataFrame([(10_000_000 + i, t, "fr") for i, t in enumerate(
+        ["x", "a 1", "qz"] * 3)], "doc_id long, text string, lang string")
+    bound = [language.fit(d)[3].min() for d in (docs, docs.unionByName(short))]
+    assert bound[1] > 0.75 * bound[0]
+
+
+def test_one_id_with_two_texts_keeps_both(spark):
+    a, b = ("first text of some length that nothing else repeats today",
+            "quite another text under the same id which nobody copied ever")
+    c = "a third one of its own with words enough for several shingles"
+    rows = [(1, a, "en", "s"), (5, a, "en", "s"), (5, b, "en", "s"), (5, b, "en", "s"),
+            (None, c, "en", "s"), (None, c, "en", "s"), (9, None, "en", "s"), (9, "", "en", "s")]
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs = durable(docs.repartition(3), "docs")
+    got = sorted(((r.doc_id, r.text) for r in P.one_of_each_group(spark, docs, SF).collect()), key=str)
+    assert got == sorted([(1, a), (5, b), (None, c), (9, None), (9, "")], key=str)

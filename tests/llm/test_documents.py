@@ -329,3 +329,25 @@ def test_warc_payloads_of_one_id(spark):
     assert sorted((r.url, r.record_type, r.refers_to, r.payload.decode()) for r in got) == [
         ("a", "revisit", 2, ""), ("b", "response", None, "alone"), ("c", "revisit", 3, ""),
         ("d", "response", None, "twice"), ("e", "response", None, "third")]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_tokenizer_gives_its_own_ids(spark, odd, name):
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(name)
+    tokenizer = Tokenizer.from_file(path)
+    root = new_path(spark, "tokens")
+    manifest = token_files.write(odd, root, path, 1)
+    got = sorted((r.doc_id is not None, r.doc_id, r.ids) for r in token_files.read(
+        manifest, root).collect() if r.doc_id is not None)
+    want = sorted((True, r.doc_id, tokenizer.encode(r.text or "", add_special_tokens=False).ids + [1])
+                  for r in odd.collect() if r.doc_id is not None)
+    assert [(a, b, list(c)) for a, b, c in got] == want
+
+
+def test_large_vocabularies_have_longer_codes():
+    ids = np.r_[np.arange(100_000), np.zeros(50_000, int), np.arange(0, 100_000, 7)].astype(np.uint32)
+    counts = np.bincount(ids)
+    lengths = token_files.code_lengths(counts, 18)
+    bits, points = token_files.pack(ids, lengths, token_files.canonical(lengths))
+    assert lengths.max() <= 18 and (token_files.unpack(bits, lengths, points, len(ids)) == ids).all()

@@ -449,10 +449,18 @@ def _turned(apart: DataFrame, turn: int) -> DataFrame:
 
 
 def _across(apart: DataFrame) -> DataFrame:
-    """Pairs of members of one content that lie in different components."""
-    left = apart.select("content", F.col("sid").alias("a"), F.col("label").alias("la"))
+    """Pairs of members of one content that lie in different components.
+
+    Each such pair has a member outside the content's largest component, so only these are joined
+    with all others: no more rows than about twice the pairs.
+    """
+    largest = (apart.groupBy("content", "label").agg(F.count("*").alias("n")).groupBy("content")
+               .agg(F.max_by("label", F.struct("n", "label")).alias("largest")))
+    left = (apart.join(largest, "content").filter("label <> largest")
+            .select("content", F.col("sid").alias("a"), F.col("label").alias("la")))
     right = apart.select("content", F.col("sid").alias("b"), F.col("label").alias("lb"))
-    return (left.join(right, "content").filter("a < b and la <> lb").select("a", "b").distinct())
+    return (left.join(right, "content").filter("la <> lb")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def _rest_links(met: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -478,8 +486,10 @@ def _rest_links(met: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     if crowded.isEmpty():
         return links
     crowd = durable(apart.join(crowded, "content"), "crowd")
-    together = components.connected(crowd.select(F.col("sid").alias("a"),
-                                                 F.col("content").alias("b")))
+    # each set is linked to the least set of its contents: contents are no nodes
+    centres = crowd.groupBy("content").agg(F.min("sid").alias("a"))
+    together = components.connected(crowd.select("content", F.col("sid").alias("b"))
+                                    .join(centres, "content").select("a", "b").distinct())
     named = durable(crowd.join(together, crowd.sid == together.node).select(
         "content", "sid", crowd.label, together.label.alias("cluster")), "crowd")
     alone = (named.groupBy("cluster", "content").agg(F.count("*").alias("n")).groupBy("cluster")
@@ -522,6 +532,11 @@ def _link(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     kept = small(reps)
     sets = durable(rows.join(kept, rows.id.eqNullSafe(kept.rep), "left_semi")
                    .mapInArrow(_sets(k, "text"), "sid long, n long, bits binary, items binary"), "sets")
+    # an id that is repeated with one text has given that set several times
+    again = durable(sets.groupBy("sid").count().filter("count > 1").select("sid"), "again")
+    if not again.isEmpty():
+        sets = durable(sets.join(small(again), "sid", "left_anti").unionByName(
+            sets.join(small(again), "sid", "left_semi").dropDuplicates(["sid"])), "sets")
     stars = met.filter("sid <> pivot").select(F.least("pivot", "sid").alias("a"),
                                               F.greatest("pivot", "sid").alias("b")).distinct()
     clusters = components.connected(stars).withColumnRenamed("label", "cluster")

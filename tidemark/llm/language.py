@@ -9,7 +9,6 @@ farther than nearly all texts it was learned from, the text is rejected.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,17 +27,18 @@ DIMS = 4096
 CENTROIDS = 4
 #: At most about this many texts of each language are learned from.
 PER_LANGUAGE = 1000
-#: A text is rejected if its cosine is below this part of the least one seen in learning.
-SLACK = 0.4
+#: A text is rejected if its cosine is below this part of a low quantile of those seen in learning,
+#: taken over texts of some length: a few odd or very short ones do not move it.
+SLACK, QUANTILE, LONG = 0.6, 0.01, 100
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _BLANK = np.full(256, 0x20, dtype=np.uint8)
 _BLANK[0x61:0x7B] = np.arange(0x61, 0x7B)
 _BLANK[0x80:] = np.arange(0x80, 0x100)
 
 
 def has_letter(text: str | None) -> bool:
-    return text is not None and _LETTER.search(text) is not None
+    """Whether some character is of the general category L; number forms such as a half are not."""
+    return text is not None and any(map(str.isalpha, text))
 
 
 def counts(column: pa.Array) -> np.ndarray:
@@ -124,7 +124,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         x = np.concatenate([_unit(counts(pa.array(texts[a:a + 50], pa.large_string())) * idf)
                             for a in range(0, len(texts), 50)]).astype(np.float32)
         c = cluster(x, CENTROIDS)
-        least = float((x @ c.T).max(axis=1).min())
+        near = (x @ c.T).max(axis=1)
+        long = np.array([len(t) >= LONG for t in texts])
+        least = float(np.quantile(near[long] if long.any() else near, QUANTILE))
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]] * len(c),
                              "centroid": [v.astype(float).tolist() for v in c],
                              "least": [least] * len(c)})

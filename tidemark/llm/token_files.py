@@ -48,19 +48,29 @@ _CLASS[0x80:] = _JOINED
 _CLASS[[0x27, 0x5F, *range(0x00, 0x09), *range(0x0E, 0x20), 0x7F]] = _JOINED
 
 
+_PROBES = ["The quick Brown fox, it's 42 o'clock!", "  two  spaces\nand\ta tab ", "UPPER lower MiXeD",
+           "na\u00efve caf\u00e9 \u00c9T\u00c9", "a-b_c.d/e(f)[g]{h}", "x=1;y+=2;z!=3", "1234567 12.5%",
+           "don't 'quote' \"double\"", "\u4f60\u597d \u4e16\u754c", "\U0001f600 smile", "", "...", "a\r\nb\x0bc"]
+
+
 class Encoder:
     """Ids of whole texts, through a memory of the ids of their chunks.
 
     For tokenizers that drop white space, lower-case, and split letters from signs.  A text is cut
     at white space and between ASCII letters and other ASCII signs, never at an apostrophe or next
     to other characters, so no token reaches over a cut.  Texts with ``<|``, where a special token
-    could be, go to the tokenizer whole.
+    could be, go to the tokenizer whole.  A tokenizer of another kind shows on the probes, and then
+    all texts go to it whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self._forget()
+        self.by_chunks = True
+        ids, _ = self.encode(pa.array(_PROBES, pa.string()), 0)
+        self.by_chunks = ids.tolist() == [x for t in _PROBES for x in [*self._whole(t), 0]]
+        self._forget()
 
     def _forget(self) -> None:
         self.known = np.zeros(0, np.uint64)
@@ -84,6 +94,10 @@ class Encoder:
 
     def encode(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by ``end``; ids per text)."""
+        if not self.by_chunks:
+            parts = [np.array([*self._whole(t or ""), end], np.uint32) for t in column.to_pylist()]
+            return (np.concatenate(parts) if parts else np.zeros(0, np.uint32),
+                    np.array([len(p) for p in parts], np.int64))
         data, at = words.text_bytes(column)
         data = words._LOWER[data]
         kind = _CLASS[data]
@@ -392,7 +406,9 @@ def _write_all(docs: DataFrame, root: str, tokenizer_path: str, end: int, id_col
     starts, before = {}, 0
     for r in tokens.groupBy("block").agg(F.sum("n").alias("n")).orderBy("block").collect():
         starts[r["block"]], before = before, before + r["n"]
-    shared = spark.sparkContext.broadcast((code_lengths(counts), starts))
+    # longer codes where the vocabulary needs them; unpacking takes up to 24 bits
+    most = min(24, max(MAX_BITS, int(np.count_nonzero(counts)).bit_length() + 1))
+    shared = spark.sparkContext.broadcast((code_lengths(counts, most), starts))
     written = (tokens.repartitionById(len(edges) + 1, F.col("block")).sortWithinPartitions("block")
                .mapInArrow(_write(root, shared), _WRITTEN))
     return shards.publish(written, root)
