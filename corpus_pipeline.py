@@ -2,7 +2,7 @@
 
 Stages take and return documents (doc_id, text, lang, source, n_chars), the last one the digest of
 the token files it has written.  Rows with null ids or texts pass through every stage whose operator
-does not reject them; repeated rows are judged alike.
+does not reject them; repeated rows are judged alike, but for the near duplicates.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, language, mixing, token_files
 from tidemark.llm.frames import read, small
+from tidemark.operators.joins import lookup_join
 from tidemark.workspace import durable, new_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -20,6 +21,12 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 END = 1
 
 
+def _bounded(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs``; from here on tasks get at most 1,000 whole texts at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return docs
+
+
 def _own(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
@@ -29,32 +36,33 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Texts without a letter and texts far from every centroid go.
     """
-    docs = _own(docs)
+    docs = _own(_bounded(spark, docs))
     found = language.predict(docs, language.fit(docs), "_found")
     return (found.filter("not _found.rejected").withColumn("lang", F.coalesce("lang", "_found.lang"))
             .select(*COLUMNS))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document of least id stays.
+    """Of each component of near duplicates one row stays: that of least id, null ids last.
 
-    A row repeated with its id counts once; documents whose id is null stay.
+    Rows are told apart by their place in the table and not by their ids, so an id with several texts
+    keeps each text that nothing else equals, and of a row repeated, or a group of null ids, one stays.
+    Rows without words are linked with nothing and stay.
     """
-    docs = _own(docs)
-    linked = durable(jaccard.link(docs), "linked")
-    others = durable(linked.filter("doc_id <> component_id").select("doc_id").distinct(), "others")
-    kept = docs.join(small(others), "doc_id", "left_anti")
-    again = durable(linked.filter("doc_id is not null").groupBy("doc_id").count()
-                    .filter("count > 1").select("doc_id"), "again")
-    if again.isEmpty():
-        return kept.select(*COLUMNS)
-    once = kept.join(small(again), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(small(again), "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+    docs = _own(_bounded(spark, docs)).withColumn("_row", F.monotonically_increasing_id())
+    linked = durable(jaccard.link(docs, id_col="_row"), "linked").select("_row", "component_id")
+    members = durable(linked.join(docs.select("_row", "doc_id"), "_row"), "members")
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_row")
+    stays = (members.groupBy("component_id").agg(F.min(first).alias("first"), F.count("*").alias("n"))
+             .filter("n > 1").select("component_id", F.col("first._row").alias("stays")))
+    goes = durable(lookup_join(members, durable(stays, "stays"), ["component_id"], unique=["_row"])
+                   .filter("_row <> stays").select("_row"), "goes")
+    return docs.join(small(goes), "_row", "left_anti").select(*COLUMNS)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by passages of the benchmark."""
-    return decontaminate.clean(_own(docs), read(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(_own(_bounded(spark, docs)), read(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
