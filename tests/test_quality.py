@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
-from tidemark.operators import dump_checks, json_leaves
+from tidemark.operators import dump_checks, json_leaves, maturity
 from tidemark.operators import quality as Q
 from tidemark.sources import fragments as FR
 from tidemark.operators.rules import schema_violations
@@ -114,12 +114,12 @@ def test_lab_sanity(spark, change, rule):
 
 
 def test_maturity_stops_at_the_first_failure(spark):
-    names = [n for _, ns in Q.LADDER for n in ns]
+    names = [p.name for p in maturity.LADDER]
     rows = [("all", n, True) for n in names]
     rows += [("gap", n, n != "validates") for n in names]
     rows += [("unknown", "exists", True), ("none", "exists", False)]
     got = {r["collection"]: (r["rung"], r["next_task"]) for r in
-           Q.maturity(spark.createDataFrame(rows, "collection string, predicate string, ok boolean"))
+           maturity.assess(spark.createDataFrame(rows, "collection string, predicate string, ok boolean"))
            .collect()}
     assert got == {"all": ("iridium", None), "gap": ("wood", "validates"),
                    "unknown": ("wood", "has schema"), "none": ("below wood", "exists")}
@@ -246,3 +246,43 @@ def test_a_hot_id_is_one_group_of_repeats(spark):
     found = dump_checks.research_lines(rows, {"type": "object"}, ["s"])
     assert [tuple(r) for r in found.groupBy("id", "rule").count().collect()] == [
         ("hot", "duplicate id", 999)]
+
+
+# --- measured maturity -------------------------------------------------------------------------
+
+RECORD = {"id": "a", "sources": ["s"], "published_at": "2026-01-01", "_provenance": {"published_at": "p"}}
+LINEAGE = {"inputs": ["x"], "cadence": "weekly", "maturity": "gold"}
+PINNED = {"type": "object", "required": ["id"], "version": "1"}
+
+
+def rung_of(spark, records, schema=PINNED, lineage=LINEAGE):
+    rows = spark.createDataFrame([("c", json.dumps(r) if isinstance(r, dict) else r) for r in records],
+                                 "collection string, raw string")
+    said = spark.createDataFrame([("c", json.dumps(lineage))] if lineage else [],
+                                 "collection string, raw string")
+    row = maturity.assess(maturity.measured(rows, {"c": schema}, said)).first()
+    return row.rung, row.next_task
+
+
+def test_one_broken_record_lowers_one_rung(spark):
+    good = [RECORD] * 3
+    without = lambda *names: {k: v for k, v in RECORD.items() if k not in names}
+    assert rung_of(spark, good) == ("iridium", None)
+    for broken, want in ((without("id"), ("wood", "validates")),
+                         ("{bad", ("below wood", "exists")),
+                         (RECORD | {"sources": []}, ("wood", "every record sourced")),
+                         (without("_provenance"), ("silver", "dates carry evidence")),
+                         (RECORD | {"founded": 1999}, ("silver", "dates carry evidence")),
+                         (RECORD | {"tier": None}, ("silver", "no bare opinion"))):
+        assert rung_of(spark, [*good, broken]) == want
+    quoted = {"id": "b", "sources": ["s"], "founded": 1999, "founded_evidence": {"quote": "q"}}
+    assert rung_of(spark, [quoted]) == ("iridium", None)
+    assert rung_of(spark, [{"id": "b", "sources": ["s"]}]) == ("silver", "dates carry evidence")
+
+
+def test_configuration_and_lineage_hold_rungs_back(spark):
+    assert rung_of(spark, []) == ("below wood", "exists")
+    assert rung_of(spark, [RECORD], None) == ("wood", "has schema")
+    assert rung_of(spark, [RECORD], {"type": "object"}) == ("silver", "schema versioned")
+    assert rung_of(spark, [RECORD], PINNED, None) == ("bronze", "lineage names inputs")
+    assert rung_of(spark, [RECORD], PINNED, {"projected_from": "x"}) == ("gold", "declared cadence")

@@ -375,43 +375,3 @@ def ascii_rows(df: DataFrame, collection: str, key: str, highest: int = 127) ->
     """Rows whose JSON holds a character above ``highest``."""
     return violations(df, collection, key, [
         Rule("non-ascii", F.to_json(F.struct("*")).rlike(rf"[^\x00-\x{highest:02X}]"))])
-
-
-# --- maturity -------------------------------------------------------------------------------
-
-LADDER = (
-    ("wood", ("exists",)),
-    ("bronze", ("has schema", "validates", "every record sourced")),
-    ("silver", ("lineage names inputs",)),
-    ("gold", ("schema versioned", "dates carry evidence", "no bare opinion")),
-    ("iridium", ("declared cadence", "self reports")),
-)
-
-
-def maturity(passed: DataFrame) -> DataFrame:
-    """(collection, rung, next_rung, next_task) from (collection, predicate, ok).
-
-    The rung is the last one fully passed; the first failure in ladder order
-    is the next task.  A predicate without a row has not passed.
-    """
-    steps = [(rung, name) for rung, names in LADDER for name in names]
-    place = F
-    for i, (_, name) in enumerate(steps):
-        place = place.when(F.col("predicate") == name, F.lit(i))
-    per = (passed.withColumn("_i", place).filter("_i is not null").groupBy("collection")
-           .agg(F.array_sort(F.collect_set(F.when(F.col("ok"), F.col("_i")))).alias("_ok")))
-    order = F.array(*[F.lit(i) for i in range(len(steps))])
-    failing = F.array_min(F.array_except(order, F.col("_ok")))
-    rungs = F.array(*[F.lit(r) for r, _ in steps])
-    names = F.array(*[F.lit(n) for _, n in steps])
-    first = {r: min(i for i, (x, _) in enumerate(steps) if x == r) for r, _ in steps}
-    reached = F
-    ladder = [r for r, _ in LADDER]
-    for i, rung in enumerate(ladder):
-        below = ladder[i - 1] if i else "below wood"
-        upper = first[ladder[i + 1]] if i + 1 < len(ladder) else len(steps)
-        reached = reached.when((F.col("_f") >= first[rung]) & (F.col("_f") < upper), below)
-    return per.withColumn("_f", failing).select(
-        "collection", reached.otherwise(ladder[-1]).alias("rung"),
-        F.get(rungs, F.col("_f")).alias("next_rung"),
-        F.get(names, F.col("_f")).alias("next_task"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,7 @@ from tidemark.operators import dedup, joins, similarity
 from tidemark.operators.filters import missing_list
 from tidemark.operators.rules import schema_violations, verdicts
 from tidemark.sinks.publish import RefusedWrite, collection_manifest, light_index
+from tidemark.workspace import durable
 
 _STRINGS = "array<string>"
 
@@ -38,12 +40,59 @@ def watch_atoms(records: DataFrame) -> DataFrame:
         .withColumn("id", F.col("slug"))
 
 
-def watch_list(records: DataFrame, prior: DataFrame, expand: bool = True) -> DataFrame:
+@dataclass(frozen=True)
+class WatchRelations:
+    """What atoms have to do with each other, factored so that no table grows with copies squared.
+
+    ``members`` (id, set_id): atoms of equal title and date are one set.  ``edges`` (left_set, right_set,
+    overlap): sets that look like one event.  ``cited`` (id, other): atoms that name each other.
+    """
+
+    atoms: DataFrame
+    members: DataFrame
+    edges: DataFrame
+    cited: DataFrame
+
+
+def watch_relations(atoms: DataFrame) -> WatchRelations:
+    cites = similarity.citations(atoms, "id", F.array_join("scan_flags", " "))
+    cited = durable(similarity.citation_edges(cites, atoms, "id"), "cited")
+    members, edges = similarity.near_duplicate_titles(
+        atoms, "id", "title", F.try_to_date("date", "yyyy-MM-dd"))
+    return WatchRelations(atoms, members, durable(edges, "edges"), cited)
+
+
+def attention(found: WatchRelations) -> DataFrame:
+    """The atoms with ``duplicates``, ``cross_references`` and ``needs_attention``.
+
+    A citation between atoms that look alike anyway counts once, as a duplicate.  An atom without title
+    words is in no set and has only citations.
+    """
+    near = similarity.duplicate_counts(found.members, found.edges, "id").select("id", "duplicates")
+    sets = found.members.select(F.col("id").alias("_id"), F.col("set_id").alias("_set"))
+    placed = found.cited
+    for side, name in (("id", "left_set"), ("other", "right_set")):
+        placed = joins.lookup_join(placed, sets.select(F.col("_id").alias(side), F.col("_set").alias(name)),
+                                   [side], "left")
+    both = placed.withColumns({"a": F.least("left_set", "right_set"), "b": F.greatest("left_set",
+                                                                                     "right_set")})
+    alike = joins.lookup_join(
+        both, found.edges.select(F.col("left_set").alias("a"), F.col("right_set").alias("b"),
+                                 F.lit(True).alias("alike")).distinct(), ["a", "b"], "left")
+    own = F.coalesce(F.col("left_set") == F.col("right_set"), F.lit(False))
+    others = (alike.filter(~own & F.col("alike").isNull()).groupBy("id")
+              .agg(F.count("*").alias("cross_references")))
+    counted = found.atoms.join(near, "id", "left").join(others, "id", "left").fillna(
+        0, ["duplicates", "cross_references"])
+    return counted.withColumn("needs_attention",
+                              F.col("duplicates") + F.col("cross_references") > 0)
+
+
+def watch_list(records: DataFrame, prior: DataFrame, expand: bool = False) -> DataFrame:
     """Atoms with duplicate flags and the human fields of the prior list.
 
-    With ``expand`` every atom lists the ids it may repeat.  That list is
-    quadratic in the copies of a title; without it an atom carries its title
-    set and the number of its near duplicates, which is linear.
+    Each atom carries the numbers of its near duplicates and cross references, which are linear; with
+    ``expand`` also the ids it may repeat, a list that is quadratic in the copies of a title.
 
     Refuses when an id with a human decision is no longer derived.
     """
@@ -52,19 +101,13 @@ def watch_list(records: DataFrame, prior: DataFrame, expand: bool = True) -> Dat
     first = lost.limit(5).collect()
     if first:
         raise RefusedWrite(f"decided atoms no longer derived: {[r['id'] for r in first]}")
-    cites = similarity.citations(atoms, "id", F.array_join("scan_flags", " "))
-    cited = similarity.citation_edges(cites, atoms, "id")
-    members, edges = similarity.near_duplicate_titles(
-        atoms, "id", "title", F.try_to_date("date", "yyyy-MM-dd"))
+    found = watch_relations(atoms)
+    out = attention(found)
     if expand:
-        pairs = similarity.possible_duplicates(members, edges, cited, "id")
-        flags = pairs.groupBy("id").agg(
-            F.array_sort(F.collect_list("other")).alias("possible_duplicate_of"))
-    else:
-        flags = similarity.duplicate_counts(members, edges, "id").join(
-            cited.groupBy("id").agg(F.count("*").alias("cross_references")), "id", "full_outer")
-    return joins.carry_forward(atoms.join(flags, "id", "left"), prior, "id",
-                               K.WATCH_HUMAN_FIELDS)
+        pairs = similarity.possible_duplicates(found.members, found.edges, found.cited, "id")
+        out = out.join(pairs.groupBy("id").agg(
+            F.array_sort(F.collect_list("other")).alias("possible_duplicate_of")), "id", "left")
+    return joins.carry_forward(out, prior, "id", K.WATCH_HUMAN_FIELDS)
 
 
 def block_reasons() -> Column:

@@ -185,7 +185,7 @@ def _(spark, sf):
 
 # --- filters ----------------------------------------------------------------------------
 
-@query("event_filter", "P6 P11 P12", EV + """
+@query("event_filter", "P12", EV + """
 SELECT id, year, category, rarity FROM events_v
 WHERE category IN ('organizational_crisis', 'funding_catastrophe') AND year >= 1996
   AND year <= 1999 AND ethics_change IS NOT NULL AND (o_orderkey IS NOT NULL AND
@@ -404,15 +404,13 @@ def _(spark, sf):
 # --- watch list ---------------------------------------------------------------------------------
 
 def titles(spark, sf):
-    """First twelve words of each document as its title."""
-    words = F.slice(F.filter(F.split("text", r"[ \n]+"), lambda w: w != ""), 1, 12)
-    return heavy(spark, sf, "documents").select(
-        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
-        F.array_join(words, " ").alias("title"))
+    """Names, kinds and brands of parts as titles: short by nature, read whole."""
+    return table(spark, sf, "part").select(
+        F.concat(F.lit("d"), F.col("p_partkey").cast("string")).alias("id"),
+        F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("title"))
 
 
-SQL_TITLE = """t AS (SELECT 'd' || doc_id AS id, array_to_string(list_slice(list_filter(
-    string_split_regex(text, '[ \\n]+'), lambda w: w <> ''), 1, 12), ' ') AS title FROM documents),
+SQL_TITLE = """t AS (SELECT 'd' || p_partkey AS id, concat_ws(' ', p_name, p_type, p_brand) AS title FROM part),
   toks AS (SELECT id, list_sort(list_distinct(list_filter(regexp_extract_all(lower(title),
     '[a-z0-9]+'), lambda w: length(w) > 2 AND NOT list_contains([{stop}], w)))) AS tokens
     FROM t)""".format(stop=", ".join(f"'{w}'" for w in K.TITLE_STOPWORDS))
@@ -513,6 +511,63 @@ def _(spark, sf):
                          F.array_join("sources", "|").alias("sources"))
 
 
+def flagged_claims(spark, sf):
+    """Parts as claims of two scans; some flags name other claims, some name nothing known."""
+    k = F.col("p_partkey")
+    slug = lambda n: F.concat(F.lit("part_no_"), n.cast("string"))
+    flags = F.when(k % 4 == 0, F.array(
+        F.concat(F.lit("same event as "), slug(k * 7 % 1501 + 1)), F.lit("not in_any_list"),
+        F.concat(F.lit("see "), slug(k)))).when(k % 4 == 1, F.array(F.concat(
+            F.lit("compare "), slug(k + 1), F.lit(" and "), slug(k + 2)))).otherwise(
+        F.array().cast(_STRINGS))
+    claim = table(spark, sf, "part").select(
+        F.lit("a.json").alias("file"), k.alias("pos"), F.lit("scan_a").alias("scan_id"),
+        slug(k).alias("slug"), F.col("p_name").alias("title"),
+        F.when(k % 10 != 0, F.date_format(F.date_add(F.lit("2026-01-01").cast("date"), (
+            k % 60).cast("int")), "yyyy-MM-dd")).alias("date"),
+        F.lit("action").alias("date_kind"), F.lit("d").alias("description"),
+        F.array(F.concat(F.lit("https://s.example/"), slug(k))).alias("sources"),
+        F.lit("w").alias("why_it_matters"), F.lit("high").alias("confidence"),
+        flags.alias("flags"), F.lit(True).alias("primary_source_retrieved"))
+    again = claim.filter("pos % 3 = 0").withColumns({"file": F.lit("b.json"), "scan_id": F.lit("scan_b")})
+    return durable(claim.unionByName(again), "claims")
+
+
+SQL_LINKS = SQL_PART_TITLE.replace("'p' ||", "'part_no_' ||") + """,
+  dd AS (SELECT 'part_no_' || p_partkey AS id, CASE WHEN p_partkey % 10 <> 0
+    THEN DATE '2026-01-01' + CAST(p_partkey % 60 AS INT) END AS d FROM part),
+  x AS (SELECT toks.id, d, len(tokens) AS n, unnest(tokens) AS token FROM toks JOIN dd ON toks.id = dd.id),
+  shared AS (SELECT a.id AS ia, b.id AS ib, a.n AS na, b.n AS nb, abs(a.d - b.d) AS gap, count(*) AS s
+    FROM x a JOIN x b ON a.token = b.token AND a.id <> b.id GROUP BY ALL),
+  near AS (SELECT ia AS id, ib AS other FROM shared WHERE CAST(s AS DOUBLE) / (na + nb - s) >= 0.5
+    OR (CAST(s AS DOUBLE) / (na + nb - s) >= 0.3 AND gap <= 3)),
+  c AS (SELECT p_partkey AS k, unnest(CASE p_partkey % 4 WHEN 0 THEN [p_partkey * 7 % 1501 + 1]
+    WHEN 1 THEN [p_partkey + 1, p_partkey + 2] ELSE [] END) AS o FROM part),
+  named AS (SELECT 'part_no_' || k AS id, 'part_no_' || o AS other FROM c
+    WHERE k <> o AND o IN (SELECT p_partkey FROM part)),
+  cited AS (SELECT id, other FROM named UNION SELECT other, id FROM named)"""
+
+
+@query("watch_links", "C7 J11 J12", f"""
+WITH {SQL_LINKS} SELECT id, other FROM near UNION SELECT id, other FROM cited""")
+def _(spark, sf):
+    """All pairs that the factored relations of the watch list stand for."""
+    found = PL.watch_relations(PL.watch_atoms(flagged_claims(spark, sf)))
+    return similarity.possible_duplicates(found.members, found.edges, found.cited, "id")
+
+
+@query("watch_attention", "C7 J11 J12", f"""
+WITH {SQL_LINKS}, n AS (SELECT id, count(*) AS n FROM near GROUP BY 1),
+  o AS (SELECT id, count(*) AS n FROM (SELECT * FROM cited EXCEPT SELECT * FROM near) GROUP BY 1)
+SELECT t.id, coalesce(n.n, 0) AS duplicates, coalesce(o.n, 0) AS cross_references,
+  coalesce(n.n, 0) + coalesce(o.n, 0) > 0 AS needs_attention
+FROM t LEFT JOIN n USING (id) LEFT JOIN o USING (id)""")
+def _(spark, sf):
+    """The same relations as counts: what each atom asks a reviewer to look at, without pairs."""
+    found = PL.watch_relations(PL.watch_atoms(flagged_claims(spark, sf)))
+    return PL.attention(found).select("id", "duplicates", "cross_references", "needs_attention")
+
+
 @query("watch_list", "C7 J9 J12 A18", f"""
 WITH {SQL_TITLE}, dd AS (SELECT t.id, DATE '2026-01-01' + CAST(substr(t.id, 2) AS INT) % 60 AS d
     FROM t), x AS (SELECT toks.id, d, len(tokens) AS n, unnest(tokens) AS token FROM toks
@@ -863,13 +918,14 @@ def _(spark, sf):
 
 
 @query("stripped_titles", "F4 F27", """
-SELECT doc_id, substr(md5(trim(substr(text, 1, 30), ' ' || chr(10))), 1, 8) AS head,
-  CAST(coalesce(TRY_CAST(substr(source, 4, 2) AS INT), 2020) AS INT) AS year FROM documents""")
+SELECT p_partkey, md5(trim(p_name, ' ' || chr(10))) AS title_md5,
+  CAST(coalesce(TRY_CAST(substr(p_brand, 7, 2) AS INT), 2020) AS INT) AS year FROM part""")
 def _(spark, sf):
     from tidemark.functions.dates import year_or
-    return table(spark, sf, "documents").select(
-        "doc_id", F.substring(F.md5(X.strip(F.substring("text", 1, 30))), 1, 8).alias("head"),
-        year_or(F.substring("source", 4, 2)).alias("year"))
+    padded = F.concat(F.lit(" \n"), "p_name", F.lit("\n  "))
+    return table(spark, sf, "part").select(
+        "p_partkey", F.md5(X.strip(padded)).alias("title_md5"),
+        year_or(F.substring("p_brand", 7, 2)).alias("year"))
 
 
 @query("stripped_texts", "F4 F27", """

@@ -41,27 +41,27 @@ def _(spark, sf):
 
 
 @query("severed_addresses", "V2", f"""
-WITH a AS (SELECT doc_id, regexp_extract_all(text, '{MAIL}')[1] AS hit FROM documents
-  WHERE contains(text, '@')),
-s AS (SELECT doc_id, split_part(hit, '@', 1) AS local, split_part(hit, '@', 2) AS domain FROM a
-  WHERE hit IS NOT NULL)
-SELECT doc_id, length(local) >= 5 OR (length(local) >= 4 AND regexp_matches(local, '[._%+\\-]'))
+WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '{MAIL}')) AS hit FROM pages
+  WHERE contains(html, '@')),
+s AS (SELECT page_id, split_part(hit, '@', 1) AS local, split_part(hit, '@', 2) AS domain FROM a)
+SELECT page_id, length(local) >= 5 OR (length(local) >= 4 AND regexp_matches(local, '[._%+\\-]'))
   AS found FROM s WHERE regexp_matches(local, '^[A-Za-z0-9][A-Za-z0-9._%+\\-]*$')
   AND regexp_matches(local, '[A-Za-z]')""")
 def _(spark, sf):
-    return _severed(heavy(spark, sf, "documents").select(
-        "doc_id", F.get(P.addresses(F.col("text")), F.lit(0)).alias("hit")))
+    """Every address of every page, cut at its domain."""
+    return _severed(heavy(spark, sf, "pages").select(
+        "page_id", F.explode(P.addresses(F.col("html"))).alias("hit")))
 
 
 def _severed(rows):
-    hit = F.col("hit")
+    hit, keys = F.col("hit"), [c for c in rows.columns if c != "hit"]
     local = F.split(hit, "@", 2)[0]
     cut = F.concat(F.lit("Contact:\n  "), local, F.lit("@"), F.substring(
         F.split(hit, "@", 2)[1], 1, 2), F.lit("..."))
     rows = rows.filter(hit.isNotNull()).select(
-        "doc_id", local.alias("local"), P.severed_address(cut).isNotNull().alias("found"))
+        *keys, local.alias("local"), P.severed_address(cut).isNotNull().alias("found"))
     return rows.filter(F.col("local").rlike(r"^[A-Za-z0-9][A-Za-z0-9._%+\-]*\z")
-                       & F.col("local").rlike("[A-Za-z]")).select("doc_id", "found")
+                       & F.col("local").rlike("[A-Za-z]")).select(*keys, "found")
 
 
 @query("all_severed_addresses", "V2", f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
-from tidemark.operators import dump_checks
+from tidemark.operators import dump_checks, maturity
 from tidemark.operators import quality as Q
 from tidemark.operators import rules as RU
 from tidemark.plans import collections as PL
@@ -588,26 +588,81 @@ def _(spark, sf):
     return shown(Q.ascii_rows(table(spark, sf, "documents"), "documents", "doc_id"))
 
 
-@query("maturity_ladder", "Q24", """
-WITH c AS (SELECT c_nationkey AS k, 'col_' || c_nationkey AS collection,
-  min(c_acctbal) > -990 AS sourced FROM customer GROUP BY 1, 2)
-SELECT collection, CASE WHEN k % 5 = 0 THEN 'below wood' WHEN k % 4 = 0 OR NOT sourced THEN 'wood'
-    WHEN k % 3 = 0 THEN 'bronze' ELSE 'gold' END AS rung,
-  CASE WHEN k % 5 = 0 THEN 'exists' WHEN k % 4 = 0 THEN 'validates' WHEN NOT sourced
-    THEN 'every record sourced' WHEN k % 3 = 0 THEN 'lineage names inputs'
-    ELSE 'declared cadence' END AS next_task FROM c""")
-def _(spark, sf):
-    k = F.col("c_nationkey")
-    per = table(spark, sf, "customer").groupBy("c_nationkey").agg(
-        (F.min("c_acctbal") > -990).alias("sourced"))
-    ok = {"exists": k % 5 != 0, "has schema": F.lit(True), "validates": k % 4 != 0,
-          "every record sourced": F.col("sourced"), "lineage names inputs": k % 3 != 0,
-          "schema versioned": F.lit(True), "dates carry evidence": F.lit(True),
-          "no bare opinion": F.lit(True), "declared cadence": F.lit(False)}
-    rows = per.select(F.concat(F.lit("col_"), k.cast("string")).alias("collection"), F.explode(
-        F.array(*[F.struct(F.lit(n).alias("predicate"), c.alias("ok")) for n, c in ok.items()]))
-        .alias("p")).select("collection", "p.predicate", "p.ok")
-    return Q.maturity(rows).select("collection", "rung", "next_task")
+@query("opinion_fields", "Q5 Q24", """
+SELECT CAST(c_custkey AS VARCHAR) AS id, 'bare ' || f AS rule, 'error' AS severity FROM customer,
+  LATERAL (VALUES ('importance', c_custkey % 9 = 0), ('rarity', c_custkey % 10 = 1),
+    ('verdict', c_custkey % 15 = 2)) v(f, here) WHERE here""")
+def _(spark, sf):
+    """Every record against the nine names that promise a judgement without saying whose."""
+    k = F.col("c_custkey")
+    rows = table(spark, sf, "customer").select(k, F.to_json(F.struct(
+        F.when(k % 9 == 0, 1).alias("importance"), F.when(k % 10 == 1, "rare").alias("rarity"),
+        F.when(k % 15 == 2, "yes").alias("verdict"), F.lit(3).alias("ada_rating"))).alias("raw"))
+    return shown(Q.bare_opinions(rows, "customers", "c_custkey", "raw", K.BARE_OPINIONS))
+
+
+MATURITY_SCHEMA = {"type": "object", "required": ["id"], "properties": {
+    "id": {"type": "string"}, "balance": {"type": "number", "minimum": -995}}}
+SQL_MATURITY = """
+WITH r AS (SELECT c_nationkey AS k, 'col_' || c_nationkey AS collection, c_custkey AS i, c_acctbal
+  FROM customer),
+m AS (SELECT collection, k, count(*) AS n, count(*) FILTER (WHERE c_acctbal < -995) AS invalid,
+    count(*) FILTER (WHERE i % 31 = 0) AS unsourced, count(*) FILTER (WHERE i % 29 = 0) AS unproven,
+    max(CASE WHEN i % 37 = 0 THEN 1 ELSE 0 END) AS bare FROM r GROUP BY 1, 2),
+p AS (SELECT collection, unnest([
+    {'i': 0, 'rung': 'wood', 'predicate': 'exists', 'ok': true, 'detail': NULL},
+    {'i': 1, 'rung': 'bronze', 'predicate': 'has schema', 'ok': k % 10 <> 9, 'detail': 'no schema declared'},
+    {'i': 2, 'rung': 'bronze', 'predicate': 'validates', 'ok': k % 10 <> 9 AND invalid = 0,
+      'detail': CASE WHEN k % 10 = 9 THEN 0 ELSE invalid END || ' of ' || n || ' fail the schema'},
+    {'i': 3, 'rung': 'bronze', 'predicate': 'every record sourced', 'ok': unsourced = 0,
+      'detail': unsourced || ' of ' || n || ' have none of sources, source_urls'},
+    {'i': 4, 'rung': 'silver', 'predicate': 'lineage names inputs', 'ok': k % 4 <> 0 AND k % 3 <> 1,
+      'detail': 'lineage without inputs or projected_from'},
+    {'i': 5, 'rung': 'gold', 'predicate': 'schema versioned', 'ok': k % 2 = 1 AND k % 10 <> 9,
+      'detail': 'the schema declares no version'},
+    {'i': 6, 'rung': 'gold', 'predicate': 'dates carry evidence', 'ok': unproven = 0,
+      'detail': unproven || ' of ' || n || ' dated without provenance'},
+    {'i': 7, 'rung': 'gold', 'predicate': 'no bare opinion', 'ok': bare = 0, 'detail': 'tier'},
+    {'i': 8, 'rung': 'iridium', 'predicate': 'declared cadence', 'ok': k % 4 <> 0, 'detail':
+      'lineage without cadence'},
+    {'i': 9, 'rung': 'iridium', 'predicate': 'self reports', 'ok': false, 'detail': 'lineage without maturity'}
+  ]) AS v FROM m)"""
+
+
+def maturity_predicates(spark, sf):
+    """Customers by nation as collections: records, schemas and lineage that pass and fail."""
+    k, i = F.col("c_nationkey"), F.col("c_custkey")
+    name = F.concat(F.lit("col_"), k.cast("string"))
+    records = table(spark, sf, "customer").select(name.alias("collection"), F.to_json(F.struct(
+        i.cast("string").alias("id"), F.col("c_acctbal").alias("balance"),
+        F.when(i % 31 != 0, F.array(F.lit("https://s"))).alias("sources"),
+        F.lit("2026-01-01").alias("published_at"), F.when(i % 37 == 0, "A").alias("tier"),
+        F.struct(F.when(i % 29 != 0, "x").alias("published_at")).alias("_provenance"))).alias("raw"))
+    nations = [r[0] for r in table(spark, sf, "customer").select("c_nationkey").distinct().collect()]
+    schemas = {f"col_{n}": None if n % 10 == 9 else MATURITY_SCHEMA | ({"version": "1"} if n % 2 else {})
+               for n in sorted(nations)}  # at most one per nation
+    lineage = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey").filter(
+        k % 4 != 0).select(name.alias("collection"), F.to_json(F.struct(
+            F.when(k % 3 == 0, F.array(F.lit("a"))).alias("inputs"),
+            F.when(k % 3 == 2, "b").alias("projected_from"), F.lit("weekly").alias("cadence"),
+            F.lit("").alias("maturity"))).alias("raw"))
+    return maturity.measured(records, schemas, lineage)
+
+
+@query("maturity_predicates", "Q24", SQL_MATURITY + """
+SELECT collection, v.predicate AS predicate, v.ok AS ok, CASE WHEN NOT v.ok THEN v.detail END AS detail
+FROM p""")
+def _(spark, sf):
+    return maturity_predicates(spark, sf)
+
+
+@query("maturity_ladder", "Q24", SQL_MATURITY + """
+, f AS (SELECT collection, min(v.i) AS i FROM p WHERE NOT v.ok GROUP BY 1)
+SELECT f.collection, CASE v.rung WHEN 'bronze' THEN 'wood' WHEN 'silver' THEN 'bronze' WHEN 'gold'
+    THEN 'silver' WHEN 'iridium' THEN 'gold' END AS rung, v.predicate AS next_task
+FROM f JOIN p ON f.collection = p.collection AND f.i = v.i""")
+def _(spark, sf):
+    return maturity.assess(maturity_predicates(spark, sf)).select("collection", "rung", "next_task")
 
 
 @query("all_checks", "C15 Q1 Q3 Q11", EV + """

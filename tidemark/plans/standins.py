@@ -40,7 +40,9 @@ STANDINS: dict[str, tuple[str, list[str]]] = {
         "CASE source WHEN 'src0' THEN 'arxiv' WHEN 'src1' THEN 'distill' "
         "WHEN 'src2' THEN 'lesswrong' WHEN 'src3' THEN 'alignmentforum' "
         "WHEN 'src4' THEN 'eaforum' ELSE source END AS source",
-        f"{_TITLE} || substr(text, 1, 50) AS title", "text", "lang",
+        f"{_TITLE} || CASE lang WHEN 'fr' THEN '\u00c9tude ' WHEN 'de' THEN ' \u00dcber  ' "
+        "WHEN 'es' THEN 'El a\u00f1o ' ELSE '' END || source || ' note ' || CAST(doc_id AS STRING) AS title",
+        "text", "lang",
         "'https://' || source || '.example.org/p/' || CAST(doc_id AS STRING) || "
         "CASE doc_id % 3 WHEN 0 THEN '?utm_source=feed&id=' || CAST(doc_id % 100 AS STRING) "
         "WHEN 1 THEN '?utm_source=a&utm_medium=b' ELSE '' END AS url",
