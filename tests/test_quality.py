@@ -10,7 +10,8 @@ from tidemark import constants as K
 from tidemark.operators import dump_checks, json_leaves, maturity
 from tidemark.operators import quality as Q
 from tidemark.sources import fragments as FR
-from tidemark.operators.rules import schema_violations
+from tidemark.operators.rules import Rule, schema_violations
+from tidemark.plans import checks
 from tidemark.plans import collections as PL
 from tidemark.sinks.publish import RefusedWrite
 
@@ -286,3 +287,48 @@ def test_configuration_and_lineage_hold_rungs_back(spark):
     assert rung_of(spark, [RECORD], {"type": "object"}) == ("silver", "schema versioned")
     assert rung_of(spark, [RECORD], PINNED, None) == ("bronze", "lineage names inputs")
     assert rung_of(spark, [RECORD], PINNED, {"projected_from": "x"}) == ("gold", "declared cadence")
+
+
+# --- rule jobs and versions --------------------------------------------------------------------
+
+def test_row_jobs_of_a_table_share_one_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(200).selectExpr("concat('i', id % 190) AS id", "id", "if(id % 50 = 0, '{\"y\": 1}', '{\"y\": \"z\"}') "
+                                "AS raw").toDF("id", "n", "raw").write.parquet(path)
+    t = spark.read.parquet(path)
+    n = F.col("n")
+    jobs = [checks.RowJob("a", "t", "id", (Rule("low", n < 10),), unique=True),
+            checks.RowJob("b", "t", "n", (Rule("high", n >= 195, n, "warning"),)),
+            checks.RowJob("c", "t", "id", schema={"properties": {"y": {"type": "string"}}}, gates=False),
+            checks.TableJob(("t",), lambda d: Q.unique_ids(d, "d", "raw"), gates=False)]
+    fused = checks.scanned(t, jobs[:3])
+    plan = fused._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    report = checks.run_jobs(jobs, {"t": t})
+    got = {(r.collection, r.rule, r.severity, r.gates): r.n for r in report.verdicts.collect()}
+    assert got == {("a", "low", "error", True): 10, ("a", "duplicate id", "error", True): 10,
+                   ("b", "high", "warning", False): 5, ("c", "$.y: type", "error", False): 4,
+                   ("d", "duplicate id", "error", False): 2}
+    assert (report.gating, report.reporting, report.passed) == (20, 11, False)
+    assert checks.run_jobs(jobs[1:], {"t": t}).passed
+
+
+def test_readers_see_the_old_version_or_the_new_one(spark, tmp_path):
+    from tidemark.sinks import publish
+    root = str(tmp_path / "p")
+    errors = lambda d: PL.event_errors(d, {"properties": {"n": {"maximum": 5}}})
+    rows = lambda *ns: spark.createDataFrame([(f"e{n}", n) for n in ns], "id string, n int")
+    seen = lambda: sorted(r.n for r in publish.read_version(spark, root).collect())
+    with pytest.raises(FileNotFoundError):
+        publish.read_version(spark, root)
+    with pytest.raises(RefusedWrite):
+        publish.publish_version(rows(1, 9), root, errors, lambda d: d)
+    assert publish.current_version(spark, root) is None
+    publish.publish_version(rows(1, 2), root, errors, lambda d: d)
+    old = publish.read_version(spark, root)
+    for broken, clean in ((rows(1, 9), lambda d: d), (rows(1, 3), lambda d: d.withColumn("n", F.col("n") * 3))):
+        with pytest.raises(RefusedWrite):
+            publish.publish_version(broken, root, errors, clean)
+        assert seen() == [1, 2]
+    publish.publish_version(rows(3), root, errors, lambda d: d.withColumn("n", F.col("n") + 1))
+    assert seen() == [4] and sorted(r.n for r in old.collect()) == [1, 2]

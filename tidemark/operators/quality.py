@@ -23,8 +23,7 @@ def has_key(raw: str, name: str) -> Column:
 
 # --- candidates -----------------------------------------------------------------
 
-def admission(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Ingest rules of a candidate; ``raw`` keeps absent apart from null."""
+def admission_rules(raw: str = "raw") -> list[Rule]:
     rules = [Rule(f"missing {c}", X.empty(F.col(c)))
              for c in ("id", "title", "kind", "ingested_at")]
     rules.append(Rule("missing license", F.col("license").isNull()))
@@ -33,8 +32,12 @@ def admission(df: DataFrame, raw: str = "raw") -> DataFrame:
     rules += [Rule(f"license missing {c}", X.empty(F.col(f"license.{c}")))
               for c in ("spdx", "attribution", "source_terms_url", "verified_at")]
     rules.append(share_alike())
-    rules += clocks(raw)
-    return violations(df, "candidates", "id", rules)
+    return rules + clocks(raw)
+
+
+def admission(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """Ingest rules of a candidate; ``raw`` keeps absent apart from null."""
+    return violations(df, "candidates", "id", admission_rules(raw))
 
 
 def share_alike() -> Rule:
@@ -51,16 +54,21 @@ def licences(df: DataFrame) -> DataFrame:
                       [Rule("no licence", X.empty(F.col("license.spdx"))), share_alike()])
 
 
+def opinion_rules(raw: str, fields: Sequence[str]) -> list[Rule]:
+    return [Rule(f"bare {f}", has_key(raw, f)) for f in fields]
+
+
 def bare_opinions(df: DataFrame, collection: str, key: str, raw: str,
                   fields: Sequence[str] = ("salience", "salience_tier", "game_facing")) -> DataFrame:
-    rules = [Rule(f"bare {f}", has_key(raw, f)) for f in fields]
-    return violations(df, collection, key, rules)
+    return violations(df, collection, key, opinion_rules(raw, fields))
+
+
+def attribution_rules() -> list[Rule]:
+    return [Rule("unattributed review", F.exists("reviews", lambda r: X.empty(r["reviewer"])))]
 
 
 def reviews_attributed(df: DataFrame) -> DataFrame:
-    return violations(df, "candidates", "id", [
-        Rule("unattributed review",
-             F.exists("reviews", lambda r: X.empty(r["reviewer"])))])
+    return violations(df, "candidates", "id", attribution_rules())
 
 
 def clocks_present(df: DataFrame, raw: str) -> DataFrame:

@@ -205,12 +205,17 @@ def timeline(raw: DataFrame, enriched: DataFrame, precedence: Sequence[str],
     return publish_text(dedup.keep_by_precedence(both, "id", "file", precedence, override))
 
 
+def event_errors(df: DataFrame, schema: dict) -> DataFrame:
+    """Schema violations of typed rows; columns that begin with an underscore are no fields."""
+    raw = df.select("id", F.to_json(F.struct(*[
+        c for c in df.columns if not c.startswith("_")])).alias("raw"))
+    return schema_violations(raw, "events", "id", "raw", schema)
+
+
 def revalidated(events: DataFrame, schema: dict, clean) -> DataFrame:
     """Validate, clean and validate again; nothing comes out if anything fails."""
     def check(df: DataFrame) -> None:
-        raw = df.select("id", F.to_json(F.struct(*[
-            c for c in df.columns if not c.startswith("_")])).alias("raw"))
-        bad = schema_violations(raw, "events", "id", "raw", schema).limit(5).collect()
+        bad = event_errors(df, schema).limit(5).collect()
         if bad:
             raise RefusedWrite(f"schema: {[(r['id'], r['rule']) for r in bad]}")
 

@@ -8,13 +8,15 @@ from tidemark import constants as K
 from tidemark.operators import dump_checks, maturity
 from tidemark.operators import quality as Q
 from tidemark.operators import rules as RU
+from tidemark.plans import checks as C
 from tidemark.plans import collections as PL
 from tidemark.plans import queries_candidates as QC
 from tidemark.plans import queries_collections as QL
 from tidemark.plans.queries_research import research
 from tidemark.plans.registry import query
 from tidemark.plans.standins import cte, table
-from tidemark.workspace import spread
+from tidemark.sinks import publish
+from tidemark.workspace import new_path, spread
 
 _STRINGS = "array<string>"
 EV = cte("events_v")
@@ -680,3 +682,97 @@ def _(spark, sf):
         .alias("id"))
     _, summary = PL.run_checks(docs, Q.unique_ids(lines, "lines", "id"), reporting=["lines"])
     return summary.select("collection", "rule", "n", "gating")
+
+
+def check_tables(spark, sf):
+    """The tables that the rule jobs read."""
+    k = F.col("o_orderkey")
+    feed = raw_candidates(spark, sf).withColumn("reviews", F.array(F.struct(
+        F.when(k % 61 == 0, "").otherwise("ada").alias("reviewer"))))
+    supplier = F.col("s_suppkey")
+    return {
+        "feed": feed, "events": event_documents(spark, sf),
+        "lines": table(spark, sf, "lineitem").select(F.concat_ws(
+            "/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id")),
+        "tombstones": table(spark, sf, "orders").filter(k % 97 == 0).select(F.concat(
+            F.lit("feed"), (k % 6).cast("string"), F.lit(":"), k.cast("string")).alias("id")),
+        "registry": table(spark, sf, "supplier").select(
+            F.concat(F.when(supplier % 7 == 0, "_").otherwise(""), F.lit("s"), supplier.cast("string"))
+            .alias("source_id"), F.when(supplier % 2 == 0, "2026").alias("source_available_at"),
+            F.when(supplier % 3 != 0, F.array(F.lit("e"))).alias("evidence"))}
+
+
+def rule_jobs():
+    """Rule jobs of five tables; those of the feed share its scan."""
+    return [
+        C.RowJob("candidates", "feed", "id", tuple(Q.admission_rules()), unique=True),
+        C.RowJob("opinions", "feed", "id", tuple(Q.opinion_rules("raw", ("salience", "salience_tier",
+                                                                     "game_facing")))),
+        C.RowJob("reviews", "feed", "id", tuple(Q.attribution_rules())),
+        C.RowJob("events", "events", "id", schema={"properties": {"year": EVENT_SCHEMA["properties"]["year"]}},
+             unique=True),
+        C.RowJob("ascii", "events", "id", (RU.Rule("non-ascii", F.col("raw").rlike(r"[^\x00-\x7F]")),),
+             gates=False),
+        C.RowJob("lines", "lines", "id", unique=True, gates=False),
+        C.TableJob(("feed", "tombstones"), Q.tombstones_honoured),
+        C.TableJob(("registry",), Q.registry_evidence)]
+
+
+@query("all_rule_jobs", "C15 Q1 Q2 Q3 Q4 Q5 Q6 Q7 Q8 Q11 Q22", EV + """
+, c AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 37 = 0 THEN '' ELSE 'feed' || (o_orderkey % 6)
+    || ':' || o_orderkey END AS id FROM orders),
+r AS (
+  SELECT collection, rule, gates FROM c, LATERAL (VALUES
+    ('candidates', 'missing id', k % 37 = 0, true), ('candidates', 'unknown kind', k % 41 = 0, true),
+    ('candidates', 'license missing spdx', k % 47 = 0 AND k % 43 <> 0, true),
+    ('candidates', 'share-alike licence', k % 43 = 0, true),
+    ('candidates', 'clock occurred_at absent', k % 59 = 0, true),
+    ('candidates', 'clock published_at absent', k % 59 = 0, true),
+    ('candidates', 'clock source_available_at absent', k % 59 = 0, true),
+    ('opinions', 'bare salience', k % 53 = 0, true), ('reviews', 'unattributed review', k % 61 = 0, true),
+    ('candidates', 'tombstoned record present', k % 97 = 0 AND k % 37 <> 0, true))
+    v(collection, rule, broken, gates) WHERE broken
+  UNION ALL SELECT 'candidates', 'duplicate id', true FROM (SELECT id FROM c GROUP BY id HAVING count(*) > 1)
+  UNION ALL SELECT 'events', '$.year: minimum', true FROM events_v WHERE year < 1996
+  UNION ALL SELECT 'events', '$.year: maximum', true FROM events_v WHERE year > 2000
+  UNION ALL SELECT 'events', 'duplicate id', true FROM (SELECT id FROM events_v GROUP BY id HAVING count(*) > 1)
+  UNION ALL SELECT 'lines', 'duplicate id', false FROM (SELECT 1 FROM lineitem
+    GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+  UNION ALL SELECT 'registry', 'date without evidence', true FROM supplier
+    WHERE s_suppkey % 7 <> 0 AND s_suppkey % 2 = 0 AND s_suppkey % 3 = 0),
+t AS (SELECT count(*) FILTER (WHERE gates) AS gating, count(*) FILTER (WHERE NOT gates) AS reporting FROM r)
+SELECT collection, rule, gates, count(*) AS n, gating AS all_gating, reporting AS all_reporting
+FROM r, t GROUP BY ALL""")
+def _(spark, sf):
+    report = C.run_jobs(rule_jobs(), check_tables(spark, sf))
+    return report.verdicts.select("collection", "rule", "gates", "n", F.lit(report.gating).alias(
+        "all_gating"), F.lit(report.reporting).alias("all_reporting"))
+
+
+@query("published_versions", "Q23", EV + """
+SELECT 'first' AS attempt, false AS refused, count(*) AS readable, 'old' AS version FROM events_v
+UNION ALL SELECT 'one bad row', true, count(*), 'old' FROM events_v
+UNION ALL SELECT 'cleaning breaks a row', true, count(*), 'old' FROM events_v
+UNION ALL SELECT 'mended', false, count(*), 'new' FROM events_v""")
+def _(spark, sf):
+    """Each attempt publishes all events or nothing; readers see the old version or the new one."""
+    schema = {"type": "object", "required": ["title"], "properties": {
+        "title": {"type": "string", "minLength": 5}, "year": {"type": "integer"}}}
+    rows = QL.timeline_events(spark, sf).select("id", "title", "year", F.lit("old").alias("version"))
+    newer, root = rows.withColumn("version", F.lit("new")), new_path(spark, "published")
+    first = rows.agg(F.min("id")).first()[0]
+    broken = F.when(F.col("id") == first, "bad").otherwise(F.col("title"))
+    attempts = [("first", rows, lambda d: d), ("one bad row", newer.withColumn("title", broken), lambda d: d),
+                ("cleaning breaks a row", newer, lambda d: d.withColumn("title", broken)),
+                ("mended", newer, lambda d: d.withColumn("title", F.trim("title")))]
+    out = None
+    for name, df, clean in attempts:
+        refused = False
+        try:
+            publish.publish_version(df, root, lambda d: PL.event_errors(d, schema), clean)
+        except publish.RefusedWrite:
+            refused = True
+        part = publish.read_version(spark, root).groupBy("version").agg(F.count("*").alias("readable")).select(
+            F.lit(name).alias("attempt"), F.lit(refused).alias("refused"), "readable", "version")
+        out = part if out is None else out.unionByName(part)
+    return out

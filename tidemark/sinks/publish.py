@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -170,3 +171,66 @@ def upsert(current: DataFrame, fresh: DataFrame, key: str, refreshed: Sequence[s
         else:
             cols.append(F.when(F.col(f"a.{key}").isNull(), new).otherwise(old).alias(c))
     return a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"), "full_outer").select(*cols)
+
+
+# --- versions ------------------------------------------------------------------------
+
+_CURRENT = "current-"
+
+
+def _pointers(spark: SparkSession, root: str):
+    """The file system of ``root`` and its pointer files by number; the highest one counts."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.listStatus(folder) if files.exists(folder) else []
+    paths = [s.getPath() for s in found]
+    return files, {int(p.getName().removeprefix(_CURRENT)): p for p in paths
+                   if p.getName().startswith(_CURRENT)}
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The name of the version that readers see, or None before the first one."""
+    _, pointers = _pointers(spark, root)
+    return spark.read.text(pointers[max(pointers)].toString()).first()["value"] if pointers else None
+
+
+def read_version(spark: SparkSession, root: str) -> DataFrame:
+    """The published version: one whole version, whatever is being written meanwhile."""
+    name = current_version(spark, root)
+    if name is None:
+        raise FileNotFoundError(f"nothing is published in {root}")
+    return spark.read.parquet(f"{root}/{name}")
+
+
+def publish_version(df: DataFrame, root: str, check: Callable[[DataFrame], DataFrame],
+                    clean: Callable[[DataFrame], DataFrame]) -> str:
+    """Stages ``df``, validates it, cleans it, validates again and only then shows it to readers.
+
+    ``check`` gives the violations of a table.  Both phases work on written tables, so what is checked
+    is what is published.  The last step writes the version's name to a file and renames that file to
+    the next pointer; a failure before that leaves the old version readable and the staged one unseen.
+    Old pointers stay, so at no time is there none; of two writers at once one is refused.
+    """
+    spark = df.sparkSession
+    name = f"version-{uuid.uuid4().hex}"
+
+    def checked(rows: DataFrame, folder: str) -> DataFrame:
+        rows.write.parquet(folder)
+        staged = spark.read.schema(rows.schema).parquet(folder)
+        first = check(staged).limit(5).collect()
+        if first:
+            raise RefusedWrite(f"refused {root}: {[(r['id'], r['rule']) for r in first]}")
+        return staged
+
+    before = checked(df, f"{root}/_staged-{name}")
+    checked(clean(before), f"{root}/{name}")
+    fresh = f"{root}/_pointer-{name}"
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(fresh)
+    files, pointers = _pointers(spark, root)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    part = next(s.getPath() for s in files.listStatus(hadoop_path(fresh))
+                if s.getPath().getName().startswith("part-"))
+    place = hadoop_path(f"{root}/{_CURRENT}{max(pointers, default=0) + 1}")
+    if files.exists(place) or not files.rename(part, place):
+        raise RefusedWrite(f"another version of {root} was published meanwhile")
+    return name
