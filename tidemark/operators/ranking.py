@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -143,6 +143,24 @@ def quantile_tiers(df: DataFrame, score: str, tie: Sequence[Column],
     return df.filter(~is_tied).withColumn(name, by_score).unionByName(tied)
 
 
+def quantile_tiers_by_group(df: DataFrame, group: str, score: str, tie: Sequence[Column],
+                            quantiles: Mapping[object, Sequence[tuple[str, float]]],
+                            name: str = "tier", rest: str = "D") -> DataFrame:
+    """As :func:`quantile_tiers`, each group (few, with quantiles of its own) by itself.
+
+    All groups are ranked by one global order, so the number of shuffles does not depend on theirs.
+    """
+    scored = df.filter(F.col(score).isNotNull())
+    totals = {r[group]: r["n"] for r in scored.groupBy(group).agg(F.count("*").alias("n")).collect()}
+    placed = rank_within(scored, [group], [F.desc(score), *tie], "_pos")
+    tier = F.lit(rest)
+    for value, total in totals.items():
+        tier = F.when(F.col(group) == F.lit(value), _tier_at(
+            F.col("_pos") - 1, tier_ends(total, quantiles[value]), rest)).otherwise(tier)
+    return (placed.withColumn(name, tier).drop("_pos")
+            .unionByName(df.filter(F.col(score).isNull()).withColumn(name, F.lit(rest))))
+
+
 def _tier_name(position: int, ranges, rest: str) -> str:
     return next((t for t, s, e in ranges if s <= position < e), rest)
 

@@ -183,6 +183,26 @@ def with_registry(df: DataFrame, registry: DataFrame) -> DataFrame:
     }).drop("_source", "_known", "_url", "_available", "_conf", "_evidence")
 
 
+def _haystack() -> Column:
+    """The text in which a record's topic is looked for."""
+    return F.array_join(F.concat(
+        F.array(F.coalesce("title", F.lit(""))), F.coalesce("forum_tags", F.array().cast(_STRINGS)),
+        F.array(F.coalesce(F.try_element_at("extra", F.lit("notability_criteria")), F.lit("")))), " ")
+
+
+def _year() -> Column:
+    return F.left(F.coalesce(F.nullif("published_at", F.lit("")), F.lit("____")), F.lit(4))
+
+
+def _basis(version: Column, weight: Column) -> Column:
+    """How a salience came about."""
+    return F.struct(
+        version.alias("profile_version"), "method", F.bround("score", 4).alias("raw_score"),
+        F.col("relevance").alias("topical_relevance"),
+        F.concat(F.lit("kind="), "kind", F.lit(",year="), "year").alias("percentile_within"),
+        F.col("group_size").cast("int").alias("group_size"), F.bround(weight, 3).alias("shrinkage"))
+
+
 def score_profile(df: DataFrame, profile: dict) -> DataFrame:
     """Add ``salience``, ``tier`` and ``basis`` of one profile.
 
@@ -190,46 +210,58 @@ def score_profile(df: DataFrame, profile: dict) -> DataFrame:
     (id, _ord) must identify a row.  Ranks are worked out on a narrow written
     table and joined back, so the records themselves are never written.
     """
-    kind = F.col("kind")
-    haystack = F.array_join(F.concat(
-        F.array(F.coalesce("title", F.lit(""))), F.coalesce("forum_tags", F.array().cast(_STRINGS)),
-        F.array(F.coalesce(F.try_element_at("extra", F.lit("notability_criteria")), F.lit("")))),
-        " ")
+    kind, haystack = F.col("kind"), _haystack()
     k = float(profile.get("shrinkage_k", 0))
     raw, method = C.raw_salience(profile, kind, F.col("signals"), F.col("extra"))
-    year = F.left(F.coalesce(F.nullif("published_at", F.lit("")), F.lit("____")), F.lit(4))
     narrow = durable(df.select(
-        "id", "_ord", F.coalesce(kind, F.lit("None")).alias("kind"), year.alias("year"),
+        "id", "_ord", F.coalesce(kind, F.lit("None")).alias("kind"), _year().alias("year"),
         raw.alias("score"), method.alias("method"),
         C.topical_relevance(profile, kind, haystack).alias("relevance")), "signals")
     placed = RK.distinct_percentile(narrow, ["kind", "year"], "score")
     shrunk = RK.shrink(F.col("percentile"), F.col("group_size"), k)
     weight = F.col("group_size") / (F.col("group_size") + F.lit(k)) if k else F.lit(1.0)
     placed = placed.select(
-        "id", "_ord", F.bround(shrunk * F.col("relevance"), 4).alias("salience"), F.struct(
-            F.lit(profile.get("version")).alias("profile_version"), "method",
-            F.bround("score", 4).alias("raw_score"),
-            F.col("relevance").alias("topical_relevance"),
-            F.concat(F.lit("kind="), "kind", F.lit(",year="), "year").alias("percentile_within"),
-            F.col("group_size").cast("int").alias("group_size"),
-            F.bround(weight, 3).alias("shrinkage")).alias("basis"))
+        "id", "_ord", F.bround(shrunk * F.col("relevance"), 4).alias("salience"),
+        _basis(F.lit(profile.get("version")), weight).alias("basis"))
     tiered = RK.quantile_tiers(durable(placed, "scored"), "salience", [F.col("_ord")],
                                profile["tier_quantiles"])
-    return df.join(tiered, ["id", "_ord"])
+    return lookup_join(df, durable(tiered, "tiered"), ["id", "_ord"], unique=["id", "_ord"])
 
 
 def score_all(df: DataFrame, profiles: list[dict]) -> DataFrame:
-    """Every profile side by side: maps keyed by profile id."""
-    out = df
-    for i, profile in enumerate(profiles):
-        out = score_profile(out, profile).withColumnsRenamed(
-            {"salience": f"_s{i}", "tier": f"_t{i}", "basis": f"_b{i}"})
-    by = lambda letter: F.create_map(*[x for i, p in enumerate(profiles)
-                                       for x in (F.lit(p["profile_id"]), F.col(f"_{letter}{i}"))])
-    n = range(len(profiles))
-    return out.withColumns({
-        "salience_by_profile": by("s"), "salience_tier_by_profile": by("t"),
-        "salience_basis_by_profile": by("b")}).drop(*[f"_{c}{i}" for c in "stb" for i in n])
+    """Every profile side by side: maps keyed by profile id.
+
+    Profiles are rows here: each record has one narrow row per profile, percentiles and tiers are worked
+    out for all of them together, and one join brings the maps to the records.  So neither the shuffles
+    nor the writes grow with the number of profiles.  Null ids are keys like any other.
+    """
+    kind, haystack = F.col("kind"), _haystack()
+    pick = lambda values: F.get(F.array(*map(F.lit, values)), F.col("profile"))
+    scores = []
+    for p in profiles:
+        raw, method = C.raw_salience(p, kind, F.col("signals"), F.col("extra"))
+        scores.append(F.struct(raw.cast("double").alias("score"), method.alias("method"),
+                               C.topical_relevance(p, kind, haystack).cast("double").alias("relevance")))
+    narrow = durable(df.select("id", "_ord", F.coalesce(kind, F.lit("None")).alias("kind"),
+                               _year().alias("year"), F.posexplode(F.array(*scores)).alias("profile", "s"))
+                     .select("id", "_ord", "kind", "year", "profile", "s.*"), "signals")
+    placed = RK.distinct_percentile(narrow, ["profile", "kind", "year"], "score")
+    size = F.col("group_size")
+    weight = size / (size + pick([float(p.get("shrinkage_k", 0)) for p in profiles]))
+    shrunk = F.lit(0.5) + (F.col("percentile") - F.lit(0.5)) * weight
+    placed = durable(placed.select(
+        "id", "_ord", "profile", F.bround(shrunk * F.col("relevance"), 4).alias("salience"),
+        _basis(pick([p.get("version") for p in profiles]).cast("string"), weight).alias("basis")), "scored")
+    tiered = RK.quantile_tiers_by_group(placed, "profile", "salience", [F.col("_ord")],
+                                        {i: p["tier_quantiles"] for i, p in enumerate(profiles)})
+    name = pick([p["profile_id"] for p in profiles])
+    by = lambda c: F.map_from_entries(F.array_sort(F.collect_list(F.struct(
+        name.alias("key"), F.col(c).alias("value")))))
+    # as many entries as profiles
+    maps = durable(tiered.groupBy("id", "_ord").agg(
+        by("salience").alias("salience_by_profile"), by("tier").alias("salience_tier_by_profile"),
+        by("basis").alias("salience_basis_by_profile")), "by-profile")
+    return lookup_join(df, maps, ["id", "_ord"], unique=["id", "_ord"])
 
 
 def reviews_by_id(reviews: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
@@ -17,7 +20,7 @@ from tidemark.plans.standins import cte, standin, table
 from tidemark.sinks import publish
 from tidemark.sources import overlays, snapshots
 from tidemark.sources.documents import from_listed
-from tidemark.workspace import durable
+from tidemark.workspace import durable, new_path
 
 PROFILE = K.DEFAULT_PROFILE
 SEEN = "2026-01-01"
@@ -147,6 +150,38 @@ def _(spark, sf):
         .alias("relevance"), "basis.group_size")
 
 
+STEEP = {**PROFILE, "profile_id": "steep_v1", "version": "2.0.0", "shrinkage_k": 3,
+         "tier_quantiles": [["A", 0.01], ["B", 0.3], ["C", 0.5]]}
+
+
+def _steep(sql: str) -> str:
+    """The salience SQL with the other profile's shrinkage and tiers, its tables named apart."""
+    sql = (sql.replace("group_size + 12 ", "group_size + 3 ").replace("0.05 AS", "0.01 AS")
+           .replace("0.2 AS", "0.3 AS"))
+    return re.sub(r"\b(raw|ranked|placed|salient|ordered|tiered)\b", r"\1_2", sql)
+
+
+@query("profiles_side_by_side", "S12 C5 W2 W3 W4", cte("candidates")
+       + f""", {sql_salience('candidates')}, {_steep(sql_salience('candidates'))}
+SELECT id, 'default_v1' AS profile, salience, tier, method, CAST(group_size AS INT) AS group_size FROM tiered
+UNION ALL SELECT id, 'steep_v1', salience, tier, method, CAST(group_size AS INT) FROM tiered_2""")
+def _(spark, sf):
+    """Two profile files, scanned from a folder and applied together."""
+    path = new_path(spark, "profiles")
+    for profile in (STEEP, PROFILE):
+        (spark.createDataFrame([(json.dumps(profile),)], "value string").coalesce(1)
+         .write.text(f"{path}/{profile['profile_id']}"))
+    # a profile is a file here below its own folder, because Spark names the files
+    found = [p for name in (PROFILE, STEEP) for p in overlays.profiles(
+        spark, f"{path}/{name['profile_id']}", "*")]
+    scored = PC.score_all(candidates(spark, sf), found)
+    return scored.select("id", F.explode("salience_by_profile").alias("profile", "salience"),
+                         "salience_tier_by_profile", "salience_basis_by_profile").select(
+        "id", "profile", "salience", F.col("salience_tier_by_profile")[F.col("profile")].alias("tier"),
+        F.col("salience_basis_by_profile")[F.col("profile")]["method"].alias("method"),
+        F.col("salience_basis_by_profile")[F.col("profile")]["group_size"].alias("group_size"))
+
+
 @query("tier_cut_points", "A16", cte("candidates") + f""", {sql_salience('candidates')}
 SELECT tier, count(*) AS count, max(salience) AS salience_max, min(salience) AS salience_min
 FROM tiered GROUP BY tier""")

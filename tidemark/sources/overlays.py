@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import cells, empty
@@ -71,6 +73,31 @@ def registry(docs: DataFrame) -> DataFrame:
             .filter(~F.col("source_id").startswith("_")).select("source_id", "e.*"))
 
 
+#: So many profiles at most may lie in a folder: they are configuration and go to the driver.
+MOST_PROFILES = 100
+
+
+def profiles(spark: SparkSession, path: str, pattern: str = "*.json") -> list[dict]:
+    """Every salience profile in a folder, in order of file name: a file is a profile.
+
+    A profile needs an id of its own, tier quantiles and a scoring of kinds.
+    """
+    rows = (spark.read.option("wholetext", "true").option("pathGlobFilter", pattern).text(path)
+            .select(F.col("_metadata.file_name").alias("file"), "value")
+            .orderBy("file").limit(MOST_PROFILES + 1).collect())
+    if len(rows) > MOST_PROFILES:
+        raise ValueError(f"more than {MOST_PROFILES} profiles in {path}")
+    out = [json.loads(r["value"]) for r in rows]
+    for row, profile in zip(rows, out):
+        absent = [k for k in ("profile_id", "tier_quantiles", "kind_scoring") if not profile.get(k)]
+        if absent:
+            raise ValueError(f"{row['file']} has no {', '.join(absent)}")
+    ids = [p["profile_id"] for p in out]
+    if len(set(ids)) < len(ids):
+        raise ValueError(f"profiles share an id: {sorted(ids)}")
+    return out
+
+
 def scan_records(payloads: DataFrame) -> DataFrame:
     """(file, scan_id, pos, raw, record columns) from scan payload documents."""
     raw = F.transform(F.from_json(F.get_json_object("value", "$.records"), "array<variant>"),
