@@ -10,6 +10,7 @@ A null text counts as the empty text.  Very long texts are hashed piece by piece
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,7 +56,7 @@ class _Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n + 1:
-            size = max(n + 1, _PIECE * 2)
+            size = max(n + 1, _PIECE + 1)
             inverse = _U(pow(int(_BASE), -1, 1 << 64))
             self.up, self.down = (np.multiply.accumulate(
                 np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]))
@@ -191,8 +192,27 @@ def shingle_sets(column: pa.Array, k: int = 5) -> Iterator[np.ndarray]:
         yield np.unique(h[cut[i]:cut[i + 1]])
 
 
+def _trimmer():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # not this C library
+        return lambda _: 0
+
+
+_trim = _trimmer()
+
+
+def release() -> None:
+    """Gives memory that is free, but still held by this worker, back to the machine."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
 def pieces(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts hold about ``most`` bytes, or one longer text."""
+    """Slices of a batch whose texts hold about ``most`` bytes, or one longer text.
+
+    Workers live on from stage to stage; after each batch they let go of what it took.
+    """
     column = batch.column(text)
     _, at = text_bytes(column)
     a = 0
@@ -200,3 +220,4 @@ def pieces(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa
         b = max(a + 1, int(np.searchsorted(at, at[a] + most, "right")) - 1)
         yield batch.slice(a, b - a)
         a = b
+    release()
