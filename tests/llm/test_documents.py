@@ -351,3 +351,18 @@ def test_large_vocabularies_have_longer_codes():
     lengths = token_files.code_lengths(counts, 18)
     bits, points = token_files.pack(ids, lengths, token_files.canonical(lengths))
     assert lengths.max() <= 18 and (token_files.unpack(bits, lengths, points, len(ids)) == ids).all()
+
+
+def test_licence_scans_take_long_runs_and_blank_lines(spark):
+    import time
+    bodies = ["你" * 350_000, "\n" * 100_000, "─ " * 200_000, " \n\t\n" * 50_000, "=" * 500_000 + "\n",
+              "* " * 100_000, "1. " * 100_000, "Ж " * 2_000 + "\n" + "ж" * 100_000]
+    rows = [(i, b + "\n" + t, "en", "a") for i, (b, t) in enumerate(
+        (b, t) for b in bodies for t in ("", "Licensed under CC BY-NC 4.0.\n"))]
+    df = spark.createDataFrame([(*r, len(r[1])) for r in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    for scan in (licenses.scan, licenses.scan_whole):
+        begun = time.time()
+        got = {r.doc_id: r.licenses for r in scan(df.repartition(8)).collect()}
+        assert time.time() - begun < 60
+        assert all((got[i] == "CC-BY-NC-4.0") == (i % 2 == 1) for i in got), got

@@ -229,19 +229,21 @@ def broken(text: Column) -> Column:
     """The words of a text, with marks for ends of sentences and for line ends inside paragraphs.
 
     Sentences end at ``.``, ``!``, ``?``, ``:`` before white space, at lines without a letter or digit
-    (comment marks alone are such) and at list marks, which go.
+    (comment marks alone are such) and at list marks, which go.  No pattern repeats a group without
+    bound or begins anew inside a run it has passed over, so long runs and many blank lines take time
+    and stack in proportion.
     """
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     t = F.translate(F.coalesce(text, F.lit("")), upper + _END + _LINE, upper.lower() + "  ")
     for pattern, by in (
             (r"\r\n?", "\n"),
-            (r"(?m)^[^a-z0-9\n]*(?:dnl|rem)(?=[ \t\n])", ""),
+            (r"(?m)^[^a-z0-9\n]*+(?:dnl|rem)(?=[ \t\n])", ""),
             (r"(?m)^(?:[^a-z0-9\n]*?\(?(?:[0-9]{1,2}|[a-z]|i{1,3}|iv)[.)]"
              r"|[ \t]*(?:(?://+|#+|;+|%+|\*)[ \t]+\*|(?:(?://+|#+|;+|%+|\*)[ \t]+)?[-+\u2022]))[ \t]+", _END),
             (r"[.!?:][\x20\x09-\x0D]+", _END),
-            (rf"\n(?:[^a-z0-9\n{_END}]*\n)+", _END),
-            (rf"[^a-z0-9{_END}]*{_END}[^a-z0-9]*", _END),
-            (rf"[^a-z0-9\n{_END}]*\n[^a-z0-9\n{_END}]*", _LINE),
+            (rf"\n[^a-z0-9{_END}]*\n", _END),
+            (rf"(?<![^a-z0-9{_END}])[^a-z0-9{_END}]*+{_END}[^a-z0-9]*+", _END),
+            (rf"(?<![^a-z0-9\n{_END}])[^a-z0-9\n{_END}]*+\n[^a-z0-9\n{_END}]*+", _LINE),
             (rf"[^a-z0-9{_END}{_LINE}]+", " ")):
         t = F.regexp_replace(t, pattern, by)
     return F.trim(t)
