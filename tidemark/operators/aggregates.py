@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import research as R
 from tidemark.functions.text import is_blank, strip
+from tidemark.operators.joins import lookup_join
+from tidemark.operators.ranking import rank_within
 
 
 def tally(df: DataFrame, *columns: str, as_text: bool = False) -> DataFrame:
@@ -124,3 +128,10 @@ def review_outcomes(reviews: DataFrame) -> DataFrame:
     named = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("unknown"))
     return reviews.groupBy(named("reviewer").alias("reviewer"),
                            named("verdict").alias("verdict")).agg(F.count("*").alias("n"))
+
+
+def ordered_groups(df: DataFrame, group: str, order: Sequence[Column], place: str,
+                   size: str) -> DataFrame:
+    """All rows with their place in their group and its size; no group is sorted in one task."""
+    sizes = df.groupBy(group).agg(F.count("*").alias(size))
+    return lookup_join(rank_within(df, [group], order, place), sizes, [group])

@@ -107,6 +107,15 @@ def _(spark, sf):
                         [F.desc("year"), F.col("id")], 2, 50)
 
 
+@query("events_by_year", "A27", EV + """
+SELECT id, year, CAST(row_number() OVER (PARTITION BY year ORDER BY id) AS BIGINT) AS place,
+  count(*) OVER (PARTITION BY year) AS in_year FROM events_v""")
+def _(spark, sf):
+    """Every year's events in order, each with its place and the number of the year's events."""
+    return A.ordered_groups(timeline_events(spark, sf).select("id", "year"), "year", [F.col("id")],
+                            "place", "in_year")
+
+
 @query("description_quality", "A6 C14", EV + """
 SELECT count(*) AS total, CAST(sum(CAST(length(description) < 60 AS INT)) AS BIGINT) AS under_60_chars,
   CAST(sum(CAST(lower(description) LIKE 'introduction%' AS INT)) AS BIGINT)
@@ -899,22 +908,17 @@ def _(spark, sf):
 
 @query("sheet_header_located", "S14", """
 WITH h AS (SELECT event_type, min(event_id) AS head FROM events WHERE event_id % 9 = 0 GROUP BY 1)
-SELECT e.event_type AS sheet, event_id AS row_no, 'x' || user_id AS title FROM events e
-JOIN h USING (event_type) WHERE event_id > head""")
+SELECT e.event_type AS sheet, event_id AS row_no, CASE WHEN event_id % 9 = 0 THEN 'Title'
+  ELSE 'x' || user_id END AS title FROM events e JOIN h USING (event_type) WHERE event_id > head""")
 def _(spark, sf):
+    """Rows under the first header of each sheet; a later header is a row of the table too."""
     k = F.col("event_id")
     rows = table(spark, sf, "events").select(
         F.col("event_type").alias("sheet"), k.alias("row_no"),
         F.when(k % 9 == 0, F.array(F.lit("Name"), F.lit("Title "))).otherwise(
             F.array(F.lit(""), F.concat(F.lit("x"), F.col("user_id").cast("string"))))
         .alias("cells"))
-    # every later header row is a row of the table too
-    found = overlays.headed_table(rows).withColumn("title", F.col("record")["Title"])
-    return found.select("sheet", "row_no", F.when(F.col("title") == "Title", F.lit(None))
-                        .otherwise(F.col("title")).alias("title")).join(
-        table(spark, sf, "events").select(k.alias("row_no"), "user_id"), "row_no").select(
-        "sheet", "row_no", F.coalesce("title", F.concat(F.lit("x"), F.col("user_id")
-                                                        .cast("string"))).alias("title"))
+    return overlays.headed_table(rows).select("sheet", "row_no", F.col("record")["Title"].alias("title"))
 
 
 @query("stripped_titles", "F4 F27", """

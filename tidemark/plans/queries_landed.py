@@ -397,12 +397,16 @@ def landed_events(spark, sf) -> str:
 @query("stream_deduplicated", "R3", """
 SELECT event_id, user_id FROM events""")
 def _(spark, sf):
-    """Every file is delivered twice; each event is kept once."""
-    landing, target = landed_events(spark, sf), new_path(spark, "stream-dedup")
-    schema = "event_id long, user_id long, event_type string, value double, ts timestamp"
-    once = spark.readStream.schema(schema).json(landing)
-    rows = once.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")
-    kept = INC.stream_keep_first(rows, "event_id", "ts", "60 days").select("event_id", "user_id")
+    """Everything is delivered twice, in different micro-batches, and a row that is too late comes last."""
+    landing, target = new_path(spark, "deliveries"), new_path(spark, "stream-dedup")
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    late = events.agg(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"),
+                      (F.min("ts") - F.expr("INTERVAL 400 DAYS")).alias("ts"))
+    for n, rows in enumerate((events, events, late)):
+        rows.coalesce(1).write.json(f"{landing}/delivery-{n}")
+    once = (spark.readStream.schema("event_id long, user_id long, ts timestamp")
+            .option("maxFilesPerTrigger", 1).json(f"{landing}/*"))
+    kept = INC.stream_keep_first(once, "event_id", "ts", "60 days").select("event_id", "user_id")
     (kept.writeStream.format("parquet").option("path", target)
      .option("checkpointLocation", target + "-state").trigger(availableNow=True).start()
      .awaitTermination())

@@ -89,12 +89,15 @@ def _(spark, sf):
     return rows.filter("residue > 0")
 
 
-@query("refused_rows", "V3", f"""
-SELECT source, count(*) AS rows FROM documents GROUP BY 1""")
+@query("refused_rows", "V3", """
+SELECT source, count(*) AS rows, count(*) FILTER (WHERE doc_id % 5 = 0) AS refused FROM documents GROUP BY 1""")
 def _(spark, sf):
-    """Per source: rows, none of which is refused after redaction."""
-    out = P.scrub(heavy(spark, sf, "documents").select("source", "text"), ["text"])
-    return out.groupBy("source").agg((F.count("*") - F.count_if("refused")).alias("rows"))
+    """Per source: every fifth row holds what only the verifier takes for an address, and is refused."""
+    odd = F.when(F.col("doc_id") % 5 == 0, " ask some_one@ex\u00e4mple.org today").otherwise("")
+    rows = heavy(spark, sf, "documents").select("source", F.concat(
+        F.coalesce("text", F.lit("")), odd).alias("text"))
+    return P.scrub(rows, ["text"]).groupBy("source").agg(
+        F.count("*").alias("rows"), F.count_if("refused").alias("refused"))
 
 
 @query("residue_gate", "V4", f"""

@@ -15,6 +15,7 @@ from tidemark.plans.registry import query
 from tidemark.plans.standins import cte, heavy, standin, table
 from tidemark.sinks import publish
 from tidemark.streaming import incremental as INC
+from tidemark.workspace import new_path
 
 S = K.PY_SPACE_CLASS
 
@@ -180,6 +181,16 @@ def quality_tier_counts(spark, sf):
     return publish.tier_listing(PR.score(research(spark, sf)), "quality_tier", "source_id")
 
 
+@query("quality_tier_ids", "K10 A15", cte("research") + f""", {SQL_SCORED}
+SELECT tier AS quality_tier, id AS source_id FROM scored""")
+def _(spark, sf):
+    """The ids of each tier, as the table that the listing writes."""
+    path = new_path(spark, "tiers")
+    publish.tier_listing(PR.score(research(spark, sf)), "quality_tier", "source_id", path)
+    return spark.read.parquet(path).select(F.col("quality_tier").cast("string").alias("quality_tier"),
+                                           "source_id")
+
+
 @query("tier_samples", "T9", cte("research") + f""", {SQL_SCORED}
 SELECT tier AS quality_tier, id AS source_id, rn AS rank FROM (SELECT *, CAST(row_number() OVER (
   PARTITION BY tier ORDER BY id) AS INT) AS rn FROM scored) WHERE rn <= 3""")
