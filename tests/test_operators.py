@@ -288,3 +288,16 @@ def test_two_profiles_side_by_side(spark):
         view = out.withColumn("privacy_review_required", F.col("id") == "s:2")
         first = view.orderBy(*PC.queue_order(mode, "default_v1")).first()["id"]
         assert first == ("s:2" if mode == "privacy" else "s:0" if mode == "date" else first)
+
+
+def test_children_of_a_hot_key_have_places(spark):
+    rows = [("hot" if i % 3 else f"k{i}", i, [f"s{i % 7}", f"s{i}", f"s{(i * 5) % 11}"]) for i in range(60)]
+    rows += [(None, 60, ["x", "y", "x"]), ("empty", 61, []), ("none", 62, None)]
+    df = spark.createDataFrame(rows, "slug string, n int, items array<string>")
+    want = set()
+    for slug in {r[0] for r in rows}:
+        seen = list(dict.fromkeys(x for r in rows if r[0] == slug for x in r[2] or []))
+        want |= {(slug, x, i) for i, x in enumerate(seen, 1)}
+    assert {tuple(r) for r in dedup.merged_children(df, "slug", "n", "items").collect()} == want
+    parents = dedup.merged_parents(df.filter("slug is not null"), "slug", "n", ["n"])
+    assert {r.slug: r.n for r in parents.collect()}["hot"] == 1

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import empty
 from tidemark.operators.joins import null_safe_join
+from tidemark.operators.ranking import rank_within
 
 
 def keep_first(df: DataFrame, scope: Sequence[str], key: str, order: str) -> DataFrame:
@@ -90,6 +91,23 @@ def merge_first_seen(df: DataFrame, key: str, order: str, scalars: Sequence[str]
     return out.drop(order)
 
 
+def merged_children(df: DataFrame, key: str, order: str, column: str) -> DataFrame:
+    """(key, item, place): the distinct items of an array column of each key, in order of first sight.
+
+    The child table of :func:`merge_first_seen` without its arrays: an item is a row, its place comes from
+    one global order, and so a key with a third of all items is in no single row and no single task.
+    """
+    seen = (df.select(key, F.col(order).alias("_o"), F.posexplode(column).alias("_p", "item"))
+            .groupBy(key, "item").agg(F.min(F.struct("_o", "_p")).alias("_at")))
+    return rank_within(seen, [key], [F.col("_at"), F.col("item")], "place").drop("_at")
+
+
+def merged_parents(df: DataFrame, key: str, order: str, scalars: Sequence[str]) -> DataFrame:
+    """One row per key: the scalars of its first row."""
+    firsts = df.groupBy(key).agg(F.min(order).alias(order))
+    return df.join(firsts, [key, order], "left_semi").select(key, *scalars)
+
+
 def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
 

@@ -520,6 +520,22 @@ def _(spark, sf):
                          F.array_join("sources", "|").alias("sources"))
 
 
+@query("merged_sources", "A18", """
+WITH r AS (SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE 'user_' || user_id END AS slug, event_id,
+  'https://s.example/' || event_type AS s0, 'https://s.example/' || event_id AS s1 FROM events),
+u AS (SELECT slug, item, min(event_id * 2 + p) AS seen FROM (SELECT slug, s0 AS item, event_id, 0 AS p FROM r
+  UNION ALL SELECT slug, s1, event_id, 1 FROM r) GROUP BY 1, 2)
+SELECT slug, item, row_number() OVER (PARTITION BY slug ORDER BY seen) AS place FROM u""")
+def _(spark, sf):
+    """Sources of merged claims as rows with places; one slug has a third of all of them."""
+    k = F.col("event_id")
+    rows = table(spark, sf, "events").select(
+        F.when(k % 3 == 0, "hot").otherwise(F.concat(F.lit("user_"), F.col("user_id").cast("string")))
+        .alias("slug"), k, F.array(F.concat(F.lit("https://s.example/"), "event_type"),
+                                   F.concat(F.lit("https://s.example/"), k.cast("string"))).alias("sources"))
+    return dedup.merged_children(rows, "slug", "event_id", "sources")
+
+
 def flagged_claims(spark, sf):
     """Parts as claims of two scans; some flags name other claims, some name nothing known."""
     k = F.col("p_partkey")
