@@ -46,9 +46,10 @@ _HELD = 2_000_000
 _PIECE = 2 << 20
 #: Contents whose documents would need more than this many comparisons each are compared in blocks.
 _NEAR = 16
-_BLOCK = 256
-#: A cluster of candidates is compared as a whole, in one task, up to this many sets.
-_WHOLE = 256
+#: A block of a group has at most about so many sets, and so many shingles in all.
+_BLOCK, _BLOCK_ITEMS = 1024, 1_000_000
+#: A cluster of candidates is compared as a whole, block with block, up to this many sets.
+_WHOLE = 4096
 #: A shingle of one document in this many is common, and of no fewer documents than the second.
 _COMMON, _LEAST_COMMON = 4000, 20
 #: Rounds of comparing with one chosen member before any comparison of pairs or blocks.
@@ -394,7 +395,12 @@ def _tile_links(num: int, den: int):
         order = np.argsort(items, kind="stable")
         items, owner = items[order], owner[order]
         out = []
+        apart = {top(i) for i in first.tolist()}
         for j in other.tolist():
+            if len(apart) > 1:
+                apart = {top(i) for i in apart}
+            if apart == {top(j)}:  # nothing here is left to join to it
+                continue
             lo, hi = (np.searchsorted(items, sets[j], side) for side in ("left", "right"))
             span = hi - lo
             at = np.repeat(lo - np.cumsum(span) + span, span) + np.arange(span.sum())
@@ -413,10 +419,11 @@ def _tile_links(num: int, den: int):
 def _tiles(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links that join the components (label) of the members of each group (g, sid, label).
 
-    A group is dealt into blocks of about ``_BLOCK``; each pair of blocks is one task, which reports
+    A group is dealt into blocks by its sets and their shingles; each pair of blocks is one task, which reports
     at most one link for each set it joins to another component.
     """
-    sizes = groups.groupBy("g").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
+    sizes = (groups.join(sets.select("sid", "n"), "sid").groupBy("g").agg(F.greatest(
+        F.ceil(F.count("*") / _BLOCK), F.ceil(F.sum("n") / _BLOCK_ITEMS)).cast("int").alias("blocks")))
     mine = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                         lambda j: F.struct(F.least("block", j).alias("ti"),
