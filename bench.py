@@ -23,7 +23,8 @@ HEADLINE = (
     "percentile_of_distinct_values", "rank_within_type", "as_of_per_row",
     "near_duplicate_titles", "redacted_documents", "verifier_residue", "postal_findings",
     "log_odds_weights", "classified_heads", "merge_by_slug", "precedence_merge",
-    "unresolved_citations", "build_difference",
+    "unresolved_citations", "build_difference", "watch_attention", "all_rule_jobs",
+    "research_dump_rules", "json_file_in_splits", "profiles_side_by_side",
 )
 
 

@@ -81,3 +81,12 @@ def test_scope_drops_its_tables(spark):
     from urllib.parse import urlparse
     import os
     assert not os.path.exists(urlparse(path).path)
+
+
+def test_a_folder_of_the_driver_is_no_shared_folder_on_a_cluster():
+    from tidemark.workspace import _warehouse
+    assert _warehouse("file:/tmp/w", "local[4]") == "file:/tmp/w"
+    assert _warehouse("hdfs://n/w", "yarn") == "hdfs://n/w"
+    for folder in ("file:/tmp/w", "/tmp/w", "spark-warehouse"):
+        with pytest.raises(ValueError):
+            _warehouse(folder, "spark://host:7077")

@@ -24,8 +24,8 @@ _SCOPES: list[list[str]] = []
 
 def shared_dir(spark: SparkSession) -> str:
     """The application's folder below the cluster's checkpoint or warehouse folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None) or _warehouse(
+        spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)
     folder = f"{named.rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
     if folder not in _MARKED:
         path, files = _file_system(spark, folder)
@@ -35,6 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _warehouse(folder: str, master: str) -> str:
+    """The warehouse as the shared folder, which a folder of the driver's machine is only without a cluster."""
+    one_machine = master == "local" or master.startswith("local[")
+    if not one_machine and (":" not in folder.split("/")[0] or folder.startswith("file:")):
+        raise ValueError(f"executors do not see {folder}: name a shared folder in spark.checkpoint.dir")
+    return folder
+
+
 def _file_system(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
