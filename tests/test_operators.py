@@ -301,3 +301,37 @@ def test_children_of_a_hot_key_have_places(spark):
     assert {tuple(r) for r in dedup.merged_children(df, "slug", "n", "items").collect()} == want
     parents = dedup.merged_parents(df.filter("slug is not null"), "slug", "n", ["n"])
     assert {r.slug: r.n for r in parents.collect()}["hot"] == 1
+
+
+def test_profiles_from_files_share_every_shuffle(spark, tmp_path, monkeypatch):
+    import json
+    from tidemark.sources import overlays
+    kinds = {**K.DEFAULT_PROFILE, "profile_id": "third", "version": "3", "shrinkage_k": 1,
+             "tier_quantiles": [["A", 0.4], ["B", 0.4], ["C", 0.1]]}
+    for p in (kinds, K.DEFAULT_PROFILE, {**K.DEFAULT_PROFILE, "profile_id": "flat", "shrinkage_k": 0}):
+        (tmp_path / f"{p['profile_id']}.json").write_text(json.dumps(p))
+    (tmp_path / "note.txt").write_text("no profile")
+    found = overlays.profiles(spark, str(tmp_path))
+    assert [p["profile_id"] for p in found] == ["default_v1", "flat", "third"]
+    data = [(None if i % 7 == 0 else f"s:{i}", i, ["forum_post", "publication"][i % 2], "AI safety",
+             f"202{i % 3}-01-01", {"karma": [("2026", float(i % 5))], "citations": [("2026", float(i % 4))]},
+             {}, []) for i in range(40)]
+    df = candidate(spark, data)
+    writes = []
+    durable = PC.durable
+    monkeypatch.setattr(PC, "durable", lambda d, label: (writes.append(label), durable(d, label))[1])
+    one = PC.score_all(df, found[:1])
+    first, writes[:] = list(writes), []
+    out = {r["_ord"]: r for r in PC.score_all(df, found).collect()}
+    assert writes == first and len(out) == 40 and one.count() == 40
+    for p in found:
+        alone = PC.score_profile(df, p).collect()
+        assert len(alone) == 40
+        for r in alone:
+            own, name = out[r["_ord"]], p["profile_id"]
+            assert own["salience_by_profile"][name] == r["salience"]
+            assert own["salience_tier_by_profile"][name] == r["tier"]
+            assert own["salience_basis_by_profile"][name] == r["basis"]
+    (tmp_path / "bad.json").write_text('{"profile_id": "x"}')
+    with pytest.raises(ValueError, match="bad.json"):
+        overlays.profiles(spark, str(tmp_path))

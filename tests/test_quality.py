@@ -149,7 +149,7 @@ def test_watch_list(spark):
                     "cleared_for array<string>, note string")
     prior = spark.createDataFrame([("one_two_three", "watching", "2026-01-02", None, None, None,
                                     "A", None, None)], prior_schema)
-    got = {r["id"]: r for r in PL.watch_list(records, prior).collect()}
+    got = {r["id"]: r for r in PL.watch_list(records, prior, expand=True).collect()}
     first = got["one_two_three"]
     assert first["title"] == "Lab opens large centre" and first["sources"] == ["u1", "u2", "u3"]
     assert first["scans"] == ["scan_a", "scan_b"] and first["watch_status"] == "watching"
@@ -157,7 +157,7 @@ def test_watch_list(spark):
     assert got["four_five_six"]["possible_duplicate_of"] == ["one_two_three"]
     lost = prior.withColumn("id", F.lit("gone"))
     with pytest.raises(RefusedWrite):
-        PL.watch_list(records, lost)
+        PL.watch_list(records, lost, expand=True)
 
 
 def test_revalidation_is_all_or_nothing(spark):
