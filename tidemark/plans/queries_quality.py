@@ -590,7 +590,7 @@ def _(spark, sf):
     return shown(Q.ascii_rows(table(spark, sf, "documents"), "documents", "doc_id"))
 
 
-@query("opinion_fields", "Q5 Q24", """
+@query("bare_opinion_names", "Q5 Q24", """
 SELECT CAST(c_custkey AS VARCHAR) AS id, 'bare ' || f AS rule, 'error' AS severity FROM customer,
   LATERAL (VALUES ('importance', c_custkey % 9 = 0), ('rarity', c_custkey % 10 = 1),
     ('verdict', c_custkey % 15 = 2)) v(f, here) WHERE here""")
