@@ -209,6 +209,20 @@ def test_string_leaves_equal_a_walk(spark):
     assert got == sorted([*want, (900, None, None), (901, None, None)], key=str)
 
 
+def test_member_names_longer_than_the_parser_takes(spark):
+    """Names of over 50,000 characters, nested and escaped, twice, and beside a value that reads like one."""
+    import json
+    name = 'n\u00e9 "\\' * 20_000
+    other = "caf\u00c3\u00a9\n" + "y" * 60_000
+    docs = [{name: {other: ["a", {name: "b"}]}, "k": name, "l": [f'"{other}":']}, [{other: 1}, other], {"k": other}]
+    raw = [json.dumps(d, ensure_ascii=i == 1, indent=i) for i, d in enumerate(docs)]
+    raw += [raw[0][:-1], '{"' + "z" * 60_000 + '" "x"}', '{"' + "z" * 60_000 + r'\q": 1}']
+    df = spark.createDataFrame(list(enumerate(raw)), "id int, raw string")
+    got = sorted(map(tuple, json_leaves.string_leaves(df, "raw", ["id"]).collect()), key=str)
+    want = [(i, *leaf) for i, d in enumerate(docs) for leaf in walk(d)]
+    assert got == sorted([*want, *((i, None, None) for i in (3, 4, 5))], key=str)
+
+
 def test_json_lines_are_split_on_line_feed_only(spark, tmp_path):
     """U+2028 and its like inside values must not make the check invent findings."""
     import json
