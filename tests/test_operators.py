@@ -335,3 +335,45 @@ def test_profiles_from_files_share_every_shuffle(spark, tmp_path, monkeypatch):
     (tmp_path / "bad.json").write_text('{"profile_id": "x"}')
     with pytest.raises(ValueError, match="bad.json"):
         overlays.profiles(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("limits", [{}, {"window_rows": 3}, {"score_rows": 2}])
+def test_tiers_of_groups_are_cut_by_counts(spark, limits, monkeypatch):
+    """Few scores need no ranking of all rows; ties on a cut, null scores and each way of working agree."""
+    import random
+    rng = random.Random(5)
+    data = [(i, i % 2, rng.choice([None, 0.1, 0.2, 0.25, 0.5])) for i in range(400)]
+    quantiles = {0: [("A", 0.05), ("B", 0.2)], 1: [("A", 0.5)]}
+    want = {}
+    for g, cuts in quantiles.items():
+        rows = sorted((r for r in data if r[1] == g and r[2] is not None), key=lambda r: (-r[2], r[0]))
+        ends = RK.tier_ends(len(rows), cuts)
+        want |= {r[0]: next((t for t, a, b in ends if a <= n < b), "D") for n, r in enumerate(rows)}
+    want |= {r[0]: "D" for r in data if r[2] is None}
+    df = spark.createDataFrame(data, "id int, g int, s double").localCheckpoint()
+    if not limits:
+        monkeypatch.setattr(RK, "global_position", None)
+    got = RK.quantile_tiers_by_group(df, "g", "s", [F.col("id")], quantiles, **limits).collect()
+    assert {r.id: r.tier for r in got} == want and len(got) == len(data)
+
+
+def test_a_join_on_its_unique_columns_looks_for_no_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(joins, "hot_keys", None)
+    left = spark.createDataFrame([(1, None, "a"), (2, "x", "b")], "o int, id string, v string")
+    right = left.select("o", "id", F.upper("v").alias("w"))
+    got = joins.lookup_join(left, right, ["id", "o"], known_small=False, unique=["o", "id"]).collect()
+    assert sorted((r.o, r.w) for r in got) == [(1, "A"), (2, "B")]
+
+
+def test_queues_are_ordered_without_their_records(spark, monkeypatch):
+    from tidemark.plans import queries_candidates as QC
+    from tidemark.plans.catalog import QUERIES
+    seen = []
+
+    def position(df, order, name="position"):
+        seen.append(df.columns)
+        return RK.global_position(df, order, name)
+
+    monkeypatch.setattr(QC, "global_position", position)
+    QUERIES["review_queue_orders"].run(spark, "/root/testdata/sf0.001")
+    assert [len(c) for c in seen] == [2, 3, 2]

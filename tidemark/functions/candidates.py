@@ -87,13 +87,14 @@ def topical_relevance(profile: dict, kind: Column, haystack: Column) -> Column:
     if not terms:
         return F.lit(1.0)
     weights = rel.get("weights", {})
-    pattern = "|".join(rf"\b(?:{t})\b" for t in terms)
+    pattern = r"\b(?:" + "|".join(f"(?:{t})" for t in terms) + r")\b"
     hits = F.size(F.array_distinct(
         F.regexp_extract_all(F.lower(haystack), F.lit("(?U)" + pattern), F.lit(0))))
-    return (F.when(F.coalesce(always, F.lit(False)), 1.0)
-            .when(hits >= 2, float(weights.get("two_or_more_hits", 1.0)))
-            .when(hits == 1, float(weights.get("one_hit", 0.75)))
-            .otherwise(float(weights.get("no_hits", 0.25))))
+    by_hits = F.array(*[F.lit(float(weights.get(name, value))) for name, value in (
+        ("no_hits", 0.25), ("one_hit", 0.75), ("two_or_more_hits", 1.0))])
+    # the hits are named once, for what is named in several branches is searched in each
+    return F.when(F.coalesce(always, F.lit(False)), 1.0).otherwise(
+        F.get(by_hits, F.least(hits, F.lit(2))))
 
 
 def signal_disagreement(salience, relevance, karma, citations) -> Column:

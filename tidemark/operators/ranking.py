@@ -112,20 +112,8 @@ def quantile_tiers(df: DataFrame, score: str, tie: Sequence[Column],
         placed = global_position(scored, [F.desc(score), *tie], "_pos")
         tiered = placed.withColumn(name, _tier_at(F.col("_pos") - 1, ranges, rest)).drop("_pos")
         return tiered.unionByName(df.filter(F.col(score).isNull()).withColumn(name, F.lit(rest)))
-    ranges = tier_ends(sum(r["n"] for r in head), quantiles)
-    cuts = {end for _, _, end in ranges}
-    start, lowest, split, tied_rows = 0, {}, [], 0
-    for row in head:
-        end = start + row["n"]
-        if any(start < c < end for c in cuts):
-            split.append((row[score], start))
-            tied_rows += row["n"]
-        else:
-            lowest[_tier_name(start, ranges, rest)] = row[score]
-        start = end
-    by_score = F.lit(rest)
-    for tier in reversed([t for t, _, _ in ranges if t in lowest]):
-        by_score = F.when(F.col(score) >= F.lit(lowest[tier]), F.lit(tier)).otherwise(by_score)
+    ranges, lowest, split, tied_rows = _cuts([(r[score], r["n"]) for r in head], quantiles, rest)
+    by_score = _tier_by_score(F.col(score), ranges, lowest, rest)
     if not split:
         return df.withColumn(name, by_score)
     first = F
@@ -145,20 +133,73 @@ def quantile_tiers(df: DataFrame, score: str, tie: Sequence[Column],
 
 def quantile_tiers_by_group(df: DataFrame, group: str, score: str, tie: Sequence[Column],
                             quantiles: Mapping[object, Sequence[tuple[str, float]]],
-                            name: str = "tier", rest: str = "D") -> DataFrame:
+                            name: str = "tier", rest: str = "D", window_rows: int = WINDOW_ROWS,
+                            score_rows: int = _SMALL_SCORE_TABLE) -> DataFrame:
     """As :func:`quantile_tiers`, each group (few, with quantiles of its own) by itself.
 
-    All groups are ranked by one global order, so the number of shuffles does not depend on theirs.
+    All groups are cut by one table of counts, or, with very many scores, ranked by one global order,
+    so the number of shuffles does not depend on theirs.
     """
     scored = df.filter(F.col(score).isNotNull())
-    totals = {r[group]: r["n"] for r in scored.groupBy(group).agg(F.count("*").alias("n")).collect()}
-    placed = rank_within(scored, [group], [F.desc(score), *tie], "_pos")
+    most = score_rows * len(quantiles)
+    head = scored.groupBy(group, score).agg(F.count("*").alias("n")).orderBy(
+        group, F.desc(score)).limit(most + 1).collect()
     tier = F.lit(rest)
-    for value, total in totals.items():
-        tier = F.when(F.col(group) == F.lit(value), _tier_at(
-            F.col("_pos") - 1, tier_ends(total, quantiles[value]), rest)).otherwise(tier)
-    return (placed.withColumn(name, tier).drop("_pos")
-            .unionByName(df.filter(F.col(score).isNull()).withColumn(name, F.lit(rest))))
+    if len(head) > most:
+        totals = {r[group]: r["n"] for r in scored.groupBy(group).agg(F.count("*").alias("n")).collect()}
+        placed = rank_within(scored, [group], [F.desc(score), *tie], "_pos")
+        for value, total in totals.items():
+            tier = F.when(F.col(group) == F.lit(value), _tier_at(
+                F.col("_pos") - 1, tier_ends(total, quantiles[value]), rest)).otherwise(tier)
+        return (placed.withColumn(name, tier).drop("_pos")
+                .unionByName(df.filter(F.col(score).isNull()).withColumn(name, F.lit(rest))))
+    at, is_tied, tied_rows = F.lit(rest), F.lit(False), 0
+    for value in dict.fromkeys(r[group] for r in head):
+        here = F.col(group) == F.lit(value)
+        ranges, lowest, split, rows = _cuts([(r[score], r["n"]) for r in head if r[group] == value],
+                                            quantiles[value], rest)
+        tier = F.when(here, _tier_by_score(F.col(score), ranges, lowest, rest)).otherwise(tier)
+        tied_rows += rows
+        for v, position in split:
+            cut = here & (F.col(score) == F.lit(v))
+            is_tied = is_tied | cut
+            at = F.when(cut, _tier_at(F.col("_pos") - 1 + F.lit(position), ranges, rest)).otherwise(at)
+    if not tied_rows:
+        return df.withColumn(name, tier)
+    is_tied = F.coalesce(is_tied, F.lit(False))
+    tied = df.filter(is_tied)
+    if tied_rows <= window_rows:
+        tied = tied.withColumn("_pos", F.row_number().over(Window.partitionBy(group, score).orderBy(*tie)))
+    else:
+        tied = rank_within(tied, [group, score], tie, "_pos")
+    return df.filter(~is_tied).withColumn(name, tier).unionByName(
+        tied.withColumn(name, at).drop("_pos"))
+
+
+def _cuts(counts: Sequence[tuple[float, int]], quantiles: Sequence[tuple[str, float]], rest: str):
+    """(ranges, lowest score of tiers, scores that a cut runs through with their places, rows of these).
+
+    ``counts`` are scores and their rows, highest first.
+    """
+    ranges = tier_ends(sum(n for _, n in counts), quantiles)
+    cuts = {end for _, _, end in ranges}
+    start, lowest, split, tied_rows = 0, {}, [], 0
+    for value, n in counts:
+        end = start + n
+        if any(start < c < end for c in cuts):
+            split.append((value, start))
+            tied_rows += n
+        else:
+            lowest[_tier_name(start, ranges, rest)] = value
+        start = end
+    return ranges, lowest, split, tied_rows
+
+
+def _tier_by_score(score: Column, ranges, lowest: Mapping[str, float], rest: str) -> Column:
+    out = F.lit(rest)
+    for tier in reversed([t for t, _, _ in ranges if t in lowest]):
+        out = F.when(score >= F.lit(lowest[tier]), F.lit(tier)).otherwise(out)
+    return out
 
 
 def _tier_name(position: int, ranges, rest: str) -> str:

@@ -15,7 +15,7 @@ from tidemark.operators.dedup import keep_first
 from tidemark.operators import aggregates as A
 from tidemark.operators import ranking as RK
 from tidemark.operators.dedup import row_fingerprint
-from tidemark.operators.joins import lookup_join, split_by
+from tidemark.operators.joins import is_small, lookup_join, split_by
 from tidemark.workspace import durable
 
 _STRINGS = "array<string>"
@@ -239,8 +239,8 @@ def score_all(df: DataFrame, profiles: list[dict]) -> DataFrame:
     pick = lambda values: F.get(F.array(*map(F.lit, values)), F.col("profile"))
     scores = []
     for p in profiles:
-        raw, method = C.raw_salience(p, kind, F.col("signals"), F.col("extra"))
-        scores.append(F.struct(raw.cast("double").alias("score"), method.alias("method"),
+        raw, _ = C.raw_salience(p, kind, F.col("signals"), F.col("extra"))
+        scores.append(F.struct(raw.cast("double").alias("score"),
                                C.topical_relevance(p, kind, haystack).cast("double").alias("relevance")))
     narrow = durable(df.select("id", "_ord", F.coalesce(kind, F.lit("None")).alias("kind"),
                                _year().alias("year"), F.posexplode(F.array(*scores)).alias("profile", "s"))
@@ -250,18 +250,39 @@ def score_all(df: DataFrame, profiles: list[dict]) -> DataFrame:
     weight = size / (size + pick([float(p.get("shrinkage_k", 0)) for p in profiles]))
     shrunk = F.lit(0.5) + (F.col("percentile") - F.lit(0.5)) * weight
     placed = durable(placed.select(
-        "id", "_ord", "profile", F.bround(shrunk * F.col("relevance"), 4).alias("salience"),
-        _basis(pick([p.get("version") for p in profiles]).cast("string"), weight).alias("basis")), "scored")
+        "id", "_ord", "profile", "score", "relevance", "group_size",
+        F.bround(shrunk * F.col("relevance"), 4).alias("salience")), "scored")
     tiered = RK.quantile_tiers_by_group(placed, "profile", "salience", [F.col("_ord")],
                                         {i: p["tier_quantiles"] for i, p in enumerate(profiles)})
-    name = pick([p["profile_id"] for p in profiles])
-    by = lambda c: F.map_from_entries(F.array_sort(F.collect_list(F.struct(
-        name.alias("key"), F.col(c).alias("value")))))
-    # as many entries as profiles
-    maps = durable(tiered.groupBy("id", "_ord").agg(
-        by("salience").alias("salience_by_profile"), by("tier").alias("salience_tier_by_profile"),
-        by("basis").alias("salience_basis_by_profile")), "by-profile")
-    return lookup_join(df, maps, ["id", "_ord"], unique=["id", "_ord"])
+    tiers = list(dict.fromkeys([t for p in profiles for t, _ in p["tier_quantiles"]] + ["D"]))
+    tiered = tiered.withColumn("tier", F.array_position(F.array(*map(F.lit, tiers)), F.col("tier")))
+    ranked = ("salience", "tier", "score", "relevance", "group_size")
+    # numbers only: they are aggregated by hash, without sorting the rows
+    if len(profiles) == 1:
+        wide = tiered.select("id", "_ord", *[F.col(c).alias(f"_{c}_0") for c in ranked])
+    else:
+        wide = tiered.groupBy("id", "_ord").agg(*[
+            F.max(F.when(F.col("profile") == i, F.col(c))).alias(f"_{c}_{i}")
+            for i in range(len(profiles)) for c in ranked])
+    out = lookup_join(df, wide, ["id", "_ord"], known_small=is_small(narrow.select("id", "_ord")),
+                      unique=["id", "_ord"])
+    entries = []
+    for i, p in sorted(enumerate(profiles), key=lambda x: x[1]["profile_id"]):
+        _, method = C.raw_salience(p, kind, F.col("signals"), F.col("extra"))
+        k, size = float(p.get("shrinkage_k", 0)), F.col(f"_group_size_{i}")
+        basis = F.struct(
+            F.lit(p.get("version")).cast("string").alias("profile_version"), method.alias("method"),
+            F.bround(f"_score_{i}", 4).alias("raw_score"),
+            F.col(f"_relevance_{i}").alias("topical_relevance"),
+            F.concat(F.lit("kind="), F.coalesce(kind, F.lit("None")), F.lit(",year="), _year())
+            .alias("percentile_within"), size.cast("int").alias("group_size"),
+            F.bround(size / (size + F.lit(k)), 3).alias("shrinkage"))
+        entries.append((F.lit(p["profile_id"]), F.col(f"_salience_{i}"),
+                        F.get(F.array(*map(F.lit, tiers)), F.col(f"_tier_{i}").cast("int") - 1), basis))
+    by = lambda at: F.create_map(*[x for e in entries for x in (e[0], e[at])])
+    return out.withColumns({"salience_by_profile": by(1), "salience_tier_by_profile": by(2),
+                            "salience_basis_by_profile": by(3)}).select(
+        *df.columns, "salience_by_profile", "salience_tier_by_profile", "salience_basis_by_profile")
 
 
 def reviews_by_id(reviews: DataFrame) -> DataFrame:
@@ -288,8 +309,8 @@ def project(records: DataFrame, *, tombstones: DataFrame, registry: DataFrame,
             profiles: list[dict], reviews: DataFrame,
             tags: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, dropped): every record is in one of them, dropped with its reason."""
-    removed = tombstones.select("id", F.lit("tombstoned").alias("reason"), "category",
-                                "tombstoned_at")
+    removed = durable(tombstones.select("id", F.lit("tombstoned").alias("reason"), "category",
+                                        "tombstoned_at"), "tombstones")
     kept, dropped = split_by(records, removed, "id")
     kept = score_all(with_registry(kept, registry), profiles).drop("airr_tags")
     kept = (kept.join(tags_by_id(tags), "id", "left").join(reviews_by_id(reviews), "id", "left"))
@@ -381,19 +402,24 @@ def scan_view(df: DataFrame, limit: int) -> DataFrame:
                         F.desc(F.coalesce("karma", F.lit(0))), "id").limit(limit)
 
 
-def queue_order(mode: str, profile: str) -> list[Column]:
-    """Review queue orders: salience, spread, privacy, date."""
+def queue_keys(mode: str, profile: str) -> list[tuple[Column, bool]]:
+    """The keys of a review queue order before the id, each with whether it descends."""
     salience = F.coalesce(F.try_element_at("salience_by_profile", F.lit(profile)), F.lit(0.0))
     signals = F.col("signals")
     relevance = F.try_element_at("salience_basis_by_profile",
                                  F.lit(profile))["topical_relevance"]
     orders = {
-        "salience": [F.desc(salience)],
-        "spread": [F.desc(C.signal_disagreement(salience, relevance, C.latest(signals, "karma"),
-                                                C.latest(signals, "citations")))],
-        "privacy": [F.desc("privacy_review_required"), F.desc(salience)],
-        "date": [F.desc(F.coalesce("published_at", F.lit("")))]}
-    return [*orders[mode], F.col("id")]
+        "salience": [salience],
+        "spread": [C.signal_disagreement(salience, relevance, C.latest(signals, "karma"),
+                                         C.latest(signals, "citations"))],
+        "privacy": [F.col("privacy_review_required"), salience],
+        "date": [F.coalesce("published_at", F.lit(""))]}
+    return [(c, True) for c in orders[mode]]
+
+
+def queue_order(mode: str, profile: str) -> list[Column]:
+    """Review queue orders: salience, spread, privacy, date."""
+    return [*[F.desc(c) if down else c for c, down in queue_keys(mode, profile)], F.col("id")]
 
 
 def tag_feed(train_df: DataFrame, label: str, parts: list[str],

@@ -441,10 +441,16 @@ UNION ALL SELECT 'date', row_number() OVER (ORDER BY coalesce(published_at, '')
   FROM feed""")
 def _(spark, sf):
     """The whole queue in each order, with places."""
-    kept, out = durable(projected(spark, sf)[0], "feed"), None
-    for mode in ("salience", "privacy", "date"):
-        placed = global_position(kept, PC.queue_order(mode, PID), "place").select(
-            F.lit(mode).alias("mode"), "place", "id")
+    modes, kept, out = ("salience", "privacy", "date"), projected(spark, sf)[0], None
+    # the orders' own columns, without the records
+    orders = {m: PC.queue_keys(m, PID) for m in modes}
+    kept = durable(kept.select("id", *[c.alias(f"_{m}_{i}") for m in modes
+                                       for i, (c, _) in enumerate(orders[m])]), "feed")
+    for mode in modes:
+        keys = [(f"_{mode}_{i}", down) for i, (_, down) in enumerate(orders[mode])]
+        placed = global_position(kept.select("id", *[c for c, _ in keys]),
+                                 [*[F.desc(c) if down else F.col(c) for c, down in keys], F.col("id")],
+                                 "place").select(F.lit(mode).alias("mode"), "place", "id")
         out = placed if out is None else out.unionByName(placed)
     return out
 
