@@ -267,3 +267,16 @@ def test_long_files_hash_in_chunks_and_dumps_are_bounded(spark, tmp_path, monkey
     files = publish.guarded_dump(rows, found, str(tmp_path / "out"), file_bytes=10_000).filter(
         "bytes > 1000").collect()
     assert len(files) >= 5 and max(r.bytes for r in files) < 20_000
+
+
+def test_a_language_is_landed_by_many_tasks(spark, tmp_path, monkeypatch):
+    """One language holds everything: it is written to as many files as there are tasks."""
+    from tidemark.plans import queries_landed as QD
+    from tidemark.plans.catalog import QUERIES
+    spark.range(400).selectExpr("id AS doc_id", "'de' AS lang", "concat('t', id) AS text").repartition(4).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    root = str(tmp_path / "landed")
+    monkeypatch.setattr(QD, "new_path", lambda spark, label: root)
+    got = QUERIES["landed_clean_counts"].run(spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in got] == [("de", 50 + 45)]
+    assert len(list((tmp_path / "landed" / "lang=de").glob("*.txt"))) >= 4

@@ -9,7 +9,7 @@ from tidemark.operators import quality as Q
 from tidemark.plans import queries_candidates as QC
 from tidemark.plans import queries_collections as QL
 from tidemark.plans.registry import query
-from tidemark.plans.standins import cte, standin, table
+from tidemark.plans.standins import cte, heavy, standin, table
 from tidemark.sinks import publish
 from tidemark.sources import documents as D
 from tidemark.sources import fragments, overlays, snapshots
@@ -58,9 +58,10 @@ def _(spark, sf):
     from tidemark.plans import research as PR
     path = new_path(spark, "dumps")
     k = F.col("doc_id")
-    (table(spark, sf, "documents").select("lang", F.to_json(F.struct(
+    # every task writes a file of each language: a language is never gathered in one task
+    (heavy(spark, sf, "documents").select("lang", F.to_json(F.struct(
         F.when(k % 9 != 0, (k % 50).cast("string")).alias("id"), "text")).alias("value"))
-     .repartition("lang").write.partitionBy("lang").text(path))
+     .write.partitionBy("lang").text(path))
     rows, _ = D.ordered_jsonl(spark, path, ddl("id string, text string"))
     # a language is one dump here, however many files it was written to
     cleaned = PR.clean(rows.withColumns({
