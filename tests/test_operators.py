@@ -377,3 +377,17 @@ def test_queues_are_ordered_without_their_records(spark, monkeypatch):
     monkeypatch.setattr(QC, "global_position", position)
     QUERIES["review_queue_orders"].run(spark, "/root/testdata/sf0.001")
     assert [len(c) for c in seen] == [2, 3, 2]
+
+
+def test_a_small_model_needs_no_counts_per_record(spark, monkeypatch):
+    """Both ways of classifying agree; the broadcast one does not shuffle a row per token."""
+    rng = random.Random(8)
+    words = ["alpha", "beta-two", "gamma", "delta", "the", "ab", "omega"]
+    data = [(i, "xy"[i % 2], " ".join(rng.choice(words) for _ in range(rng.randrange(12)))) for i in range(80)]
+    df = spark.createDataFrame([*data, (99, "x", None)], "i int, d string, t string")
+    weights, domains = TG.train(TG.token_counts(df, ["d"], "t"), "d")
+    weights = weights.localCheckpoint()
+    key = lambda d: sorted((r.i, r.domain or "", round(r.margin, 9), r.tokens, r.reason) for r in d.collect())
+    want = key(TG.classify(df, "i", "t", weights, domains, model_rows=1))
+    monkeypatch.setattr(TG, "token_counts", None)
+    assert key(TG.classify(df, "i", "t", weights, domains)) == want

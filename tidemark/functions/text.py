@@ -243,10 +243,15 @@ def lab_slug(name: Column) -> Column:
 
 # --- tokens ------------------------------------------------------------------
 
+def tag_words(col: Column) -> Column:
+    """Words of the domain tagger, short ones and stop words included."""
+    return F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))),
+                                F.lit(r"[a-z][a-z0-9\-]+"), F.lit(0))
+
+
 def tag_tokens(col: Column) -> Column:
     """Tokens of the domain tagger, repeats kept."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))),
-                                 F.lit(r"[a-z][a-z0-9\-]+"), F.lit(0))
+    words = tag_words(col)
     stop = F.array(*[F.lit(w) for w in K.TAG_STOPWORDS])
     return F.filter(words, lambda w: (F.length(w) >= K.TAG_MIN_TOKEN_LENGTH)
                     & ~F.array_contains(stop, w))

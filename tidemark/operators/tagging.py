@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
-from tidemark.functions.text import tag_tokens
-from tidemark.operators.joins import lookup_join
+from tidemark.functions.text import tag_words
+from tidemark.operators.joins import is_small, lookup_join
 from tidemark.workspace import durable
 
 
@@ -20,8 +20,14 @@ def labelled(df: DataFrame, label: str, parts: list[str]) -> DataFrame:
 
 def token_counts(df: DataFrame, key: list[str], text: str) -> DataFrame:
     """(key, token, n)."""
-    return (df.select(*key, F.explode(tag_tokens(F.col(text))).alias("token"))
-            .groupBy(*key, "token").agg(F.count("*").alias("n")))
+    return _occurrences(df, key, text).groupBy(*key, "token").agg(F.count("*").alias("n"))
+
+
+def _occurrences(df: DataFrame, key: list[str], text: str) -> DataFrame:
+    """(key, token), a row per occurrence; short words and stop words are dropped as rows."""
+    token = F.col("token")
+    return (df.select(*key, F.explode_outer(tag_words(F.col(text))).alias("token"))
+            .filter((F.length(token) >= K.TAG_MIN_TOKEN_LENGTH) & ~token.isin(*K.TAG_STOPWORDS)))
 
 
 def train(counts: DataFrame, label: str) -> tuple[DataFrame, list[str]]:
@@ -63,10 +69,12 @@ def classify(df: DataFrame, key: str, text: str, weights: DataFrame, domains: li
     Fewer than four tokens, or a margin under 0.15 of the top score, abstains.
     Ties go to the lower domain name.
     """
-    counts = token_counts(df, [key], text)
     width = len(domains)
-    scored = lookup_join(counts, weights, ["token"], "left") if model_rows is None else (
-        lookup_join(counts, weights, ["token"], "left", limit=model_rows))
+    small = is_small(weights) if model_rows is None else is_small(weights, model_rows)
+    # a broadcast model meets every occurrence where it stands, and what is shuffled is a row per record
+    counts = (_occurrences(df, [key], text).withColumn("n", F.lit(1).cast("bigint")) if small
+              else token_counts(df, [key], text))
+    scored = lookup_join(counts, weights, ["token"], "left", known_small=small)
     sums = scored.groupBy(key).agg(
         F.sum("n").alias("tokens"),
         *[F.sum(F.coalesce(F.get("weights", F.lit(i)), F.lit(0.0)) * F.col("n")).alias(f"_{i}")
