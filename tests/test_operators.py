@@ -391,3 +391,14 @@ def test_a_small_model_needs_no_counts_per_record(spark, monkeypatch):
     want = key(TG.classify(df, "i", "t", weights, domains, model_rows=1))
     monkeypatch.setattr(TG, "token_counts", None)
     assert key(TG.classify(df, "i", "t", weights, domains)) == want
+
+
+def test_unique_ids_are_counted_in_tasks_of_bounded_size(spark):
+    from tidemark.plans import checks
+    found = spark.range(5_000).selectExpr(
+        "IF(id >= 0, 'c', 'd') AS collection", "CASE WHEN id < 4990 THEN CAST(id AS STRING) WHEN id < 4997 THEN 'twice' END AS id",
+        "CAST(NULL AS STRING) AS rule", "id >= 0 AS gates")
+    out = checks._repeated(found, 100)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and ", 50), REPARTITION_BY_NUM" in plan
+    assert sorted((r.id or "", r.detail) for r in out.collect()) == [("", "3"), ("twice", "7")]

@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators.rules import Rule, broken_rules, with_schema_errors
-from tidemark.workspace import durable
+from tidemark.workspace import durable, fan_out
+
+#: Rows that one task counts for unique ids.
+UNIQUE_ROWS = 1_000_000
 
 _FOUND = ("collection", "id", "rule", "severity", "detail", "gates")
 
@@ -87,8 +90,11 @@ def scanned(df: DataFrame, jobs: Sequence[RowJob]) -> DataFrame:
             .select(*[f"v.{c}" for c in _FOUND]))
 
 
-def _repeated(found: DataFrame) -> DataFrame:
-    return (found.filter("rule is null").groupBy("collection", "id", "gates")
+def _repeated(found: DataFrame, most: int = UNIQUE_ROWS) -> DataFrame:
+    """The ids that occur more than once, counted in tasks of about ``most`` rows whatever the input."""
+    ids = found.filter("rule is null").select("collection", "id", "gates")
+    tasks = max(fan_out(found.sparkSession), -(-ids.count() // most))
+    return (ids.repartition(tasks, "collection", "id", "gates").groupBy("collection", "id", "gates")
             .agg(F.count("*").alias("n")).filter("n > 1")
             .select("collection", "id", F.lit("duplicate id").alias("rule"),
                     F.lit("error").alias("severity"), F.col("n").cast("string").alias("detail"), "gates"))
