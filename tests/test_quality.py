@@ -70,6 +70,23 @@ def test_schema_rejects_each_defect_and_nothing_else(spark):
     assert got == {name: {rule} for name, _, rule in cases if rule}
 
 
+def test_keys_of_a_scan_record_are_taken_once(spark):
+    record = {"slug": "a_b", "title": "T", "date": None, "date_kind": "action", "description": "d" * 40,
+              "sources": ["https://x"], "why_it_matters": "w", "confidence": "high", "flags": []}
+    kind = ("scan_id string, slug string, title string, date string, date_kind string, description string, "
+            "sources array<string>, why_it_matters string, confidence string, flags array<string>, "
+            "primary_source_retrieved boolean, raw string")
+    row = lambda raw: ("s", *[record[c] for c in (
+        "slug", "title", "date", "date_kind", "description", "sources", "why_it_matters", "confidence",
+        "flags")], False, raw)
+    bare = {k: v for k, v in record.items() if k != "date"}
+    df = spark.createDataFrame([row(json.dumps(record)), row(json.dumps(bare)), row("{"), row(None)], kind)
+    found = Q.scan_records(df)
+    assert [r["rule"] for r in found.collect()] == ["missing date"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("jsonObjectKeys") == 1
+
+
 def lab(**change):
     base = dict(id="l", founded="2019-11", founded_precision="month",
                 founded_evidence=("Companies House", "https://e", "since November 2019", None),

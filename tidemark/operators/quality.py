@@ -21,6 +21,20 @@ def has_key(raw: str, name: str) -> Column:
     return F.array_contains(F.json_object_keys(raw), name)
 
 
+def with_keys(df: DataFrame, raw: str, names: Sequence[str], name: str = "_complete") -> DataFrame:
+    """The keys of a raw JSON object as a column, taken once per row, and whether all ``names`` are among them."""
+    keyed = df.withColumn("_keys", F.json_object_keys(raw))
+    every = F.lit(True)
+    for c in names:
+        every = every & F.array_contains("_keys", c)
+    return keyed.withColumn(name, every)
+
+
+def missing_keys(names: Sequence[str]) -> list[Rule]:
+    """One rule per name that is not in the column of :func:`with_keys`."""
+    return [Rule(f"missing {c}", ~F.array_contains("_keys", c)) for c in names]
+
+
 # --- candidates -----------------------------------------------------------------
 
 def admission_rules(raw: str = "raw") -> list[Rule]:
@@ -268,12 +282,8 @@ def scan_records(df: DataFrame, raw: str = "raw") -> DataFrame:
     date, sources, flags = F.col("date"), F.col("sources"), F.col("flags")
     unsourced = missing_list(sources)
     no_flags = missing_list(flags)
-    complete = F.lit(True)
-    missing = []
-    for c in ("slug", "title", "date", "date_kind", "description", "sources",
-              "why_it_matters", "confidence", "flags"):
-        complete = complete & has_key(raw, c)
-        missing.append(Rule(f"missing {c}", ~has_key(raw, c)))
+    wanted = ("slug", "title", "date", "date_kind", "description", "sources", "why_it_matters",
+              "confidence", "flags")
     flag_text = F.upper(F.array_join(F.coalesce(flags, F.array().cast("array<string>")), " "))
     rules = [
         ("slug shape", ~F.coalesce("slug", F.lit("")).rlike(r"^[a-z0-9_]+\z"), F.col("slug")),
@@ -293,9 +303,9 @@ def scan_records(df: DataFrame, raw: str = "raw") -> DataFrame:
         ("unsourced without flag", unsourced & ~F.contains(flag_text, F.lit("UNVERIFIED")), None),
         ("low confidence without flag", (F.col("confidence") == "low") & no_flags, None),
         ("retrieved without source", F.col("primary_source_retrieved") & unsourced, None)]
-    checked = [Rule(n, complete & b, d) for n, b, d in rules]
-    return violations(df, "scan records", F.concat_ws("/", "scan_id", "slug"),
-                      [*missing, *checked])
+    checked = [Rule(n, F.col("_complete") & b, d) for n, b, d in rules]
+    return violations(with_keys(df, raw, wanted), "scan records", F.concat_ws("/", "scan_id", "slug"),
+                      [*missing_keys(wanted), *checked])
 
 
 def repeated_slugs(df: DataFrame) -> DataFrame:
@@ -307,10 +317,9 @@ def scan_payloads(payloads: DataFrame, records: DataFrame, raw: str = "raw") ->
     """Payload rules, with retrieval accounting when a record is unsourced."""
     sums = records.groupBy("scan_id").agg(
         F.count("*").alias("_n"), F.count_if(missing_list(F.col("sources"))).alias("_unsourced"))
-    rules = [Rule(f"missing {c}", ~has_key(raw, c)) for c in (
-        "scan_id", "scan_scope", "scanned_at", "scanner", "operator", "instruction_summary",
-        "records")]
-    rules += [
+    wanted = ("scan_id", "scan_scope", "scanned_at", "scanner", "operator", "instruction_summary",
+              "records")
+    rules = missing_keys(wanted) + [
         Rule("non-ascii", X.has_non_ascii(F.col(raw))),
         Rule("scanned_at shape", ~X.empty(F.col("scanned_at")) & ~F.col("scanned_at").rlike(
             r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z\z"), F.col("scanned_at")),
@@ -318,7 +327,8 @@ def scan_payloads(payloads: DataFrame, records: DataFrame, raw: str = "raw") ->
         Rule("unsourced without accounting", (F.col("_unsourced") > 0)
              & F.get_json_object(raw, "$.retrieval_accounting").isNull(),
              F.col("_unsourced").cast("string"))]
-    return violations(payloads.join(sums, "scan_id", "left"), "scan payloads", "scan_id", rules)
+    judged = with_keys(payloads.join(sums, "scan_id", "left"), raw, wanted)
+    return violations(judged, "scan payloads", "scan_id", rules)
 
 
 # --- mojibake, taxonomy, events, ascii ---------------------------------------------------
@@ -362,12 +372,12 @@ def taxonomy(here: DataFrame, elsewhere: DataFrame) -> DataFrame:
 def event_health(df: DataFrame, raw: str,
                  required: Sequence[str] = ("id", "title", "year", "category", "description",
                                             "impacts", "sources", "tags")) -> DataFrame:
-    rules = [Rule(f"missing {c}", ~has_key(raw, c)) for c in required]
+    rules = missing_keys(required)
     rules += [Rule("empty sources", missing_list(F.col("sources"))),
               Rule("empty tags", missing_list(F.col("tags"))),
               Rule("non-ascii", X.has_non_ascii(F.col(raw)),
                    F.regexp_count(raw, F.lit(K.NON_ASCII)).cast("string"))]
-    return violations(df, "events", "id", rules)
+    return violations(with_keys(df, raw, required), "events", "id", rules)
 
 
 def legacy_events(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from tidemark.plans import queries_candidates as QC
 from tidemark.plans import queries_collections as QL
 from tidemark.plans.queries_research import research
 from tidemark.plans.registry import query
-from tidemark.plans.standins import cte, table
+from tidemark.plans.standins import cte, heavy, table
 from tidemark.sinks import publish
 from tidemark.workspace import new_path, spread
 
@@ -416,7 +416,7 @@ def claims(spark, sf):
     """Scan claims with one defect each, by the remainder of their number."""
     k = F.col("event_id")
     m = k % 20
-    rows = table(spark, sf, "events").select(
+    rows = heavy(spark, sf, "events").select(
         F.concat(F.lit("scan_"), F.col("user_id").cast("string")).alias("scan_id"),
         F.when(m == 0, F.concat(F.lit("Bad-"), k.cast("string"))).otherwise(
             F.concat(F.lit("ev_"), (k - k % 500 % 2).cast("string"))).alias("slug"),
