@@ -70,6 +70,31 @@ def test_schema_rejects_each_defect_and_nothing_else(spark):
     assert got == {name: {rule} for name, _, rule in cases if rule}
 
 
+def test_schema_checks_write_no_json_and_take_each_type_once(spark):
+    schema = {"required": ["kind"], "properties": {
+        "kind": {"enum": ["a", "\u00e9\n", 3, None]}, "who": {},
+        "parts": {"type": "array", "items": {
+            "type": "object", "required": ["n"], "properties": {"n": {"type": "number", "minimum": 1}}}}},
+        "if": {"properties": {"kind": {"const": "a"}}},
+        "then": {"properties": {"who": {"required": ["name"], "minProperties": 2}}}}
+    cases = {'{"kind": "a"}': set(), '{"kind": "b"}': {"$.kind: enum"}, '{"kind": "\u00e9\\n"}': set(),
+             '{"kind": 3, "who": {}}': set(), '{"kind": null}': set(), '{"kind": "3"}': {"$.kind: enum"},
+             '{"kind": 4}': {"$.kind: enum"}, '{"kind": "null"}': {"$.kind: enum"}, "{}": {"$.kind: required"},
+             '{"kind": "a", "who": {}}': {"$.who.name: required", "$.who: minProperties"},
+             '{"kind": "a", "who": {"name": null, "x": 1}}': set(), '{"kind": "a", "who": 5}': set(),
+             '{"kind": "a", "parts": [{"n": 0}, {"n": "x"}, {}, 7]}': {
+                 "$.parts[].n: minimum", "$.parts[].n: type", "$.parts[].n: required", "$.parts[]: type"}}
+    df = spark.createDataFrame([(k, k) for k in cases], "id string, raw string")
+    got = {k: set() for k in cases}
+    for r in schema_violations(df, "x", "id", "raw", schema).collect():
+        got[r["id"]].add(r["rule"])
+    assert got == cases
+    texts = {**schema, "properties": {**schema["properties"], "kind": {"enum": ["a", "b"]}}}
+    plan = schema_violations(df, "x", "id", "raw", texts)._jdf.queryExecution().optimizedPlan().toString()
+    assert "StructsToJson" not in plan and "to_json" not in plan
+    assert plan.count("schemaOfVariant") + plan.count("schema_of_variant") <= 7
+
+
 def test_keys_of_a_scan_record_are_taken_once(spark):
     record = {"slug": "a_b", "title": "T", "date": None, "date_kind": "action", "description": "d" * 40,
               "sources": ["https://x"], "why_it_matters": "w", "confidence": "high", "flags": []}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,24 +69,84 @@ _TYPES = {
 }
 
 
+@dataclass(frozen=True)
+class _Node:
+    """A variant and what most checks ask of it, each taken once.
+
+    ``keys`` is null of what is no object and left out where it is taken on demand; ``tops`` are the
+    properties that are nodes already.
+    """
+
+    value: Column
+    kind: Column
+    keys: Column | None = None
+    tops: dict[str, _Node] = field(default_factory=dict)
+
+
 def with_schema_errors(df: DataFrame, raw: str, schema: dict, name: str = "errors") -> DataFrame:
     """Add an array of ``path: keyword`` for a column of raw JSON documents.
 
     Keys keep the difference between absent and null, because the checks run
-    on the parsed variant and not on a typed row.  The document is parsed and
-    its top-level properties are taken once, as columns of their own.
+    on the parsed variant and not on a typed row.  The document is parsed once; it and its top-level
+    properties, their types and their keys are columns of their own, one layer after the other.
     """
-    doc = F.col("_doc")
-    tops = {p: f"_top_{i}" for i, p in enumerate(schema.get("properties", {}))}
+    parts = {f"_top_{i}": p for i, p in enumerate(schema.get("properties", {}))}
     parsed = df.withColumn("_doc", F.try_parse_json(raw))
-    is_object = F.schema_of_variant(doc).startswith("OBJECT")
-    parsed = parsed.withColumns({
-        **{c: _child(F.when(is_object, doc), p) for p, c in tops.items()},
-        "_keys": F.when(is_object, F.json_object_keys(F.to_json(doc)))})
-    errors = F.when(doc.isNull(), F.array(F.lit("$: does not parse"))).otherwise(
-        _errors(schema, doc, "$", schema,
-                {None: F.col("_keys"), **{p: F.col(c) for p, c in tops.items()}}))
-    return parsed.withColumn(name, errors).drop("_doc", "_keys", *tops.values())
+    parsed = parsed.withColumn("_doc_kind", F.schema_of_variant("_doc"))
+    is_object = F.col("_doc_kind").startswith("OBJECT")
+    first = {c: _child(F.when(is_object, F.col("_doc")), p) for c, p in parts.items()}
+    if _asks_keys(schema, schema):
+        first["_doc_keys"] = _keys(F.col("_doc"), F.col("_doc_kind"))
+    parsed = parsed.withColumns(first) if first else parsed
+    if parts:
+        parsed = parsed.withColumns({f"{c}_kind": F.schema_of_variant(c) for c in parts})
+    keyed = [c for c, p in parts.items() if _asks_keys(schema["properties"][p], schema)]
+    if keyed:
+        parsed = parsed.withColumns({f"{c}_keys": _keys(F.col(c), F.col(f"{c}_kind")) for c in keyed})
+    tops = {p: _Node(F.col(c), F.col(f"{c}_kind"), F.col(f"{c}_keys") if c in keyed else None)
+            for c, p in parts.items()}
+    doc = _Node(F.col("_doc"), F.col("_doc_kind"), F.col("_doc_keys") if "_doc_keys" in first else None, tops)
+    errors = F.when(F.col("_doc").isNull(), F.array(F.lit("$: does not parse"))).otherwise(
+        _errors(schema, doc, "$", schema))
+    return parsed.withColumn(name, errors).drop(
+        "_doc", "_doc_kind", *first, *[f"{c}_kind" for c in parts], *[f"{c}_keys" for c in keyed])
+
+
+def _resolved(schema: dict, root: dict) -> dict:
+    while "$ref" in schema:
+        target = root
+        for step in schema["$ref"].lstrip("#/").split("/"):
+            target = target[step]
+        schema = target
+    return schema
+
+
+def _same_node(schema: dict) -> list[dict]:
+    """The parts of a schema that judge the node itself."""
+    return [part for keyword in ("oneOf", "anyOf", "allOf") for part in schema.get(keyword, [])] + [
+        schema[keyword] for keyword in ("not", "if", "then", "else") if keyword in schema]
+
+
+def _asks_keys(schema: dict, root: dict) -> bool:
+    schema = _resolved(schema, root)
+    return (bool(schema.get("required")) or "minProperties" in schema
+            or (schema.get("additionalProperties") is False and not schema.get("patternProperties"))
+            or any(_asks_keys(part, root) for part in _same_node(schema)))
+
+
+def _keys(value: Column, kind: Column) -> Column:
+    return F.map_keys(F.when(kind.startswith("OBJECT"), F.try_variant_get(value, "$", "map<string,variant>")))
+
+
+def _errors_of_all(values: Column, schema: dict, path: str, root: dict) -> Column:
+    """The errors of every variant of an array; the type and the keys of each are taken once."""
+    asks = _asks_keys(schema, root)
+    kinds = F.transform(values, lambda v: F.struct(v.alias("v"), F.schema_of_variant(v).alias("k")))
+    if asks:
+        kinds = F.transform(kinds, lambda n: F.struct(
+            n["v"].alias("v"), n["k"].alias("k"), _keys(n["v"], n["k"]).alias("keys")))
+    return F.flatten(F.transform(kinds, lambda n: _errors(
+        schema, _Node(n["v"], n["k"], n["keys"] if asks else None), path, root)))
 
 
 def _child(node: Column, name: str) -> Column:
@@ -105,27 +165,16 @@ def _java(pattern: str) -> str:
     return re.sub(r"\$$", r"\\n?\\z", pattern)
 
 
-def _errors(schema: dict, node: Column, path: str, root: dict,
-            tops: dict[str | None, Column] | None = None) -> Column:
-    """Errors of a present variant ``node``.
-
-    ``tops`` holds its properties where they are columns already, and its keys
-    under None.
-    """
-    if "$ref" in schema:
-        target = root
-        for step in schema["$ref"].lstrip("#/").split("/"):
-            target = target[step]
-        return _errors(target, node, path, root, tops)
-    kind = F.schema_of_variant(node)
-    is_text, is_list, is_object = kind == "STRING", kind.startswith("ARRAY"), \
-        kind.startswith("OBJECT")
+def _errors(schema: dict, node: _Node, path: str, root: dict) -> Column:
+    """Errors of a present variant."""
+    schema = _resolved(schema, root)
+    value, kind = node.value, node.kind
+    keys = _keys(value, kind) if node.keys is None else node.keys
+    is_text, is_list = kind == "STRING", kind.startswith("ARRAY")
     is_number = _TYPES["number"](kind)
-    text = F.when(is_text, F.try_variant_get(node, "$", "string"))
-    number = F.when(is_number, F.try_variant_get(node, "$", "double"))
-    items = F.when(is_list, F.try_variant_get(node, "$", "array<variant>"))
-    keys = (tops or {}).get(None)
-    keys = F.when(is_object, F.json_object_keys(F.to_json(node))) if keys is None else keys
+    text = F.when(is_text, F.try_variant_get(value, "$", "string"))
+    number = F.when(is_number, F.try_variant_get(value, "$", "double"))
+    items = F.when(is_list, F.try_variant_get(value, "$", "array<variant>"))
     found: list[Column] = []
 
     def flag(broken: Column, keyword: str) -> None:
@@ -137,11 +186,10 @@ def _errors(schema: dict, node: Column, path: str, root: dict,
         for name in wanted:
             ok = ok | _TYPES[name](kind)
         flag(~ok, "type")
-    scalar = F.to_json(node)
     if "enum" in schema:
-        flag(~scalar.isin([_json(v) for v in schema["enum"]]), "enum")
+        flag(~_is_one_of(value, is_text, text, schema["enum"]), "enum")
     if "const" in schema:
-        flag(scalar != _json(schema["const"]), "const")
+        flag(~_is_one_of(value, is_text, text, [schema["const"]]), "const")
     if "pattern" in schema:
         flag(~text.rlike(_java(schema["pattern"])), "pattern")
     for keyword, broken in (("minLength", lambda n: F.length(text) < n),
@@ -157,46 +205,50 @@ def _errors(schema: dict, node: Column, path: str, root: dict,
         texts = F.transform(items, lambda v: F.to_json(v))
         flag(F.size(F.array_distinct(texts)) < F.size(texts), "uniqueItems")
     if isinstance(schema.get("items"), dict):
-        found.append(F.coalesce(F.array_distinct(F.flatten(F.transform(
-            items, lambda v: _errors(schema["items"], v, path + "[]", root)))), _none()))
-    found += _object_errors(schema, node, keys, is_object, path, root, tops or {})
+        found.append(F.coalesce(F.array_distinct(
+            _errors_of_all(items, schema["items"], path + "[]", root)), _none()))
+    found += _object_errors(schema, node, keys, path, root)
     for keyword in ("oneOf", "anyOf"):
         if keyword in schema:
-            hits = [F.when(F.size(_errors(s, node, path, root, tops)) == 0, 1).otherwise(0)
+            hits = [F.when(F.size(_errors(s, node, path, root)) == 0, 1).otherwise(0)
                     for s in schema[keyword]]
             n = hits[0]
             for h in hits[1:]:
                 n = n + h
             flag((n != 1) if keyword == "oneOf" else (n == 0), keyword)
     for part in schema.get("allOf", []):
-        found.append(_errors(part, node, path, root, tops))
+        found.append(_errors(part, node, path, root))
     if "not" in schema:
-        flag(F.size(_errors(schema["not"], node, path, root, tops)) == 0, "not")
+        flag(F.size(_errors(schema["not"], node, path, root)) == 0, "not")
     if "if" in schema:
-        holds = F.size(_errors(schema["if"], node, path, root, tops)) == 0
-        found.append(F.when(holds, _errors(schema.get("then", {}), node, path, root, tops))
-                     .otherwise(_errors(schema.get("else", {}), node, path, root, tops)))
+        holds = F.size(_errors(schema["if"], node, path, root)) == 0
+        found.append(F.when(holds, _errors(schema.get("then", {}), node, path, root))
+                     .otherwise(_errors(schema.get("else", {}), node, path, root)))
     return F.concat(*found) if found else _none()
 
 
-def _object_errors(schema, node, keys, is_object, path, root, tops) -> list[Column]:
+def _object_errors(schema: dict, node: _Node, keys: Column, path: str, root: dict) -> list[Column]:
     found = [_flag(~F.array_contains(keys, name), f"{path}.{name}: required")
              for name in schema.get("required", [])]
+    members = F.when(node.kind.startswith("OBJECT"), node.value)
     known = schema.get("properties", {})
     patterns = schema.get("patternProperties", {})
     for name, part in known.items():
         if not part:
             continue
-        child = tops.get(name)
-        child = _child(F.when(is_object, node), name) if child is None else child
-        found.append(F.when(child.isNotNull(), _errors(part, child, f"{path}.{name}", root))
-                     .otherwise(_none()))
+        if name in node.tops:
+            child = node.tops[name]
+            found.append(F.when(child.value.isNotNull(), _errors(part, child, f"{path}.{name}", root))
+                         .otherwise(_none()))
+        else:
+            found.append(_errors_of_all(F.array_compact(F.array(_child(members, name))), part,
+                                        f"{path}.{name}", root))
     extra = schema.get("additionalProperties", True)
     if extra is False and not patterns:
         others = F.array_except(keys, F.array(*[F.lit(k) for k in known]))
         found.append(_flag(F.size(others) > 0, f"{path}: additionalProperties"))
     elif (extra is not True) or patterns:
-        entries = F.map_entries(F.when(is_object, node).cast("map<string,variant>"))
+        entries = F.map_entries(members.cast("map<string,variant>"))
         rest = F.filter(entries, lambda e: ~e["key"].isin(list(known)) if known else F.lit(True))
         for pattern, part in patterns.items():
             if part:
@@ -214,8 +266,16 @@ def _with_keys(entries: Column, pattern: str, wanted: bool) -> Column:
 
 
 def _entry_errors(entries: Column, schema: dict, path: str, root: dict) -> Column:
-    return F.coalesce(F.array_distinct(F.flatten(F.transform(
-        entries, lambda e: _errors(schema, e["value"], path + ".*", root)))), _none())
+    return F.coalesce(F.array_distinct(_errors_of_all(
+        F.transform(entries, lambda e: e["value"]), schema, path + ".*", root)), _none())
+
+
+def _is_one_of(value: Column, is_text: Column, text: Column, allowed: Iterable) -> Column:
+    """Is the variant one of ``allowed``?  Texts are compared as they are, only the rest as JSON."""
+    texts = [v for v in allowed if isinstance(v, str)]
+    rest = [_json(v) for v in allowed if not isinstance(v, str)]
+    found = is_text & text.isin(texts) if texts else F.lit(False)
+    return found | (~is_text & F.to_json(value).isin(rest)) if rest else found
 
 
 def _json(value) -> str:
