@@ -13,6 +13,7 @@ from tidemark.sources import fragments as FR
 from tidemark.operators.rules import Rule, schema_violations
 from tidemark.plans import checks
 from tidemark.plans import collections as PL
+from tidemark.sinks import publish
 from tidemark.sinks.publish import RefusedWrite
 
 SCHEMA = {
@@ -95,6 +96,14 @@ def test_schema_checks_write_no_json_and_take_each_type_once(spark):
     assert plan.count("schemaOfVariant") + plan.count("schema_of_variant") <= 7
 
 
+def test_a_refusal_names_the_first_broken_rows_in_order(spark, tmp_path):
+    rows = spark.range(9, -1, -1, 5).selectExpr("concat('e', id) AS id", "'bad' AS title")
+    schema = {"properties": {"title": {"minLength": 5}}}
+    with pytest.raises(RefusedWrite) as refused:
+        publish.publish_version(rows, str(tmp_path / "p"), lambda d: PL.event_errors(d, schema), lambda d: d)
+    assert str([(f"e{i}", "$.title: minLength") for i in range(5)]) in str(refused.value)
+
+
 def test_keys_of_a_scan_record_are_taken_once(spark):
     record = {"slug": "a_b", "title": "T", "date": None, "date_kind": "action", "description": "d" * 40,
               "sources": ["https://x"], "why_it_matters": "w", "confidence": "high", "flags": []}

@@ -758,7 +758,7 @@ def _(spark, sf):
     """Each attempt publishes all events or nothing; readers see the old version or the new one."""
     schema = {"type": "object", "required": ["title"], "properties": {
         "title": {"type": "string", "minLength": 5}, "year": {"type": "integer"}}}
-    rows = QL.timeline_events(spark, sf).select("id", "title", "year", F.lit("old").alias("version"))
+    rows = spread(QL.timeline_events(spark, sf)).select("id", "title", "year", F.lit("old").alias("version"))
     newer, root = rows.withColumn("version", F.lit("new")), new_path(spark, "published")
     first = rows.agg(F.min("id")).first()[0]
     broken = F.when(F.col("id") == first, "bad").otherwise(F.col("title"))

@@ -23,6 +23,16 @@ class RefusedWrite(ValueError):
     """Some row broke a rule, so nothing was written."""
 
 
+def first_broken(found: DataFrame, most: int = 5) -> list[tuple[str, str]]:
+    """The first (id, rule) of a violations table, in order.
+
+    Ordered, they are looked for in all partitions at once; a plain limit would read a table without
+    violations in rounds, the first of them one task.
+    """
+    rows = found.select("id", "rule").orderBy("id", "rule").limit(most).collect()
+    return [(r["id"], r["rule"]) for r in rows]
+
+
 def feed(df: DataFrame, path: str, order: Sequence[Column], single_file: bool = False) -> None:
     """Sorted rows with sorted keys as JSONL.
 
@@ -110,9 +120,9 @@ def guarded_dump(df: DataFrame, found: DataFrame, path: str, key: str = "id",
     files written, none of which is much longer than ``file_bytes``.
     """
     bad = found.unionByName(Q.unique_ids(df, "dump", key))
-    first = bad.limit(5).collect()
+    first = first_broken(bad)
     if first:
-        raise RefusedWrite(f"refused {path}: {[(r['id'], r['rule']) for r in first]}")
+        raise RefusedWrite(f"refused {path}: {first}")
     for name, rows in (("data", df), ("raw", raw)):
         if rows is not None:
             _bounded(rows, file_bytes).option("ignoreNullFields", "false").mode(
@@ -217,9 +227,9 @@ def publish_version(df: DataFrame, root: str, check: Callable[[DataFrame], DataF
     def checked(rows: DataFrame, folder: str) -> DataFrame:
         rows.write.parquet(folder)
         staged = spark.read.schema(rows.schema).parquet(folder)
-        first = check(staged).limit(5).collect()
+        first = first_broken(check(staged))
         if first:
-            raise RefusedWrite(f"refused {root}: {[(r['id'], r['rule']) for r in first]}")
+            raise RefusedWrite(f"refused {root}: {first}")
         return staged
 
     before = checked(df, f"{root}/_staged-{name}")
