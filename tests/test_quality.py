@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
-from tidemark.operators import dump_checks, json_leaves, maturity
+from tidemark.operators import dump_checks, json_leaves, maturity, similarity
 from tidemark.operators import quality as Q
 from tidemark.sources import fragments as FR
 from tidemark.operators.rules import Rule, schema_violations
@@ -104,6 +104,20 @@ def test_a_refusal_names_the_first_broken_rows_in_order(spark, tmp_path):
     assert str([(f"e{i}", "$.title: minLength") for i in range(5)]) in str(refused.value)
 
 
+def test_pairs_of_alike_titles_are_not_shuffled(spark):
+    members = spark.createDataFrame([(f"m{i}", "AABBC"[i]) for i in range(5)], "id string, set_id string")
+    edges = spark.createDataFrame([("A", "B", 0.6)], "left_set string, right_set string, overlap double")
+    named = [("m0", "m1"), ("m0", "m3"), ("m0", "m4"), ("m4", "m9")]
+    cited = spark.createDataFrame(named + [(b, a) for a, b in named], "id string, other string")
+    pairs = similarity.possible_duplicates(members, edges, cited, "id")
+    near = {(f"m{a}", f"m{b}") for a in range(4) for b in range(4) if a != b}
+    apart = {("m0", "m4"), ("m4", "m0"), ("m4", "m9"), ("m9", "m4")}
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == near | apart
+    top = pairs._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert top.startswith("Union")
+
+
 def test_keys_of_a_scan_record_are_taken_once(spark):
     record = {"slug": "a_b", "title": "T", "date": None, "date_kind": "action", "description": "d" * 40,
               "sources": ["https://x"], "why_it_matters": "w", "confidence": "high", "flags": []}
