@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 
 from tests_llm_tools import TEXT, sets_of, words_of
-from tidemark.llm import (decontaminate, fingerprints, jaccard, licenses, mixing, token_files,
+from tidemark.llm import (components, decontaminate, fingerprints, jaccard, licenses, mixing, token_files,
                           warc, words)
 from tidemark.workspace import new_path
 
@@ -114,6 +114,92 @@ def test_jaccard_without_small_clusters(spark, monkeypatch, whole):
     assert_components(jaccard.link(docs), list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("whole", [0, 4096])
+def test_jaccard_in_many_blocks(spark, monkeypatch, whole):
+    """Groups of bitmaps, stars and groups of whole sets that are dealt into several blocks."""
+    monkeypatch.setattr(jaccard, "_BLOCK", 8)
+    monkeypatch.setattr(jaccard, "_WHOLE", whole)
+    rnd = random.Random(9)
+    texts = []
+    for b in range(3):
+        for _ in range(25):
+            copy = [f"w{b}-{i}" for i in range(70)]
+            for _ in range(rnd.randrange(1, 4)):
+                copy[rnd.randrange(len(copy))] = f"v{rnd.randrange(99)}"
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert_components(jaccard.link(docs), list(enumerate(texts)))
+
+
+def test_components_leave_ever_fewer_rows(spark, monkeypatch):
+    """All rounds together write a few times the nodes, on long paths too."""
+    rnd, rows, durable = random.Random(2), [], components.durable
+    ids = rnd.sample(range(10**6), 3000)
+    links = [*zip(ids, ids[1:2500]), *((ids[2500], x) for x in ids[2501:]), (7, 7), (None, 3)]
+
+    def counted(df, label):
+        out = durable(df, label)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(components, "durable", counted)
+    got = dict(rows_of(components.connected(spark.createDataFrame(links, "a long, b long"))))
+    want = {x: min(ids[:2500]) for x in ids[:2500]} | {x: min(ids[2500:]) for x in ids[2500:]}
+    assert got == want and sum(rows) < 8 * len(ids)
+    assert components.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_only_sets_that_bitmaps_leave_alike_are_dealt_whole(spark, monkeypatch):
+    rnd, seen, durable = random.Random(4), [], jaccard.durable
+    shared = " ".join(f"s{rnd.randrange(9**9)}" for _ in range(60))
+    texts = [shared + " " + " ".join(f"w{rnd.randrange(9**9)}" for _ in range(60)) for _ in range(40)]
+    texts += [texts[0] + " one", texts[1] + " two"]
+
+    def watched(df, label):
+        out = durable(df, label)
+        if "items" in out.columns:
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "durable", watched)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert_components(jaccard.link(docs), list(enumerate(texts)))
+    assert seen == [4]
+
+
+def test_bitmaps_of_a_tile_against_pairs():
+    """Forests of tiles, with groups that are cut by batches and bitmaps of different lengths."""
+    rnd = np.random.default_rng(6)
+    rows, want = [], {}
+    for g in range(12):
+        base = np.unique(rnd.integers(0, 1 << 63, rnd.choice([9, 60, 130, 1100]), dtype=np.uint64))
+        ti, tj = (0, 0) if g % 2 else (0, 1)
+        for i in range(rnd.integers(1, 12)):
+            own = np.unique(np.append(base[rnd.random(len(base)) < rnd.choice([0.6, 0.85, 0.95])],
+                                      rnd.integers(0, 1 << 63, len(base) // 20 + 1, dtype=np.uint64)))
+            rows.append((g, ti, tj, 1000 * g + i, i % 2 * tj, len(own), jaccard._bits(own)))
+    for x in rows:
+        for y in rows:
+            if x[0] == y[0] and x[3] < y[3] and not (x[1] != x[2] and x[4] == y[4]):
+                a, b = sorted((np.unpackbits(np.frombuffer(z[6], np.uint8)) for z in (x, y)), key=len)
+                while len(b) > len(a):
+                    b = b[:len(b) // 2] ^ b[len(b) // 2:]
+                if 4 * min(x[5], y[5]) >= 3 * max(x[5], y[5]) and (a != b).sum() <= (x[5] + y[5]) // 7:
+                    want[x[3], y[3]] = 1
+    names = ["g", "ti", "tj", "sid", "block", "n", "bits"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
+    parts = [batch.slice(a, 5) for a in range(0, len(rows), 5)]
+    got = [tuple(r.values()) for b in jaccard._close_tiles(3, 4)(iter(parts)) for r in b.to_pylist()]
+
+    def classes(pairs):
+        root = {r[3]: r[3] for r in rows}
+        top = lambda x: x if root[x] == x else top(root[x])
+        for a, b in pairs:
+            root[max(top(a), top(b))] = min(top(a), top(b))
+        return {x: top(x) for x in root}
+    assert len(got) < len(rows) and classes(got) == classes(want) != classes([])
+
+
 def assert_components(df, rows):
     sets = {i: sets_of(t) for i, t in rows}
     root = {i: i for i in sets}

@@ -11,26 +11,33 @@ from tidemark.workspace import durable
 def connected(links: DataFrame) -> DataFrame:
     """(node, label) of every node in ``links`` (a, b): the least node of its component.
 
-    Each round takes the least label among the neighbours and then the label of that label, so
-    paths shorten by doubling.  Every round is a written table; nothing is collected but one
-    count.  Null ends are left out; no links give no rows.
+    Each round moves every node to the first of its neighbours and itself, in an order by hash that
+    changes with the round, and once more from there.  The links between the nodes that are left go on,
+    a fraction of those before, so all rounds together make about as many rows as the first.  Then the
+    rounds are followed back.  Every round is a written table and nothing is collected.  Null ends are
+    left out; no links give no rows.
     """
-    both = durable(links.filter("a <> b").select("a", "b")
-                   .unionByName(links.filter("a <> b").select(F.col("b").alias("a"),
-                                                              F.col("a").alias("b")))
-                   .distinct(), "links")
-    labels = durable(both.groupBy(F.col("a").alias("node"))
-                     .agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
-        near = (both.join(labels, both.b == labels.node).groupBy("a")
-                .agg(F.min("label").alias("near")))
-        step = (labels.join(near, labels.node == near.a)
-                .select("node", "label", F.least("label", "near").alias("new")))
-        jump = labels.select(F.col("node").alias("at"), F.col("label").alias("far"))
-        after = durable(step.join(jump, F.col("new") == F.col("at"), "left")
-                        .select("node", F.least("new", F.coalesce("far", "new")).alias("label"),
-                                (F.least("new", F.coalesce("far", "new")) < F.col("label"))
-                                .alias("moved")), "labels")
-        labels = after.select("node", "label")
-        if after.filter("moved").isEmpty():
-            return labels
+    edges = durable(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                    .distinct(), "links")
+    levels = []
+    while not levels or not edges.isEmpty():
+        place = lambda c: F.struct(F.xxhash64(c, F.lit(len(levels))).alias("h"), F.col(c).alias("v"))
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        first = (both.groupBy(F.col("a").alias("node")).agg(F.min(place("b")).alias("near"))
+                 .select("node", F.least(place("node"), "near")["v"].alias("first")))
+        onward = first.select(F.col("node").alias("at"), F.col("first").alias("image"))
+        moved = durable(first.join(onward, F.col("first") == F.col("at")).select("node", "image"), "moved")
+        levels.append(moved)
+        ends = edges
+        for end in ("a", "b"):
+            to = moved.select(F.col("node").alias(end), F.col("image").alias(f"_{end}"))
+            ends = ends.join(to, end)
+        edges = durable(ends.filter("_a <> _b").select(F.least("_a", "_b").alias("a"),
+                                                       F.greatest("_a", "_b").alias("b")).distinct(), "links")
+    found = levels.pop()
+    while levels:
+        further = found.select(F.col("node").alias("at"), F.col("image").alias("far"))
+        found = durable(levels.pop().join(further, F.col("image") == F.col("at"), "left")
+                        .select("node", F.coalesce("far", "image").alias("image")), "moved")
+    least = found.groupBy("image").agg(F.min("node").alias("label"))
+    return durable(found.join(least, "image").select("node", "label"), "labels")

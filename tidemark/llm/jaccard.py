@@ -19,11 +19,11 @@ difference touches at most ``H`` of them, so two linked sets agree on all others
 * **Exact check.**  Every candidate is decided by the whole shingle sets, after sizes and short
   bitmaps, whose differing bits are never more than the differing shingles, have ruled out most.
 
-Agreeing documents are not expanded into pairs.  Documents that meet through any contents form a
-cluster; the members of a small one are compared inside one task, which reports links and no pairs.
-In a large one each document is first compared with one that it met; what that joins
-into one component needs no further comparison.  Contents whose documents stay in several components
-are then compared pair by pair or, where pairs would be many, block with block inside tasks.
+Agreeing documents are not expanded into pairs.  The members of a content are compared by sizes and
+bitmaps, block with block inside tasks, which report a forest and no pairs.  What that leaves alike
+are far fewer documents in small clusters, and only their whole sets are dealt and compared, again
+block with block.  In a large cluster each document is first compared with one that it met; only
+contents whose documents then stay in several components go on to blocks.
 """
 
 from __future__ import annotations
@@ -44,18 +44,20 @@ _U = np.uint64
 _FLUSH = 750_000
 _HELD = 2_000_000
 _PIECE = 2 << 20
-#: Contents whose documents would need more than this many comparisons each are compared in blocks.
-_NEAR = 16
+#: Pairs whose bitmaps are compared at once: 8 bytes each, or fewer of longer bitmaps.
+_PAIRS = 1 << 19
 #: A block of a group has at most about so many sets, and so many shingles in all.
 _BLOCK, _BLOCK_ITEMS = 1024, 1_000_000
-#: A cluster of candidates is compared as a whole, block with block, up to this many sets.
+#: A cluster that bitmaps leave alike is compared as a whole up to this many sets ...
 _WHOLE = 4096
+#: ... in at most so many blocks.
+_NEAR = 4
 #: A shingle of one document in this many is common, and of no fewer documents than the second.
 _COMMON, _LEAST_COMMON = 4000, 20
 #: Rounds of comparing with one chosen member before any comparison of pairs or blocks.
 _TURNS = 1
 _ROUTED = "bucket int, kind string, id long, sid long, n long, sigs binary, sids binary"
-_FOUND = "kind string, id long, sid long, n long, content long, pivot long"
+_FOUND = "kind string, id long, sid long, n long, content long"
 
 
 def set_id(h: np.ndarray) -> int:
@@ -235,7 +237,7 @@ def _signed(a: int) -> int:
 
 
 _FOUND_ARROW = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("sid", pa.int64()),
-                          ("n", pa.int64()), ("content", pa.int64()), ("pivot", pa.int64())])
+                          ("n", pa.int64()), ("content", pa.int64())])
 
 
 def _met(sig: np.ndarray, sid: np.ndarray):
@@ -258,8 +260,7 @@ def _met(sig: np.ndarray, sid: np.ndarray):
     reps = sizes[shared]
     within = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
     at = np.repeat(starts[shared], reps) + within
-    return (sid[at], np.repeat(lists[shared], reps), np.repeat(sid[starts[shared]], reps),
-            np.repeat(reps, reps))
+    return sid[at], np.repeat(lists[shared], reps)
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,9 +274,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries = pc.equal(batch.column("kind"), "entries")
         docs = batch.filter(pc.invert(entries))
         if docs.num_rows:
-            empty = pa.nulls(docs.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [docs.column(c) for c in ("kind", "id", "sid", "n")] + [empty, empty],
+                [docs.column(c) for c in ("kind", "id", "sid", "n")] + [pa.nulls(docs.num_rows, pa.int64())],
                 schema=_FOUND_ARROW)
         part = batch.filter(entries)
         sigs += [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("sigs")]
@@ -283,15 +283,14 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found = _met(np.concatenate(sigs), np.concatenate(sids)) if sigs else None
     if found is None:
         return
-    member, content, pivot, size = found
+    member, content = found
     for a in range(0, len(member), 100_000):
         cut = slice(a, a + 100_000)
         n = len(member[cut])
         yield pa.RecordBatch.from_arrays(
             [pa.array(["member"] * n), pa.nulls(n, pa.int64()),
-             pa.array(member[cut].view(np.int64)),
-             pa.array(size[cut].astype(np.int64)), pa.array(content[cut].view(np.int64)),
-             pa.array(pivot[cut].view(np.int64))], schema=_FOUND_ARROW)
+             pa.array(member[cut].view(np.int64)), pa.nulls(n, pa.int64()),
+             pa.array(content[cut].view(np.int64))], schema=_FOUND_ARROW)
 
 
 def _bits(h: np.ndarray) -> bytes:
@@ -304,17 +303,10 @@ def _bits(h: np.ndarray) -> bytes:
                                    minlength=size).astype(np.uint8) & 1).tobytes()
 
 
-def _apart_by(x: bytes, y: bytes) -> int:
-    """In how many bits two bitmaps differ; a longer one is folded to the length of the other."""
-    p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-    while len(p) != len(q):
-        if len(p) < len(q):
-            p, q = q, p
-        p = p[:len(p) // 2] ^ p[len(p) // 2:]
-    return int(np.bitwise_count(p ^ q).sum())
+def _sets(k: int, text_col: str, whole: bool):
+    """(sid, n) of the texts that have a set, with its bitmap or with the whole of it."""
+    name, made = ("items", np.ndarray.tobytes) if whole else ("bits", _bits)
 
-
-def _sets(k: int, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in words.pieces(batch, text_col, _PIECE):
@@ -322,53 +314,129 @@ def _sets(k: int, text_col: str):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_signed(set_id(h)) for h in found], pa.int64()),
                      pa.array([len(h) for h in found], pa.int64()),
-                     pa.array([_bits(h) for h in found], pa.binary()),
-                     pa.array([h.tobytes() for h in found], pa.binary())],
-                    ["sid", "n", "bits", "items"])
+                     pa.array([made(h) for h in found], pa.binary())], ["sid", "n", name])
     return run
 
 
-def _near(num: int, den: int):
-    """Drops pairs whose sizes or bitmaps show that they differ too much."""
+def _sets_of(rows: DataFrame, reps: DataFrame, k: int, whole: bool) -> DataFrame:
+    """The sets of the rows whose ids are in ``reps`` (rep), each once."""
+    name = "items" if whole else "bits"
+    kept = small(reps)
+    sets = durable(rows.join(kept, rows.id.eqNullSafe(kept.rep), "left_semi").mapInArrow(
+        _sets(k, "text", whole), f"sid long, n long, {name} binary"), "sets")
+    # an id that is repeated with one text has given that set several times
+    again = durable(sets.groupBy("sid").count().filter("count > 1").select("sid"), "again")
+    if again.isEmpty():
+        return sets
+    return durable(sets.join(small(again), "sid", "left_anti").unionByName(
+        sets.join(small(again), "sid", "left_semi").dropDuplicates(["sid"])), "sets")
+
+
+def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label``, the first member of each one's component, after ``a`` and ``b`` are linked."""
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        while (label[label] != label).any():
+            label = label[label]
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+    return label
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    while bits.shape[1] > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def _close_rows(rows: pa.RecordBatch, num: int, den: int) -> pa.RecordBatch:
+    """(a, b): a forest of what sizes and bitmaps leave alike within each of the rows' tiles."""
+    g, ti, tj, sid, block, n = (rows.column(c).to_numpy(zero_copy_only=False)
+                                for c in ("g", "ti", "tj", "sid", "block", "n"))
+    fresh = np.ones(len(g), dtype=bool)
+    fresh[1:] = (g[1:] != g[:-1]) | (ti[1:] != ti[:-1]) | (tj[1:] != tj[:-1])
+    group = np.cumsum(fresh)
+    order = np.lexsort((n, group))
+    group, sid, block, n, cross = group[order], sid[order], block[order], n[order], (ti != tj)[order]
+    maps = rows.column("bits").take(pa.array(order))
+    width = np.array([len(x.as_buffer()) // 8 for x in maps])
+    of, tables = np.zeros(len(n), np.int64), {}
+    for w in np.unique(width).tolist():
+        own = np.flatnonzero(width == w)
+        of[own] = np.arange(len(own))
+        tables[w] = np.frombuffer(b"".join(maps[i].as_py() for i in own.tolist()), np.uint64).reshape(-1, w)
+    key = group << 40
+    last = np.searchsorted(key + n, key + n * den // num, "right")  # larger ones that may still be alike
+    count = last - np.arange(len(n)) - 1
+    label, a, done = np.arange(len(n)), 0, np.cumsum(count)
+    while a < len(n):
+        b = max(a + 1, int(np.searchsorted(done, (done[a - 1] if a else 0) + _PAIRS, "right")))
+        c = count[a:b]
+        i = np.repeat(np.arange(a, b), c)
+        j = i + 1 + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+        open_ = (label[i] != label[j]) & ~(cross[i] & (block[i] == block[j]))
+        i, j = i[open_], j[open_]
+        kind = width[i] << 32 | width[j]
+        for w in np.unique(kind).tolist():
+            here = np.flatnonzero(kind == w)
+            left = tables[w >> 32]
+            right = _folded(tables[w & (1 << 32) - 1], w >> 32)
+            step = max(1, _PAIRS // (w >> 32))
+            for at in range(0, len(here), step):
+                p, q = i[here[at:at + step]], j[here[at:at + step]]
+                differ = np.bitwise_count(left[of[p]] ^ right[of[q]]).sum(1, dtype=np.int64)
+                near = differ <= (n[p] + n[q]) * (den - num) // (den + num)
+                label = _merge(label, p[near], q[near])
+        a = b
+    other = np.flatnonzero(label != np.arange(len(label)))
+    return pa.RecordBatch.from_arrays([pa.array(sid[other]), pa.array(sid[label[other]])], ["a", "b"])
+
+
+def _close_tiles(num: int, den: int):
+    """The rows come sorted by their tiles, each of which is whole when it is compared."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            keep = []
-            for n, m, x, y in zip(*(batch.column(c).to_pylist()
-                                    for c in ("left_n", "right_n", "left_bits", "right_bits"))):
-                keep.append(min(n, m) * den >= num * max(n, m)
-                            and _apart_by(x, y) <= (n + m) * (den - num) // (den + num))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            if not batch.num_rows:
+                continue
+            held = batch if held is None else pa.concat_batches([held, batch])
+            g, ti, tj = (held.column(c).to_numpy() for c in ("g", "ti", "tj"))
+            ended = np.flatnonzero((g != g[-1]) | (ti != ti[-1]) | (tj != tj[-1]))
+            if not len(ended):
+                continue
+            cut = int(ended[-1]) + 1
+            yield _close_rows(held.slice(0, cut), num, den)
+            held = held.slice(cut)
+        if held is not None:
+            yield _close_rows(held, num, den)
     return run
 
 
-def _linked(num: int, den: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("left_items"), batch.column("right_items")):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if min(len(p), len(q)) * den < num * max(len(p), len(q)):
-                    keep.append(False)
-                    continue
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(den * both >= num * (len(p) + len(q) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return run
+def _in_tiles(rows: DataFrame) -> DataFrame:
+    """``rows`` with blocks of their group, once for each tile (ti, tj), a pair of blocks, that has theirs."""
+    block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
+                        lambda j: F.struct(F.least("block", j).alias("ti"),
+                                           F.greatest("block", j).alias("tj")))
+    return (rows.withColumn("block", block).withColumn("t", F.explode(tiles))
+            .withColumns({"ti": F.col("t.ti"), "tj": F.col("t.tj")}).drop("t", "blocks"))
 
 
-def _decide(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of the pairs (a, b) whose whole sets reach the threshold."""
-    def sides(found: DataFrame, *columns: str) -> DataFrame:
-        for side, key in (("left", "a"), ("right", "b")):
-            found = found.join(sets.select(F.col("sid").alias(key), *(
-                F.col(c).alias(f"{side}_{c}") for c in columns)), key)
-        return found
+def _close(groups: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+    """Clusters (node, label) of the members of each group (g, sid) that sizes and bitmaps leave alike.
 
-    near = durable(sides(pairs, "n", "bits").select("a", "b", "left_n", "right_n", "left_bits",
-                                                    "right_bits")
-                   .mapInArrow(_near(num, den), "a long, b long"), "near")
-    return (sides(near, "items").select("a", "b", "left_items", "right_items")
-            .mapInArrow(_linked(num, den), "a long, b long"))
+    Linked members of a group are in one cluster.  Members that are alike to none are left out.
+    """
+    large = (groups.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") > _BLOCK)
+             .select("g", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks")))
+    rows = (groups.join(F.broadcast(large), "g", "left").fillna(1, ["blocks"]).join(bits, "sid"))
+    tiles = _in_tiles(rows).select("g", "ti", "tj", "sid", "block", "n", "bits")
+    found = (tiles.repartition("g", "ti", "tj").sortWithinPartitions("g", "ti", "tj")
+             .mapInArrow(_close_tiles(num, den), "a long, b long"))
+    return components.connected(durable(found, "close"))
 
 
 def _tile_links(num: int, den: int):
@@ -422,18 +490,33 @@ def _tiles(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     A group is dealt into blocks by its sets and their shingles; each pair of blocks is one task, which reports
     at most one link for each set it joins to another component.
     """
-    sizes = (groups.join(sets.select("sid", "n"), "sid").groupBy("g").agg(F.greatest(
-        F.ceil(F.count("*") / _BLOCK), F.ceil(F.sum("n") / _BLOCK_ITEMS)).cast("int").alias("blocks")))
-    mine = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                        lambda j: F.struct(F.least("block", j).alias("ti"),
-                                           F.greatest("block", j).alias("tj")))
-    return (groups.join(sizes, "g").join(sets.select("sid", "items"), "sid").withColumn("block", mine)
-            .select("g", "sid", "label", "block", "items", F.explode(tiles).alias("t"))
-            .select("g", "t.ti", "t.tj", "sid", "label", "block", "items")
+    dealt = groups.join(_blocks(groups, sets), "g")
+    return _tiled(_in_tiles(dealt), sets, num, den)
+
+
+def _blocks(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(g, d, blocks): members of each group and the blocks that hold them."""
+    return (groups.join(sets.select("sid", "n"), "sid").groupBy("g")
+            .agg(F.count("*").alias("d"), F.greatest(F.ceil(F.count("*") / _BLOCK),
+                                                     F.ceil(F.sum("n") / _BLOCK_ITEMS)).cast("int").alias("blocks")))
+
+
+def _tiled(tiles: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    rows = small(durable(tiles.select("g", "ti", "tj", "sid", "label", "block"), "tiles"))
+    return (sets.select("sid", "items").join(rows, "sid")
             .groupBy("g", "ti", "tj").applyInArrow(_tile_links(num, den), "a long, b long"))
 
 
+def _star_links(stars: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of the pairs (pivot, sid) whose whole sets reach the threshold."""
+    members = stars.select(F.col("pivot").alias("g"), "sid")
+    dealt = durable(members.join(_blocks(members, sets), "g").select(
+        "g", "sid", (F.pmod(F.xxhash64("sid"), F.col("blocks")) + 1).cast("int").alias("tj")), "stars")
+    centres = dealt.select("g", F.col("g").alias("sid"), "tj", F.lit(0).alias("block")).distinct()
+    rows = dealt.withColumn("block", F.col("tj")).unionByName(centres)
+    return _tiled(rows.withColumns({"ti": F.lit(0), "label": F.col("sid")}), sets, num, den)
+
+
 def _apart(met: DataFrame, labels: DataFrame) -> DataFrame:
     """Members (content, sid, label) of the contents whose members lie in several components."""
     named = (met.join(labels, met.sid == labels.node, "left")
@@ -445,60 +528,32 @@ def _apart(met: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _turned(apart: DataFrame, turn: int) -> DataFrame:
-    """For each set one of other components: of those chosen by hash in its contents, one."""
+    """(pivot, sid): for each set one of other components: of those chosen by hash in its contents, one."""
     rank = F.xxhash64("content", "sid", F.lit(turn))
     chosen = apart.groupBy("content").agg(F.min(F.struct(rank.alias("r"), "sid", "label"))
                                           .alias("p"))
-    one = (apart.join(chosen, "content").filter("label <> p.label").groupBy("sid")
-           .agg(F.min(F.struct(F.xxhash64("p.sid", "sid"), "p.sid")).alias("p")))
-    return one.select(F.least("p.sid", "sid").alias("a"),
-                      F.greatest("p.sid", "sid").alias("b")).distinct()
+    return (apart.join(chosen, "content").filter("label <> p.label").groupBy("sid")
+            .agg(F.min(F.struct(F.xxhash64("p.sid", "sid"), F.col("p.sid").alias("pivot"))).alias("p"))
+            .select("p.pivot", "sid"))
 
 
-def _across(apart: DataFrame) -> DataFrame:
-    """Pairs of members of one content that lie in different components.
-
-    Each such pair has a member outside the content's largest component, so only these are joined
-    with all others: no more rows than about twice the pairs.
-    """
-    largest = (apart.groupBy("content", "label").agg(F.count("*").alias("n")).groupBy("content")
-               .agg(F.max_by("label", F.struct("n", "label")).alias("largest")))
-    left = (apart.join(largest, "content").filter("label <> largest")
-            .select("content", F.col("sid").alias("a"), F.col("label").alias("la")))
-    right = apart.select("content", F.col("sid").alias("b"), F.col("label").alias("lb"))
-    return (left.join(right, "content").filter("la <> lb")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-
-def _rest_links(met: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _large_links(met: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links that join all sets that are linked through the contents of ``met`` (content, sid)."""
-    none = met.sparkSession.createDataFrame([], "node long, label long")
-    links, tried, labels = None, None, none
+    links, labels = None, met.sparkSession.createDataFrame([], "node long, label long")
     for turn in range(_TURNS):
-        pairs = _turned(_apart(met, labels), turn)
-        pairs = durable(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"),
-                        "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = durable(_decide(pairs, sets, num, den), "links")
+        stars = _turned(_apart(met, labels), turn)
+        found = durable(_star_links(stars, sets, num, den), "links")
         links = found if links is None else links.unionByName(found)
         labels = components.connected(links)
     apart = _apart(met, labels)
-    sizes = (apart.groupBy("content", "label").agg(F.count("*").alias("n")).groupBy("content")
-             .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside")))
-    crowded = durable(sizes.filter((F.col("n") * F.col("n") - F.col("inside")) / 2
-                                   > _NEAR * F.col("n")).select("content"), "crowded")
-    pairs = _across(apart.join(crowded, "content", "left_anti")).join(tried, ["a", "b"],
-                                                                      "left_anti")
-    links = links.unionByName(_decide(pairs, sets, num, den))
-    if crowded.isEmpty():
+    if apart.isEmpty():
         return links
-    crowd = durable(apart.join(crowded, "content"), "crowd")
     # each set is linked to the least set of its contents: contents are no nodes
-    centres = crowd.groupBy("content").agg(F.min("sid").alias("a"))
-    together = components.connected(crowd.select("content", F.col("sid").alias("b"))
+    centres = apart.groupBy("content").agg(F.min("sid").alias("a"))
+    together = components.connected(apart.select("content", F.col("sid").alias("b"))
                                     .join(centres, "content").select("a", "b").distinct())
-    named = durable(crowd.join(together, crowd.sid == together.node).select(
-        "content", "sid", crowd.label, together.label.alias("cluster")), "crowd")
+    named = durable(apart.join(together, apart.sid == together.node).select(
+        "content", "sid", apart.label, together.label.alias("cluster")), "crowd")
     alone = (named.groupBy("cluster", "content").agg(F.count("*").alias("n")).groupBy("cluster")
              .agg(F.sum(F.col("n") * F.col("n")).alias("alone")))
     picked = named.groupBy("cluster").agg(F.countDistinct("sid").alias("d")).join(
@@ -531,39 +586,22 @@ def _link(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: in
     found = durable(rows.mapInArrow(_route(k, num, den, buckets, "id", "text", common), _ROUTED)
                     .repartitionById(buckets, F.col("bucket")).mapInArrow(_meet, _FOUND), "met")
     docs_of = found.filter("kind = 'doc'").select("id", "sid", "n")
-    met = durable(found.filter("kind = 'member'").select("content", "sid", "pivot").distinct(),
-                  "members")
+    met = durable(found.filter("kind = 'member'").select("content", "sid").distinct(), "members")
     wanted = met.select("sid").distinct()
-    reps = durable(docs_of.join(wanted, "sid").groupBy("sid").agg(F.min("id").alias("rep"))
-                   .select("rep").distinct(), "reps")
-    kept = small(reps)
-    sets = durable(rows.join(kept, rows.id.eqNullSafe(kept.rep), "left_semi")
-                   .mapInArrow(_sets(k, "text"), "sid long, n long, bits binary, items binary"), "sets")
-    # an id that is repeated with one text has given that set several times
-    again = durable(sets.groupBy("sid").count().filter("count > 1").select("sid"), "again")
-    if not again.isEmpty():
-        sets = durable(sets.join(small(again), "sid", "left_anti").unionByName(
-            sets.join(small(again), "sid", "left_semi").dropDuplicates(["sid"])), "sets")
-    stars = met.filter("sid <> pivot").select(F.least("pivot", "sid").alias("a"),
-                                              F.greatest("pivot", "sid").alias("b")).distinct()
-    clusters = components.connected(stars).withColumnRenamed("label", "cluster")
-    named = durable(met.join(clusters, met.sid == clusters.node)
-                    .select("content", "sid", "cluster"), "clustered")
-    # pairs to compare: of all members of a cluster, or of those of each content
-    by_content = (named.groupBy("cluster", "content").agg(F.count("*").alias("n"))
-                  .groupBy("cluster").agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("alone")))
-    whole = durable(
-        clusters.groupBy("cluster").agg(F.count("*").alias("d")).join(by_content, "cluster")
-        .filter((F.col("d") <= _WHOLE) & (F.col("d") * (F.col("d") - 1) <= F.col("alone")))
-        .select("cluster"), "whole")
-    links = durable(_tiles(
-        clusters.join(whole, "cluster").select(F.col("cluster").alias("g"),
-                                               F.col("node").alias("sid"),
-                                               F.col("node").alias("label")), sets, num, den),
-        "links")
-    rest = durable(named.join(whole, "cluster", "left_anti").select("content", "sid"), "rest")
+    reps = durable(docs_of.join(wanted, "sid").groupBy("sid").agg(F.min("id").alias("rep")), "reps")
+    bits = _sets_of(rows, durable(reps.select("rep").distinct(), "reps"), k, False)
+    close = _close(met.withColumnRenamed("content", "g"), bits, num, den)
+    sets = _sets_of(rows, durable(reps.join(close, reps.sid == close.node, "left_semi").select("rep").distinct(),
+                                  "reps"), k, True)
+    groups = close.select(F.col("label").alias("g"), F.col("node").alias("sid"), F.col("node").alias("label"))
+    fits = durable(_blocks(groups, sets).select(
+        "g", ((F.col("d") <= _WHOLE) & (F.col("blocks") <= _NEAR)).alias("fits")), "fits")
+    links = durable(_tiles(groups.join(fits.filter("fits"), "g").drop("fits"), sets, num, den), "links")
+    large = groups.join(fits.filter("not fits"), "g").select("g", "sid")
+    rest = durable(met.select("content", "sid").join(large, "sid")
+                   .select(F.xxhash64("content", "g").alias("content"), "sid").distinct(), "rest")
     if not rest.isEmpty():
-        links = durable(links.unionByName(_rest_links(rest, sets, num, den)).distinct(), "links")
+        links = durable(links.unionByName(_large_links(rest, sets, num, den)).distinct(), "links")
     labels = components.connected(links)
     least = docs_of.filter("n > 0").groupBy("sid").agg(F.min("id").alias("least"),
                                                        F.count("*").alias("copies"))
