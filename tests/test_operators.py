@@ -187,6 +187,29 @@ def test_a_common_pair_is_split_until_groups_are_small(spark, monkeypatch):
                                    for exactly, g in groups if not exactly) <= 15
 
 
+def test_few_titles_on_many_dates(spark):
+    """Titles are compared once, not once for each date, with the same pairs, counts and citations."""
+    import datetime as dt
+    rng = random.Random(13)
+    words = ["alpha", "beta", "gamma", "delta", "omega", "kappa"]
+    named = [" ".join(rng.sample(words, rng.randrange(1, 5))) for _ in range(12)]
+    items = [(f"r{i}", rng.choice(named), None if i % 11 == 0 else
+              dt.date(2026, 1, 1) + dt.timedelta(days=rng.randrange(50))) for i in range(220)]
+    df = spark.createDataFrame(items, "id string, title string, day date")
+    members, edges = similarity.near_duplicate_titles(df, "id", "title", F.col("day"))
+    sets = members.select("set_id").distinct().count()
+    assert sets <= 12 and edges.count() <= sets * (sets - 1) // 2
+    cited = [(f"r{i}", f"r{i * 7 % 220}") for i in range(1, 220)]
+    got = [tuple(r) for r in similarity.possible_duplicates(
+        members, edges, spark.createDataFrame([], "id string, other string"), "id").collect()]
+    want = python_pairs(items)
+    assert len(got) == len(want) and set(got) == want
+    counts = {r["id"]: r["duplicates"] for r in similarity.duplicate_counts(members, edges, "id").collect()}
+    assert counts == {i: sum(a == i for a, _ in want) for i, _, _ in items}
+    apart = similarity.cited_apart(members, edges, spark.createDataFrame(cited, "id string, other string"), "id")
+    assert set(rows(apart)) == set(cited) - want - {(a, a) for a, _ in cited}
+
+
 def test_thresholds_at_their_edges(spark):
     import datetime as dt
     d = dt.date(2026, 1, 10)
