@@ -210,6 +210,38 @@ def test_few_titles_on_many_dates(spark):
     assert set(rows(apart)) == set(cited) - want - {(a, a) for a, _ in cited}
 
 
+def _rows_of_joins(plan):
+    """Rows that each join of a finished plan made."""
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return _rows_of_joins(plan.executedPlan())
+    inner = [plan.plan()] if "QueryStage" in name else [
+        plan.children().apply(i) for i in range(plan.children().size())]
+    own = [plan.metrics().apply("numOutputRows").value()] if "Join" in name else []
+    return own + [n for p in inner for n in _rows_of_joins(p)]
+
+
+def test_pairs_are_written_out_from_blocks(spark, monkeypatch):
+    """Copies meet by blocks: no join makes a row for each pair, or holds the pairs of a record at once."""
+    import datetime as dt
+    for name, n in (("BLOCK_ROWS", 40), ("SLICE_ROWS", 3), ("SLICES_A_COPY", 5), ("PAIRS_A_TASK", 2_000)):
+        monkeypatch.setattr(similarity, name, n, raising=False)
+    rng = random.Random(17)
+    named = ["alpha", "alpha beta", "alpha gamma", "beta gamma delta", "kappa"]
+    items = [(f"r{i}", named[rng.randrange(5) if i % 3 else 1], None if i % 7 == 0 else
+              dt.date(2026, 1, 1) + dt.timedelta(days=rng.randrange(8))) for i in range(330)]
+    items.append(("single", "unlike anything", None))
+    df = spark.createDataFrame(items, "id string, title string, day date")
+    members, edges = similarity.near_duplicate_titles(df, "id", "title", F.col("day"))
+    assert sorted({r["dated"] for r in edges.collect()}) == [False, True]
+    pairs = similarity.possible_duplicates(
+        members, edges, spark.createDataFrame([], "id string, other string"), "id")
+    got, want = [tuple(r) for r in pairs.collect()], python_pairs(items)
+    assert len(got) == len(want) and set(got) == want
+    made = _rows_of_joins(pairs._jdf.queryExecution().executedPlan())
+    assert made and max(made) * 10 < len(want)
+
+
 def test_thresholds_at_their_edges(spark):
     import datetime as dt
     d = dt.date(2026, 1, 10)
